@@ -1,0 +1,51 @@
+"""Request lines answered as they arrive, each micro-batch by the batch tools."""
+
+from __future__ import annotations
+
+from typing import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+REQUEST = "id string, method string, params struct<name:string,arguments:map<string,string>>"
+
+
+def parse_requests(lines: DataFrame) -> DataFrame:
+    """JSON request lines to ``(request_id, method, tool, arguments)``; bad lines go."""
+    r = F.from_json("value", REQUEST)
+    return (
+        lines.filter(F.trim("value") != "")
+        .select(r.alias("r"))
+        .filter(F.col("r.method").isNotNull())
+        .select(F.col("r.id").alias("request_id"), "r.method", F.col("r.params.name").alias("tool"),
+                F.col("r.params.arguments").alias("arguments"))
+    )
+
+
+def protocol_errors(requests: DataFrame, tools: list[str]) -> DataFrame:
+    """``(request_id, code, message)`` for unknown methods and tools."""
+    known = ["initialize", "ping", "tools/list", "tools/call"]
+    code = F.when(~F.col("method").isin(known), -32601).when(
+        (F.col("method") == "tools/call") & ~F.coalesce("tool", F.lit("")).isin(tools), -32602
+    )
+    text = F.when(code == -32601, F.concat(F.lit("method not found: "), F.col("method"))).otherwise(
+        F.concat(F.lit("unknown tool: "), F.coalesce("tool", F.lit("None")))
+    )
+    rows = requests.filter(F.col("request_id").isNotNull())
+    return rows.select("request_id", code.alias("code"), text.alias("message")).filter(F.col("code").isNotNull())
+
+
+def serve(spark: SparkSession, inbox: str, outbox: str, checkpoint: str,
+          tools: dict[str, Callable[[DataFrame], DataFrame]]) -> StreamingQuery:
+    """Answer request files dropped in ``inbox``; one output folder per tool and batch."""
+
+    def answer(batch: DataFrame, number: int) -> None:
+        requests = parse_requests(batch)
+        for name, tool in tools.items():
+            mine = requests.filter((F.col("method") == "tools/call") & (F.col("tool") == name))
+            tool(mine).write.mode("overwrite").json(f"{outbox}/{name}/batch={number}")
+        protocol_errors(requests, list(tools)).write.mode("overwrite").json(f"{outbox}/errors/batch={number}")
+
+    lines = spark.readStream.text(inbox)
+    return lines.writeStream.foreachBatch(answer).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
