@@ -157,7 +157,11 @@ def _verse_rows(rows: DataFrame, prefix: str, work: str) -> DataFrame:
 
 
 def page_to_nodes(pages: DataFrame, part: str = "part", html: str = "html") -> DataFrame:
-    """A question page to one node per article; pages without a heading yield none."""
+    """A question page to one node per article.
+
+    Pages without a heading and articles without a paragraph yield none; the coverage
+    check reports what is missing.
+    """
     slugs = F.create_map(*[F.lit(x) for i, p in enumerate(canon.PARTS, 1) for x in (i, p[0])])
     shown = F.create_map(*[F.lit(x) for i, p in enumerate(canon.PARTS, 1) for x in (i, p[1])])
     longs = F.create_map(*[F.lit(x) for i, p in enumerate(canon.PARTS, 1) for x in (i, p[2])])
@@ -179,6 +183,7 @@ def page_to_nodes(pages: DataFrame, part: str = "part", html: str = "html") -> D
         .withColumn("_title", html_to_text(F.regexp_extract("piece", art, 2)))
         .withColumn("body", F.regexp_extract("piece", art, 3))
         .withColumn("segments", paragraph_segments(F.col("body")))
+        .filter(F.size("segments") > 0)
     )
     title = F.when(F.col("_title").rlike(ARTICLE_HEAD), F.trim(F.regexp_extract("_title", ARTICLE_HEAD, 2))).otherwise(
         F.col("_title")
