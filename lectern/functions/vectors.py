@@ -43,8 +43,13 @@ def dot_with(vector: Column, query: list[float]) -> Column:
 
 @F.arrow_udf(T.BinaryType())
 def pack_f16(vectors: pa.Array) -> pa.Array:
-    """Vectors as little-endian half-precision bytes."""
-    return pa.array([None if v is None else np.asarray(v, dtype="<f2").tobytes() for v in vectors.to_pylist()], pa.binary())
+    """Vectors scaled to unit length, as little-endian half-precision bytes."""
+
+    def packed(values) -> bytes:
+        v = np.asarray(values, dtype=np.float64)
+        return (v / (np.sqrt(v @ v) or 1.0)).astype("<f2").tobytes()
+
+    return pa.array([None if v is None else packed(v) for v in vectors.to_pylist()], pa.binary())
 
 
 @F.arrow_udf(T.ArrayType(T.FloatType()))

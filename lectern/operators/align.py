@@ -133,10 +133,10 @@ def date_asof_forward(requests: DataFrame, table: DataFrame, on: str = "date", h
         )
     ).scalar()
     asked = requests.select(F.col(on).alias("asked")).filter(F.col("asked").isNotNull()).distinct()
-    near = asked.withColumn("_b", bucket(F.col("asked"))).join(per_bucket, "_b", "left")
+    near = asked.withColumn("_b", bucket(F.col("asked"))).join(per_bucket, "_b", "left").withColumn("_edges", edges)
     here = F.try_element_at(F.filter("_days", lambda d: d >= F.col("asked")), F.lit(1))
-    later = F.try_element_at(F.filter(edges["firsts"], lambda d: d >= F.col("asked")), F.lit(1))
-    return near.select("asked", F.coalesce(here, later, edges["last"]).alias("held"))
+    later = F.try_element_at(F.filter("_edges.firsts", lambda d: d >= F.col("asked")), F.lit(1))
+    return near.select("asked", F.coalesce(here, later, F.col("_edges.last")).alias("held"))
 
 
 def canonical_order(rows: DataFrame, slug: str = "slug") -> DataFrame:

@@ -1,0 +1,182 @@
+"""Queries over the integrity checks; each returns what breaks the rule."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import canon
+from ..functions.columns import pick
+from ..functions.text import clean_latin
+from ..operators import quality
+from . import corpus, oracle
+from .oracle import collapse, with_
+from .registry import query
+
+
+@query("unique_id", "SELECT lower(string_split(text, chr(10))[1]) AS id, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1")
+def unique_id(t):
+    return quality.unique_id(t.articles.select(F.lower("title").alias("id")))
+
+
+@query("unique_text", "SELECT text, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1")
+def unique_text(t):
+    return quality.unique_id(t.documents, "text")
+
+
+_AFTER = "regexp_replace(line, '^[^,.]*[,.]?', '')"
+
+
+@query("nonempty_text", with_("lin") + f"SELECT doc_id, i FROM (SELECT doc_id, i, {_AFTER} AS rest FROM lin) WHERE trim(rest) = ''")
+def nonempty_text(t):
+    rest = t.lines.select("doc_id", "i", F.regexp_replace("line", r"^[^,.]*[,.]?", "").alias("rest"))
+    return quality.nonempty_text(rest, "rest").select("doc_id", "i")
+
+
+@query("license_present", "SELECT doc_id FROM documents LEFT JOIN labels USING (doc_id) WHERE CASE quality WHEN 1 THEN 'cc-by' WHEN 0 THEN '' END IS NULL OR quality = 0")
+def license_present(t):
+    held = t.labels.select("doc_id", "quality")
+    license = F.when(F.col("quality") == 1, "cc-by").when(F.col("quality") == 0, "")
+    return quality.license_present(t.documents.select("doc_id").join(held, "doc_id", "left"), license).select("doc_id")
+
+
+@query("lossless_rejoin", "SELECT doc_id FROM documents WHERE coalesce(array_to_string(list_filter(string_split(text, chr(10)), lambda l: length(l) > 9), chr(10) || chr(10)), '') <> replace(text, chr(10), chr(10) || chr(10))")
+def lossless_rejoin(t):
+    segments = F.transform(F.filter("lines", lambda l: F.length(l) > 9), lambda l: F.struct(l.alias("text")))
+    nodes = t.doc_lines.select("doc_id", segments.alias("segments"), F.replace("text", F.lit("\n"), F.lit("\n\n")).alias("text"))
+    return quality.lossless_rejoin(nodes).select("doc_id")
+
+
+@query(
+    "id_citation_agree",
+    with_("art") + "SELECT id, cited AS citation FROM (SELECT id, CASE WHEN lang = 'de' THEN replace(citation, 'q.', 'q.1') WHEN lang = 'es' THEN lower(citation) ELSE citation END AS cited, lang FROM art) WHERE lang IN ('de', 'es')",
+)
+def id_citation_agree(t):
+    cited = F.when(F.col("lang") == "de", F.replace("citation", F.lit("q."), F.lit("q.1"))).when(
+        F.col("lang") == "es", F.lower("citation")
+    ).otherwise(F.col("citation"))
+    return quality.id_citation_agree(t.articles.select("id", cited.alias("citation")))
+
+
+@query("verse_position_agree", with_("lat") + "SELECT id, CASE WHEN verse % 2 = 0 THEN verse_key ELSE replace(verse_key, '-', '') END AS verse_key FROM lat WHERE verse % 2 = 1 AND contains(slug, '-')")
+def verse_position_agree(t):
+    key = F.when(F.col("verse") % 2 == 0, F.col("verse_key")).otherwise(F.replace("verse_key", F.lit("-"), F.lit("")))
+    return quality.verse_position_agree(t.latin.withColumn("verse_key", key), "vg").select("id", "verse_key")
+
+
+@query(
+    "coverage_complete",
+    with_("lat", "book") + "SELECT b.slug, CAST(b.chapter AS INT) AS chapter FROM (SELECT slug, unnest(range(1, chapters + 1)) AS chapter FROM book) b LEFT JOIN (SELECT DISTINCT slug, chapter FROM lat) l USING (slug, chapter) WHERE l.slug IS NULL",
+)
+def coverage_complete(t):
+    return quality.coverage_complete(t.latin, quality.expected_chapters(t.spark), ["slug", "chapter"])
+
+
+_SPEC = ", ".join(f"('{p[0]}', {p[3]})" for p in canon.PARTS)
+
+
+@query(
+    "coverage_questions",
+    with_("art")
+    + f"SELECT part, CAST(question AS INT) AS question FROM (SELECT part, unnest(range(1, n + 1)) AS question FROM (VALUES {_SPEC}) s(part, n)) WHERE NOT EXISTS (SELECT 1 FROM art WHERE slug = part AND q = question)",
+)
+def coverage_questions(t):
+    present = t.articles.select(
+        F.split_part("id", F.lit("."), F.lit(3)).alias("part"),
+        F.substring(F.split_part("id", F.lit("."), F.lit(4)), 2, 9).cast("int").alias("question"),
+    )
+    return quality.coverage_complete(present, quality.expected_questions(t.spark), ["part", "question"])
+
+
+@query(
+    "contiguity_check",
+    """SELECT l_orderkey, min(l_linenumber) AS first, max(l_linenumber) AS last, count(*) AS rows, count(DISTINCT l_linenumber) AS numbers FROM lineitem GROUP BY 1
+    HAVING count(*) <> count(DISTINCT l_linenumber) OR max(l_linenumber) - min(l_linenumber) + 1 <> count(DISTINCT l_linenumber) OR min(l_linenumber) <> 1""",
+)
+def contiguity_check(t):
+    return quality.contiguity(t.lineitem, ["l_orderkey"], "l_linenumber")
+
+
+@query(
+    "contiguity",
+    with_("eng")
+    + """SELECT slug, chapter, min(verse) AS first, max(verse) AS last, count(*) AS rows, count(DISTINCT verse) AS numbers FROM eng WHERE length(text) > 9 GROUP BY 1, 2
+    HAVING count(*) <> count(DISTINCT verse) OR max(verse) - min(verse) + 1 <> count(DISTINCT verse) OR min(verse) <> CASE WHEN slug = 'psalms' AND chapter = 115 THEN 10 WHEN slug = 'psalms' AND chapter = 147 THEN 12 ELSE 1 END""",
+)
+def contiguity(t):
+    start = quality.late_start(F.col("slug"), F.col("chapter"))
+    return quality.contiguity(t.english.filter(F.length("text") > 9), ["slug", "chapter"], "verse", start)
+
+
+@query(
+    "number_gaps",
+    """WITH p AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem), s AS (SELECT l_orderkey, unnest(range(min(l_linenumber), max(l_linenumber) + 1)) AS l_linenumber FROM p GROUP BY 1)
+    SELECT l_orderkey, CAST(l_linenumber AS INT) AS l_linenumber FROM s EXCEPT SELECT * FROM p""",
+)
+def number_gaps(t):
+    return quality.gaps(t.lineitem, ["l_orderkey"], "l_linenumber")
+
+
+@query("charset_whitelist", r"SELECT conv_id, turn FROM conversations WHERE regexp_matches(text, '[/\\\[\]<>]|[^\x00-\x7fæÆœë]')")
+def charset_whitelist(t):
+    return quality.charset_whitelist(t.conversations).select("conv_id", "turn")
+
+
+@query(
+    "substring_of_source",
+    with_("lin") + f"SELECT doc_id, i FROM lin JOIN (SELECT doc_id, {collapse('text')} AS flat FROM documents) USING (doc_id) WHERE NOT contains(flat, replace(line, 'eaou', 'Eaou'))",
+)
+def substring_of_source(t):
+    rows = t.lines.select("doc_id", "i", F.replace("line", F.lit("eaou"), F.lit("Eaou")).alias("text"))
+    sources = t.documents.select("doc_id", F.col("text").alias("source_text"))
+    return quality.substring_of_source(rows, sources, ["doc_id"]).select("doc_id", "i")
+
+
+@query(
+    "rederive_equals",
+    with_("lat") + "SELECT verse_key, stored FROM (SELECT verse_key, text, replace(text, 'die', 'Die') AS stored FROM lat) WHERE stored <> text",
+)
+def rederive_equals(t):
+    stored = t.latin.select("verse_key", F.replace("text", F.lit("die"), F.lit("Die")).alias("text"))
+    broken = quality.rederive_equals(stored, t.latin_raw, ["verse_key"])
+    return broken.select("verse_key", F.col("text").alias("stored"))
+
+
+@query("every_segment_has_father", with_("frag", "per") + "SELECT DISTINCT id FROM frag JOIN per USING (doc_id) WHERE father = ''")
+def every_segment_has_father(t):
+    return quality.every_segment_has_father(t.pericopes).select("id")
+
+
+@query("title_suffix", with_("art") + "SELECT id, title FROM (SELECT id, title, 'Part I, ' || CASE WHEN lang = 'fr' THEN title || ' [' || source || ']' ELSE title || '  ' END AS cited FROM art) WHERE title <> '' AND NOT ends_with(rtrim(cited), title)")
+def title_suffix(t):
+    cited = F.concat(F.lit("Part I, "), F.when(F.col("lang") == "fr", F.concat("title", F.lit(" ["), "source", F.lit("]"))).otherwise(F.concat("title", F.lit("  "))))
+    return quality.title_suffix(t.articles.withColumn("citation", cited)).select("id", "title")
+
+
+@query("citations_parse", with_("scr") + "SELECT id, raw FROM scr WHERE NOT ok")
+def citations_parse(t):
+    return quality.citations_parse(t.articles)
+
+
+@query("marker_leak_check", "SELECT conv_id, turn FROM conversations WHERE role = 'assistant'")
+def marker_leak_check(t):
+    marked = F.when(F.col("role") == "assistant", F.concat(corpus.text_of(F.col("turn")), F.lit(":1. "), F.col("text"))).otherwise(F.col("text"))
+    return quality.marker_leak_check(t.conversations.withColumn("text", marked)).select("conv_id", "turn")
+
+
+_WANT = ["john", "luke"]
+
+
+@query(
+    "page_verify",
+    f"""WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, '<a href="/([^"]*)">', 1)) AS h, length(url) AS u FROM pages),
+    b AS (SELECT page_id AS page, CASE WHEN length(h) > 9 THEN 'luke' ELSE 'john' END AS slug, u % 3 AS chapter, {oracle.pick(_WANT, 'page_id')} AS want_slug, u % 3 AS want_chapter FROM a)
+    SELECT page, want_slug, want_chapter, count(*) AS anchors FROM b GROUP BY 1, 2, 3 HAVING count(*) FILTER (WHERE slug <> want_slug OR chapter <> want_chapter) > 0""",
+)
+def page_verify(t):
+    hrefs = F.regexp_extract_all("html", F.lit('<a href="/([^"]*)">'), F.lit(1))
+    rows = t.pages.select("page_id", F.length("url").cast("long").alias("u"), F.explode(hrefs).alias("h"))
+    anchors = rows.select(
+        F.col("page_id").alias("page"), F.when(F.length("h") > 9, "luke").otherwise("john").alias("slug"),
+        (F.col("u") % 3).alias("chapter"), pick(_WANT, F.col("page_id")).alias("want_slug"), (F.col("u") % 3).alias("want_chapter"),
+    )
+    return quality.page_verify(anchors)

@@ -1,0 +1,233 @@
+"""Queries that write a corpus format to the shared folder and read it back."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import canon, schemas
+from ..functions.text import lines
+from ..operators import align, graph, parse, project
+from ..session import new_path
+from ..sources import readers, writers
+from . import corpus
+from .oracle import collapse, with_
+from .registry import query
+
+_NODE_COLS = ["id", "citation", "title", "type", "text", "segments", "citations_out"]
+
+
+def _landed_articles(t):
+    """Article nodes as JSON lines, one folder per part; documents in one language have
+    no type and those in another are commentary."""
+    kind = F.when(F.col("lang") == "de", "father-comment").when(F.col("lang") == "fr", "verse").when(F.col("lang") == "en", "article")
+    path = new_path(t.spark, "nodes")
+    nodes = t.articles.withColumn("type", kind).withColumn("part", F.split_part("id", F.lit("."), F.lit(3)))
+    writers.sink_jsonl_partitioned(nodes.select("part", *_NODE_COLS), path, "part", ["id"])
+    return path
+
+
+@query(
+    "scan_jsonl",
+    with_("art", "lin") + "SELECT id, citation, title, length(text) AS n_chars, (SELECT count(*) FROM lin WHERE lin.doc_id = art.doc_id) AS n_segments FROM art",
+)
+def scan_jsonl(t):
+    nodes = readers.scan_jsonl(t.spark, _landed_articles(t))
+    return nodes.select("id", "citation", "title", F.length("text").cast("long").alias("n_chars"), F.size("segments").cast("long").alias("n_segments"))
+
+
+@query("scan_jsonl_filtered", with_("art") + "SELECT id, CASE lang WHEN 'en' THEN 'article' END AS type FROM art WHERE lang NOT IN ('de', 'fr')")
+def scan_jsonl_filtered(t):
+    return readers.scan_jsonl_filtered(t.spark, _landed_articles(t)).select("id", "type")
+
+
+@query("sink_jsonl_partitioned", with_("art") + "SELECT slug AS part, count(*) AS nodes, count(DISTINCT q) AS questions FROM art GROUP BY 1")
+def sink_jsonl_partitioned(t):
+    landed = readers.scan_jsonl(t.spark, _landed_articles(t), "id string, part string")
+    each = landed.groupBy("part", F.split_part("id", F.lit("."), F.lit(4)).alias("q")).agg(F.count("*").alias("n"))
+    return each.groupBy("part").agg(F.sum("n").cast("long").alias("nodes"), F.count("*").alias("questions"))
+
+
+def _landed_adjacency(t):
+    path = new_path(t.spark, "adjacency")
+    writers.sink_adjacency(graph.inverted_index(t.articles), path, "key", ["id", "citation", "title", "ref"], 100)
+    return path
+
+
+@query("scan_adjacency", with_("idx") + "SELECT key, id, citation, title, ref FROM idx")
+def scan_adjacency(t):
+    return readers.scan_adjacency(t.spark, _landed_adjacency(t)).drop("pos")
+
+
+@query("sink_adjacency", with_("idx") + "SELECT key, count(*) AS entries, min(id) AS first_id, max(id) AS last_id FROM idx GROUP BY 1")
+def sink_adjacency(t):
+    rows = readers.scan_adjacency(t.spark, _landed_adjacency(t))
+    return rows.groupBy("key").agg(F.count("*").alias("entries"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+
+
+@query("scan_html_pages", "SELECT page_id, url, length(html) AS n_chars FROM pages")
+def scan_html_pages(t):
+    return t.pages.select("page_id", "url", F.length("html").cast("long").alias("n_chars"))
+
+
+_SEPARATOR = "\n=====\n"
+
+
+@query("scan_wholetext", "SELECT text FROM documents")
+def scan_wholetext(t):
+    path = new_path(t.spark, "texts")
+    t.documents.select(F.concat("text", F.lit(_SEPARATOR[:-1])).alias("value")).write.text(path)
+    return readers.scan_wholetext(t.spark, path, _SEPARATOR)
+
+
+@query(
+    "scan_cp1252",
+    with_("lat") + "SELECT id, citation, text, latin_book FROM (SELECT id, citation, text, slug AS latin_book FROM lat)",
+)
+def scan_cp1252(t):
+    path = new_path(t.spark, "latin")
+    line = F.concat(corpus.text_of(F.col("chapter")), F.lit(":"), corpus.text_of(F.col("verse")), F.lit(" "), F.replace("raw", F.lit("\n"), F.lit(" ")))
+    rows = t.latin_raw.select("slug", line.alias("value"))
+    (
+        rows.write.partitionBy("slug").option("encoding", "ISO-8859-1").option("sep", "\x01").option("quote", "").option("escape", "\x01")
+        .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
+    )
+    slug = F.regexp_extract("path", "slug=([^/]+)", 1)
+    landed = readers.scan_cp1252(t.spark, path).withColumn("slug", slug).withColumn("latin_book", slug)
+    return parse.parse_latin(landed).select("id", "citation", "text", "latin_book")
+
+
+# A half-precision value: the nearest multiple of its binade's spacing, ties to even.
+_F16 = "CASE WHEN x = 0 THEN 0 ELSE round_even(x / u, 0) * u END"
+_F16_ROWS = f"""SELECT vec_id, d, {_F16} AS x FROM (SELECT *, pow(2, greatest(floor(log2(abs(x))), -14) - 10) AS u FROM (
+    SELECT vec_id, unnest(e) AS x, generate_subscripts(e, 1) AS d FROM (
+      SELECT vec_id, list_transform(embedding, lambda v: CAST(v AS DOUBLE) / sqrt(list_sum(list_transform(embedding, lambda w: CAST(w AS DOUBLE) * CAST(w AS DOUBLE))))) AS e FROM embeddings)))"""
+
+
+def _landed_vectors(t):
+    path = new_path(t.spark, "vectors")
+    writers.sink_vectors(t.embeddings.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector")), path)
+    return path
+
+
+@query("scan_f16_vectors", f"SELECT vec_id AS id, CAST(d - 1 AS INT) AS dim, round(x, 6) AS x FROM ({_F16_ROWS})")
+def scan_f16_vectors(t):
+    rows = readers.scan_f16_vectors(t.spark, _landed_vectors(t))
+    return rows.select("id", F.posexplode("vector").alias("dim", "x")).withColumn("x", F.round(F.col("x").cast("double"), 6))
+
+
+@query("sink_vectors", f"SELECT vec_id AS id, count(*) AS dims, round(sum(x * x), 6) AS square FROM ({_F16_ROWS}) GROUP BY 1")
+def sink_vectors(t):
+    rows = readers.scan_f16_vectors(t.spark, _landed_vectors(t)).select("id", F.posexplode("vector").alias("dim", "x"))
+    x = F.col("x").cast("double")
+    return rows.groupBy("id").agg(F.count("*").alias("dims"), F.round(F.sum(x * x), 6).alias("square"))
+
+
+@query("scan_verse_map", with_("eng") + "SELECT verse_key, id, text, citation, book, chapter, verse FROM eng")
+def scan_verse_map(t):
+    return readers.verse_map(t.english)
+
+
+@query("scan_lectionary", with_("read") + "SELECT CAST(date AS VARCHAR) AS date, gospel, 'Day ' || date AS day FROM read")
+def scan_lectionary(t):
+    path = new_path(t.spark, "lectionary")
+    day = F.col("date").cast("string")
+    writers.sink_keyed(t.readings, day, F.struct("gospel", F.concat(F.lit("Day "), day).alias("day")), path)
+    return readers.scan_lectionary(t.spark, path).withColumn("date", F.col("date").cast("string"))
+
+
+def _stats(t):
+    """The graph's one-row statistics."""
+    cites = graph.parse_rate(graph.scripture_citations(t.articles))
+    edges = graph.internal_edges(t.articles, "noted_text")
+    rates = graph.resolve_rate(edges, graph.internal_resolve(edges, t.articles))
+    one = lambda df, col: df.select(col).scalar()
+    return t.articles.agg(F.count("*").alias("articles")).select(
+        "articles",
+        one(cites, "total").alias("scripture_citations_total"),
+        one(cites, "parsed").alias("scripture_citations_parsed"),
+        one(cites, "rate").alias("parse_rate"),
+        one(rates, "total").alias("internal_refs_total"),
+        one(rates, "resolved").alias("internal_refs_resolved"),
+        one(rates, "rate").alias("internal_resolve_rate"),
+    )
+
+
+@query(
+    "sink_stats",
+    with_("art", "norm", "inl", "res")
+    + """SELECT a AS articles, n AS scripture_citations_total, p AS scripture_citations_parsed, round(p / n, 4) AS parse_rate, it AS internal_refs_total, ir AS internal_refs_resolved,
+      round(ir / it, 4) AS internal_resolve_rate FROM (SELECT (SELECT count(*) FROM art) AS a, (SELECT count(*) FROM norm) AS n, (SELECT count(*) FROM norm WHERE ok) AS p,
+      (SELECT count(*) FROM inl) AS it, (SELECT count(*) FROM res) AS ir)""",
+)
+def sink_stats(t):
+    path = new_path(t.spark, "stats")
+    stats = _stats(t)
+    writers.sink_stats(stats, path)
+    return t.spark.read.schema(stats.schema).json(path)
+
+
+@query(
+    "sink_manifest",
+    with_("lat", "eng")
+    + """SELECT 'clementine-vulgate' AS work, 'Latin' AS language, count(DISTINCT slug) AS books, count(DISTINCT slug || '/' || chapter) AS chapters, count(*) AS verses,
+      count(*) FILTER (WHERE verse_key IN (SELECT verse_key FROM eng)) AS shared FROM lat""",
+)
+def sink_manifest(t):
+    path = new_path(t.spark, "manifest")
+    chapters = t.latin.groupBy("slug", "chapter").agg(F.count("*").alias("v"))
+    books = chapters.groupBy("slug").agg(F.count("*").alias("c"), F.sum("v").alias("v"))
+    counts = books.agg(F.count("*").alias("books"), F.sum("c").cast("long").alias("chapters"), F.sum("v").cast("long").alias("verses"))
+    shared = align.parallel_alignment(t.latin, t.english).select("shared").scalar()
+    writers.sink_manifest(counts.withColumn("shared", shared), path, work="clementine-vulgate", language="Latin")
+    schema = "books long, chapters long, verses long, shared long, work string, language string"
+    return t.spark.read.schema(schema).json(path)
+
+
+@query(
+    "export_bundle",
+    with_("art", "eng", "lat", "idx", "res", "per")
+    + """SELECT 'articles' AS subset, count(*) AS rows FROM art UNION ALL SELECT 'english', count(*) FROM eng UNION ALL SELECT 'latin', count(*) FROM lat
+    UNION ALL SELECT 'scripture_edges', count(*) FROM idx WHERE len(string_split(key, '/')) = 3 UNION ALL SELECT 'internal_edges', count(*) FROM res
+    UNION ALL SELECT 'teaching', count(*) FROM art UNION ALL SELECT 'pericopes', count(*) FROM per UNION ALL SELECT 'father_edges', CAST(sum(len(keys)) AS BIGINT) FROM per""",
+)
+def export_bundle(t):
+    plain = F.struct(F.lit(None).cast("string").alias("license"))
+    sourced = lambda df: df.withColumn("source", plain).withColumn("work", F.lit(None).cast("string"))
+    edges = graph.internal_resolve(graph.internal_edges(t.articles, "noted_text"), t.articles)
+    subsets = {
+        "articles": project.project_article(sourced(t.articles)),
+        "english": project.project_verse(sourced(t.english)),
+        "latin": project.project_verse(sourced(t.latin), latin=True),
+        "scripture_edges": project.scripture_edges(graph.inverted_index(t.articles)),
+        "internal_edges": project.internal_edge_rows(graph.edges_to_meta(edges, t.articles)),
+        "teaching": project.project_catechism(sourced(t.articles).withColumn("path", F.array(F.lit("Work"), F.lit("Part")))),
+        "pericopes": project.project_pericope(sourced(t.pericopes)),
+        "father_edges": project.father_edges(t.pericopes),
+    }
+    return writers.export_bundle(subsets, new_path(t.spark, "bundle"))
+
+
+@query(
+    "export_browser_bundle",
+    with_("art", "eng", "per")
+    + """SELECT 'core/articles' AS part, count(*) AS rows, CAST(sum(length(title)) AS BIGINT) AS chars FROM art UNION ALL SELECT 'core/verses', count(*), CAST(sum(length(text)) AS BIGINT) FROM eng
+    UNION ALL SELECT 'bodies', count(*), CAST(sum(length(text)) AS BIGINT) FROM art UNION ALL SELECT 'chains', count(*), CAST(sum(length(text) - len(string_split(text, chr(10))) + 1) AS BIGINT) FROM per""",
+)
+def export_browser_bundle(t):
+    path = new_path(t.spark, "browser")
+    verses = align.parallel_text_join(t.english, t.latin)
+    writers.export_browser_bundle(t.articles, verses, t.pericopes, path)
+    spark = t.spark
+    total = lambda df, part, chars: df.agg(F.lit(part).alias("part"), F.count("*").alias("rows"), F.sum(chars).cast("long").alias("chars"))
+    articles = spark.read.schema("title string").json(f"{path}/core/articles")
+    held = spark.read.schema("text string").json(f"{path}/core/verses")
+    bodies = spark.read.text(f"{path}/bodies").select(F.explode(F.from_json("value", "map<string,string>")).alias("k", "v"))
+    chain = "map<string,struct<cit:string,path:array<string>,lemma:string,segs:array<array<string>>,refs:array<string>>>"
+    chains = spark.read.text(f"{path}/chains").select(F.explode(F.from_json("value", chain)).alias("k", "v"))
+    spoken = F.aggregate("v.segs", F.lit(0), lambda n, s: n + F.length(F.element_at(s, 2)))
+    return (
+        total(articles, "core/articles", F.length("title"))
+        .unionByName(total(held, "core/verses", F.length("text")))
+        .unionByName(total(bodies, "bodies", F.length("v")))
+        .unionByName(total(chains, "chains", spoken))
+    )

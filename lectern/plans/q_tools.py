@@ -1,0 +1,93 @@
+"""Queries over the entry-point operators, asked with tables of requests."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import graph
+from . import tools
+from .oracle import with_
+from .registry import query
+
+
+def _resolved_meta(t):
+    edges = graph.internal_resolve(graph.internal_edges(t.articles, "noted_text"), t.articles)
+    return graph.edges_to_meta(edges, t.articles)
+
+
+@query(
+    "get_article",
+    with_("citr", "art") + "SELECT request_id, article_id, art.citation, title, text, art.citation IS NULL AS refused FROM citr LEFT JOIN art ON art.id = article_id",
+)
+def get_article(t):
+    return tools.get_article(t.citation_requests, t.articles)
+
+
+_TEXT = """SELECT request_id, 'verse' AS section, lpad('' || e.verse, 6, '0') AS ord, ref, e.citation, coalesce(l.text, '') AS title, e.text FROM refn r JOIN eng e
+  ON ok AND r.slug = e.slug AND r.chapter = e.chapter AND (v1 IS NULL OR e.verse BETWEEN v1 AND v2) LEFT JOIN lat l USING (verse_key)"""
+
+
+@query(
+    "lookup_verse",
+    with_("refn", "eng", "lat", "idx", "fidx")
+    + _TEXT
+    + """ UNION ALL SELECT request_id, 'citer', id, r.ref, citation, title, NULL FROM refn r JOIN idx ON ok AND idx.key = verse_keys[1]
+    UNION ALL SELECT request_id, 'commentary', '', ref, NULL, NULL, NULL FROM refn WHERE ok AND verse_keys[1] IN (SELECT key FROM fidx)""",
+)
+def lookup_verse(t):
+    index = graph.inverted_index(t.articles).select("key", "id", "citation", "title")
+    fathers = graph.fathers_index(t.pericopes).select("key")
+    return tools.lookup_verse(t.references, t.english, t.latin, index, fathers)
+
+
+@query(
+    "verse_fathers",
+    with_("refn", "fidx", "per", "frag")
+    + """, k AS (SELECT request_id, ref, unnest(verse_keys) AS key, lpad('' || (generate_subscripts(verse_keys, 1) - 1), 9, '0') AS o FROM refn WHERE ok AND v1 IS NOT NULL
+      UNION ALL SELECT request_id, ref, f.key, f.key FROM refn JOIN (SELECT DISTINCT key FROM fidx) f ON ok AND v1 IS NULL AND starts_with(f.key, chapter_key || '/')),
+    p AS (SELECT request_id, ref, id, min(o) AS o FROM k JOIN fidx USING (key) GROUP BY 1, 2, 3)
+    SELECT request_id, 'fragment' AS section, o || '|' || p.id || '|' || lpad('' || i, 6, '0') AS ord, ref, per.citation, father AS title, frag.text
+    FROM p JOIN per ON per.id = p.id JOIN frag USING (doc_id)""",
+)
+def verse_fathers(t):
+    return tools.verse_fathers(t.references, graph.fathers_index(t.pericopes).select("key", "id"), t.pericopes)
+
+
+@query(
+    "article_scripture",
+    with_("citr", "scr") + "SELECT DISTINCT request_id, article_id, ref FROM citr JOIN scr ON scr.id = article_id WHERE ok",
+)
+def article_scripture(t):
+    return tools.article_scripture(t.citation_requests, t.articles.select("id", "citation"), graph.node_refs(t.articles))
+
+
+@query(
+    "cross_references",
+    with_("citr", "res", "art")
+    + """SELECT request_id, article_id, 'cites' AS direction, dst AS other_id, art.citation AS other_citation FROM citr JOIN res ON src = article_id JOIN art ON art.id = dst
+    UNION ALL SELECT request_id, article_id, 'cited_by', src, art.citation FROM citr JOIN res ON dst = article_id JOIN art ON art.id = src""",
+)
+def cross_references(t):
+    return tools.cross_references(t.citation_requests, t.articles.select("id", "citation"), _resolved_meta(t))
+
+
+@query(
+    "todays_reading",
+    with_("read", "alias", "eng", "fidx")
+    + r""", a AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS asked FROM lineitem),
+    m AS (SELECT asked, coalesce((SELECT min(date) FROM read WHERE date >= asked), (SELECT max(date) FROM read)) AS held FROM a),
+    p AS (SELECT date AS held, gospel, slug, CAST(regexp_extract(gospel, ' ([0-9]+):', 1) AS INT) AS ch, unnest(string_split(regexp_extract(gospel, ':(.*)$', 1), ',')) AS item,
+            generate_subscripts(string_split(regexp_extract(gospel, ':(.*)$', 1), ','), 1) - 1 AS k FROM read JOIN alias ON alias = lower(split_part(gospel, ' ', 1))),
+    g AS (SELECT *, regexp_extract(item, '^([0-9]+)(?:-(?:([0-9]+):)?([0-9]+))?$', ['a', 'c', 'z']) AS x FROM p),
+    s AS (SELECT held, gospel, slug, k, ch AS c1, CAST(x.a AS INT) AS v1, coalesce(TRY_CAST(x.c AS INT), ch) AS c2, coalesce(TRY_CAST(x.z AS INT), CAST(x.a AS INT)) AS v2 FROM g),
+    v AS (SELECT held, gospel, verse_key, text, lpad('' || k, 4, '0') || '|' || lpad('' || e.chapter, 4, '0') || '|' || lpad('' || e.verse, 6, '0') AS ord FROM s JOIN eng e ON e.slug = s.slug AND e.chapter BETWEEN c1 AND c2
+          AND (e.chapter > c1 OR e.verse >= v1) AND (e.chapter < c2 OR e.verse <= v2)),
+    w AS (SELECT asked, held, gospel, 'verse' AS section, ord, verse_key AS key, text FROM m JOIN v USING (held)
+      UNION ALL SELECT asked, held, gospel, 'commentary', min(ord), id, father_summary FROM m JOIN v USING (held) JOIN fidx ON fidx.key = verse_key GROUP BY asked, held, gospel, id, father_summary)
+    SELECT CAST(asked AS VARCHAR) AS asked, CAST(held AS VARCHAR) AS held, gospel, section, ord, key, text FROM w""",
+)
+def todays_reading(t):
+    asked = t.lineitem.select(F.to_date("l_shipdate").alias("date"))
+    fathers = graph.fathers_index(t.pericopes).select("key", "id", "father_summary")
+    found = tools.todays_reading(asked, t.readings, t.english, fathers)
+    return found.withColumn("asked", F.col("asked").cast("string")).withColumn("held", F.col("held").cast("string"))

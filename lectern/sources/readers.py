@@ -93,9 +93,9 @@ def scan_f16_file(spark: SparkSession, path: str, ids: DataFrame, dims: int) ->
     return packed.join(ids, "pos").select("id", unpack_f16("packed").alias("vector"))
 
 
-def scan_lectionary(spark: SparkSession, path) -> DataFrame:
-    """Date-to-reading JSON object as ``(date, gospel, day)``."""
-    raw = spark.read.text(path, wholetext=True)
+def scan_lectionary(spark: SparkSession, path, whole: bool = False) -> DataFrame:
+    """Date-to-reading JSON as ``(date, gospel, day)``: an object per line or per file."""
+    raw = spark.read.text(path, wholetext=whole)
     entries = raw.select(F.explode(F.from_json("value", "map<string,struct<gospel:string,day:string>>")).alias("d", "e"))
     return entries.select(F.to_date("d").alias("date"), "e.gospel", "e.day")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.vectors import l2_normalize, pack_f16
+from ..functions.vectors import pack_f16
 from ..operators.graph import adjacency_chunks
 
 
@@ -50,8 +50,7 @@ def sink_manifest(counts: DataFrame, path: str, **fixed: str) -> None:
 
 def sink_vectors(rows: DataFrame, path: str, vector: str = "vector") -> None:
     """Unit vectors in half precision next to their ids."""
-    unit = rows.select("id", l2_normalize(F.col(vector)).alias("vector"))
-    unit.select("id", pack_f16("vector").alias("vector")).write.parquet(path)
+    rows.select("id", pack_f16(vector).alias("vector")).write.parquet(path)
 
 
 def export_bundle(subsets: dict[str, DataFrame], path: str) -> DataFrame:
