@@ -17,6 +17,7 @@ from ..session import settle
 
 SALTS = 16
 SENTINEL = ""
+FIXED_POINT = 1e12
 
 
 def bm25_term(f, dl, df, n, avgdl, k1: float = canon.BM25_K1, b: float = canon.BM25_B) -> Column:
@@ -24,6 +25,15 @@ def bm25_term(f, dl, df, n, avgdl, k1: float = canon.BM25_K1, b: float = canon.B
     return idf * (f * (k1 + 1)) / (f + k1 * (1 - b + b * dl / avgdl))
 
 
+def exact_sum(part: Column) -> Column:
+    """Sum in fixed point, so the order rows arrive in cannot change a score.
+
+    Copies of a text get equal scores and their tie is settled by id, also when a lost
+    task is run again.
+    """
+    return F.sum(F.round(part * FIXED_POINT).cast("long")) / FIXED_POINT
+
+
 # --- one query -------------------------------------------------------------------
 
 
@@ -142,7 +152,7 @@ def lexical_scores(hits: DataFrame, terms: DataFrame, df: DataFrame, stats: Data
     weights = terms.join(df, "term")
     pairs = salted(hits.filter(F.col("term") != SENTINEL), weights, "term", "id")
     part = bm25_term(F.col("f"), F.col("dl"), F.col("df"), n, avgdl)
-    return pairs.groupBy("query_id", "id").agg(F.sum(part).alias("score"))
+    return pairs.groupBy("query_id", "id").agg(exact_sum(part).alias("score"))
 
 
 def topk(scores: DataFrame, k: int, order: str = "score", tie: str = "id") -> DataFrame:

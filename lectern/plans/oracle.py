@@ -245,7 +245,7 @@ CTES: dict[str, tuple[str, tuple[str, ...]]] = {
         ("que", "qt", "df"),
     ),
     "score": (
-        """SELECT query_id, id, sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * (f * 2.5) / (f + 1.5 * (0.25 + 0.75 * dl / avgdl))) AS score
+        """SELECT query_id, id, CAST(sum(CAST(round(ln(1 + (n - df + 0.5) / (df + 0.5)) * (f * 2.5) / (f + 1.5 * (0.25 + 0.75 * dl / avgdl)) * 1e12) AS BIGINT)) AS DOUBLE) / 1e12 AS score
            FROM qt JOIN cov USING (query_id) JOIN tf USING (term) JOIN df USING (term) JOIN dl USING (id), st
            WHERE coverage >= 0.8 GROUP BY 1, 2""",
         ("qt", "cov", "tf", "df", "dl", "st"),

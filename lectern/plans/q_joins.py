@@ -12,10 +12,13 @@ from . import corpus, oracle, tools
 from .oracle import with_
 from .registry import query
 
-LICENSE = F.when(F.col("source") == "src3", None).otherwise(F.lit("cc-by"))
 LICENSE_SQL = "CASE WHEN source = 'src3' THEN NULL ELSE 'cc-by' END"
 
 
+def license_of():
+    return F.when(F.col("source") == "src3", None).otherwise(F.lit("cc-by"))
+
+
 def _cites(t):
     return graph.scripture_citations(t.articles)
 
@@ -28,7 +31,7 @@ def _cites(t):
     with_("art") + f"SELECT id, citation, slug AS part, coalesce(title, '') AS title, text, 'summa-theologiae' AS work, coalesce({LICENSE_SQL}, 'public-domain') AS license FROM art",
 )
 def project_article(t):
-    nodes = t.articles.withColumn("work", F.lit(None).cast("string")).withColumn("source", F.struct(LICENSE.alias("license")))
+    nodes = t.articles.withColumn("work", F.lit(None).cast("string")).withColumn("source", F.struct(license_of().alias("license")))
     return project.project_article(nodes)
 
 
@@ -52,7 +55,7 @@ def project_verse(t):
 def project_catechism(t):
     path = F.when(F.col("lang") == "en", F.array(F.lit("Work"), F.concat(F.lit("Part "), "lang"))).otherwise(F.array(F.lit("Work")))
     nodes = t.articles.withColumn("path", path).withColumn("work", F.lit(None).cast("string"))
-    return project.project_catechism(nodes.withColumn("source", F.struct(LICENSE.alias("license"))))
+    return project.project_catechism(nodes.withColumn("source", F.struct(license_of().alias("license"))))
 
 
 @query(

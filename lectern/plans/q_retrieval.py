@@ -52,9 +52,9 @@ def bm25_term(t):
     tf = index.term_frequency(_analyzed(t))
     stats = index.corpus_stats(_analyzed(t))
     n, avgdl = stats.select("n").scalar(), stats.select("avgdl").scalar()
-    weighted = retrieve.salted(tf, index.doc_frequency(tf), "term", "id")
+    weighted = tf.join(index.doc_frequency(tf), "term")
     part = retrieve.bm25_term(F.col("f"), F.col("dl"), F.col("df"), n, avgdl)
-    return weighted.groupBy("id").agg(F.round(F.sum(part), 6).alias("weight"))
+    return weighted.groupBy("id").agg(F.round(retrieve.exact_sum(part), 6).alias("weight"))
 
 
 @query("lexical_score_join", with_("score") + "SELECT query_id, id, round(score, 6) AS score FROM score")

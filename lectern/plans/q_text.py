@@ -135,7 +135,7 @@ XREF_BOOKS = ["john", "isaias", "1-kings", "osee", "apocalypse", "nobook"]
 
 
 @query(
-    "collect_xrefs",
+    "extract_xrefs",
     with_("alias")
     + f""", l AS (SELECT page_id, unnest(regexp_extract_all(html, '{_LINK}', 1)) AS x, generate_subscripts(regexp_extract_all(html, '{_LINK}', 1), 1) - 1 AS j FROM pages),
     r AS (SELECT page_id, j, {oracle.pick(XREF_BOOKS, 'page_id + j')} AS bk, length(x) AS L FROM l),

@@ -13,7 +13,10 @@ from ..functions.refs import citation_to_id, first_key, gospel_spans, normalize_
 from ..operators.align import date_asof_forward, gospel_verses, lookup_verses
 
 ANSWER = ["request_id", "section", "ord", "ref", "citation", "title", "text"]
-NONE = F.lit(None).cast("string")
+
+
+def none() -> Column:
+    return F.lit(None).cast("string")
 
 
 def _rows(df: DataFrame, section: str, ord: Column, ref: Column, citation, title, text) -> DataFrame:
@@ -52,9 +55,9 @@ def lookup_verse(requests: DataFrame, verses: DataFrame, latin: DataFrame, index
     number = F.lpad(F.col("verse").cast("string"), 6, "0")
     shown = _rows(both, "verse", number, F.col("norm.ref"), "citation", F.coalesce("latin", F.lit("")), "text")
     keyed = asked.withColumn("key", first_key(F.col("norm")))
-    citers = _rows(keyed.join(index, "key"), "citer", F.col("id"), F.col("norm.ref"), "citation", "title", NONE)
+    citers = _rows(keyed.join(index, "key"), "citer", F.col("id"), F.col("norm.ref"), "citation", "title", none())
     noted = keyed.join(fathers.select("key").distinct(), "key", "left_semi")
-    hints = _rows(noted, "commentary", F.lit(""), F.col("norm.ref"), NONE, NONE, NONE)
+    hints = _rows(noted, "commentary", F.lit(""), F.col("norm.ref"), none(), none(), none())
     return shown.unionByName(citers).unionByName(hints)
 
 
