@@ -49,3 +49,27 @@ def run_starts(ordered: Column, key: Callable[[Column], Column]) -> Column:
         F.sequence(F.lit(1), F.size(ordered)),
         lambda i: (i == 1) | (key(F.element_at(ordered, i)) != key(F.element_at(ordered, F.greatest(i - 1, F.lit(1))))),
     )
+
+
+def each(array: Column | str) -> Column:
+    """One row per element, like ``explode``.
+
+    Exploding a bare column lets the optimizer add a ``size(column) > 0`` filter and
+    push it below the projection that computes the column, which then runs twice (and
+    ahead of any repartitioning). An expression is exempt from that.
+    """
+    return F.explode(F.concat(array))
+
+
+def each_at(array: Column | str) -> Column:
+    """One row per element with its position, like ``posexplode``."""
+    return F.posexplode(F.concat(array))
+
+
+def kept(value: Column, test: Callable[[Column], Column]) -> Column:
+    """Generator: the row's ``value`` when it passes ``test``, else no row.
+
+    A filter on a computed column is pushed below the projection and computes it again;
+    a generator computes it once.
+    """
+    return F.explode(F.filter(F.array(value), test))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import canon
+from ..functions.columns import each, each_at
 from ..functions.refs import is_verse_key, normalize_ref
 
 
@@ -55,7 +56,7 @@ def citation_coverage(index: DataFrame, verses: DataFrame) -> DataFrame:
 
 def clamp_keys(pericopes: DataFrame, verses: DataFrame, keys: str = "label_keys") -> tuple[DataFrame, DataFrame]:
     """``(kept, dropped)``: join keys that exist, and the label keys that do not."""
-    exploded = pericopes.select("id", F.explode(keys).alias("verse_key"))
+    exploded = pericopes.select("id", each(keys).alias("verse_key"))
     held = verses.select("verse_key").distinct()
     return exploded.join(held, "verse_key", "left_semi"), exploded.join(held, "verse_key", "left_anti")
 
@@ -100,7 +101,7 @@ def gospel_verses(readings: DataFrame, verses: DataFrame) -> DataFrame:
 
     Spans meet verses on (slug, chapter); the verse bounds are checked on the match.
     """
-    spans = readings.select("*", F.posexplode("spans").alias("span_no", "s")).withColumn(
+    spans = readings.select("*", each_at("spans").alias("span_no", "s")).withColumn(
         "chapter", F.explode(F.when(F.col("s.ch2") >= F.col("s.ch1"), F.sequence("s.ch1", "s.ch2")))
     )
     inside = (

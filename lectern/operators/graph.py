@@ -9,15 +9,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import let, run_starts
+from ..functions.columns import each, kept, let, run_starts
 from ..functions.refs import normalize_ref, parse_internal_refs, union_keys
 
 
 def scripture_citations(nodes: DataFrame, keep: tuple[str, ...] = ("id",)) -> DataFrame:
-    """One row per scripture citation: ``keep``, position, raw text, normalized form."""
-    exploded = nodes.select(*keep, F.posexplode("citations_out").alias("pos", "c"))
-    only = exploded.filter(F.col("c.kind") == "scripture")
-    return only.select(*keep, "pos", F.col("c.raw").alias("raw"), normalize_ref(F.col("c.raw")).alias("norm"))
+    """One row per scripture citation: ``keep``, position, raw text, normalized form.
+
+    Citations are normalized inside the node's row and then unfolded, so a later filter
+    on the result does not parse them a second time.
+    """
+    read = F.transform(
+        "citations_out",
+        lambda c, i: F.struct(
+            i.alias("pos"), c["kind"].alias("kind"), c["raw"].alias("raw"),
+            F.when(c["kind"] == "scripture", normalize_ref(c["raw"])).alias("norm"),
+        ),
+    )
+    rows = nodes.select(*keep, F.explode(F.filter(read, lambda c: c["kind"] == "scripture")).alias("c"))
+    return rows.select(*keep, "c.pos", "c.raw", "c.norm")
 
 
 def parsed(citations: DataFrame) -> DataFrame:
@@ -60,8 +70,8 @@ def node_refs(nodes: DataFrame) -> DataFrame:
     refs = F.transform(
         F.filter("citations_out", lambda c: c["kind"] == "scripture"), lambda c: normalize_ref(c["raw"])["ref"]
     )
-    listed = nodes.select("id", F.sort_array(F.array_distinct(F.filter(refs, lambda r: r.isNotNull()))).alias("refs"))
-    return listed.filter(F.size("refs") > 0)
+    listed = F.sort_array(F.array_distinct(F.filter(refs, lambda r: r.isNotNull())))
+    return nodes.select("id", kept(listed, lambda r: F.size(r) > 0).alias("refs"))
 
 
 def book_counts(citations: DataFrame) -> DataFrame:
@@ -132,7 +142,7 @@ def fathers_index(pericopes: DataFrame) -> DataFrame:
     """``verse key -> pericope`` rows with the commentators in first-seen order."""
     fathers = F.array_join(F.array_distinct(F.transform("segments", lambda s: s["father"])), ", ")
     return pericopes.select(
-        F.explode("commented_verse_keys").alias("key"), "id", "citation", fathers.alias("father_summary"), "work"
+        each("commented_verse_keys").alias("key"), "id", "citation", fathers.alias("father_summary"), "work"
     )
 
 
@@ -140,22 +150,22 @@ def pericope_refs(pericopes: DataFrame) -> DataFrame:
     """Distinct references per pericope; what cannot be read keeps its raw text."""
     ref = lambda c: F.coalesce(normalize_ref(c["raw"])["ref"], c["raw"])
     refs = F.array_distinct(F.transform(F.filter("citations_out", lambda c: c["kind"] == "scripture"), ref))
-    return pericopes.select("id", refs.alias("refs")).filter(F.size("refs") > 0)
+    return pericopes.select("id", kept(refs, lambda r: F.size(r) > 0).alias("refs"))
 
 
 def teaching_refs(nodes: DataFrame) -> DataFrame:
     """Distinct references per node; what cannot be read is left out."""
     ref = lambda c: normalize_ref(c["raw"])["ref"]
     refs = F.transform(F.filter("citations_out", lambda c: c["kind"] == "scripture"), ref)
-    kept = nodes.select("id", F.array_distinct(F.filter(refs, lambda r: r.isNotNull())).alias("refs"))
-    return kept.filter(F.size("refs") > 0)
+    listed = F.array_distinct(F.filter(refs, lambda r: r.isNotNull()))
+    return nodes.select("id", kept(listed, lambda r: F.size(r) > 0).alias("refs"))
 
 
 def gloss_weight(pericopes: DataFrame) -> DataFrame:
     """Per verse: named commentators, summed over the pericopes on it."""
     named = F.filter(F.transform("segments", lambda s: F.coalesce(s["father"], F.lit(""))), lambda f: f != "")
     weighted = pericopes.select(
-        F.explode("commented_verse_keys").alias("key"), F.size(F.array_distinct(named)).alias("w")
+        each("commented_verse_keys").alias("key"), F.size(F.array_distinct(named)).alias("w")
     )
     return weighted.groupBy("key").agg(F.sum("w").cast("long").alias("weight"))
 
@@ -172,7 +182,7 @@ def fragment_totals(pericopes: DataFrame) -> DataFrame:
     )
     sums = base.groupBy("slug").agg(F.count("*").alias("pericopes"), F.sum("fragments").cast("long").alias("fragments"))
     distinct = lambda col, name: (
-        base.select("slug", F.explode(col).alias("v")).distinct().groupBy("slug").agg(F.count("v").alias(name))
+        base.select("slug", each(col).alias("v")).distinct().groupBy("slug").agg(F.count("v").alias(name))
     )
     return (
         sums.join(distinct("fathers", "fathers"), "slug", "left")

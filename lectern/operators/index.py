@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import each
 from ..functions.text import term_counts, tokenize
 
 
@@ -17,7 +18,7 @@ def analyze(docs: DataFrame, text: Column | str = "text", id_col: str = "id") ->
 
 def term_frequency(analyzed: DataFrame) -> DataFrame:
     """``(id, dl, term, f)``, a narrow explode."""
-    return analyzed.select("id", "dl", F.explode("terms").alias("t")).select("id", "dl", "t.term", "t.f")
+    return analyzed.select("id", "dl", each("terms").alias("t")).select("id", "dl", "t.term", "t.f")
 
 
 def doc_frequency(tf: DataFrame) -> DataFrame:

@@ -170,20 +170,27 @@ def page_to_nodes(pages: DataFrame, part: str = "part", html: str = "html") -> D
         F.split(html, r'(?i)(?=<h2\s+id="article[0-9])', -1), lambda s: s.rlike(r'(?i)\A<h2\s+id="article[0-9]+"')
     )
     art = r'(?is)\A<h2\s+id="article([0-9]+)"[^>]*>(.*?)</h2>(.*)\z'
+
+    def article(piece: Column) -> Column:
+        body = F.regexp_extract(piece, art, 3)
+        return F.struct(
+            F.regexp_extract(piece, art, 1).cast("int").alias("article"),
+            html_to_text(F.regexp_extract(piece, art, 2)).alias("_title"),
+            paragraph_segments(body).alias("segments"),
+            link_refs(body).alias("citations_out"),
+        )
+
+    # Parsed inside the row and unfolded, so the filters below do not parse again.
+    found = F.filter(F.transform(pieces, article), lambda a: F.size(a["segments"]) > 0)
+    rest = [c for c in pages.columns if c != html]
     rows = (
-        pages.withColumn("_head", head)
+        pages.select(*rest, head.alias("_head"), F.explode(found).alias("a"))
         .filter(F.col("_head").rlike(QUESTION_HEAD))
         .select(
-            *[c for c in pages.columns if c != html],
+            *rest, "a.*",
             F.regexp_extract("_head", QUESTION_HEAD, 1).cast("int").alias("question"),
             F.trim(F.regexp_extract("_head", QUESTION_HEAD, 2)).alias("question_title"),
-            F.explode(pieces).alias("piece"),
         )
-        .withColumn("article", F.regexp_extract("piece", art, 1).cast("int"))
-        .withColumn("_title", html_to_text(F.regexp_extract("piece", art, 2)))
-        .withColumn("body", F.regexp_extract("piece", art, 3))
-        .withColumn("segments", paragraph_segments(F.col("body")))
-        .filter(F.size("segments") > 0)
     )
     title = F.when(F.col("_title").rlike(ARTICLE_HEAD), F.trim(F.regexp_extract("_title", ARTICLE_HEAD, 2))).otherwise(
         F.col("_title")
@@ -202,7 +209,7 @@ def page_to_nodes(pages: DataFrame, part: str = "part", html: str = "html") -> D
         F.lit("article").alias("type"),
         join_segments(F.col("segments")).alias("text"),
         "segments",
-        link_refs(F.col("body")).alias("citations_out"),
+        "citations_out",
         *[c for c in pages.columns if c not in (html, part)],
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import canon
+from ..functions.columns import each
 from ..functions.refs import father_verse_ref, is_verse_key, key_to_ref, part_of
 
 LICENSE = "public-domain"
@@ -71,7 +72,7 @@ def internal_edge_rows(edges: DataFrame) -> DataFrame:
 def father_edges(pericopes: DataFrame) -> DataFrame:
     keyed = pericopes.select(
         F.col("id").alias("pericope_id"), F.col("citation").alias("pericope_citation"),
-        F.explode("commented_verse_keys").alias("verse_key"), father_list().alias("fathers"),
+        each("commented_verse_keys").alias("verse_key"), father_list().alias("fathers"),
     )
     return keyed.select(
         "pericope_id", "pericope_citation", "verse_key", father_verse_ref(F.col("verse_key")).alias("verse_ref"), "fathers"

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import canon
+from ..functions.columns import each
 from ..functions.refs import normalize_ref
 from ..functions.text import SPACE, clean_latin, collapse_ws, has_verse_marker, join_segments
 
@@ -83,8 +84,8 @@ def contiguity(rows: DataFrame, group: list[str], number: str, start: Column | N
     many tasks and repeats need no distinct set in memory.
     """
     start = F.lit(1) if start is None else start
-    each = rows.groupBy(*group, number).agg(F.count("*").alias("_n"))
-    spans = each.groupBy(*group).agg(
+    counted = rows.groupBy(*group, number).agg(F.count("*").alias("_n"))
+    spans = counted.groupBy(*group).agg(
         F.min(number).alias("first"),
         F.max(number).alias("last"),
         F.sum("_n").cast("long").alias("rows"),
@@ -141,8 +142,8 @@ def title_suffix(nodes: DataFrame) -> DataFrame:
 
 def citations_parse(nodes: DataFrame) -> DataFrame:
     """Scripture citations that the normalizer cannot read."""
-    each = nodes.select("id", F.explode("citations_out").alias("c")).filter(F.col("c.kind") == "scripture")
-    return each.filter(normalize_ref(F.col("c.raw")).isNull()).select("id", F.col("c.raw").alias("raw"))
+    cited = nodes.select("id", each("citations_out").alias("c")).filter(F.col("c.kind") == "scripture")
+    return cited.filter(normalize_ref(F.col("c.raw")).isNull()).select("id", F.col("c.raw").alias("raw"))
 
 
 def marker_leak_check(verses: DataFrame, text: str = "text") -> DataFrame:

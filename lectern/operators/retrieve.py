@@ -16,13 +16,21 @@ from ..functions.vectors import dot_with
 from ..session import settle
 
 SALTS = 16
+BROADCAST_ROWS = 500_000
 SENTINEL = ""
 FIXED_POINT = 1e12
 
 
-def bm25_term(f, dl, df, n, avgdl, k1: float = canon.BM25_K1, b: float = canon.BM25_B) -> Column:
-    idf = F.log(1 + (n - df + 0.5) / (df + 0.5))
-    return idf * (f * (k1 + 1)) / (f + k1 * (1 - b + b * dl / avgdl))
+def term_idf(df, n) -> Column:
+    return F.log(1 + (n - df + 0.5) / (df + 0.5))
+
+
+def term_saturation(f, dl, avgdl, k1: float = canon.BM25_K1, b: float = canon.BM25_B) -> Column:
+    return (f * (k1 + 1)) / (f + k1 * (1 - b + b * dl / avgdl))
+
+
+def bm25_term(f, dl, df, n, avgdl) -> Column:
+    return term_idf(df, n) * term_saturation(f, dl, avgdl)
 
 
 def exact_sum(part: Column) -> Column:
@@ -87,13 +95,13 @@ def search(
         for i in range(len(terms))
     ]
     best = (
-        counted.filter(sum((F.col(f"f{i}") for i in range(len(terms))), F.lit(0)) > 0)
-        .filter(known / F.lit(len(terms)) >= min_coverage)
+        counted.filter(known / F.lit(len(terms)) >= min_coverage)
         .select("id", *keep, sum(parts, F.lit(0.0)).alias("score"))
         .orderBy(F.desc("score"), "id")
         .limit(k)
     )
-    # At most k rows reach this window.
+    # Scores are tested only after the limit: a filter on a computed column would be
+    # pushed down to the scan and score every text twice. At most k rows remain here.
     top = F.max("score").over(Window.partitionBy(F.lit(1)))
     return best.withColumn("top", top).filter((F.col("top") >= min_score) & (F.col("score") > 0)).drop("top")
 
@@ -135,24 +143,33 @@ def query_coverage(queries: DataFrame, terms: DataFrame, df: DataFrame) -> DataF
     return queries.select("query_id").join(shares, "query_id", "left").fillna(0.0, ["coverage"])
 
 
-def salted(left: DataFrame, right: DataFrame, key: str, spread_by: str, how: str = "inner") -> DataFrame:
-    """Join where ``left`` may hold one hot key: its rows go to several tasks.
+def join_postings(postings: DataFrame, weights: DataFrame) -> DataFrame:
+    """Postings with the queries that ask for their term.
 
-    ``right`` is the small side; Spark broadcasts it while it fits the threshold and
-    shuffles both sides on (key, salt) beyond that.
+    The weights are counted first. Up to ``BROADCAST_ROWS`` they go to every task and
+    the postings stay where they are; beyond that both sides are shuffled on (term,
+    salt), so the postings of a very common term are spread over ``SALTS`` tasks.
     """
-    l = left.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int"))
-    r = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return l.join(r, [key, "_salt"], how).drop("_salt")
+    if weights.count() <= BROADCAST_ROWS:
+        return postings.join(F.broadcast(weights), "term")
+    left = postings.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    right = weights.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return left.join(right, ["term", "_salt"]).drop("_salt")
 
 
 def lexical_scores(hits: DataFrame, terms: DataFrame, df: DataFrame, stats: DataFrame) -> DataFrame:
-    """``(query_id, id, score)`` for every query and document that share a term."""
+    """``(query_id, id, score)`` for every query and document that share a term.
+
+    The logarithm is taken once per query term and the saturation once per posting; a
+    matched pair only multiplies them.
+    """
     n, avgdl = stats.select("n").scalar(), stats.select("avgdl").scalar()
-    weights = terms.join(df, "term")
-    pairs = salted(hits.filter(F.col("term") != SENTINEL), weights, "term", "id")
-    part = bm25_term(F.col("f"), F.col("dl"), F.col("df"), n, avgdl)
-    return pairs.groupBy("query_id", "id").agg(exact_sum(part).alias("score"))
+    weights = settle(terms.join(df, "term").select("query_id", "term", term_idf(F.col("df"), n).alias("idf")), "weights")
+    postings = hits.filter(F.col("term") != SENTINEL).select(
+        "id", "term", term_saturation(F.col("f"), F.col("dl"), avgdl).alias("w")
+    )
+    pairs = join_postings(postings, weights)
+    return pairs.groupBy("query_id", "id").agg(exact_sum(F.col("idf") * F.col("w")).alias("score"))
 
 
 def topk(scores: DataFrame, k: int, order: str = "score", tie: str = "id") -> DataFrame:
@@ -177,10 +194,10 @@ def search_batch(
     """
     from .index import analyze
 
-    terms = query_terms(queries)
+    terms = settle(query_terms(queries), "terms")
     hits = query_hits(analyze(docs, text, id_col), terms)
-    df = hit_df(hits)
-    coverage = query_coverage(queries, terms, df)
+    df = settle(hit_df(hits), "df")
+    coverage = settle(query_coverage(queries, terms, df), "coverage")
     open_terms = terms.join(coverage.filter(F.col("coverage") >= min_coverage), "query_id", "left_semi")
     best = topk(lexical_scores(hits, open_terms, df, hit_stats(hits)), k)
     best = settle(best.select("query_id", "rank", "id", "score"), "ranked")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import canon
-from ..functions.columns import let, pick
+from ..functions.columns import each_at, let, pick
 from ..functions.refs import book_name
 from ..functions.text import classify_segment, clean_latin, collapse_ws, norm_gospel, normalize_father
 from ..session import load, spread
@@ -26,7 +26,7 @@ SPEAKERS = [
     "JEROME", "PSEUDO-CHRYSOSTOM", "CYRIL OF ALEXANDRIA", "Aug.", "GREGORY THE GREAT", "Gloss", "", "Theophyl", "RABANUS",
 ]
 OPENINGS = ["Objection %d. ", "On the contrary, ", "I answer that, ", "Reply to Objection %d. ", ""]
-TEXT_TABLES = {"documents", "pages", "conversations", "benchmark"}
+TEXT_TABLES = {"documents", "pages"}
 
 
 def text_of(number: Column) -> Column:
@@ -60,7 +60,7 @@ class Tables:
     @cached_property
     def lines(self) -> DataFrame:
         """One row per document line: ``doc_id, lang, source, i, line, len``."""
-        rows = self.doc_lines.select("doc_id", "lang", "source", F.posexplode("lines").alias("i", "line"))
+        rows = self.doc_lines.select("doc_id", "lang", "source", each_at("lines").alias("i", "line"))
         return rows.withColumn("len", F.length("line"))
 
     @cached_property

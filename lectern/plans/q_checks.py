@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import canon
-from ..functions.columns import pick
+from ..functions.columns import each, pick
 from ..functions.text import clean_latin
 from ..operators import quality
 from . import corpus, oracle
@@ -174,7 +174,7 @@ _WANT = ["john", "luke"]
 )
 def page_verify(t):
     hrefs = F.regexp_extract_all("html", F.lit('<a href="/([^"]*)">'), F.lit(1))
-    rows = t.pages.select("page_id", F.length("url").cast("long").alias("u"), F.explode(hrefs).alias("h"))
+    rows = t.pages.select("page_id", F.length("url").cast("long").alias("u"), each(hrefs).alias("h"))
     anchors = rows.select(
         F.col("page_id").alias("page"), F.when(F.length("h") > 9, "luke").otherwise("john").alias("slug"),
         (F.col("u") % 3).alias("chapter"), pick(_WANT, F.col("page_id")).alias("want_slug"), (F.col("u") % 3).alias("want_chapter"),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import canon
 from ..functions import refs, text
-from ..functions.columns import let
+from ..functions.columns import each_at, let
 from ..operators import align, graph, project
 from . import corpus, oracle, tools
 from .oracle import with_
@@ -192,7 +192,7 @@ def clamp_keys(t):
 def verse_to_chain(t):
     index = graph.fathers_index(t.pericopes).select("key", "id")
     chains = tools.verse_pericopes(t.references, index).select("request_id", "id")
-    held = t.pericopes.select("id", F.posexplode("segments").alias("pos", "s"))
+    held = t.pericopes.select("id", each_at("segments").alias("pos", "s"))
     return chains.join(held, "id").select("request_id", "id", "pos", "s.father", "s.text")
 
 

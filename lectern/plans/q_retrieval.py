@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import index, retrieve
+from ..session import settle
 from .oracle import with_
 from .registry import query
 
@@ -17,9 +18,9 @@ def _analyzed(t):
 
 
 def _hits(t):
-    terms = retrieve.query_terms(t.questions)
+    terms = settle(retrieve.query_terms(t.questions), "terms")
     hits = retrieve.query_hits(_analyzed(t), terms)
-    return terms, hits, retrieve.hit_df(hits)
+    return terms, hits, settle(retrieve.hit_df(hits), "df")
 
 
 def _open_terms(t, terms, df):

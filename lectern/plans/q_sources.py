@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import canon, schemas
+from ..functions.columns import each_at
 from ..functions.text import lines
 from ..operators import align, graph, parse, project
 from ..session import new_path
@@ -112,12 +113,12 @@ def _landed_vectors(t):
 @query("scan_f16_vectors", f"SELECT vec_id AS id, CAST(d - 1 AS INT) AS dim, round(x, 6) AS x FROM ({_F16_ROWS})")
 def scan_f16_vectors(t):
     rows = readers.scan_f16_vectors(t.spark, _landed_vectors(t))
-    return rows.select("id", F.posexplode("vector").alias("dim", "x")).withColumn("x", F.round(F.col("x").cast("double"), 6))
+    return rows.select("id", each_at("vector").alias("dim", "x")).withColumn("x", F.round(F.col("x").cast("double"), 6))
 
 
 @query("sink_vectors", f"SELECT vec_id AS id, count(*) AS dims, round(sum(x * x), 6) AS square FROM ({_F16_ROWS}) GROUP BY 1")
 def sink_vectors(t):
-    rows = readers.scan_f16_vectors(t.spark, _landed_vectors(t)).select("id", F.posexplode("vector").alias("dim", "x"))
+    rows = readers.scan_f16_vectors(t.spark, _landed_vectors(t)).select("id", each_at("vector").alias("dim", "x"))
     x = F.col("x").cast("double")
     return rows.groupBy("id").agg(F.count("*").alias("dims"), F.round(F.sum(x * x), 6).alias("square"))
 

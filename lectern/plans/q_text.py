@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import canon
 from ..functions import refs, text, vectors
-from ..functions.columns import pick
+from ..functions.columns import each, each_at, pick
 from ..operators import parse
 from ..operators.graph import scripture_citations
 from . import corpus, oracle
@@ -30,11 +30,12 @@ def collapse_ws(t):
 @query(
     "first_seen_distinct",
     f"""WITH w AS (SELECT doc_id, unnest({tokens('text')}) AS t, generate_subscripts({tokens('text')}, 1) AS i FROM documents)
-    SELECT doc_id, string_agg(t, ' ' ORDER BY i) AS terms FROM (SELECT doc_id, t, min(i) AS i FROM w GROUP BY 1, 2) GROUP BY 1""",
+    SELECT doc_id, coalesce(terms, '') AS terms FROM documents LEFT JOIN (
+      SELECT doc_id, string_agg(t, ' ' ORDER BY i) AS terms FROM (SELECT doc_id, t, min(i) AS i FROM w GROUP BY 1, 2) GROUP BY 1) USING (doc_id)""",
 )
 def first_seen_distinct(t):
     terms = t.documents.select("doc_id", text.first_seen_distinct(text.tokenize(F.col("text"))).alias("t"))
-    return terms.filter(F.size("t") > 0).select("doc_id", F.array_join("t", " ").alias("terms"))
+    return terms.select("doc_id", F.array_join("t", " ").alias("terms"))
 
 
 _FLAT = collapse("text")
@@ -113,7 +114,7 @@ _ELEMENT_ROWS = f"""SELECT page_id, row_number() OVER (PARTITION BY page_id ORDE
 @query("extract_elements", f"SELECT page_id, CAST(pos AS INT) AS pos, tag, plain FROM ({_ELEMENT_ROWS})")
 def extract_elements(t):
     found = text.extract_elements(F.col("html"), ("h1", "p"))
-    return t.pages.select("page_id", F.posexplode(found).alias("pos", "e")).select(
+    return t.pages.select("page_id", each_at(found).alias("pos", "e")).select(
         "page_id", "pos", "e.tag", F.col("e.text").alias("plain")
     )
 
@@ -198,7 +199,7 @@ def clean_latin(t):
       TRY_CAST(NULLIF(regexp_extract(text, '(?i)^(?:Reply to )?Objection\s+([0-9]+)\.', 1), '') AS INT) AS n FROM seg""",
 )
 def classify_segment(t):
-    segs = t.articles.select("doc_id", F.posexplode("segments").alias("i", "s"))
+    segs = t.articles.select("doc_id", each_at("segments").alias("i", "s"))
     return segs.select("doc_id", "i", text.classify_segment(F.col("s.text")).alias("c")).select("doc_id", "i", "c.role", "c.n")
 
 
@@ -279,7 +280,7 @@ def alias_override(t):
 
 @query("strip_seqq", with_("cit") + "SELECT doc_id, pos, replace(raw, ', seqq.', '') AS bare FROM cit")
 def strip_seqq(t):
-    each = t.articles.select("doc_id", F.posexplode("citations_out").alias("pos", "c"))
+    each = t.articles.select("doc_id", each_at("citations_out").alias("pos", "c"))
     return each.select("doc_id", "pos", refs.strip_seqq(F.col("c.raw")).alias("bare"))
 
 
@@ -290,7 +291,7 @@ def strip_seqq(t):
 def expand_range(t):
     first, last = F.col("i") % 9 + 1, F.col("len") % 12
     keys = refs.expand_range(F.lit("john/1"), first, last)
-    rows = t.lines.select("doc_id", "i", F.explode(keys).alias("key"))
+    rows = t.lines.select("doc_id", "i", each(keys).alias("key"))
     return rows.select("doc_id", "i", F.split_part("key", F.lit("/"), F.lit(3)).cast("long").alias("v"))
 
 
@@ -325,7 +326,7 @@ def key_to_ref(t):
 
 @query("father_verse_ref", with_("per") + "SELECT id, key, upper(slug[1:1]) || slug[2:] || ' ' || split_part(key, '/', 2) || ':' || split_part(key, '/', 3) AS shown FROM (SELECT id, slug, unnest(keys) AS key FROM per)")
 def father_verse_ref(t):
-    return t.pericopes.select("id", F.explode("commented_verse_keys").alias("key")).withColumn(
+    return t.pericopes.select("id", each("commented_verse_keys").alias("key")).withColumn(
         "shown", refs.father_verse_ref(F.col("key"))
     )
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import each, each_at
 from ..functions.refs import citation_to_id, first_key, gospel_spans, normalize_ref, typed_citation_to_id
 from ..operators.align import date_asof_forward, gospel_verses, lookup_verses
 
@@ -82,7 +83,7 @@ def verse_pericopes(requests: DataFrame, fathers: DataFrame) -> DataFrame:
 
 def verse_fathers(requests: DataFrame, fathers: DataFrame, pericopes: DataFrame) -> DataFrame:
     """Commentary fragments per request, in chain order."""
-    held = pericopes.select("id", "citation", F.posexplode("segments").alias("pos", "s"))
+    held = pericopes.select("id", "citation", each_at("segments").alias("pos", "s"))
     chains = verse_pericopes(requests, fathers).join(held, "id")
     order = F.concat_ws("|", F.col("first"), F.col("id"), F.lpad(F.col("pos").cast("string"), 6, "0"))
     return _rows(chains, "fragment", order, F.col("ref"), "citation", F.col("s.father"), F.col("s.text"))
@@ -91,7 +92,7 @@ def verse_fathers(requests: DataFrame, fathers: DataFrame, pericopes: DataFrame)
 def article_scripture(requests: DataFrame, meta: DataFrame, refs: DataFrame) -> DataFrame:
     """References an article rests on, one row each."""
     asked = resolve_article(requests, meta).filter(F.col("article_id").isNotNull())
-    held = refs.select(F.col("id").alias("article_id"), F.explode("refs").alias("ref"))
+    held = refs.select(F.col("id").alias("article_id"), each("refs").alias("ref"))
     return asked.join(held, "article_id").select("request_id", "article_id", "ref")
 
 

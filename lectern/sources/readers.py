@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions.columns import each_at
 from ..functions.text import CP1252_FROM, CP1252_TO, decode_cp1252
 from ..functions.vectors import unpack_f16
 from ..operators.project import searchable
@@ -37,7 +38,7 @@ def scan_adjacency(spark: SparkSession, path, entry: str = schemas.ADJACENCY_ENT
             raise
         raw = spark.createDataFrame([], "value string")
     keyed = raw.select(F.explode(F.from_json("value", schema)).alias("key", "entries"))
-    return keyed.select("key", F.posexplode("entries").alias("pos", "e")).select("key", "pos", "e.*")
+    return keyed.select("key", each_at("entries").alias("pos", "e")).select("key", "pos", "e.*")
 
 
 def scan_html_pages(spark: SparkSession, path, glob: str = "*.htm*") -> DataFrame:
