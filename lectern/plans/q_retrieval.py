@@ -112,7 +112,7 @@ def _accepted(t):
     + """, g AS (SELECT query_id, query_id IN (SELECT query_id FROM acc) AS a, query_id NOT IN (SELECT query_id FROM top5) AS refused,
         query_id IN (SELECT query_id FROM top5 JOIN acc USING (query_id, id)) AS h FROM cov)
     SELECT count(*) FILTER (WHERE a) AS answerable, count(*) FILTER (WHERE a AND h) AS hits, count(*) FILTER (WHERE NOT a AND refused) AS refused,
-      count(*) FILTER (WHERE NOT a AND NOT refused) AS leaked, round(count(*) FILTER (WHERE a AND h) / count(*) FILTER (WHERE a), 4) AS hit_rate FROM g""",
+      count(*) FILTER (WHERE NOT a AND NOT refused) AS leaked, coalesce(round(count(*) FILTER (WHERE a AND h) / nullif(count(*) FILTER (WHERE a), 0), 4), 0.0) AS hit_rate FROM g""",
 )
 def eval_hit_at_k(t):
     ranked, gate = retrieve.search_batch(t.documents, t.questions, 5, "doc_id")
