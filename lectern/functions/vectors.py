@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,15 +42,21 @@ def dot_with(vector: Column, query: list[float]) -> Column:
     return score(vector)
 
 
+def _rows(values: pa.Array):
+    """Equal-length vectors of a batch as one matrix; ragged ones row by row."""
+    lengths = set(pa.compute.list_value_length(values).to_pylist())
+    if len(lengths) == 1:
+        flat = values.flatten().to_numpy(zero_copy_only=False)
+        return flat.astype(np.float64).reshape(len(values), -1)
+    return [np.asarray(v, dtype=np.float64) for v in values.to_pylist()]
+
+
 @F.arrow_udf(T.BinaryType())
 def pack_f16(vectors: pa.Array) -> pa.Array:
     """Vectors scaled to unit length, as little-endian half-precision bytes."""
-
-    def packed(values) -> bytes:
-        v = np.asarray(values, dtype=np.float64)
-        return (v / (np.sqrt(v @ v) or 1.0)).astype("<f2").tobytes()
-
-    return pa.array([None if v is None else packed(v) for v in vectors.to_pylist()], pa.binary())
+    held = np.asarray(vectors.is_valid())
+    packed = iter([(v / (np.sqrt(v @ v) or 1.0)).astype("<f2").tobytes() for v in _rows(vectors.drop_null())])
+    return pa.array([next(packed) if h else None for h in held], pa.binary())
 
 
 @F.arrow_udf(T.ArrayType(T.FloatType()))

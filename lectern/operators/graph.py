@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import each, kept, let, run_starts
 from ..functions.refs import normalize_ref, parse_internal_refs, union_keys
+from ..session import settle
 
 
 def scripture_citations(nodes: DataFrame, keep: tuple[str, ...] = ("id",)) -> DataFrame:
@@ -103,7 +104,8 @@ def internal_resolve(edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Edges whose target exists and is not the node itself.
 
     Targets are reduced to distinct ids before they meet the node table; the edges then
-    only need a semi join against that much smaller list.
+    only need a semi join against that much smaller list. Pass a settled edge table:
+    it is read twice.
     """
     others = edges.filter(F.col("src") != F.col("dst"))
     held = others.select("dst").distinct().join(nodes.select(F.col("id").alias("dst")), "dst", "left_semi")
@@ -195,8 +197,10 @@ def adjacency_chunks(edges: DataFrame, key: str, entry: list[str], size: int = 1
     """``(key, chunk, entries)``: sorted entry lists of bounded length.
 
     A key above ``size`` entries is divided by a hash of the entry id, so no list grows
-    with the corpus; joining a key's chunks gives the whole list back.
+    with the corpus; joining a key's chunks gives the whole list back. The edges are
+    written once first, because they are read for the degrees and for the lists.
     """
+    edges = settle(edges, "edges")
     degrees = edges.groupBy(key).agg(F.count("*").alias("_n"))
     hot = degrees.filter(F.col("_n") > size).select(key, F.ceil(F.col("_n") / size).cast("int").alias("_parts"))
     parts = F.coalesce("_parts", F.lit(1))

@@ -99,13 +99,31 @@ def contiguity(rows: DataFrame, group: list[str], number: str, start: Column | N
     return spans.filter(broken)
 
 
+GAP_BUCKET = 1024
+
+
 def gaps(rows: DataFrame, group: list[str], number: str) -> DataFrame:
-    """Missing numbers between a group's first and last."""
-    present = rows.select(*group, number).distinct()
-    spans = present.groupBy(*group).agg(F.min(number).alias("_a"), F.max(number).alias("_b"), F.count("*").alias("_n"))
-    holed = spans.filter(F.col("_b") - F.col("_a") + 1 > F.col("_n"))
-    wanted = holed.select(*group, F.explode(F.sequence("_a", "_b")).alias(number))
-    return wanted.join(present, [*group, number], "left_anti")
+    """Missing numbers between a group's first and last.
+
+    Numbers are compared per bucket of ``GAP_BUCKET``, so the longest list held is one
+    bucket, however many numbers a group has; wholly empty buckets are filled in apart.
+    """
+    bucket = F.floor(F.col(number) / GAP_BUCKET).cast("long")
+    held = rows.select(*group, F.col(number), bucket.alias("_b")).distinct()
+    buckets = held.groupBy(*group, "_b").agg(
+        F.collect_set(number).alias("_held"), F.min(number).alias("_lo"), F.max(number).alias("_hi")
+    )
+    spans = buckets.groupBy(*group).agg(
+        F.min("_lo").alias("_first"), F.max("_hi").alias("_last"),
+        F.min("_b").alias("_b0"), F.max("_b").alias("_b1"), F.count("*").alias("_n"),
+    )
+    kind = dict(rows.dtypes)[number]
+    start, end = F.col("_b") * GAP_BUCKET, F.col("_b") * GAP_BUCKET + (GAP_BUCKET - 1)
+    wanted = F.sequence(F.greatest(start, F.col("_first")).cast(kind), F.least(end, F.col("_last")).cast(kind))
+    inside = buckets.join(spans, group).select(*group, F.explode(F.array_except(wanted, F.col("_held"))).alias(number))
+    sparse = spans.filter(F.col("_b1") - F.col("_b0") + 1 > F.col("_n"))
+    empty = sparse.select(*group, F.explode(F.sequence("_b0", "_b1")).alias("_b")).join(buckets, [*group, "_b"], "left_anti")
+    return inside.unionByName(empty.select(*group, F.explode(F.sequence(start.cast(kind), end.cast(kind))).alias(number)))
 
 
 def late_start(slug: Column, chapter: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import canon
 from ..functions import refs
 from ..operators import align, graph, project
+from ..session import settle
 from . import oracle
 from .corpus import PRINTED
 from .oracle import with_
@@ -18,11 +19,12 @@ def _cites(t):
 
 
 def _noted(t):
-    return graph.internal_edges(t.articles, "noted_text")
+    """Written references, parsed once and kept: later steps read only this table."""
+    return settle(graph.internal_edges(t.articles, "noted_text"), "noted")
 
 
 def _resolved(t):
-    return graph.internal_resolve(_noted(t), t.articles)
+    return graph.internal_resolve(_noted(t), t.articles.select("id", "citation", "title"))
 
 
 @query("book_counts", with_("norm") + "SELECT book, count(*) AS n FROM norm WHERE ok GROUP BY 1")
@@ -59,7 +61,8 @@ def internal_resolve(t):
     + "SELECT total, resolved, round(resolved / total, 4) AS rate FROM (SELECT (SELECT count(*) FROM inl) AS total, (SELECT count(*) FROM res) AS resolved)",
 )
 def internal_resolve_rate(t):
-    return graph.resolve_rate(_noted(t), _resolved(t))
+    edges = _noted(t)
+    return graph.resolve_rate(edges, graph.internal_resolve(edges, t.articles.select("id")))
 
 
 @query("in_degree", with_("res") + "SELECT dst AS id, count(*) AS in_degree FROM res GROUP BY 1")
@@ -260,7 +263,7 @@ _TOP_ARTICLES = "SELECT 'article' AS kind, citation AS name, n FROM (SELECT dst,
     with_("norm", "vkey", "res", "art") + f"SELECT * FROM ({_TOP_BOOKS}) UNION ALL SELECT * FROM ({_TOP_VERSES}) UNION ALL SELECT * FROM ({_TOP_ARTICLES})",
 )
 def top(t):
-    cites = _cites(t)
+    cites = settle(_cites(t), "citations")
     row = lambda df, kind, name, n="n": df.select(F.lit(kind).alias("kind"), name.alias("name"), F.col(n).alias("n"))
     books = graph.most_common(graph.book_counts(cites), "book", 12)
     verses = graph.most_common(graph.verse_counts(cites), "key", 12)

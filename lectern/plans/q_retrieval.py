@@ -50,8 +50,8 @@ def corpus_stats(t):
     FROM tf JOIN df USING (term) JOIN dl USING (id), st GROUP BY 1""",
 )
 def bm25_term(t):
-    tf = index.term_frequency(_analyzed(t))
-    stats = index.corpus_stats(_analyzed(t))
+    analyzed = settle(_analyzed(t), "index")
+    tf, stats = index.term_frequency(analyzed), index.corpus_stats(analyzed)
     n, avgdl = stats.select("n").scalar(), stats.select("avgdl").scalar()
     weighted = tf.join(index.doc_frequency(tf), "term")
     part = retrieve.bm25_term(F.col("f"), F.col("dl"), F.col("df"), n, avgdl)

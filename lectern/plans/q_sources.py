@@ -8,7 +8,7 @@ from .. import canon, schemas
 from ..functions.columns import each_at
 from ..functions.text import lines
 from ..operators import align, graph, parse, project
-from ..session import new_path
+from ..session import new_path, settle
 from ..sources import readers, writers
 from . import corpus
 from .oracle import collapse, with_
@@ -138,9 +138,9 @@ def scan_lectionary(t):
 
 def _stats(t):
     """The graph's one-row statistics."""
-    cites = graph.parse_rate(graph.scripture_citations(t.articles))
-    edges = graph.internal_edges(t.articles, "noted_text")
-    rates = graph.resolve_rate(edges, graph.internal_resolve(edges, t.articles))
+    cites = settle(graph.parse_rate(graph.scripture_citations(t.articles)), "rates")
+    edges = settle(graph.internal_edges(t.articles, "noted_text"), "noted")
+    rates = settle(graph.resolve_rate(edges, graph.internal_resolve(edges, t.articles)), "rates")
     one = lambda df, col: df.select(col).scalar()
     return t.articles.agg(F.count("*").alias("articles")).select(
         "articles",
@@ -194,7 +194,7 @@ def sink_manifest(t):
 def export_bundle(t):
     plain = F.struct(F.lit(None).cast("string").alias("license"))
     sourced = lambda df: df.withColumn("source", plain).withColumn("work", F.lit(None).cast("string"))
-    edges = graph.internal_resolve(graph.internal_edges(t.articles, "noted_text"), t.articles)
+    edges = graph.internal_resolve(settle(graph.internal_edges(t.articles, "noted_text"), "noted"), t.articles)
     subsets = {
         "articles": project.project_article(sourced(t.articles)),
         "english": project.project_verse(sourced(t.english)),

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import graph
+from ..session import settle
 from . import tools
 from .oracle import with_
 from .registry import query
 
 
 def _resolved_meta(t):
-    edges = graph.internal_resolve(graph.internal_edges(t.articles, "noted_text"), t.articles)
+    edges = graph.internal_resolve(settle(graph.internal_edges(t.articles, "noted_text"), "noted"), t.articles)
     return graph.edges_to_meta(edges, t.articles)
 
 
