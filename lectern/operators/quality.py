@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import canon
-from ..functions.columns import each
+from ..functions.columns import each, literal_map
 from ..functions.refs import normalize_ref
 from ..functions.text import SPACE, clean_latin, collapse_ws, has_verse_marker, join_segments
 
@@ -77,6 +77,28 @@ def expected_questions(spark) -> DataFrame:
     return counts.select("part", F.explode(F.sequence(F.lit(1), F.col("questions"))).alias("question"))
 
 
+def missing_units(nodes: DataFrame) -> DataFrame:
+    """Numbered units of a four-part teaching text that no node's id names.
+
+    Unit codes are ``art1`` ..., ``cmd1`` ... (``cmd9-10`` counts for both), ``pet1`` ...
+    and the seven sacraments by name.
+    """
+    spark = nodes.sparkSession
+    sacraments = {name: str(i) for i, name in enumerate(canon.SACRAMENTS, 1)}
+    code = F.regexp_extract("id", r"\Acatechism\.p[1-4]\.([a-z0-9-]+)\.s[0-9]{2,}\z", 1)
+    kind = (
+        F.when(F.col("code").rlike(r"\Aart[0-9]+\z"), "article").when(F.col("code").rlike(r"\Acmd[0-9]"), "commandment")
+        .when(F.col("code").rlike(r"\Apet[0-9]+\z"), "petition").when(F.col("code").isin(list(sacraments)), "sacrament")
+    )
+    numbers = F.coalesce(F.try_element_at(literal_map(sacraments), F.col("code")), F.regexp_extract("code", "[0-9-]+", 0))
+    present = nodes.select(code.alias("code")).distinct().select(
+        kind.alias("kind"), F.explode(F.transform(F.split(numbers, "-"), lambda n: n.try_cast("int"))).alias("number")
+    )
+    spec = spark.createDataFrame(list(canon.TEACHING_UNITS.items()), "kind string, n int")
+    expected = spec.select("kind", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("number"))
+    return coverage_complete(present, expected, ["kind", "number"])
+
+
 def contiguity(rows: DataFrame, group: list[str], number: str, start: Column | None = None) -> DataFrame:
     """Groups whose numbers repeat, leave gaps or start elsewhere than expected.
 
