@@ -143,9 +143,8 @@ def most_common(counts: DataFrame, key: str, n: int, by: str = "n") -> DataFrame
 def fathers_index(pericopes: DataFrame) -> DataFrame:
     """``verse key -> pericope`` rows with the commentators in first-seen order."""
     fathers = F.array_join(F.array_distinct(F.transform("segments", lambda s: s["father"])), ", ")
-    return pericopes.select(
-        each("commented_verse_keys").alias("key"), "id", "citation", fathers.alias("father_summary"), "work"
-    )
+    named = pericopes.select("id", "citation", fathers.alias("father_summary"), "work", "commented_verse_keys")
+    return named.select(each("commented_verse_keys").alias("key"), "id", "citation", "father_summary", "work")
 
 
 def pericope_refs(pericopes: DataFrame) -> DataFrame:
@@ -166,9 +165,8 @@ def teaching_refs(nodes: DataFrame) -> DataFrame:
 def gloss_weight(pericopes: DataFrame) -> DataFrame:
     """Per verse: named commentators, summed over the pericopes on it."""
     named = F.filter(F.transform("segments", lambda s: F.coalesce(s["father"], F.lit(""))), lambda f: f != "")
-    weighted = pericopes.select(
-        each("commented_verse_keys").alias("key"), F.size(F.array_distinct(named)).alias("w")
-    )
+    sized = pericopes.select("commented_verse_keys", F.size(F.array_distinct(named)).alias("w"))
+    weighted = sized.select(each("commented_verse_keys").alias("key"), "w")
     return weighted.groupBy("key").agg(F.sum("w").cast("long").alias("weight"))
 
 

@@ -70,10 +70,12 @@ def internal_edge_rows(edges: DataFrame) -> DataFrame:
 
 
 def father_edges(pericopes: DataFrame) -> DataFrame:
-    keyed = pericopes.select(
+    # The list is made per pericope, before its verses are unfolded.
+    listed = pericopes.select(
         F.col("id").alias("pericope_id"), F.col("citation").alias("pericope_citation"),
-        each("commented_verse_keys").alias("verse_key"), father_list().alias("fathers"),
+        father_list().alias("fathers"), "commented_verse_keys",
     )
+    keyed = listed.select("pericope_id", "pericope_citation", each("commented_verse_keys").alias("verse_key"), "fathers")
     return keyed.select(
         "pericope_id", "pericope_citation", "verse_key", father_verse_ref(F.col("verse_key")).alias("verse_ref"), "fathers"
     )
