@@ -8,6 +8,7 @@ from .. import canon
 from ..functions import refs, text
 from ..functions.columns import each_at, let
 from ..operators import align, graph, project
+from ..session import settle
 from . import corpus, oracle, tools
 from .oracle import with_
 from .registry import query
@@ -191,9 +192,9 @@ def clamp_keys(t):
 )
 def verse_to_chain(t):
     index = graph.fathers_index(t.pericopes).select("key", "id")
-    chains = tools.verse_pericopes(t.references, index).select("request_id", "id")
-    held = t.pericopes.select("id", each_at("segments").alias("pos", "s"))
-    return chains.join(held, "id").select("request_id", "id", "pos", "s.father", "s.text")
+    chains = settle(tools.verse_pericopes(t.references, index).select("request_id", "id"), "chains")
+    held = t.pericopes.select("id", "segments").join(chains, "id")
+    return held.select("request_id", "id", each_at("segments").alias("pos", "s")).select("request_id", "id", "pos", "s.father", "s.text")
 
 
 @query(

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import each, each_at
 from ..functions.refs import citation_to_id, first_key, gospel_spans, normalize_ref, typed_citation_to_id
 from ..operators.align import date_asof_forward, gospel_verses, lookup_verses
+from ..session import settle
 
 ANSWER = ["request_id", "section", "ord", "ref", "citation", "title", "text"]
 
@@ -51,7 +52,9 @@ def lookup_verse(requests: DataFrame, verses: DataFrame, latin: DataFrame, index
     shows the citers of the chapter. Commentary is keyed by verse.
     """
     asked = requests.withColumn("norm", normalize_ref(F.col("reference"))).filter(F.col("norm").isNotNull())
+    # Written once: a small table of known size, so the Latin edition is not shuffled.
     text = lookup_verses(asked, verses.select("verse_key", "verse", "citation", "text"))
+    text = settle(text.select("request_id", "norm", "verse_key", "verse", "citation", "text"), "verses")
     both = text.join(latin.select("verse_key", F.col("text").alias("latin")), "verse_key", "left")
     number = F.lpad(F.col("verse").cast("string"), 6, "0")
     shown = _rows(both, "verse", number, F.col("norm.ref"), "citation", F.coalesce("latin", F.lit("")), "text")
@@ -83,8 +86,10 @@ def verse_pericopes(requests: DataFrame, fathers: DataFrame) -> DataFrame:
 
 def verse_fathers(requests: DataFrame, fathers: DataFrame, pericopes: DataFrame) -> DataFrame:
     """Commentary fragments per request, in chain order."""
-    held = pericopes.select("id", "citation", each_at("segments").alias("pos", "s"))
-    chains = verse_pericopes(requests, fathers).join(held, "id")
+    # The chains asked for are few; whole pericopes meet them before they are unfolded.
+    asked = settle(verse_pericopes(requests, fathers), "chains")
+    held = pericopes.select("id", "citation", "segments").join(asked, "id")
+    chains = held.select("request_id", "ref", "id", "first", "citation", each_at("segments").alias("pos", "s"))
     order = F.concat_ws("|", F.col("first"), F.col("id"), F.lpad(F.col("pos").cast("string"), 6, "0"))
     return _rows(chains, "fragment", order, F.col("ref"), "citation", F.col("s.father"), F.col("s.text"))
 
@@ -120,7 +125,7 @@ def todays_reading(requests: DataFrame, readings: DataFrame, verses: DataFrame,
     parsed = matched.withColumn("g", gospel_spans(F.col("gospel"))).select(
         "asked", "held", "gospel", F.col("g.slug").alias("slug"), F.col("g.spans").alias("spans")
     )
-    text = gospel_verses(parsed, verses)
+    text = settle(gospel_verses(settle(parsed, "readings"), verses).drop("spans", "s"), "reading-verses")
     order = F.concat_ws("|", F.lpad(F.col("span_no").cast("string"), 4, "0"),
                         F.lpad(F.col("chapter").cast("string"), 4, "0"), F.lpad(F.col("verse").cast("string"), 6, "0"))
     shown = text.select("asked", "held", "gospel", F.lit("verse").alias("section"), order.alias("ord"),
