@@ -15,8 +15,8 @@ from ..operators.project import searchable
 
 
 def scan_jsonl(spark: SparkSession, path, schema: str = schemas.NODE) -> DataFrame:
-    """JSON-lines nodes; blank lines are skipped by the source."""
-    return spark.read.schema(schema).json(path)
+    """JSON-lines nodes; blank lines are skipped, a broken line stops the read."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
 
 
 def scan_jsonl_filtered(spark: SparkSession, path, schema: str = schemas.NODE) -> DataFrame:
