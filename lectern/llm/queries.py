@@ -5,9 +5,10 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..session import load
-from . import simhash
+from ..session import load, new_path, settle
+from . import ann, lines, mixing, packing, quality, rollups, secrets, simhash, urls, vector_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,3 +27,126 @@ def query(name: str, sql: str | None = None):
 @query("op1_simhash")
 def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.assign(load(spark, folder, "documents"))
+
+
+@query("op7_packing")
+def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
+    packed = packing.pack(load(spark, folder, "documents"), ids=False)
+    return packed.drop("ids")
+
+
+@query("op10_token_rollups")
+def op10_token_rollups(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents enter, those of low quality are revised, toxic ones are taken down.
+
+    A revision collapses runs of blanks. The last batch is sent twice and counts once.
+    """
+    docs, labels = load(spark, folder, "documents"), load(spark, folder, "labels")
+    marked = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    rollup = rollups.Rollup(spark, new_path(spark, "rollup"))
+    counts = settle(rollups.counted(docs), "counts")
+    rollup.commit("load", rollups.inserts(counts))
+    low = docs.join(marked.where("quality = 0"), "doc_id", "left_semi")
+    both = rollups.counted(low.withColumn("after", F.regexp_replace("text", r"[ \t]+", " ")), extra=("after",))
+    held = both.withColumnRenamed("tokens", "old_tokens").withColumnRenamed("after", "text")
+    rollup.commit("revise", rollups.revisions(rollups.counted(held, extra=("old_tokens",))))
+    gone = marked.where("toxic = 1 AND (quality IS NULL OR quality != 0)")
+    rollup.commit("takedown", rollups.deletes(counts.join(gone, "doc_id", "left_semi")))
+    rollup.commit("takedown", rollups.deletes(counts.join(gone, "doc_id", "left_semi")))
+    return rollup.totals()
+
+
+@query("op2_quality")
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.judge(load(spark, folder, "documents"), load(spark, folder, "labels"))
+
+
+@query("op6_mixing")
+def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.plan(load(spark, folder, "documents"))
+
+
+@query("op5_nearest")
+def op5_nearest(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.search(load(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op8_secrets")
+def op8_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digest(load(spark, folder, "documents"))
+
+
+@query("op9_vector_dedup")
+def op9_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_dedup.dedup(load(spark, folder, "embeddings"))
+
+
+# The rules of the filter as (verdict, host, path), and the labels of hosts
+# whose pages make up the list.
+URL_RULES = [
+    ("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"), ("block", "com", "/de/"),
+]
+LISTED_LABELS = ["spam-farm", "cheap-pills", "casino-win", "adult-x", "free-bets", "ads-track"]
+
+_LABELS = "|".join(LISTED_LABELS)
+_RULE = "CASE " + " ".join(
+    f"WHEN (host = '{h}' OR suffix(host, '.{h}')) AND prefix(path, '{p}') THEN {{{v}_{i}}}"
+    for i, (v, h, p) in enumerate(sorted(URL_RULES, key=lambda r: -len(r[1] + r[2])))
+) + " END"
+_IN_ORDER = sorted(URL_RULES, key=lambda r: -len(r[1] + r[2]))
+_RULE_TEXT = _RULE.format(**{f"{v}_{i}": f"'{h}{p}'" for i, (v, h, p) in enumerate(_IN_ORDER)})
+_RULE_SAYS = _RULE.format(**{f"{v}_{i}": f"'{v}'" for i, (v, h, p) in enumerate(_IN_ORDER)})
+_CANONICAL = r"""
+  parts AS (SELECT page_id, url, host, path,
+      list_sort(list_filter(string_split(regexp_extract(url, '(?s)^.*?://[^?#]*\?([^#]*)', 1), '&'),
+        lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref|fbclid|gclid)(=.*)?$'))) AS query
+    FROM split_),
+  keyed AS (SELECT page_id, host, path, CASE WHEN contains(url, '://') THEN
+      regexp_replace(host, '^www\.', '') || regexp_replace(path, '/+$', '')
+      || CASE WHEN len(query) > 0 THEN '?' || array_to_string(query, '&') ELSE '' END END AS key
+    FROM parts)"""
+URLS_SQL = rf"""
+WITH split_ AS (SELECT page_id, url,
+      translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+      coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+  {_CANONICAL},
+  listed AS (SELECT DISTINCT key FROM keyed WHERE key IS NOT NULL AND regexp_matches(host, '(^|\.)({_LABELS})\.'))
+SELECT page_id, host, path, {_RULE_TEXT} AS rule,
+  coalesce({_RULE_SAYS}, CASE WHEN key IN (SELECT key FROM listed) THEN 'block' ELSE 'allow' END) AS verdict,
+  coalesce(key IN (SELECT key FROM listed), false) AS listed
+FROM keyed"""
+
+
+@query("op3_url_filter", URLS_SQL)
+def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """The rules first; the list is the URLs the pages have on hosts of the named labels."""
+    pages = load(spark, folder, "pages")
+    listed = pages.where(urls.host(F.col("url")).rlike(rf"(^|\.)({_LABELS})\.")).select("url")
+    return urls.judge(pages, listed, URL_RULES)
+
+
+LINES_SQL = rf"""
+WITH docs AS (SELECT row_number() OVER () AS n, doc_id, source, text, string_split(text, chr(10)) AS held FROM documents),
+  each AS (SELECT n, source, unnest(held) AS line, generate_subscripts(held, 1) AS place FROM docs),
+  kept AS (SELECT n, source, line, place, trim(regexp_replace(line, '\r$', ''), ' ') AS told FROM each),
+  totals AS (SELECT source, count(*) AS pages FROM docs GROUP BY source),
+  counts AS (SELECT source, told, count(DISTINCT n) AS n FROM kept WHERE told <> '' GROUP BY source, told),
+  plate AS (SELECT c.source, c.told FROM counts c JOIN totals t ON c.source IS NOT DISTINCT FROM t.source
+    WHERE c.n >= {lines.MIN_PAGES} AND c.n > t.pages * CAST({lines.RATIO} AS DOUBLE)),
+  marked AS (SELECT k.*, p.told IS NOT NULL AS plate FROM kept k
+    LEFT JOIN plate p ON k.source IS NOT DISTINCT FROM p.source AND k.told = p.told),
+  left_ AS (SELECT n, string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT plate) AS text,
+    count(*) FILTER (WHERE plate) AS dropped, coalesce(sum(length(line)) FILTER (WHERE NOT plate), 0) AS chars, sum(length(line)) AS all_chars
+    FROM marked GROUP BY n)
+SELECT d.doc_id, CASE WHEN l.dropped > 0 AND l.chars >= l.all_chars * (1 - {lines.MOST_DROPPED}) THEN l.text ELSE d.text END AS text,
+  CAST(len(d.held) AS INTEGER) AS lines,
+  CAST(CASE WHEN l.chars >= l.all_chars * (1 - {lines.MOST_DROPPED}) THEN l.dropped ELSE 0 END AS INTEGER) AS dropped_lines
+FROM docs d LEFT JOIN left_ l ON d.n = l.n"""
+
+
+@query("op4_line_dedup", LINES_SQL)
+def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents without their source's boilerplate lines."""
+    found = lines.drop_lines(load(spark, folder, "documents"), figures=True)
+    return found.select("doc_id", "text", "lines", "dropped_lines")
