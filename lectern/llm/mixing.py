@@ -22,6 +22,7 @@ null source is one source, the last; if no document has a word all targets are 0
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,6 +33,8 @@ WEIGHTS = (5, 2, 1)
 MOST = 3
 #: Documents walked in one task at a time.
 BLOCK = 2048
+#: From so many documents on, those that make up for a large one keep their number too.
+MANY = 64
 SEED = 6
 _EPS = 1e-9
 
@@ -94,38 +97,71 @@ def _move(p, u, draw):
     return [0.0 if x < _EPS else 1.0 if x > 1 - _EPS else x for x in moved]
 
 
+def _against(size, sizes, p):
+    """Changes of many documents that make up for one more of ``size``.
+
+    Few documents give up their number as a constraint, so that their words suffice.
+    """
+    w = p * (1 - p)
+    m0, m1, m2 = w.sum(), (w * sizes).sum(), (w * sizes * sizes).sum()
+    if len(p) < MANY or m0 * m2 - m1 * m1 <= 1e-9 * m0 * m2:
+        return w * (-size / m1)
+    slope = (m1 - size * m0) / (m0 * m2 - m1 * m1)
+    return w * ((-1 - slope * m1) / m0 + slope * sizes)
+
+
+def _move_all(p, u, draw):
+    """``_move`` of many."""
+    to_one, to_zero = np.where(u > 0, 1 - p, p), np.where(u > 0, p, 1 - p)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        up, down = (np.nanmin(np.where(u == 0, np.inf, room / np.abs(u))) for room in (to_one, to_zero))
+    moved = p + (up if draw * (up + down) < down else -down) * u
+    return np.where(moved < _EPS, 0.0, np.where(moved > 1 - _EPS, 1.0, moved))
+
+
 def walk(sizes, probabilities, draws, land: bool):
     """New probabilities of a block, at most two of them undecided; none after landing.
 
-    Documents come with the largest first, so the undecided ones are the smallest.
+    Documents come with the largest first. Those that make up the larger half of the words
+    are walked by threes, what they leave undecided is decided against all the others
+    together, and so on with the others. So the documents left at the end are the smallest.
     """
-    out, open_, draws = list(probabilities), [], iter(draws)
-    for i, p in enumerate(out):
-        if not _EPS < p < 1 - _EPS:
-            out[i] = float(p >= 0.5)
-            continue
-        open_.append(i)
-        while len(open_) == 3:
-            moved = _move([out[j] for j in open_], _step(*(sizes[j] for j in open_)), next(draws))
-            for j, x in zip(open_, moved):
-                out[j] = x
-            open_ = [j for j in open_ if 0 < out[j] < 1]
+    out = np.array([0.0 if p <= _EPS else 1.0 if p >= 1 - _EPS else p for p in probabilities])
+    sizes = np.array(sizes, dtype=float)
+    todo, draws, open_ = np.nonzero((out > 0) & (out < 1))[0], iter(draws), []
+    while len(todo):
+        words = np.cumsum(sizes[todo])
+        middle = int(np.searchsorted(words, words[-1] / 2)) + 1 if len(todo) > 4 else len(todo)
+        head, todo, open_ = todo[:middle].tolist(), todo[middle:], []
+        p, size = out[head].tolist(), sizes[head].tolist()
+        for i in range(len(head)):
+            open_.append(i)
+            if len(open_) == 3:
+                for j, x in zip(open_, _move([p[j] for j in open_], _step(*(size[j] for j in open_)), next(draws))):
+                    p[j] = x
+                open_ = [j for j in open_ if 0 < p[j] < 1]
+        out[head] = p
+        open_ = [head[j] for j in open_]
+        for i in open_:
+            while 0 < out[i] < 1 and len(todo):
+                u = np.append(1.0, _against(sizes[i], sizes[todo], out[todo]))
+                both = np.append(i, todo)
+                out[both] = _move_all(out[both], u, next(draws))
+                todo = todo[(out[todo] > 0) & (out[todo] < 1)]
+        open_ = [i for i in open_ if 0 < out[i] < 1]
     if land and len(open_) == 2:
         i, j = open_
-        u = (sizes[j], -sizes[i]) if sizes[i] or sizes[j] else (1.0, -1.0)
-        out[i], out[j] = _move([out[i], out[j]], u, next(draws))
+        out[[i, j]] = _move([out[i], out[j]], (sizes[j], -sizes[i]), next(draws))
         open_ = [k for k in open_ if 0 < out[k] < 1]
     if land and open_:
         out[open_[0]] = float(next(draws) < out[open_[0]])
-    return out
+    return out.tolist()
 
 
 def _round(df: DataFrame, number: int) -> DataFrame:
     """Walk every block; ``last`` blocks are a source's only one and land."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        import numpy as np
-
         group = group.sort_values(["size", "pick", "n"], ascending=[False, True, True], kind="stable")
         first = group.iloc[0]
         rng = np.random.default_rng([SEED, number, int(first["pick"]) & 0x7FFFFFFF, len(group)])
