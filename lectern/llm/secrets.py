@@ -123,6 +123,8 @@ def digest(docs: DataFrame, most_owners: int = MOST_OWNERS) -> DataFrame:
     added = held.select("n", F.explode("more").alias("span")).join(few, F.col("span.hash") == F.col("hash"))
     live = added.groupBy("n").agg(F.collect_list("span").alias("live"))
     base = F.col("base")
-    numbers = [F.size(F.filter(base, lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(3)]
+    kinds = F.transform(base, lambda x: x["kind"])
+    numbers = [F.size(F.array_remove(kinds, k)) for k in range(3)]
+    numbers = [(F.size(base) - n).cast("long").alias(f"n_{KINDS[k]}") for k, n in enumerate(numbers)]
     every = F.array_sort(F.concat(base, F.coalesce("live", F.array().cast(held.schema["base"].dataType))))
     return held.join(live, "n", "left").select("doc_id", *numbers, F.sha2(_written(base), 256).alias("base_sha256"), _written(every).alias("spans"))
