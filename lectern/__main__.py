@@ -22,8 +22,15 @@ from .session import build_session
 from .sources.readers import scan_jsonl, scan_jsonl_filtered
 
 
-def show(df, n: int = 100) -> None:
-    df.show(n, truncate=False)
+# Fixed value: citing articles listed by name.
+CITERS_SHOWN = 15
+
+
+def show(df, most: int | None = None) -> None:
+    """Rows as lines of text, as they arrive; all of them unless ``most`` is a report's length."""
+    print(" | ".join(df.columns))
+    for row in (df.limit(most) if most else df).toLocalIterator():
+        print(" | ".join("" if v is None else str(v) for v in row))
 
 
 def main() -> None:
@@ -66,7 +73,10 @@ def main() -> None:
         wanted = F.coalesce(citation_to_id(F.lit(args.article)), F.lit(args.article))
         show(table("refs").filter(F.col("id") == wanted))
         show(table("edges").filter(F.col("src") == wanted).select("dst_citation"))
-        show(table("edges").filter(F.col("dst") == wanted).orderBy("src").select("src_citation", "src_title"), 15)
+        citing = table("edges").filter(F.col("dst") == wanted)
+        show(citing.orderBy("src").select("src_citation", "src_title"), CITERS_SHOWN)
+        if (more := citing.count() - CITERS_SHOWN) > 0:
+            print(f"and {more} more")
     else:
         key = first_key(normalize_ref(F.lit(args.reference)))
         show(table("index").filter(F.col("key") == key).orderBy("id").select("citation", "title", "ref"))

@@ -146,9 +146,15 @@ def canonical_order(rows: DataFrame, slug: str = "slug") -> DataFrame:
     return rows.withColumn("canon_pos", F.try_element_at(order, F.col(slug)))
 
 
-def upsert_by_date(old: DataFrame, new: DataFrame, key: str = "date") -> DataFrame:
-    """Existing rows stay as they are; only missing dates are added."""
-    return old.unionByName(new.join(old.select(key), key, "left_anti").select(*old.columns))
+def upsert_by_date(old: DataFrame, new: DataFrame, key: str = "date", value: str = "gospel") -> DataFrame:
+    """Existing rows with a reading stay; missing dates and empty readings are filled.
+
+    An old row without a reading stays only where the new rows have nothing for its date.
+    """
+    full = old.filter(F.coalesce(F.col(value).cast("string"), F.lit("")) != "")
+    added = new.join(full.select(key), key, "left_anti").select(*old.columns)
+    empty = old.join(full.select(key).union(new.select(key)), key, "left_anti").select(*old.columns)
+    return full.unionByName(added).unionByName(empty)
 
 
 def default_enrich(rows: DataFrame, table: DataFrame, key: str, value: str) -> DataFrame:

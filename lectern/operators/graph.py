@@ -13,6 +13,9 @@ from ..functions.columns import each, kept, let, run_starts
 from ..functions.refs import normalize_ref, parse_internal_refs, union_keys
 from ..session import settle
 
+#: Stands between a key and the place where a further line of its list starts.
+CONTINUED = "\x1f"
+
 
 def scripture_citations(nodes: DataFrame, keep: tuple[str, ...] = ("id",)) -> DataFrame:
     """One row per scripture citation: ``keep``, position, raw text, normalized form.
@@ -192,15 +195,24 @@ def fragment_totals(pericopes: DataFrame) -> DataFrame:
 
 
 def adjacency_chunks(edges: DataFrame, key: str, entry: list[str], size: int = 1000) -> DataFrame:
-    """``(key, chunk, entries)``: sorted entry lists of bounded length.
+    """``(key, label, entries)``: each key's entries in order, in lists of up to ``size``.
 
-    A key above ``size`` entries is divided by a hash of the entry id, so no list grows
-    with the corpus; joining a key's chunks gives the whole list back. The edges are
-    written once first, because they are read for the degrees and for the lists.
+    A list's label is its key, and for lists after the first also the place it starts at.
+    No list grows with the corpus and no task holds a key: edges are ranged over tasks by
+    (key, entry), numbered in their range, and the ranges before add what they hold of
+    the range's first key.
     """
-    edges = settle(edges, "edges")
-    degrees = edges.groupBy(key).agg(F.count("*").alias("_n"))
-    hot = degrees.filter(F.col("_n") > size).select(key, F.ceil(F.col("_n") / size).cast("int").alias("_parts"))
-    parts = F.coalesce("_parts", F.lit(1))
-    chunked = edges.join(hot, key, "left").withColumn("chunk", F.pmod(F.xxhash64(entry[0]), parts).cast("int"))
-    return chunked.groupBy(key, "chunk").agg(F.sort_array(F.collect_list(F.struct(*entry))).alias("entries"))
+    order = [F.col(key), *[F.col(c) for c in entry]]
+    ranged = edges.repartitionByRange(*order).select(key, F.struct(*entry).alias("entry"), F.spark_partition_id().alias("part"))
+    ranged = settle(ranged, "edges")
+    held = ranged.groupBy("part", key).agg(F.count("*").alias("n"))
+    # Of a key that runs over ranges, how many entries stand in earlier ones.
+    earlier = Window.partitionBy(key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = held.select("part", key, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("part", key).orderBy("entry")) - 1
+    placed = ranged.withColumn("inside", inside).join(before, ["part", key]).withColumn("pos", F.col("before") + F.col("inside"))
+    chunk = F.floor(F.col("pos") / size)
+    # A place is unique in its key, so sorting by it first orders a list by entry.
+    lists = placed.groupBy(key, chunk.alias("chunk")).agg(F.sort_array(F.collect_list(F.struct("pos", "entry"))).alias("held"))
+    label = F.when(F.col("chunk") == 0, F.col(key)).otherwise(F.concat(F.col(key), F.lit(CONTINUED), (F.col("chunk") * size).cast("string")))
+    return lists.select(key, "chunk", label.alias("label"), F.transform("held", lambda h: h["entry"]).alias("entries"))

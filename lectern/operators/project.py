@@ -95,7 +95,3 @@ def alias_inverse(spark) -> DataFrame:
     """``(alias, slug, name)`` of the canon."""
     rows = [(alias, slug, canon.NAME_OF[slug]) for alias, slug in canon.ALIASES.items()]
     return spark.createDataFrame(rows, "alias string, slug string, name string")
-
-
-def shown_counts(counts: DataFrame, key: str = "key") -> DataFrame:
-    return counts.withColumn("ref", key_to_ref(F.col(key)))

@@ -15,10 +15,7 @@ from ..functions.text import tokenize
 from ..functions.vectors import dot_with
 from ..session import settle
 
-SALTS = 16
-BROADCAST_ROWS = 500_000
 SENTINEL = ""
-FIXED_POINT = 1e12
 
 
 def term_idf(df, n) -> Column:
@@ -34,12 +31,12 @@ def bm25_term(f, dl, df, n, avgdl) -> Column:
 
 
 def exact_sum(part: Column) -> Column:
-    """Sum in fixed point, so the order rows arrive in cannot change a score.
+    """Sum of decimals, so the order rows arrive in cannot change a score.
 
     Copies of a text get equal scores and their tie is settled by id, also when a lost
     task is run again.
     """
-    return F.sum(F.round(part * FIXED_POINT).cast("long")) / FIXED_POINT
+    return F.sum(part.cast("decimal(28,12)")).cast("double")
 
 
 # --- one query -------------------------------------------------------------------
@@ -143,32 +140,20 @@ def query_coverage(queries: DataFrame, terms: DataFrame, df: DataFrame) -> DataF
     return queries.select("query_id").join(shares, "query_id", "left").fillna(0.0, ["coverage"])
 
 
-def join_postings(postings: DataFrame, weights: DataFrame) -> DataFrame:
-    """Postings with the queries that ask for their term.
-
-    The weights are counted first. Up to ``BROADCAST_ROWS`` they go to every task and
-    the postings stay where they are; beyond that both sides are shuffled on (term,
-    salt), so the postings of a very common term are spread over ``SALTS`` tasks.
-    """
-    if weights.count() <= BROADCAST_ROWS:
-        return postings.join(F.broadcast(weights), "term")
-    left = postings.withColumn("_salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
-    right = weights.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return left.join(right, ["term", "_salt"]).drop("_salt")
-
-
 def lexical_scores(hits: DataFrame, terms: DataFrame, df: DataFrame, stats: DataFrame) -> DataFrame:
     """``(query_id, id, score)`` for every query and document that share a term.
 
     The logarithm is taken once per query term and the saturation once per posting; a
-    matched pair only multiplies them.
+    matched pair only multiplies them. Postings and weights are two plain tables joined on
+    the term, so adaptive execution sends small weights to every task and splits a term
+    that fills a partition.
     """
     n, avgdl = stats.select("n").scalar(), stats.select("avgdl").scalar()
     weights = settle(terms.join(df, "term").select("query_id", "term", term_idf(F.col("df"), n).alias("idf")), "weights")
     postings = hits.filter(F.col("term") != SENTINEL).select(
         "id", "term", term_saturation(F.col("f"), F.col("dl"), avgdl).alias("w")
     )
-    pairs = join_postings(postings, weights)
+    pairs = postings.join(weights, "term")
     return pairs.groupBy("query_id", "id").agg(exact_sum(F.col("idf") * F.col("w")).alias("score"))
 
 

@@ -50,24 +50,37 @@ def sink_jsonl_partitioned(t):
 
 def _landed_adjacency(t):
     path = new_path(t.spark, "adjacency")
-    writers.sink_adjacency(graph.inverted_index(t.articles), path, "key", ["id", "citation", "title", "ref"], 100)
+    writers.sink_adjacency(graph.inverted_index(t.articles), path, "key", ["id", "citation", "title", "ref"], 10)
     return path
 
 
-@query("scan_adjacency", with_("idx") + "SELECT key, id, citation, title, ref FROM idx")
+@query("scan_adjacency", with_("idx") + "SELECT key, row_number() OVER (PARTITION BY key ORDER BY id, citation, title, ref) - 1 AS pos, id, citation, title, ref FROM idx")
 def scan_adjacency(t):
-    return readers.scan_adjacency(t.spark, _landed_adjacency(t)).drop("pos")
+    return readers.scan_adjacency(t.spark, _landed_adjacency(t))
 
 
-@query("sink_adjacency", with_("idx") + "SELECT key, count(*) AS entries, min(id) AS first_id, max(id) AS last_id FROM idx GROUP BY 1")
+@query(
+    "sink_adjacency",
+    with_("idx") + "SELECT key, CAST(count(*) AS BIGINT) AS entries, string_agg(id, ' ' ORDER BY id, citation, title, ref) AS ids FROM idx GROUP BY 1",
+)
 def sink_adjacency(t):
     rows = readers.scan_adjacency(t.spark, _landed_adjacency(t))
-    return rows.groupBy("key").agg(F.count("*").alias("entries"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+    ids = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "id"))), lambda x: x["id"]), " ")
+    return rows.groupBy("key").agg(F.count("*").alias("entries"), ids.alias("ids"))
 
 
-@query("scan_html_pages", "SELECT page_id, url, length(html) AS n_chars FROM pages")
+@query(
+    "scan_html_pages",
+    "SELECT page_id, html || CASE WHEN page_id % 10 = 3 THEN chr(65533) || '!' ELSE '' END || chr(10) AS html FROM pages",
+)
 def scan_html_pages(t):
-    return t.pages.select("page_id", "url", F.length("html").cast("long").alias("n_chars"))
+    """Pages as files of their own, some with a byte that is no UTF-8."""
+    path = new_path(t.spark, "pages")
+    tail = F.when(F.col("page_id") % 10 == 3, F.unhex(F.lit("FF21"))).otherwise(F.unhex(F.lit("")))
+    bytes_ = F.concat(F.encode("html", "UTF-8"), tail).cast("string")
+    t.pages.select("page_id", bytes_.alias("value")).write.partitionBy("page_id").text(path)
+    page = F.regexp_extract("url", r"page_id=([0-9]+)", 1).cast("long")
+    return readers.scan_html_pages(t.spark, path, "*.txt").select(page.alias("page_id"), "html")
 
 
 _SEPARATOR = "\n=====\n"
@@ -123,9 +136,20 @@ def sink_vectors(t):
     return rows.groupBy("id").agg(F.count("*").alias("dims"), F.round(F.sum(x * x), 6).alias("square"))
 
 
-@query("scan_verse_map", with_("eng") + "SELECT verse_key, id, text, citation, book, chapter, verse FROM eng")
+@query(
+    "scan_verse_map",
+    with_("eng")
+    + """SELECT verse_key, CASE WHEN verse % 7 = 0 THEN 'again.' || id ELSE id END AS id, CASE WHEN verse % 7 = 0 THEN 'Later: ' || text ELSE text END AS text,
+      citation, book, chapter, verse FROM eng""",
+)
 def scan_verse_map(t):
-    return readers.verse_map(t.english)
+    """Some verses stand in a later file once more, with an id that sorts first."""
+    path = new_path(t.spark, "verse-files")
+    held = t.english.select("id", "text", "citation", "book", "chapter", "verse", "verse_key")
+    held.write.json(f"{path}/1-first")
+    again = held.filter("verse % 7 = 0").withColumns({"id": F.concat(F.lit("again."), "id"), "text": F.concat(F.lit("Later: "), "text")})
+    again.write.json(f"{path}/2-later")
+    return readers.scan_verse_map(t.spark, [f"{path}/1-first", f"{path}/2-later"])
 
 
 @query("scan_lectionary", with_("read") + "SELECT CAST(date AS VARCHAR) AS date, gospel, 'Day ' || date AS day FROM read")

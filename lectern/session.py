@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -29,14 +32,18 @@ def build_session(app: str = "lectern", master: str | None = None, **conf: str)
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it.
 
-    Only where ``spark.checkpoint.dir`` is unset (local tests) a temporary one is made.
+    Only on a local master, where all is one machine, a temporary one is made if none is
+    named; it goes when the process ends.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         named = held.get() if held.isDefined() else None
     if not named:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         named = tempfile.mkdtemp(prefix="lectern-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
 
@@ -49,17 +56,27 @@ def settle(df: DataFrame, label: str = "table") -> DataFrame:
     """Write ``df`` once and read it back: cuts lineage and survives executor loss."""
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    held = df.sparkSession.read.schema(df.schema).parquet(path)
+    held.settled_at = path
+    return held
+
+
+def discard(*held: DataFrame) -> None:
+    """Remove tables that ``settle`` wrote and that nothing reads any more."""
+    for df in held:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.settled_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Split a scan that cannot feed every core (one row group, small file).
+    """Deal a small local file over ``lectern.spread`` tasks, where that is set.
 
-    A table large enough to fill the cluster has as many scan tasks as cores and is
-    returned as it is, so no shuffle of raw rows is added at scale.
+    For tests and single machines, whose tables are one row group. A cluster leaves the
+    setting out: its tables are read in splits and raw rows are never shuffled.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    tasks = df.sparkSession.conf.get("lectern.spread", None)
+    return df.repartition(int(tasks)) if tasks else df
 
 
 def load(spark: SparkSession, folder: str, name: str) -> DataFrame:

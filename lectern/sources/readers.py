@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import json
+from itertools import accumulate
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,9 +13,14 @@ from .. import schemas
 from ..functions.columns import each_at
 from ..functions.text import CP1252_FROM, CP1252_TO, decode_cp1252
 from ..functions.vectors import unpack_f16
+from ..operators.graph import CONTINUED
 from ..operators.project import searchable
 
 
+def _count(part, rows):
+    yield part, sum(1 for _ in rows)
+
+
 def scan_jsonl(spark: SparkSession, path, schema: str = schemas.NODE) -> DataFrame:
     """JSON-lines nodes; blank lines are skipped, a broken line stops the read."""
     return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
@@ -27,8 +34,9 @@ def scan_jsonl_filtered(spark: SparkSession, path, schema: str = schemas.NODE) -
 def scan_adjacency(spark: SparkSession, path, entry: str = schemas.ADJACENCY_ENTRY, whole: bool = False) -> DataFrame:
     """Key-to-list JSON objects as ``(key, pos, entry...)`` rows.
 
-    The sink writes one small object per line, which splits over tasks; ``whole`` reads
-    files that are a single object each. A path without files gives no rows.
+    ``pos`` is the place in the key's whole list, over however many lines the sink wrote
+    it. Lines split over tasks; ``whole`` reads files that are a single object each. A path
+    without files gives no rows.
     """
     schema = f"map<string,array<{entry}>>"
     try:
@@ -37,14 +45,18 @@ def scan_adjacency(spark: SparkSession, path, entry: str = schemas.ADJACENCY_ENT
         if "PATH_NOT_FOUND" not in str(missing):
             raise
         raw = spark.createDataFrame([], "value string")
-    keyed = raw.select(F.explode(F.from_json("value", schema)).alias("key", "entries"))
-    return keyed.select("key", each_at("entries").alias("pos", "e")).select("key", "pos", "e.*")
+    keyed = raw.select(F.explode(F.from_json("value", schema)).alias("label", "entries"))
+    # A further line of a key is labelled with the place its entries start at.
+    parts = F.split("label", CONTINUED, 2)
+    named = keyed.select(F.element_at(parts, 1).alias("key"), F.coalesce(F.try_element_at(parts, F.lit(2)).cast("long"), F.lit(0)).alias("from"), "entries")
+    rows = named.select("key", "from", each_at("entries").alias("at", "e"))
+    return rows.select("key", (F.col("from") + F.col("at")).alias("pos"), "e.*")
 
 
 def scan_html_pages(spark: SparkSession, path, glob: str = "*.htm*") -> DataFrame:
     """Landed pages as ``(url, html)``; undecodable bytes become replacement marks."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-    return files.select(F.col("path").alias("url"), F.decode("content", "UTF-8").alias("html"))
+    return files.select(F.col("path").alias("url"), F.make_valid_utf8(F.col("content").cast("string")).alias("html"))
 
 
 def scan_wholetext(spark: SparkSession, path, separator: str | None = None) -> DataFrame:
@@ -86,12 +98,20 @@ def scan_f16_vectors(spark: SparkSession, path) -> DataFrame:
 def scan_f16_file(spark: SparkSession, path: str, ids: DataFrame, dims: int) -> DataFrame:
     """A bare file of fixed-length half-precision rows, matched to ``(pos, id)``.
 
-    Fixed-length records split at any multiple of the row size, so a large file is
-    read by many tasks.
+    Fixed-length records split at any multiple of the row size, so a large file is read
+    by many tasks; each turns its records into numbers at once. Positions follow from how
+    many records the splits before hold.
     """
-    rows = spark.sparkContext.binaryRecords(path, dims * 2).zipWithIndex()
-    packed = spark.createDataFrame(rows.map(lambda r: (r[1], bytearray(r[0]))), "pos long, packed binary")
-    return packed.join(ids, "pos").select("id", unpack_f16("packed").alias("vector"))
+    records = spark.sparkContext.binaryRecords(path, dims * 2)
+    counts = records.mapPartitionsWithIndex(_count).collect()  # one number a split
+    first = dict(zip(range(len(counts)), accumulate((n for _, n in sorted(counts)), initial=0)))
+
+    def numbers(part, rows):
+        matrix = np.frombuffer(b"".join(rows), dtype="<f2").astype(np.float32).reshape(-1, dims)
+        return zip(range(first[part], first[part] + len(matrix)), matrix.tolist())
+
+    rows = spark.createDataFrame(records.mapPartitionsWithIndex(numbers), "pos long, vector array<float>")
+    return rows.join(ids, "pos").select("id", "vector")
 
 
 def scan_lectionary(spark: SparkSession, path, whole: bool = False) -> DataFrame:
@@ -101,9 +121,18 @@ def scan_lectionary(spark: SparkSession, path, whole: bool = False) -> DataFrame
     return entries.select(F.to_date("d").alias("date"), "e.gospel", "e.day")
 
 
-def verse_map(verses: DataFrame) -> DataFrame:
-    """The columns a lookup needs, one row per key."""
-    kept = F.max(F.struct("id", "text", "citation", "book", "chapter", "verse")).alias("v")
+def scan_verse_map(spark: SparkSession, path) -> DataFrame:
+    """The columns a lookup needs of verse files, one row per key: the last one read.
+
+    The order is that of the files' names and of the lines in them.
+    """
+    place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    return verse_map(scan_jsonl(spark, path, schemas.VERSE).withColumn("place", place), "place")
+
+
+def verse_map(verses: DataFrame, order: str) -> DataFrame:
+    """One row per key, the last by ``order``; a maximum keeps the aggregate partial."""
+    kept = F.max_by(F.struct("id", "text", "citation", "book", "chapter", "verse"), order).alias("v")
     return verses.groupBy("verse_key").agg(kept).select("verse_key", "v.*")
 
 

@@ -26,12 +26,12 @@ def sink_jsonl_partitioned(nodes: DataFrame, path: str, by: str, order: list[str
 
 
 def sink_adjacency(edges: DataFrame, path: str, key: str, entry: list[str], size: int = 1000) -> None:
-    """One JSON object per line, ``{key: [entries]}``, keys in order.
+    """One JSON object per line, ``{key: [entries]}``, keys and entries in order.
 
-    A key with many entries takes several lines, each of bounded length.
+    A key with more than ``size`` entries takes several lines; each says where it starts.
     """
     chunks = adjacency_chunks(edges, key, entry, size).repartitionByRange(key, "chunk").sortWithinPartitions(key, "chunk")
-    chunks.select(F.to_json(F.create_map(F.col(key), F.col("entries"))).alias("value")).write.text(path)
+    chunks.select(F.to_json(F.create_map(F.col("label"), F.col("entries"))).alias("value")).write.text(path)
 
 
 def to_object(row: DataFrame) -> DataFrame:

@@ -1,11 +1,10 @@
 import json
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from lectern import schemas
 from lectern.sources import readers, writers
-from lectern.streaming import requests
 
 
 def test_jsonl_types_and_blank_lines(spark, tmp_path):
@@ -23,6 +22,10 @@ def test_adjacency_round_trip_and_missing(spark, tmp_path):
     writers.sink_adjacency(edges, str(tmp_path / "adj"), "key", ["id", "citation"], 10)
     back = readers.scan_adjacency(spark, str(tmp_path / "adj"), "struct<id:string,citation:string>").collect()
     assert sorted((r.key, r.pos, r.id) for r in back) == [("john/1", 0, "a"), ("john/1", 1, "b"), ("mark/2", 0, "c")]
+    many = spark.createDataFrame([("k", f"{i:03d}") for i in range(57)] + [("l", "x")], "key string, id string").repartition(5)
+    writers.sink_adjacency(many, str(tmp_path / "many"), "key", ["id"], 10)
+    back = readers.scan_adjacency(spark, str(tmp_path / "many"), "struct<id:string>").where("key = 'k'").collect()
+    assert sorted((r.pos, r.id) for r in back) == [(i, f"{i:03d}") for i in range(57)]
     assert readers.scan_adjacency(spark, str(tmp_path / "nothing")).count() == 0
     (tmp_path / "one.json").write_text(json.dumps({"k": [{"id": "z"}], "l": []}, indent=0))
     assert [r.id for r in readers.scan_adjacency(spark, str(tmp_path / "one.json"), whole=True).collect()] == ["z"]
@@ -64,25 +67,26 @@ def test_partitioned_nodes_and_stats(spark, tmp_path):
 
 def test_html_pages(spark, tmp_path):
     (tmp_path / "p.htm").write_text("<p>é</p>", encoding="utf-8")
-    row = readers.scan_html_pages(spark, str(tmp_path)).first()
-    assert row.url.endswith("p.htm") and row.html == "<p>é</p>"
-
-
-def test_request_stream(spark, tmp_path):
-    lines = [
-        {"id": 1, "method": "tools/call", "params": {"name": "echo", "arguments": {"query": "hi", "k": 3}}},
-        {"id": 2, "method": "tools/call", "params": {"name": "nope"}},
-        {"id": 3, "method": "other"},
-        {"method": "notifications/initialized"},
-        {"id": 4, "method": "ping"},
-    ]
-    (tmp_path / "in").mkdir()
-    (tmp_path / "in" / "a.json").write_text("\n".join(map(json.dumps, lines)) + "\nnot json\n\n")
-    echo = lambda asked: asked.select("request_id", F.col("arguments")["query"].alias("said"))
-    query = requests.serve(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ck"), {"echo": echo})
-    query.awaitTermination(60)
-    said = spark.read.json(str(tmp_path / "out" / "echo" / "batch=*")).collect()
-    assert [(r.request_id, r.said) for r in said] == [("1", "hi")]
-    errors = spark.read.json(str(tmp_path / "out" / "errors" / "batch=*")).collect()
-    assert sorted((r.request_id, r.code) for r in errors) == [("2", -32602), ("3", -32601)]
-    assert schemas.READING.startswith("date")
+    (tmp_path / "q.html").write_bytes(b"<p>a\xffb\xc3</p>")
+    rows = sorted((r.url.rsplit("/", 1)[1], r.html) for r in readers.scan_html_pages(spark, str(tmp_path)).collect())
+    assert rows == [("p.htm", "<p>é</p>"), ("q.html", "<p>a\ufffdb\ufffd</p>")]
+
+
+def test_last_verse_wins(spark, tmp_path):
+    line = lambda i, t: json.dumps({"id": i, "verse_key": "john/1/1", "text": t, "citation": "c", "book": "John", "chapter": 1, "verse": 1})
+    (tmp_path / "a.jsonl").write_text(line("z", "first") + "\n" + line("y", "second") + "\n")
+    (tmp_path / "b.jsonl").write_text(line("b", "third") + "\n" + line("a", "last") + "\n")
+    rows = readers.scan_verse_map(spark, str(tmp_path)).collect()
+    assert [(r.verse_key, r.id, r.text) for r in rows] == [("john/1/1", "a", "last")]
+
+
+def test_vectors_of_one_length(spark):
+    from lectern.functions.vectors import dot_with, pack_f16, unpack_f16
+
+    df = spark.createDataFrame([(1, [3.0, 4.0]), (2, None), (3, [0.0, 0.0])], "id int, v array<float>").coalesce(1)
+    back = {r.id: r.w for r in df.select("id", unpack_f16(pack_f16("v")).alias("w")).collect()}
+    assert back[2] is None and back[3] == [0.0, 0.0] and np.allclose(back[1], [0.6, 0.8], atol=1e-3)
+    assert [r.s for r in df.select(dot_with(F.col("v"), [1.0, 2.0]).alias("s")).collect()] == [11.0, None, 0.0]
+    odd = spark.createDataFrame([(1, [1.0, 0.0, 0.0]), (2, [1.0])], "id int, v array<float>").coalesce(1)
+    with pytest.raises(Exception, match="components"):
+        odd.select(dot_with(F.col("v"), [1.0, 0.0]).alias("s")).collect()
