@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import each
 from ..functions.text import term_counts, tokenize
+from ..session import settle
 
 
 def analyze(docs: DataFrame, text: Column | str = "text", id_col: str = "id") -> DataFrame:
@@ -31,3 +34,29 @@ def corpus_stats(analyzed: DataFrame) -> DataFrame:
     return analyzed.agg(
         F.count("*").alias("n"), F.coalesce(F.avg(F.col("dl").cast("double")), F.lit(0.0)).alias("avgdl")
     )
+
+
+@dataclass(frozen=True)
+class Index:
+    """A stored index: ``postings (term, id, f, dl)``, ``terms (term, df)``, ``stats (n, avgdl)``."""
+
+    postings: DataFrame
+    terms: DataFrame
+    stats: DataFrame
+
+
+def write_index(docs: DataFrame, path: str, text: Column | str = "text", id_col: str = "id") -> None:
+    """Tokenize the corpus once and store what questions need.
+
+    Postings are ranged by (term, id), so a term of a third of the corpus is split over
+    files and a rare one is found by the files' and row groups' least and greatest term.
+    """
+    analyzed = settle(analyze(docs, text, id_col), "analyzed")
+    tf = term_frequency(analyzed)
+    tf.select("term", "id", "f", "dl").repartitionByRange("term", "id").sortWithinPartitions("term", "id").write.parquet(f"{path}/postings")
+    doc_frequency(tf).repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{path}/terms")
+    corpus_stats(analyzed).write.parquet(f"{path}/stats")
+
+
+def read_index(spark: SparkSession, path: str) -> Index:
+    return Index(*[spark.read.parquet(f"{path}/{name}") for name in ("postings", "terms", "stats")])

@@ -11,9 +11,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import canon
-from ..functions.text import tokenize
+from ..functions.text import term_counts, tokenize
 from ..functions.vectors import dot_with
 from ..session import settle
+from .index import Index, analyze
 
 SENTINEL = ""
 
@@ -42,6 +43,23 @@ def exact_sum(part: Column) -> Column:
 # --- one query -------------------------------------------------------------------
 
 
+def question_terms(query: str) -> list[str]:
+    """A question's different index terms, in order."""
+    stop = set(canon.STOPWORDS)
+    return list(dict.fromkeys(t for t in re.findall("[a-z0-9]+", query.lower()) if t not in stop and len(t) > 1))
+
+
+def _gated(scored: DataFrame, k: int, min_score: float) -> DataFrame:
+    """The best ``k`` rows, or none of them if the best score is too low.
+
+    Scores are tested only after the limit: a filter on a computed column would be pushed
+    down to the scan and score every text twice. At most k rows remain here.
+    """
+    best = scored.orderBy(F.desc("score"), "id").limit(k)
+    top = F.max("score").over(Window.partitionBy(F.lit(1)))
+    return best.withColumn("top", top).filter((F.col("top") >= min_score) & (F.col("score") > 0)).drop("top")
+
+
 def search(
     docs: DataFrame,
     query: str,
@@ -54,53 +72,58 @@ def search(
 ) -> DataFrame:
     """Best ``k`` documents for one question, or no row when it is refused.
 
-    Every document is scored inside its own row, so nothing but ``k`` rows per task
-    moves. Counts come from a scalar subquery over the same scan. Ties go to the lower
-    id, which stands for the reading order.
+    For a table that has no stored index; ``search_index`` reads only the asked terms.
+    Every document is scored inside its own row, so nothing but ``k`` rows per task moves.
+    Counts come from a scalar subquery over the same scan, one map with an entry for each
+    of the question's terms, so the plan is the same for any question. Ties go to the
+    lower id, which stands for the reading order.
     """
     text = F.col(text) if isinstance(text, str) else text
-    stop = set(canon.STOPWORDS)
-    terms = list(dict.fromkeys(t for t in re.findall("[a-z0-9]+", query.lower()) if t not in stop and len(t) > 1))
+    terms = question_terms(query)
     if not terms:
         empty = docs.select(F.col(id_col).alias("id"), *keep, F.lit(0.0).alias("score"))
         return empty.filter(F.lit(False))
-    counted = (
-        docs.select(F.col(id_col).alias("id"), *keep, tokenize(text).alias("tokens"))
-        .select(
-            "id",
-            *keep,
-            F.size("tokens").cast("double").alias("dl"),
-            F.filter("tokens", lambda t: t.isin(terms)).alias("hits"),
-        )
-        .select(
-            "id", *keep, "dl",
-            *[F.size(F.filter("hits", lambda t: t == F.lit(term))).alias(f"f{i}") for i, term in enumerate(terms)],
-        )
+    tokens = docs.select(F.col(id_col).alias("id"), *keep, tokenize(text).alias("tokens"))
+    counted = tokens.select(
+        "id", *keep, F.size("tokens").cast("double").alias("dl"),
+        term_counts(F.filter("tokens", lambda t: t.isin(terms))).alias("hits"),
     )
-    totals = counted.agg(
-        F.struct(
-            F.count("*").cast("double").alias("n"),
-            F.avg("dl").alias("avgdl"),
-            *[F.sum(F.when(F.col(f"f{i}") > 0, 1.0).otherwise(0.0)).alias(f"d{i}") for i in range(len(terms))],
-        ).alias("totals")
-    ).scalar()
-    known = sum((F.when(totals[f"d{i}"] > 0, 1).otherwise(0) for i in range(len(terms))), F.lit(0))
-    parts = [
-        F.when(
-            F.col(f"f{i}") > 0, bm25_term(F.col(f"f{i}"), F.col("dl"), totals[f"d{i}"], totals["n"], totals["avgdl"])
-        ).otherwise(0.0)
-        for i in range(len(terms))
-    ]
-    best = (
-        counted.filter(known / F.lit(len(terms)) >= min_coverage)
-        .select("id", *keep, sum(parts, F.lit(0.0)).alias("score"))
-        .orderBy(F.desc("score"), "id")
-        .limit(k)
+    # The empty term stands for the document itself.
+    each_term = counted.select("dl", F.explode(F.concat(F.array(F.lit(SENTINEL)), F.transform("hits", lambda h: h["term"]))).alias("term"))
+    by_term = each_term.groupBy("term").agg(F.count("*").cast("double").alias("df"), F.sum("dl").alias("words"))
+    held = F.map_from_entries(F.collect_list(F.struct("term", F.struct("df", "words"))))
+    met = counted.withColumn("totals", by_term.agg(held.alias("totals")).scalar())
+    df = lambda term: F.element_at("totals", term)["df"]
+    n, words = df(F.lit(SENTINEL)), F.element_at("totals", F.lit(SENTINEL))["words"]
+    known = F.size(F.map_keys("totals")) - 1
+    score = F.aggregate(
+        "hits", F.lit(0.0), lambda sum_, h: sum_ + bm25_term(h["f"], F.col("dl"), df(h["term"]), n, words / n)
     )
-    # Scores are tested only after the limit: a filter on a computed column would be
-    # pushed down to the scan and score every text twice. At most k rows remain here.
-    top = F.max("score").over(Window.partitionBy(F.lit(1)))
-    return best.withColumn("top", top).filter((F.col("top") >= min_score) & (F.col("score") > 0)).drop("top")
+    enough = known / F.lit(len(terms)) >= min_coverage
+    return _gated(met.filter(enough).select("id", *keep, score.alias("score")), k, min_score)
+
+
+# --- one query, stored index -------------------------------------------------------
+
+
+def search_index(
+    held: Index, query: str, k: int = 5, min_coverage: float = canon.MIN_COVERAGE, min_score: float = canon.MIN_SCORE
+) -> DataFrame:
+    """``(id, score)`` of the best ``k`` documents out of a stored index.
+
+    The postings are sorted by term, so the filter on the asked terms reaches the scan and
+    skips the rest. Scores of a document are partly added before they are shuffled.
+    """
+    terms = question_terms(query)
+    asked = F.col("term").isin(terms) if terms else F.lit(False)
+    stats = held.stats.select(F.struct(F.col("n").cast("double").alias("n"), "avgdl").alias("s")).scalar()
+    weights = held.terms.filter(asked).select("term", term_idf(F.col("df"), stats["n"]).alias("idf"))
+    known = held.terms.filter(asked).agg(F.count("*").alias("known")).scalar()
+    postings = held.postings.filter(asked & (known / F.lit(max(1, len(terms))) >= min_coverage))
+    part = F.col("idf") * term_saturation(F.col("f"), F.col("dl"), stats["avgdl"])
+    # As many weights as the question has terms.
+    scores = postings.join(F.broadcast(weights), "term").groupBy("id").agg(exact_sum(part).alias("score"))
+    return _gated(scores, k, min_score)
 
 
 # --- many queries ----------------------------------------------------------------
@@ -164,27 +187,31 @@ def topk(scores: DataFrame, k: int, order: str = "score", tie: str = "id") -> Da
 
 
 def search_batch(
-    docs: DataFrame,
+    docs: DataFrame | None,
     queries: DataFrame,
     k: int = 5,
     id_col: str = "id",
     text: Column | str = "text",
     min_coverage: float = canon.MIN_COVERAGE,
     min_score: float = canon.MIN_SCORE,
+    held: Index | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """``(ranked, gate)`` for a table of ``(query_id, query)``.
 
     ``ranked`` is ``(query_id, rank, id, score)``; ``gate`` has one row per query with
-    its coverage, top score and refusal, so a refused query is still visible.
+    its coverage, top score and refusal, so a refused query is still visible. With a
+    stored index ``held`` no text is read: its postings meet the asked terms.
     """
-    from .index import analyze
-
     terms = settle(query_terms(queries), "terms")
-    hits = query_hits(analyze(docs, text, id_col), terms)
-    df = settle(hit_df(hits), "df")
+    if held is None:
+        hits = query_hits(analyze(docs, text, id_col), terms)
+        df, stats = settle(hit_df(hits), "df"), hit_stats(hits)
+    else:
+        hits = held.postings.join(terms.select("term").distinct(), "term", "left_semi")
+        df, stats = held.terms, held.stats.select(F.col("n").cast("double").alias("n"), "avgdl")
     coverage = settle(query_coverage(queries, terms, df), "coverage")
     open_terms = terms.join(coverage.filter(F.col("coverage") >= min_coverage), "query_id", "left_semi")
-    best = topk(lexical_scores(hits, open_terms, df, hit_stats(hits)), k)
+    best = topk(lexical_scores(hits, open_terms, df, stats), k)
     best = settle(best.select("query_id", "rank", "id", "score"), "ranked")
     tops = best.groupBy("query_id").agg(F.max("score").alias("top_score"))
     gate = coverage.join(tops, "query_id", "left").withColumn(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import index, retrieve
-from ..session import settle
+from ..session import new_path, settle
 from .oracle import with_
 from .registry import query
 
@@ -151,6 +151,24 @@ def search_batch(t):
     return ranked.withColumn("score", F.round("score", 6))
 
 
+def _stored(t):
+    path = new_path(t.spark, "lexical-index")
+    index.write_index(t.documents, path, "text", "doc_id")
+    return index.read_index(t.spark, path)
+
+
+@query("search_stored_index", _search_sql(QUESTION, 5).replace("SELECT id, source, lang, round", "SELECT id, round"))
+def search_stored_index(t):
+    """An index written, read back and asked."""
+    return retrieve.search_index(_stored(t), QUESTION, 5).withColumn("score", F.round("score", 6))
+
+
+@query("search_batch_stored_index", with_("top5") + "SELECT query_id, CAST(rank AS INT) AS rank, id, round(score, 6) AS score FROM top5")
+def search_batch_stored_index(t):
+    ranked, _ = retrieve.search_batch(None, t.questions, 5, held=_stored(t))
+    return ranked.withColumn("score", F.round("score", 6))
+
+
 # --- vectors ---------------------------------------------------------------------
 
 _DOT = "list_dot_product(CAST(q.v AS DOUBLE[]), CAST(e.embedding AS DOUBLE[]))"
