@@ -190,18 +190,21 @@ def marker_leak_check(verses: DataFrame, text: str = "text") -> DataFrame:
     return verses.filter(has_verse_marker(F.col(text)))
 
 
-def page_verify(anchors: DataFrame) -> DataFrame:
-    """Pages whose anchors name another book or chapter than the page should hold.
+def page_verify(pages: DataFrame, anchors: DataFrame) -> DataFrame:
+    """Pages without anchors, or whose anchors name another book or chapter than wanted.
 
-    ``anchors`` is ``(page, slug, chapter, want_slug, want_chapter)``, one row per
-    anchor; distinct values are compared through min and max, not collected.
+    ``pages`` is ``(page, want_slug, want_chapter)``, ``anchors`` ``(page, slug, chapter)``
+    with one row per anchor; distinct values are compared through min and max, not
+    collected.
     """
-    per_page = anchors.groupBy("page", "want_slug", "want_chapter").agg(
+    per_page = anchors.groupBy("page").agg(
         F.min("slug").alias("a"), F.max("slug").alias("b"), F.min("chapter").alias("c"), F.max("chapter").alias("d"),
         F.count("*").alias("anchors"),
     )
     ok = (
         F.col("a").eqNullSafe(F.col("want_slug")) & F.col("b").eqNullSafe(F.col("want_slug"))
         & F.col("c").eqNullSafe(F.col("want_chapter")) & F.col("d").eqNullSafe(F.col("want_chapter"))
+        & F.col("anchors").isNotNull()
     )
-    return per_page.filter(~ok).select("page", "want_slug", "want_chapter", "anchors")
+    met = pages.join(per_page, "page", "left").filter(~ok)
+    return met.select("page", "want_slug", "want_chapter", F.coalesce("anchors", F.lit(0)).alias("anchors"))

@@ -168,15 +168,16 @@ _WANT = ["john", "luke"]
 
 @query(
     "page_verify",
-    f"""WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, '<a href="/([^"]*)">', 1)) AS h, length(url) AS u FROM pages),
-    b AS (SELECT page_id AS page, CASE WHEN length(h) > 9 THEN 'luke' ELSE 'john' END AS slug, u % 3 AS chapter, {oracle.pick(_WANT, 'page_id')} AS want_slug, u % 3 AS want_chapter FROM a)
-    SELECT page, want_slug, want_chapter, count(*) AS anchors FROM b GROUP BY 1, 2, 3 HAVING count(*) FILTER (WHERE slug <> want_slug OR chapter <> want_chapter) > 0""",
+    f"""WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, '<a href="/([^"]*)">', 1)) AS h FROM pages WHERE page_id % 11 <> 4),
+    b AS (SELECT page_id, CASE WHEN length(h) > 9 THEN 'luke' ELSE 'john' END AS slug FROM a),
+    w AS (SELECT page_id AS page, {oracle.pick(_WANT, 'page_id')} AS want_slug, length(url) % 3 AS want_chapter FROM pages)
+    SELECT page, want_slug, want_chapter, count(slug) AS anchors FROM w LEFT JOIN b ON page_id = page
+    GROUP BY 1, 2, 3 HAVING count(slug) = 0 OR count(*) FILTER (WHERE slug <> want_slug) > 0""",
 )
 def page_verify(t):
-    hrefs = F.regexp_extract_all("html", F.lit('<a href="/([^"]*)">'), F.lit(1))
-    rows = t.pages.select("page_id", F.length("url").cast("long").alias("u"), each(hrefs).alias("h"))
-    anchors = rows.select(
-        F.col("page_id").alias("page"), F.when(F.length("h") > 9, "luke").otherwise("john").alias("slug"),
-        (F.col("u") % 3).alias("chapter"), pick(_WANT, F.col("page_id")).alias("want_slug"), (F.col("u") % 3).alias("want_chapter"),
-    )
-    return quality.page_verify(anchors)
+    """Links stand for anchors; every eleventh page is taken for one that has none."""
+    hrefs = F.when(F.col("page_id") % 11 != 4, F.regexp_extract_all("html", F.lit('<a href="/([^"]*)">'), F.lit(1)))
+    rows = t.pages.select(F.col("page_id").alias("page"), (F.length("url") % 3).cast("long").alias("chapter"), each(hrefs).alias("h"))
+    anchors = rows.select("page", F.when(F.length("h") > 9, "luke").otherwise("john").alias("slug"), "chapter")
+    wanted = t.pages.select(F.col("page_id").alias("page"), pick(_WANT, F.col("page_id")).alias("want_slug"), (F.length("url") % 3).cast("long").alias("want_chapter"))
+    return quality.page_verify(wanted, anchors)

@@ -24,6 +24,12 @@ def get_article(t):
     return tools.get_article(t.citation_requests, t.articles)
 
 
+def _refusals(missing: str) -> str:
+    """Answers of ``ans`` and a row for every request without one."""
+    return f""" SELECT *, NULL AS reason FROM ans UNION ALL SELECT request_id, 'refused', '', CASE WHEN ok THEN ref END, NULL, NULL, NULL,
+      CASE WHEN ok THEN '{missing}' ELSE 'unreadable reference' END FROM refn WHERE request_id NOT IN (SELECT request_id FROM ans)"""
+
+
 _TEXT = """SELECT request_id, 'verse' AS section, lpad('' || e.verse, 6, '0') AS ord, ref, e.citation, coalesce(l.text, '') AS title, e.text FROM refn r JOIN eng e
   ON ok AND r.slug = e.slug AND r.chapter = e.chapter AND (v1 IS NULL OR e.verse BETWEEN v1 AND v2) LEFT JOIN lat l USING (verse_key)"""
 
@@ -31,9 +37,10 @@ _TEXT = """SELECT request_id, 'verse' AS section, lpad('' || e.verse, 6, '0') AS
 @query(
     "lookup_verse",
     with_("refn", "eng", "lat", "idx", "fidx")
-    + _TEXT
+    + ", ans AS (" + _TEXT
     + """ UNION ALL SELECT request_id, 'citer', id, r.ref, citation, title, NULL FROM refn r JOIN idx ON ok AND idx.key = verse_keys[1]
-    UNION ALL SELECT request_id, 'commentary', '', ref, NULL, NULL, NULL FROM refn WHERE ok AND verse_keys[1] IN (SELECT key FROM fidx)""",
+    UNION ALL SELECT request_id, 'commentary', '', ref, NULL, NULL, NULL FROM refn WHERE ok AND verse_keys[1] IN (SELECT key FROM fidx))"""
+    + _refusals("no such verse is held"),
 )
 def lookup_verse(t):
     index = graph.inverted_index(t.articles).select("key", "id", "citation", "title")
@@ -46,17 +53,26 @@ def lookup_verse(t):
     with_("refn", "fidx", "per", "frag")
     + """, k AS (SELECT request_id, ref, unnest(verse_keys) AS key, lpad('' || (generate_subscripts(verse_keys, 1) - 1), 9, '0') AS o FROM refn WHERE ok AND v1 IS NOT NULL
       UNION ALL SELECT request_id, ref, f.key, f.key FROM refn JOIN (SELECT DISTINCT key FROM fidx) f ON ok AND v1 IS NULL AND starts_with(f.key, chapter_key || '/')),
-    p AS (SELECT request_id, ref, id, min(o) AS o FROM k JOIN fidx USING (key) GROUP BY 1, 2, 3)
-    SELECT request_id, 'fragment' AS section, o || '|' || p.id || '|' || lpad('' || i, 6, '0') AS ord, ref, per.citation, father AS title, frag.text
-    FROM p JOIN per ON per.id = p.id JOIN frag USING (doc_id)""",
+    p AS (SELECT request_id, ref, id, min(o) AS o FROM k JOIN fidx USING (key) GROUP BY 1, 2, 3),
+    ans AS (SELECT request_id, 'fragment' AS section, o || '|' || p.id || '|' || lpad('' || i, 6, '0') AS ord, ref, per.citation, father AS title, frag.text
+    FROM p JOIN per ON per.id = p.id JOIN frag USING (doc_id)
+    UNION ALL SELECT request_id, 'lemma', o || '|' || p.id || '|', ref, per.citation, NULL, string_split(documents.text, chr(10))[1]
+    FROM p JOIN per ON per.id = p.id JOIN documents USING (doc_id))"""
+    + _refusals("no commentary is held on it"),
 )
 def verse_fathers(t):
     return tools.verse_fathers(t.references, graph.fathers_index(t.pericopes).select("key", "id"), t.pericopes)
 
 
+_NO_ARTICLE = """CASE WHEN article_id IN (SELECT id FROM art) THEN '{}' WHEN article_id IS NULL THEN 'unreadable citation' ELSE 'no such article is held' END
+    FROM citr WHERE request_id NOT IN (SELECT request_id FROM ans)"""
+
+
 @query(
     "article_scripture",
-    with_("citr", "scr") + "SELECT DISTINCT request_id, article_id, ref FROM citr JOIN scr ON scr.id = article_id WHERE ok",
+    with_("citr", "scr", "art")
+    + """, ans AS (SELECT DISTINCT request_id, article_id, ref FROM citr JOIN scr ON scr.id = article_id WHERE ok)
+    SELECT *, NULL AS reason FROM ans UNION ALL SELECT request_id, article_id, NULL, """ + _NO_ARTICLE.format("no references in it"),
 )
 def article_scripture(t):
     return tools.article_scripture(t.citation_requests, t.articles.select("id", "citation"), graph.node_refs(t.articles))
@@ -65,8 +81,9 @@ def article_scripture(t):
 @query(
     "cross_references",
     with_("citr", "res", "art")
-    + """SELECT request_id, article_id, 'cites' AS direction, dst AS other_id, art.citation AS other_citation FROM citr JOIN res ON src = article_id JOIN art ON art.id = dst
-    UNION ALL SELECT request_id, article_id, 'cited_by', src, art.citation FROM citr JOIN res ON dst = article_id JOIN art ON art.id = src""",
+    + """, ans AS (SELECT request_id, article_id, 'cites' AS direction, dst AS other_id, art.citation AS other_citation FROM citr JOIN res ON src = article_id JOIN art ON art.id = dst
+    UNION ALL SELECT request_id, article_id, 'cited_by', src, art.citation FROM citr JOIN res ON dst = article_id JOIN art ON art.id = src)
+    SELECT *, NULL AS reason FROM ans UNION ALL SELECT request_id, article_id, 'refused', NULL, NULL, """ + _NO_ARTICLE.format("no references to or from it"),
 )
 def cross_references(t):
     return tools.cross_references(t.citation_requests, t.articles.select("id", "citation"), _resolved_meta(t))

@@ -29,6 +29,26 @@ def _rows(df: DataFrame, section: str, ord: Column, ref: Column, citation, title
     )
 
 
+def with_refusals(requests: DataFrame, answers: DataFrame, reason: Column, **shown: Column) -> DataFrame:
+    """The answers and, for each request that has none, one row that says why.
+
+    ``reason`` and ``shown`` are columns over the requests; they fill columns of the
+    answers, all others stay empty. The answers are written once, as they are read twice.
+    """
+    held = settle(answers, "answers")
+    silent = requests.join(held.select("request_id").distinct(), "request_id", "left_anti")
+    cells = {"request_id": F.col("request_id"), **shown}
+    filled = {c: cells.get(c, F.lit(None)).cast(held.schema[c].dataType).alias(c) for c in held.columns}
+    said = silent.select(*filled.values(), reason.alias("reason"))
+    return held.withColumn("reason", none()).unionByName(said)
+
+
+def _refuse_reference(requests: DataFrame, answers: DataFrame, missing: str) -> DataFrame:
+    read = requests.withColumn("norm", normalize_ref(F.col("reference")))
+    reason = F.when(F.col("norm").isNull(), "unreadable reference").otherwise(missing)
+    return with_refusals(read, answers, reason, section=F.lit("refused"), ord=F.lit(""), ref=F.col("norm.ref"))
+
+
 def resolve_article(requests: DataFrame, meta: DataFrame, col: str = "citation") -> DataFrame:
     """Requests with ``article_id``: an exact citation, else the id its text spells."""
     exact = meta.select(F.col("citation").alias(col), F.col("id").alias("_exact"))
@@ -62,7 +82,7 @@ def lookup_verse(requests: DataFrame, verses: DataFrame, latin: DataFrame, index
     citers = _rows(keyed.join(index, "key"), "citer", F.col("id"), F.col("norm.ref"), "citation", "title", none())
     noted = keyed.join(fathers.select("key").distinct(), "key", "left_semi")
     hints = _rows(noted, "commentary", F.lit(""), F.col("norm.ref"), none(), none(), none())
-    return shown.unionByName(citers).unionByName(hints)
+    return _refuse_reference(requests, shown.unionByName(citers).unionByName(hints), "no such verse is held")
 
 
 def verse_pericopes(requests: DataFrame, fathers: DataFrame) -> DataFrame:
@@ -85,20 +105,31 @@ def verse_pericopes(requests: DataFrame, fathers: DataFrame) -> DataFrame:
 
 
 def verse_fathers(requests: DataFrame, fathers: DataFrame, pericopes: DataFrame) -> DataFrame:
-    """Commentary fragments per request, in chain order."""
+    """Lemma and commentary fragments per request, in chain order."""
     # The chains asked for are few; whole pericopes meet them before they are unfolded.
     asked = settle(verse_pericopes(requests, fathers), "chains")
-    held = pericopes.select("id", "citation", "segments").join(asked, "id")
+    held = pericopes.select("id", "citation", "lemma", "segments").join(asked, "id")
+    begin = F.concat_ws("|", F.col("first"), F.col("id"), F.lit(""))
+    lemmas = _rows(held, "lemma", begin, F.col("ref"), "citation", none(), "lemma")
     chains = held.select("request_id", "ref", "id", "first", "citation", each_at("segments").alias("pos", "s"))
     order = F.concat_ws("|", F.col("first"), F.col("id"), F.lpad(F.col("pos").cast("string"), 6, "0"))
-    return _rows(chains, "fragment", order, F.col("ref"), "citation", F.col("s.father"), F.col("s.text"))
+    fragments = _rows(chains, "fragment", order, F.col("ref"), "citation", F.col("s.father"), F.col("s.text"))
+    return _refuse_reference(requests, lemmas.unionByName(fragments), "no commentary is held on it")
+
+
+def _refuse_article(requests: DataFrame, meta: DataFrame, answers: DataFrame, empty: str, **shown: Column) -> DataFrame:
+    known = meta.select(F.col("id").alias("article_id"), F.lit(True).alias("_held")).distinct()
+    read = resolve_article(requests, meta.select("id", "citation")).join(known, "article_id", "left")
+    reason = F.when(F.col("_held"), empty).when(F.col("article_id").isNull(), "unreadable citation").otherwise("no such article is held")
+    return with_refusals(read, answers, reason, article_id=F.col("article_id"), **shown)
 
 
 def article_scripture(requests: DataFrame, meta: DataFrame, refs: DataFrame) -> DataFrame:
     """References an article rests on, one row each."""
     asked = resolve_article(requests, meta).filter(F.col("article_id").isNotNull())
     held = refs.select(F.col("id").alias("article_id"), each("refs").alias("ref"))
-    return asked.join(held, "article_id").select("request_id", "article_id", "ref")
+    found = asked.join(held, "article_id").select("request_id", "article_id", "ref")
+    return _refuse_article(requests, meta, found, "no references in it")
 
 
 def cross_references(requests: DataFrame, meta: DataFrame, edges: DataFrame) -> DataFrame:
@@ -113,7 +144,7 @@ def cross_references(requests: DataFrame, meta: DataFrame, edges: DataFrame) ->
         "request_id", "article_id", F.lit("cited_by").alias("direction"), F.col("src").alias("other_id"),
         F.col("src_citation").alias("other_citation"),
     )
-    return cites.unionByName(cited)
+    return _refuse_article(requests, meta, cites.unionByName(cited), "no references to or from it", direction=F.lit("refused"))
 
 
 def todays_reading(requests: DataFrame, readings: DataFrame, verses: DataFrame, fathers: DataFrame) -> DataFrame:

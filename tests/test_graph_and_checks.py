@@ -157,3 +157,15 @@ def test_text_checks(spark):
 def test_searchable_keeps_untyped(spark):
     df = spark.createDataFrame([(1, None), (2, "verse"), (3, "article"), (4, "father-comment")], "id int, type string")
     assert sorted(r.id for r in project.searchable(df).collect()) == [1, 3]
+
+
+def test_every_request_is_answered_or_refused(spark):
+    asked = spark.createDataFrame([(1, "gibberish"), (2, "John 1:1"), (3, "John 3:1")], "request_id int, reference string")
+    fathers = spark.createDataFrame([("john/1/1", "p1")], "key string, id string")
+    segment = "array<struct<role:string,father:string,text:string>>"
+    pericopes = spark.createDataFrame([("p1", "Chain 1", "In the beginning", [("father", "Bede", "said")])], f"id string, citation string, lemma string, segments {segment}")
+    rows = tools.verse_fathers(asked, fathers, pericopes).orderBy("request_id", "ord").collect()
+    assert [(r.request_id, r.section, r.text, r.reason) for r in rows] == [
+        (1, "refused", None, "unreadable reference"), (2, "lemma", "In the beginning", None), (2, "fragment", "said", None),
+        (3, "refused", None, "no commentary is held on it"),
+    ]
