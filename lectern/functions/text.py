@@ -1,7 +1,7 @@
 """Text functions: tokens, markup removal, markers, names, snippets.
 
 All of them are built-in column expressions, so they run in the JVM next to the scan
-and never move a row to Python (``unescape_full`` is the one Arrow-batched exception).
+and never move a row to Python.
 """
 
 from __future__ import annotations
@@ -10,7 +10,6 @@ import html.entities
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import canon
 from .columns import let, literal_map, run_starts
@@ -23,7 +22,12 @@ LINE_END = r"\r\n|[\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 CP1252_FROM = "".join(map(chr, [*range(0x80, 0x81), *range(0x82, 0x8D), 0x8E, *range(0x91, 0x9D), 0x9E, 0x9F]))
 CP1252_TO = CP1252_FROM.encode("latin-1").decode("cp1252")
 
-TAG = r"(?s)<!--.*?-->|</?[A-Za-z][^>]*>|<[!?][^>]*>"
+# A tag ends at the first ``>`` outside its quoted values; one whose quotes don't close, at
+# the first ``>`` of all.
+TAG = (
+    r"(?s)<!--.*?-->|</?[A-Za-z][^>\"']*+(?:\"[^\"]*+\"[^>\"']*+|'[^']*+'[^>\"']*+)*+>"
+    r"|</?[A-Za-z][^>]*>|<[!?][^>]*>"
+)
 ANY_TAG = r"<[^>]+>"
 SOFT_HYPHEN = "\u00ad"
 STRAY_MARKS = "\u00b0\u00b7"
@@ -75,34 +79,58 @@ def first_seen_distinct(items: Column) -> Column:
 
 # --- entities and markup ---------------------------------------------------------
 
-_NAMED = {name: chr(code) for name, code in html.entities.name2codepoint.items()} | {"apos": "'"}
+# All names of the standard's table, most with their semicolon; some old ones also go
+# without, and then also as the beginning of a longer word.
+_NAMED = html.entities.html5
+_OLD = sorted((n for n in _NAMED if not n.endswith(";")), key=len, reverse=True)
+_COMMON = {n: _NAMED[n] for n in ("amp;", "lt;", "gt;", "quot;", "nbsp;", "apos;")}
+# Code points that a numeric reference can't name: it stands for nothing.
+_NOTHING = r"^[\x01-\x08\x0b\x0e-\x1f\x7f-\x9f\ufdd0-\ufdef\ufffe\uffff]$"
 
 
 def _code_point(code: Column) -> Column:
-    code = F.when((code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF), F.lit(0xFFFD)).otherwise(code)
-    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-    return F.when(code.between(0x80, 0x9F), F.translate(char, CP1252_FROM, CP1252_TO)).otherwise(char)
+    bad = (code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF)
+    char = F.decode(F.unhex(F.lpad(F.hex(F.when(bad, F.lit(0xFFFD)).otherwise(code)), 8, "0")), "UTF-32")
+    nothing = char.rlike(_NOTHING) | ((code > 0xFFFF) & (code.bitwiseAND(0xFFFE) == 0xFFFE) & ~bad)
+    return F.when(code.between(0x80, 0x9F), F.translate(char, CP1252_FROM, CP1252_TO)).when(nothing, "").otherwise(char)
+
+
+def _number(digits: Column, most: int, base: int) -> Column:
+    """Value of a digit string; one too long for a code point counts as too large."""
+    plain = F.ltrim(F.translate(digits, "0", " "))
+    short = F.substring(digits, -most, most)
+    return F.when(F.length(plain) > most, F.lit(0x110000).cast("long")).otherwise(F.conv(short, base, 10).cast("long"))
 
 
 def _decoded_piece(piece: Column) -> Column:
-    name = F.regexp_extract(piece, r"^(#[0-9]{1,9}|#[xX][0-9a-fA-F]{1,7}|[A-Za-z][A-Za-z0-9]*);", 1)
-
-    def expand(n: Column) -> Column:
-        number = F.when(
-            F.lower(F.substring(n, 1, 2)) == "#x",
-            F.conv(F.substring(n, 3, 7), 16, 10).cast("long"),
-        ).when(F.substring(n, 1, 1) == "#", F.substring(n, 2, 9).cast("long"))
-        char = F.coalesce(
-            F.when(number.isNotNull(), _code_point(number)), F.try_element_at(literal_map(_NAMED), n)
-        )
-        rest = piece.substr(F.length(n) + 2, F.length(piece))
-        return F.when((n != "") & char.isNotNull(), F.concat(char, rest)).otherwise(F.concat(F.lit("&"), piece))
+    """Text after an ampersand, its reference decoded."""
+
+    def at(pattern: str) -> Column:
+        return F.regexp_extract(piece, pattern, 1)
+
+    def rest(length: Column) -> Column:
+        return piece.substr(length + 1, F.length(piece))
 
-    return let(name, expand)
+    def numeric(pattern: str, most: int, base: int) -> Column:
+        whole = F.regexp_extract(piece, pattern, 0)
+        return F.concat(_code_point(_number(at(pattern), most, base)), rest(F.length(whole)))
+
+    def named(word: Column) -> Column:
+        old = at("^(" + "|".join(_OLD) + ")")
+        char = F.coalesce(F.try_element_at(literal_map(_COMMON), word), F.try_element_at(literal_map(_NAMED), word))
+        return F.when((word != "") & char.isNotNull(), F.concat(char, rest(F.length(word)))).when(
+            old != "", F.concat(F.try_element_at(literal_map({n: _NAMED[n] for n in _OLD}), old), rest(F.length(old)))
+        ).otherwise(F.concat(F.lit("&"), piece))
+
+    return (
+        F.when(piece.rlike("^#[0-9]"), numeric("^#([0-9]+);?", 7, 10))
+        .when(piece.rlike("^#[xX][0-9a-fA-F]"), numeric("^#[xX]([0-9a-fA-F]+);?", 6, 16))
+        .otherwise(let(at(r"^([^\t\n\f <&#;]{1,32};?)"), named))
+    )
 
 
 def unescape(text: Column) -> Column:
-    """Decode numeric references and the named HTML 4 entities (JVM only)."""
+    """Decode numeric references and all names of HTML 5, in the JVM."""
 
     def decode(pieces: Column) -> Column:
         rest = F.transform(F.slice(pieces, 2, F.size(pieces)), _decoded_piece)
@@ -111,22 +139,14 @@ def unescape(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("&")), let(F.split(text, "&", -1), decode)).otherwise(text)
 
 
-@F.pandas_udf(T.StringType())
-def unescape_full(values):
-    """Decode every HTML 5 entity, semicolon or not; Arrow batches, for odd sources."""
-    return values.map(html.unescape, na_action="ignore")
-
-
-def html_to_text(fragment: Column, full: bool = False) -> Column:
+def html_to_text(fragment: Column) -> Column:
     """Parser-style text: tags vanish and their neighbours join."""
-    bare = F.regexp_replace(fragment, TAG, "")
-    return collapse_ws(unescape_full(bare) if full else unescape(bare))
+    return collapse_ws(unescape(F.regexp_replace(fragment, TAG, "")))
 
 
-def html_clean(fragment: Column, full: bool = False) -> Column:
+def html_clean(fragment: Column) -> Column:
     """Pattern-style text: tags become spaces, soft hyphens and stray marks go."""
-    bare = F.regexp_replace(fragment, ANY_TAG, " ")
-    text = unescape_full(bare) if full else unescape(bare)
+    text = unescape(F.regexp_replace(fragment, ANY_TAG, " "))
     return collapse_ws(F.translate(F.translate(text, SOFT_HYPHEN, ""), STRAY_MARKS, "  "))
 
 
