@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Callable, Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -73,3 +73,16 @@ def kept(value: Column, test: Callable[[Column], Column]) -> Column:
     a generator computes it once.
     """
     return F.explode(F.filter(F.array(value), test))
+
+
+def unfold(rows: DataFrame, first: Column, last: Column, name: str) -> DataFrame:
+    """One row per whole number from ``first`` to ``last``, in a column ``name``.
+
+    Unfolded in steps of 2^32, 2^16 and 1, so no row ever holds more than 65,536 numbers
+    of a range, however wide it is. A range that ends before it starts gives no row.
+    """
+    out = rows.withColumns({"_first": first.cast("long"), "_last": last.cast("long")}).filter("_first <= _last")
+    for step, width in ((1 << 32, None), (1 << 16, 1 << 32), (1, 1 << 16)):
+        end = F.col("_last") if width is None else F.least(F.col("_first") + (width - 1), F.col("_last"))
+        out = out.withColumn("_first", F.explode(F.sequence(F.col("_first"), end, F.lit(step).cast("long"))))
+    return out.drop("_last").withColumnRenamed("_first", name)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import canon
-from ..functions.columns import each, literal_map
+from ..functions.columns import each, literal_map, unfold
 from ..functions.refs import normalize_ref
 from ..functions.text import SPACE, clean_latin, collapse_ws, has_verse_marker, join_segments
 
@@ -15,6 +15,18 @@ def unique_id(nodes: DataFrame, key: str = "id") -> DataFrame:
     return nodes.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
 
 
+def unique_text(nodes: DataFrame, text: str = "text") -> DataFrame:
+    """Texts that stand in more than one row.
+
+    Rows are counted by a hash of the text; only the texts of repeated hashes travel.
+    """
+    key = F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
+    hashed = nodes.select(F.col(text), F.struct(key.alias("h"), F.col(text).isNull().alias("none")).alias("_key"))
+    counts = hashed.groupBy("_key").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+    held = hashed.join(counts, "_key", "left_semi").groupBy("_key").agg(F.first(text).alias(text))
+    return held.join(counts, "_key").select(text, "n")
+
+
 def nonempty_text(nodes: DataFrame, text: str = "text") -> DataFrame:
     return nodes.filter(F.coalesce(F.col(text), F.lit("")).rlike(rf"\A{SPACE}*\z"))
 
@@ -144,7 +156,8 @@ def gaps(rows: DataFrame, group: list[str], number: str) -> DataFrame:
     wanted = F.sequence(F.greatest(start, F.col("_first")).cast(kind), F.least(end, F.col("_last")).cast(kind))
     inside = buckets.join(spans, group).select(*group, F.explode(F.array_except(wanted, F.col("_held"))).alias(number))
     sparse = spans.filter(F.col("_b1") - F.col("_b0") + 1 > F.col("_n"))
-    empty = sparse.select(*group, F.explode(F.sequence("_b0", "_b1")).alias("_b")).join(buckets, [*group, "_b"], "left_anti")
+    every = unfold(sparse.select(*group, "_b0", "_b1"), F.col("_b0"), F.col("_b1"), "_b").select(*group, "_b")
+    empty = every.join(buckets, [*group, "_b"], "left_anti")
     return inside.unionByName(empty.select(*group, F.explode(F.sequence(start.cast(kind), end.cast(kind))).alias(number)))
 
 
@@ -162,10 +175,21 @@ def charset_whitelist(rows: DataFrame, text: str = "text", letters: str = canon.
 
 
 def substring_of_source(rows: DataFrame, sources: DataFrame, on: list[str], text: str = "text",
-                        source: str = "source_text") -> DataFrame:
-    """Rows whose collapsed text is not found in the source of their own bucket."""
+                        source: str = "source_text", rows_per_list: int = 256) -> DataFrame:
+    """Rows whose collapsed text is not found in the source of their own bucket.
+
+    A bucket's rows are gathered in lists of about ``rows_per_list``, and each list meets
+    the source once: the source is not copied to every row, and no list grows with the
+    corpus.
+    """
+    counts = rows.groupBy(*on).agg(F.ceil(F.count("*") / rows_per_list).alias("_lists"))
+    dealt = rows.join(counts, on).withColumn("_list", F.pmod(F.xxhash64(text), F.col("_lists")))
+    lists = dealt.groupBy(*on, "_list").agg(F.collect_list(F.struct(*[F.col(c) for c in rows.columns])).alias("_rows"))
     flat = sources.select(*on, collapse_ws(F.col(source)).alias("_flat"))
-    return rows.join(flat, on, "left").filter(~F.coalesce(F.contains("_flat", F.col(text)), F.lit(False))).drop("_flat")
+    missing = lambda r, whole: ~F.coalesce(F.contains(whole, r[text]), F.lit(False))
+    met = lists.join(flat, on, "left").select("_rows", "_flat")
+    bad = met.select(F.explode(F.filter("_rows", lambda r: missing(r, F.col("_flat")))).alias("_r"))
+    return bad.select("_r.*")
 
 
 def rederive_equals(rows: DataFrame, raw: DataFrame, on: list[str], text: str = "text", raw_text: str = "raw") -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import canon
 from ..functions.text import term_counts, tokenize
-from ..functions.vectors import dot_with
+from ..functions.vectors import dot_with, matrix_of
 from ..session import settle
 from .index import Index, analyze
 
@@ -267,46 +267,35 @@ def semantic_search_batch(
 ) -> DataFrame:
     """``(query_id, rank, id, score)`` for a table of ``(query_id, vector)``.
 
-    Queries travel to the vectors in blocks of a fixed row count; however many there
-    are, each block is one scan that keeps ``k`` candidates per query and batch.
+    Vectors and queries are dealt into blocks by a hash, and a task has one block of
+    each: one matrix product, of which ``k`` candidates per query go on. Neither side
+    passes through the driver, and both are of bounded size in a task.
     """
     schema = f"query_id {dict(queries.dtypes)['query_id']}, id {dict(vectors.dtypes)[id_col]}, score double"
-    n_blocks = max(1, math.ceil(queries.count() / block))
-    keyed = queries.withColumn("_block", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)))
-    found = None
-    for b in range(n_blocks):
-        rows = keyed.filter(F.col("_block") == b).select("query_id", "vector").toPandas()
-        if rows.empty:
-            continue
-        matrix = np.stack(rows["vector"].map(lambda v: np.asarray(v, dtype=np.float64)))
-        lengths = np.linalg.norm(matrix, axis=1)
-        matrix = matrix / np.where(lengths == 0, 1.0, lengths)[:, None]
-        part = _block_candidates(vectors.select(F.col(id_col).alias("id"), F.col(vector).alias("v")),
-                                 rows["query_id"].to_numpy(), matrix, k, schema)
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        found = vectors.sparkSession.createDataFrame([], schema)
-    return topk(found.filter(F.col("score") >= floor), k).select("query_id", "rank", "id", "score")
-
+    v_blocks, q_blocks = (max(1, math.ceil(df.count() / block)) for df in (vectors, queries))
+    dealt = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = vectors.filter(F.col(vector).isNotNull()).select(
+        F.col(id_col).alias("id"), F.col(vector).alias("v"), dealt(F.col(id_col), v_blocks).alias("vb"), every(q_blocks).alias("qb")
+    )
+    right = queries.filter(F.col("vector").isNotNull()).select(
+        "query_id", F.col("vector").alias("v"), every(v_blocks).alias("vb"), dealt(F.col("query_id"), q_blocks).alias("qb")
+    )
 
-def _block_candidates(vectors: DataFrame, ids: np.ndarray, matrix: np.ndarray, k: int, schema: str) -> DataFrame:
-    def candidates(batches):
-        for batch in batches:
-            held = batch.filter(batch.column("v").is_valid())
-            if not held.num_rows:
-                continue
-            flat = held.column("v").flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            scores = np.round(matrix @ flat.reshape(held.num_rows, -1).T, 15)
-            names = held.column("id").to_numpy(zero_copy_only=False)
-            order = np.argsort(names, kind="stable")
-            ranked = order[np.argsort(-scores[:, order], axis=1, kind="stable")[:, :k]]
-            q = np.repeat(np.arange(len(ids)), ranked.shape[1])
-            d = ranked.ravel()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[q]), pa.array(names[d]), pa.array(scores[q, d])], names=["query_id", "id", "score"]
-            )
-
-    return vectors.mapInArrow(candidates, schema)
+    def candidates(held: pa.Table, asked: pa.Table) -> pa.Table:
+        if not len(held) or not len(asked):
+            return pa.table({"query_id": asked.column("query_id")[:0], "id": held.column("id")[:0], "score": pa.array([], pa.float64())})
+        held, asked = held.sort_by("id").combine_chunks(), asked.combine_chunks()
+        x = matrix_of(held.column("v").combine_chunks())
+        q = matrix_of(asked.column("v").combine_chunks(), x.shape[1])
+        lengths = np.linalg.norm(q, axis=1)
+        scores = np.round(q / np.where(lengths == 0, 1.0, lengths)[:, None] @ x.T, 15)
+        best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
+        rows, cols = np.repeat(np.arange(len(q)), best.shape[1]), best.ravel()
+        return pa.table({"query_id": asked.column("query_id").take(rows), "id": held.column("id").take(cols), "score": scores[rows, cols]})
+
+    found = left.groupBy("vb", "qb").cogroup(right.groupBy("vb", "qb")).applyInArrow(candidates, schema)
+    return topk(found.filter(F.col("score") >= floor), k).select("query_id", "rank", "id", "score")
 
 
 def search_dispatch(have_vectors: bool, have_embedder: bool, prefer_semantic: bool = True) -> str:

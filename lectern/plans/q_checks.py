@@ -20,7 +20,7 @@ def unique_id(t):
 
 @query("unique_text", "SELECT text, count(*) AS n FROM documents GROUP BY 1 HAVING count(*) > 1")
 def unique_text(t):
-    return quality.unique_id(t.documents, "text")
+    return quality.unique_text(t.documents)
 
 
 _AFTER = "regexp_replace(line, '^[^,.]*[,.]?', '')"

@@ -169,3 +169,13 @@ def test_every_request_is_answered_or_refused(spark):
         (1, "refused", None, "unreadable reference"), (2, "lemma", "In the beginning", None), (2, "fragment", "said", None),
         (3, "refused", None, "no commentary is held on it"),
     ]
+
+
+def test_wide_ranges_unfold_in_steps(spark):
+    from lectern.functions.columns import unfold
+
+    rows = spark.createDataFrame([(1, 5, 7), (2, 9, 8), (3, 10, 1_500_010)], "k int, a long, b long")
+    got = unfold(rows, F.col("a"), F.col("b"), "x").groupBy("k").agg(F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"), F.count_distinct("x").alias("d"))
+    assert sorted(map(tuple, got.collect())) == [(1, 3, 5, 7, 3), (3, 1_500_001, 10, 1_500_010, 1_500_001)]
+    far = spark.createDataFrame([("g", 1), ("g", 3_000_000)], "g string, n long")
+    assert quality.gaps(far, ["g"], "n").count() == 2_999_998

@@ -57,12 +57,24 @@ def test_search_matches_brute_force(corpus, query):
     assert got == brute(docs, query)
 
 
-@pytest.mark.parametrize("limit", [500_000, 0])
-def test_batch_matches_brute_force(spark, corpus, monkeypatch, limit):
-    monkeypatch.setattr(retrieve, "BROADCAST_ROWS", limit)  # 0 takes the salted path
+@pytest.fixture(scope="module")
+def stored(spark, corpus, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("lexical") / "index")
+    index.write_index(corpus[1], path)
+    return index.read_index(spark, path)
+
+
+@pytest.mark.parametrize("query", QUERIES)
+def test_stored_index_matches_brute_force(corpus, stored, query):
+    got = [(r.id, round(r.score, 6)) for r in retrieve.search_index(stored, query).orderBy(F.desc("score"), "id").collect()]
+    assert got == brute(corpus[0], query)
+
+
+@pytest.mark.parametrize("from_index", [False, True])
+def test_batch_matches_brute_force(spark, corpus, stored, from_index):
     docs, df = corpus
     queries = spark.createDataFrame(list(enumerate(QUERIES)), "query_id int, query string")
-    ranked, gate = retrieve.search_batch(df, queries, 5)
+    ranked, gate = retrieve.search_batch(None if from_index else df, queries, 5, held=stored if from_index else None)
     got = {}
     for r in ranked.orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.id, round(r.score, 6)))
