@@ -35,37 +35,33 @@ def op7_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packed.drop("ids")
 
 
+#: Lines that a revision takes out of a document.
+LICENCE_LINES = r"(?:^|\n)[^\n]*(?:License|Licensed|licensed|rights reserved)[^\n]*"
+
+
 @query("op10_token_rollups")
 def op10_token_rollups(spark: SparkSession, folder: str) -> DataFrame:
-    """All documents enter, those of low quality are revised, toxic ones are taken down.
+    """All documents enter, licence lines are revised away, toxic documents are taken down.
 
-    A revision collapses runs of blanks. The last batch is sent twice and counts once.
+    Whether a document is revised is seen in its row, and what is taken down is looked up
+    among the counts, so no text is shuffled. The last batch is sent twice and counts once.
     """
-    docs, labels = load(spark, folder, "documents"), load(spark, folder, "labels")
-    marked = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
+    docs = load(spark, folder, "documents").withColumn("revised", F.coalesce(F.col("text").rlike(LICENCE_LINES), F.lit(False)))
     rollup = rollups.Rollup(spark, new_path(spark, "rollup"))
-    counts = settle(rollups.counted(docs), "counts")
+    counts = settle(rollups.counted(docs, extra=("revised",)), "counts")
     rollup.commit("load", rollups.inserts(counts))
-    low = docs.join(marked.where("quality = 0"), "doc_id", "left_semi")
-    both = rollups.counted(low.withColumn("after", F.regexp_replace("text", r"[ \t]+", " ")), extra=("after",))
-    held = both.withColumnRenamed("tokens", "old_tokens").withColumnRenamed("after", "text")
-    rollup.commit("revise", rollups.revisions(rollups.counted(held, extra=("old_tokens",))))
-    gone = marked.where("toxic = 1 AND (quality IS NULL OR quality != 0)")
-    rollup.commit("takedown", rollups.deletes(counts.join(gone, "doc_id", "left_semi")))
-    rollup.commit("takedown", rollups.deletes(counts.join(gone, "doc_id", "left_semi")))
+    changed = docs.where("revised").withColumn("after", F.regexp_replace("text", LICENCE_LINES, ""))
+    old = rollups.counted(changed, extra=("after",)).withColumnsRenamed({"tokens": "old_tokens", "after": "text"})
+    new = settle(rollups.counted(old, extra=("old_tokens",)), "revisions")
+    rollup.commit("revise", rollups.revisions(new))
+    held = counts.where("NOT revised").drop("revised").unionByName(new.drop("old_tokens"))
+    toxic = load(spark, folder, "labels").where("toxic = 1").select("doc_id").distinct()
+    gone = rollups.deletes(held.join(toxic, "doc_id", "left_semi"))
+    rollup.commit("takedown", gone)
+    rollup.commit("takedown", gone)
     return rollup.totals()
 
 
-@query("op2_quality")
-def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.judge(load(spark, folder, "documents"), load(spark, folder, "labels"))
-
-
-@query("op6_mixing")
-def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    return mixing.plan(load(spark, folder, "documents"))
-
-
 @query("op5_nearest")
 def op5_nearest(spark: SparkSession, folder: str) -> DataFrame:
     return ann.search(load(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)

@@ -1,5 +1,6 @@
 """Rollups against counting again."""
 
+import re
 from collections import Counter
 
 import public_tokenizers
@@ -7,27 +8,24 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lectern.llm import rollups
-from lectern.llm.queries import op10_token_rollups
+from lectern.llm.queries import LICENCE_LINES, op10_token_rollups
 from tests.llm.odd import no_docs, odd_docs
 
 
 def test_query_against_counting(spark):
     folder = "/root/testdata/sf0.001"
     whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    marks = {}
-    for r in spark.read.parquet(f"{folder}/labels.parquet").collect():
-        marks[r.doc_id] = (r.quality, r.toxic)
-    import re
-
-    want_docs, want_tokens = Counter(), Counter()
+    toxic = {r.doc_id for r in spark.read.parquet(f"{folder}/labels.parquet").collect() if r.toxic == 1}
+    want_docs, want_tokens, revised = Counter(), Counter(), 0
     for d in spark.read.parquet(f"{folder}/documents.parquet").collect():
-        quality, toxic = marks.get(d.doc_id, (None, None))
-        if toxic == 1 and quality != 0:
+        if d.doc_id in toxic:
             continue
-        text = re.sub(r"[ \t]+", " ", d.text) if quality == 0 else d.text
+        text = re.sub(LICENCE_LINES, "", d.text)
+        revised += text != d.text
         key = (d.source, d.lang, "byte_bpe_50k")
         want_docs[key] += 1
         want_tokens[key] += len(whole.encode(text, add_special_tokens=False).ids)
+    assert revised
     got = {(r.source, r.lang, r.version): (r.documents, r.tokens) for r in op10_token_rollups(spark, folder).collect()}
     assert got == {k: (n, want_tokens[k]) for k, n in want_docs.items()}
 
