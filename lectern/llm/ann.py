@@ -30,8 +30,8 @@ from .vectors import least_ids, matrix, usable
 K = 20
 SHARD = 4096
 QUERY_BLOCK = 4096
-DEGREE = 32
-BEAM = 64
+DEGREE = 48
+BEAM = 96
 ALPHA = 1.2
 #: Nodes a query opens at a time, and queries searched together.
 WIDTH = 4
