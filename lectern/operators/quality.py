@@ -60,6 +60,53 @@ def id_citation_agree(nodes: DataFrame, id_form: str = ARTICLE_ID, citation_form
     return nodes.filter(~ok)
 
 
+# The forms of a commentary's and a teaching text's ids and citations, the
+# latter without the name of the work that opens them.
+COMMENTARY_ID = r"\A[a-z-]+\.(matthew|mark|luke|john)\.([0-9]+)\.([0-9]+)\z"
+COMMENTARY_CITATION = r"\A[^,]+, (Matthew|Mark|Luke|John) ([0-9]+):([0-9]+)(?:-[0-9]+)?\z"
+TEACHING_ID = r"\A[a-z-]+\.p([1-4])\.([a-z0-9-]+)\.s([0-9]{2,})\z"
+TEACHING_CITATION = r"(?s)\A[^,]+, Part (I|II|III|IV), .+ : .+\z"
+TEACHING_PARTS = {"I": "1", "II": "2", "III": "3", "IV": "4"}
+
+
+def commentary_position_agree(nodes: DataFrame, id_form: str = COMMENTARY_ID) -> DataFrame:
+    """Commentary whose id and citation do not parse or name different places."""
+    at = lambda g: F.regexp_extract("citation", COMMENTARY_CITATION, g)
+    same = F.lower(at(1)) == F.regexp_extract("id", id_form, 1)
+    for g in (2, 3):
+        same = same & (at(g) == F.regexp_extract("id", id_form, g))
+    return nodes.filter(~(F.col("id").rlike(id_form) & F.col("citation").rlike(COMMENTARY_CITATION) & same))
+
+
+def keys_in_gospel(pericopes: DataFrame) -> DataFrame:
+    """Commented verse keys that lie in another gospel than their commentary's id."""
+    keys = pericopes.select("id", each("commented_verse_keys").alias("verse_key"))
+    return keys.filter(F.split_part("verse_key", F.lit("/"), F.lit(1)) != F.split_part("id", F.lit("."), F.lit(2)))
+
+
+def commentary_chapters(pericopes: DataFrame) -> DataFrame:
+    """Gospel chapters without commentary; a gospel that is wholly missing shows in full."""
+    present = pericopes.select(
+        F.split_part("id", F.lit("."), F.lit(2)).alias("slug"),
+        F.split_part("id", F.lit("."), F.lit(3)).try_cast("int").alias("chapter"),
+    )
+    expected = expected_chapters(pericopes.sparkSession).filter(F.col("slug").isin(canon.GOSPELS))
+    return coverage_complete(present, expected, ["slug", "chapter"])
+
+
+def teaching_part_agree(nodes: DataFrame) -> DataFrame:
+    """Teaching nodes whose id or citation does not parse or whose Parts differ."""
+    part = F.try_element_at(literal_map(TEACHING_PARTS), F.regexp_extract("citation", TEACHING_CITATION, 1))
+    ok = F.col("id").rlike(TEACHING_ID) & F.col("citation").rlike(TEACHING_CITATION)
+    return nodes.filter(~(ok & part.eqNullSafe(F.regexp_extract("id", TEACHING_ID, 1))))
+
+
+def missing_parts(nodes: DataFrame) -> DataFrame:
+    """Parts of the teaching text that no node has."""
+    expected = nodes.sparkSession.createDataFrame([(p,) for p in TEACHING_PARTS.values()], "part string")
+    return coverage_complete(nodes.select(F.regexp_extract("id", TEACHING_ID, 1).alias("part")), expected, ["part"])
+
+
 def verse_position_agree(verses: DataFrame, prefix: str) -> DataFrame:
     """Verses whose id, key or citation differ from their book, chapter and number."""
     slug = F.split_part(F.col("verse_key"), F.lit("/"), F.lit(1))

@@ -46,6 +46,11 @@ def build_graph(nodes: DataFrame, path: str) -> dict[str, DataFrame]:
     )
     one = lambda df, col: df.select(col).scalar()
     rates, links = graph.parse_rate(cites), graph.resolve_rate(noted, edges)
+    # Lists of a report: as long as the tables they come from, 20 or 25 rows.
+    listed = lambda df, *cols: df.agg(
+        F.transform(F.array_sort(F.collect_list(F.struct((-F.col(cols[-1])).alias("by"), "tie", F.struct(*cols).alias("row")))), lambda x: x["row"]).alias("l")
+    ).select("l").scalar()
+    named = lambda df, tie: df.withColumn("tie", F.col(tie))
     stats = nodes.agg(F.count("*").alias("articles")).select(
         "articles",
         one(rates, "total").alias("scripture_citations_total"),
@@ -58,6 +63,10 @@ def build_graph(nodes: DataFrame, path: str) -> dict[str, DataFrame]:
         one(links, "resolved").alias("internal_refs_resolved"),
         one(links, "rate").alias("internal_resolve_rate"),
         edges.agg(F.count("*").alias("n")).scalar().alias("internal_edges"),
+        listed(named(tables["books"], "book"), "book", "n").alias("most_cited_books"),
+        listed(named(tables["verses"], "key"), "key", "ref", "n").alias("most_cited_verses"),
+        listed(named(tables["unparsed"], "raw"), "raw", "n").alias("unparsed_top"),
+        listed(named(tables["articles"], "id"), "citation", "title", "in_degree").alias("most_cited_articles"),
     )
     tables["stats"] = keep("stats", stats)
     return tables
@@ -71,11 +80,30 @@ def export_graph(tables: dict[str, DataFrame], path: str) -> None:
     sink_adjacency(out, f"{path}/internal_refs", "src", ["id", "citation"])
     back = edges.select("dst", F.col("src").alias("id"), F.col("src_citation").alias("citation"), F.col("src_title").alias("title"))
     sink_adjacency(back, f"{path}/internal_cited_by", "dst", ["id", "citation", "title"])
-    refs = tables["refs"].select("id", F.to_json(F.create_map("id", "refs")).alias("value"))
-    refs.repartitionByRange("id").sortWithinPartitions("id").select("value").write.text(f"{path}/article_refs")
+    _listed_refs(tables["refs"], f"{path}/article_refs")
     sink_stats(tables["stats"], f"{path}/stats")
 
 
+def _listed_refs(refs: DataFrame, path: str) -> None:
+    """``{id: [references]}`` lines in the order of the ids."""
+    lines = refs.select("id", F.to_json(F.create_map("id", "refs")).alias("value"))
+    lines.repartitionByRange("id").sortWithinPartitions("id").select("value").write.text(path)
+
+
+def export_commentary_graph(pericopes: DataFrame, path: str) -> None:
+    """The commentary's graph: from a verse its pericopes, from a pericope its references."""
+    entry = ["id", "citation", "father_summary", "work"]
+    sink_adjacency(graph.fathers_index(pericopes), f"{path}/fathers_index", "key", entry)
+    _listed_refs(graph.pericope_refs(pericopes), f"{path}/commentary_scripture")
+
+
+def export_teaching_graph(nodes: DataFrame, path: str) -> None:
+    """The teaching text's graph: from a key the nodes that cite it, and their references."""
+    index = graph.inverted_index(nodes, ("id", "citation", "title", "work"))
+    sink_adjacency(index, f"{path}/teaching_index", "key", ["id", "citation", "title", "work"])
+    _listed_refs(graph.teaching_refs(nodes), f"{path}/teaching_scripture")
+
+
 def validate_articles(nodes: DataFrame) -> DataFrame:
     """``(rule, violations)`` of the article rules; a sound corpus has zeros only."""
     spark = nodes.sparkSession
@@ -125,6 +153,9 @@ def validate_pericopes(pericopes: DataFrame, verses: DataFrame) -> DataFrame:
         "license_present": quality.license_present(pericopes, F.col("source.license")),
         "lossless_rejoin": quality.lossless_rejoin(pericopes),
         "every_segment_has_father": quality.every_segment_has_father(pericopes),
+        "position_agrees": quality.commentary_position_agree(pericopes),
+        "keys_in_gospel": quality.keys_in_gospel(pericopes),
+        "all_chapters": quality.commentary_chapters(pericopes),
         "has_keys": pericopes.filter(F.coalesce(F.size("commented_verse_keys"), F.lit(0)) <= 0),
         "keys_exist": keys.join(verses.select("verse_key").distinct(), "verse_key", "left_anti"),
     })
@@ -139,6 +170,8 @@ def validate_teaching(nodes: DataFrame) -> DataFrame:
         "lossless_rejoin": quality.lossless_rejoin(nodes),
         "title_suffix": quality.title_suffix(nodes),
         "citations_parse": quality.citations_parse(nodes),
+        "part_agrees": quality.teaching_part_agree(nodes),
+        "parts_present": quality.missing_parts(nodes),
         "units_present": quality.missing_units(nodes),
     })
 

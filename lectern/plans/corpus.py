@@ -26,6 +26,11 @@ SPEAKERS = [
     "JEROME", "PSEUDO-CHRYSOSTOM", "CYRIL OF ALEXANDRIA", "Aug.", "GREGORY THE GREAT", "Gloss", "", "Theophyl", "RABANUS",
 ]
 OPENINGS = ["Objection %d. ", "On the contrary, ", "I answer that, ", "Reply to Objection %d. ", ""]
+ROMAN = ["I", "II", "III", "IV"]
+#: The teaching nodes in SQL, over the articles' CTE.
+TEACHING_SQL = """SELECT doc_id, 'catechism.p' || (doc_id % 4 + 1) || '.art' || (doc_id % 12 + 1) || '.s1' || doc_id AS id,
+    'Teaching, Part ' || ['I', 'II', 'III', 'IV'][(doc_id + CASE WHEN lang = 'es' THEN 1 ELSE 0 END) % 4 + 1] || ', Article ' || (doc_id % 12 + 1) || ' : ' || title AS citation,
+    title, lang FROM art"""
 TEXT_TABLES = {"documents", "pages"}
 
 
@@ -91,6 +96,19 @@ class Tables:
             F.transform("lines", lambda l, i: citation(d, i, F.length(l))).alias("citations_out"),
         )
 
+    @cached_property
+    def teaching(self) -> DataFrame:
+        """Teaching nodes: the articles under other names; one language has the wrong Part."""
+        d = F.col("doc_id")
+        part = text_of(F.pmod(d, F.lit(4)) + 1)
+        roman = pick(ROMAN, F.when(F.col("lang") == "es", d + 1).otherwise(d))
+        unit = text_of(F.pmod(d, F.lit(12)) + 1)
+        cited = F.concat(F.lit("Teaching, Part "), roman, F.lit(", Article "), unit, F.lit(" : "), F.col("title"))
+        return self.articles.select(
+            "doc_id", F.concat(F.lit("catechism.p"), part, F.lit(".art"), unit, F.lit(".s1"), text_of(d)).alias("id"),
+            cited.alias("citation"), "title", F.lit("teaching").alias("work"), "text", "segments", "citations_out",
+        )
+
     @cached_property
     def english(self) -> DataFrame:
         """English verses: document lines."""

@@ -63,6 +63,64 @@ def verse_position_agree(t):
     return quality.verse_position_agree(t.latin.withColumn("verse_key", key), "vg").select("id", "verse_key")
 
 
+# The commentary's ids end in the document they came from.
+_CHAIN_ID = quality.COMMENTARY_ID.replace(r"\z", r"\.[0-9]+\z")
+
+
+@query(
+    "commentary_position_agree",
+    with_("per") + "SELECT id, replace(citation, ':', ':1') AS citation FROM per JOIN documents USING (doc_id) WHERE lang = 'de'",
+)
+def commentary_position_agree(t):
+    langs = t.documents.select("doc_id", "lang")
+    cited = F.when(F.col("lang") == "de", F.replace("citation", F.lit(":"), F.lit(":1"))).otherwise(F.col("citation"))
+    nodes = t.pericopes.select("doc_id", "id", "citation").join(langs, "doc_id").withColumn("citation", cited)
+    return quality.commentary_position_agree(nodes, _CHAIN_ID).select("id", "citation")
+
+
+@query(
+    "keys_in_gospel",
+    with_("per") + "SELECT id, replace(key, 'mark/1', 'luke/1') AS verse_key FROM (SELECT id, slug, unnest(keys) AS key FROM per) WHERE starts_with(key, 'mark/1')",
+)
+def keys_in_gospel(t):
+    moved = F.transform("commented_verse_keys", lambda k: F.replace(k, F.lit("mark/1"), F.lit("luke/1")))
+    return quality.keys_in_gospel(t.pericopes.select("id", moved.alias("commented_verse_keys")))
+
+
+_GOSPELS = ", ".join(f"'{g}'" for g in canon.GOSPELS)
+
+
+@query(
+    "commentary_chapters",
+    with_("per", "book")
+    + f"""SELECT b.slug, CAST(b.chapter AS INT) AS chapter FROM (SELECT slug, unnest(range(1, chapters + 1)) AS chapter FROM book WHERE slug IN ({_GOSPELS})) b
+    LEFT JOIN (SELECT DISTINCT slug, ch FROM per WHERE slug <> 'john') p ON p.slug = b.slug AND p.ch = b.chapter WHERE p.slug IS NULL""",
+)
+def commentary_chapters(t):
+    """One gospel is left out as a whole."""
+    return quality.commentary_chapters(t.pericopes.filter("slug != 'john'"))
+
+
+@query("teaching_part_agree", with_("art") + f"SELECT id, citation FROM ({corpus.TEACHING_SQL}) WHERE lang = 'es' OR title = ''")
+def teaching_part_agree(t):
+    return quality.teaching_part_agree(t.teaching).select("id", "citation")
+
+
+@query("missing_parts", with_("art") + f"SELECT '' || p AS part FROM (SELECT unnest(range(1, 5)) AS p) WHERE p NOT IN (SELECT doc_id % 4 + 1 FROM ({corpus.TEACHING_SQL}) WHERE doc_id % 12 < 7 AND doc_id % 4 < 2)")
+def missing_parts(t):
+    return quality.missing_parts(t.teaching.filter("doc_id % 12 < 7 AND doc_id % 4 < 2"))
+
+
+@query(
+    "missing_units",
+    with_("art") + f"""SELECT kind, CAST(number AS INT) AS number FROM (SELECT kind, unnest(range(1, n + 1)) AS number
+      FROM (VALUES {", ".join(f"('{k}', {n})" for k, n in canon.TEACHING_UNITS.items())}) s(kind, n))
+    WHERE kind <> 'article' OR number NOT IN (SELECT doc_id % 12 + 1 FROM ({corpus.TEACHING_SQL}) WHERE doc_id % 12 < 7)""",
+)
+def missing_units(t):
+    return quality.missing_units(t.teaching.filter("doc_id % 12 < 7"))
+
+
 @query(
     "coverage_complete",
     with_("lat", "book") + "SELECT b.slug, CAST(b.chapter AS INT) AS chapter FROM (SELECT slug, unnest(range(1, chapters + 1)) AS chapter FROM book) b LEFT JOIN (SELECT DISTINCT slug, chapter FROM lat) l USING (slug, chapter) WHERE l.slug IS NULL",

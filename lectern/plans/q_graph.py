@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from .. import canon
 from ..functions import refs
 from ..operators import align, graph, project
-from ..session import settle
-from . import oracle
+from ..session import new_path, settle
+from ..sources.readers import scan_adjacency
+from . import build, corpus, oracle
 from .corpus import PRINTED
 from .oracle import with_
 from .registry import query
@@ -217,9 +218,18 @@ def father_edges(t):
     return project.father_edges(t.pericopes)
 
 
-@query("build_pericope_graph", with_("fidx") + "SELECT key, id, citation, father_summary FROM fidx")
+_COMMENTARY_ENTRY = "struct<id:string,citation:string,father_summary:string,work:string>"
+
+
+@query(
+    "build_pericope_graph",
+    with_("fidx") + "SELECT key, row_number() OVER (PARTITION BY key ORDER BY id, citation) - 1 AS pos, id, citation, father_summary, 'golden-chain' AS work FROM fidx",
+)
 def build_pericope_graph(t):
-    return graph.fathers_index(t.pericopes).select("key", "id", "citation", "father_summary")
+    """The commentary's graph written as files; its verse index read back in order."""
+    path = new_path(t.spark, "commentary-graph")
+    build.export_commentary_graph(t.pericopes, path)
+    return scan_adjacency(t.spark, f"{path}/fathers_index", _COMMENTARY_ENTRY)
 
 
 @query(
@@ -234,9 +244,20 @@ def unresolved_policy(t):
     return said(graph.pericope_refs(t.pericopes), "keep").unionByName(said(graph.teaching_refs(t.pericopes), "drop"))
 
 
-@query("build_catechism_graph", with_("idx") + "SELECT key, id, citation, title, 'teaching' AS work FROM idx")
+_TEACHING_ENTRY = "struct<id:string,citation:string,title:string,work:string>"
+
+
+@query(
+    "build_catechism_graph",
+    with_("idx", "art")
+    + f"""SELECT key, row_number() OVER (PARTITION BY key ORDER BY teach.id, teach.citation) - 1 AS pos, teach.id, teach.citation, teach.title, 'teaching' AS work
+      FROM idx JOIN art ON art.id = idx.id JOIN ({corpus.TEACHING_SQL}) teach ON teach.doc_id = art.doc_id""",
+)
 def build_catechism_graph(t):
-    return graph.inverted_index(t.articles).select("key", "id", "citation", "title", F.lit("teaching").alias("work"))
+    """The teaching text's graph written as files; its index read back in order."""
+    path = new_path(t.spark, "teaching-graph")
+    build.export_teaching_graph(t.teaching, path)
+    return scan_adjacency(t.spark, f"{path}/teaching_index", _TEACHING_ENTRY)
 
 
 @query(

@@ -10,7 +10,7 @@ from ..functions.text import lines
 from ..operators import align, graph, parse, project
 from ..session import new_path, settle
 from ..sources import readers, writers
-from . import corpus
+from . import build, corpus
 from .oracle import collapse, with_
 from .registry import query
 
@@ -160,35 +160,36 @@ def scan_lectionary(t):
     return readers.scan_lectionary(t.spark, path).withColumn("date", F.col("date").cast("string"))
 
 
-def _stats(t):
-    """The graph's one-row statistics."""
-    cites = settle(graph.parse_rate(graph.scripture_citations(t.articles)), "rates")
-    edges = settle(graph.internal_edges(t.articles, "noted_text"), "noted")
-    rates = settle(graph.resolve_rate(edges, graph.internal_resolve(edges, t.articles)), "rates")
-    one = lambda df, col: df.select(col).scalar()
-    return t.articles.agg(F.count("*").alias("articles")).select(
-        "articles",
-        one(cites, "total").alias("scripture_citations_total"),
-        one(cites, "parsed").alias("scripture_citations_parsed"),
-        one(cites, "rate").alias("parse_rate"),
-        one(rates, "total").alias("internal_refs_total"),
-        one(rates, "resolved").alias("internal_refs_resolved"),
-        one(rates, "rate").alias("internal_resolve_rate"),
-    )
+_TOP = "SELECT string_agg(name || ' ' || n, '; ' ORDER BY n DESC, key) FROM (SELECT *, row_number() OVER (ORDER BY n DESC, key) AS place FROM ({})) WHERE place <= {}"
+_SHOWN = "CASE WHEN len(string_split(key, '/')) = 3 THEN split_part(key, '/', 1) || ' ' || split_part(key, '/', 2) || ':' || split_part(key, '/', 3) ELSE key END"
 
 
 @query(
     "sink_stats",
-    with_("art", "norm", "inl", "res")
-    + """SELECT a AS articles, n AS scripture_citations_total, p AS scripture_citations_parsed, round(p / n, 4) AS parse_rate, it AS internal_refs_total, ir AS internal_refs_resolved,
-      round(ir / it, 4) AS internal_resolve_rate FROM (SELECT (SELECT count(*) FROM art) AS a, (SELECT count(*) FROM norm) AS n, (SELECT count(*) FROM norm WHERE ok) AS p,
-      (SELECT count(*) FROM inl) AS it, (SELECT count(*) FROM res) AS ir)""",
+    with_("art", "norm", "inl", "res", "idx", "vkey")
+    + f"""SELECT (SELECT count(*) FROM art) AS articles, n AS scripture_citations_total, p AS scripture_citations_parsed, round(p / n, 4) AS parse_rate, n - p AS unparsed_count,
+      it AS internal_refs_total, ir AS internal_refs_resolved, round(ir / it, 4) AS internal_resolve_rate,
+      (SELECT count(DISTINCT key) FROM idx WHERE len(string_split(key, '/')) = 3) AS unique_verse_keys,
+      (SELECT count(DISTINCT key) FROM idx WHERE len(string_split(key, '/')) = 2) AS unique_chapter_keys,
+      ({_TOP.format("SELECT book AS key, book AS name, count(*) AS n FROM norm WHERE ok GROUP BY 1", 20)}) AS books,
+      ({_TOP.format(f"SELECT key, {_SHOWN} AS name, count(*) AS n FROM vkey GROUP BY 1", 25)}) AS verses,
+      ({_TOP.format("SELECT raw AS key, raw AS name, count(*) AS n FROM norm WHERE NOT ok GROUP BY 1", 20)}) AS unparsed,
+      ({_TOP.format("SELECT dst AS key, any_value(art.citation) AS name, count(*) AS n FROM res JOIN art ON art.id = dst GROUP BY 1", 20)}) AS cited
+    FROM (SELECT (SELECT count(*) FROM norm) AS n, (SELECT count(*) FROM norm WHERE ok) AS p, (SELECT count(*) FROM inl) AS it, (SELECT count(*) FROM res) AS ir)""",
 )
 def sink_stats(t):
-    path = new_path(t.spark, "stats")
-    stats = _stats(t)
-    writers.sink_stats(stats, path)
-    return t.spark.read.schema(stats.schema).json(path)
+    """The whole statistics object of the graph job, written and read back."""
+    path = new_path(t.spark, "graph")
+    stats = build.build_graph(t.articles.withColumn("text", F.col("noted_text")), f"{path}/tables")["stats"]
+    writers.sink_stats(stats, f"{path}/stats")
+    held = t.spark.read.schema(stats.schema).json(f"{path}/stats")
+    said = lambda column, name: F.array_join(F.transform(column, lambda x: F.concat_ws(" ", x[name], x["in_degree" if name == "citation" else "n"].cast("string"))), "; ")
+    return held.select(
+        "articles", "scripture_citations_total", "scripture_citations_parsed", "parse_rate", "unparsed_count",
+        "internal_refs_total", "internal_refs_resolved", "internal_resolve_rate", "unique_verse_keys", "unique_chapter_keys",
+        said("most_cited_books", "book").alias("books"), said("most_cited_verses", "ref").alias("verses"),
+        said("unparsed_top", "raw").alias("unparsed"), said("most_cited_articles", "citation").alias("cited"),
+    )
 
 
 @query(
