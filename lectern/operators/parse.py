@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .. import canon
+from .. import canon, schemas
 from ..functions.columns import let
 from ..functions.refs import alias_override, book_name, inline_refs, link_refs
 from ..functions.text import (
@@ -153,6 +154,25 @@ def _verse_rows(rows: DataFrame, prefix: str, work: str) -> DataFrame:
     )
 
 
+# --- provenance ------------------------------------------------------------------
+
+
+def sourced(nodes: DataFrame, **fields: Column | str) -> DataFrame:
+    """Nodes with their ``source``: the named fields, the others empty.
+
+    A field is a text or a column of the nodes, such as a page's address. Lists that an
+    edition does not have (path, segments, citations) are empty lists, as node files need.
+    """
+    kind = StructType.fromDDL(f"s {schemas.SOURCE}")["s"].dataType
+    if unknown := set(fields) - set(kind.names):
+        raise ValueError(f"no such fields of a source: {sorted(unknown)}")
+    cell = lambda v: v if isinstance(v, Column) else F.lit(v)
+    held = F.struct(*[cell(fields.get(n)).cast("string").alias(n) for n in kind.names])
+    empty = {"path": "array<string>", "segments": f"array<{schemas.SEGMENT}>", "citations_out": f"array<{schemas.CITATION}>"}
+    missing = {c: F.array().cast(t) for c, t in empty.items() if c not in nodes.columns}
+    return nodes.withColumns({**missing, "source": held})
+
+
 # --- pages -----------------------------------------------------------------------
 
 
@@ -341,6 +361,7 @@ def parse_teaching(pages: DataFrame, html: str = "html") -> DataFrame:
         F.lit("roman-catechism").alias("work"),
         F.concat(F.lit("Roman Catechism, Part "), roman, F.lit(", "), F.col("unit_label"), F.lit(" : "), F.col("u.title")).alias("citation"),
         F.col("u.title").alias("title"),
+        F.array(F.concat(F.lit("Part "), roman), F.col("unit_label"), F.col("u.title")).alias("path"),
         F.lit("catechism").alias("type"),
         text.alias("text"),
         F.col("u.segments").alias("segments"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import canon
 from ..functions import refs, text, vectors
 from ..functions.columns import each, each_at, pick
-from ..operators import parse
+from ..operators import parse, quality
 from ..operators.graph import scripture_citations
 from . import corpus, oracle
 from .oracle import collapse, tokens, with_
@@ -517,6 +517,14 @@ def pending_heading_fold(t):
       count(*) AS n_segments FROM q WHERE plain <> '' GROUP BY page_id""",
 )
 def page_to_nodes(t):
+    return parse.page_to_nodes(_question_pages(t)).select(
+        "id", "citation", "title", F.element_at("path", 2).alias("path_question"), "text",
+        F.size("segments").cast("long").alias("n_segments"),
+    )
+
+
+def _question_pages(t):
+    """Pages rebuilt as question pages of one article."""
     number = corpus.text_of(F.col("page_id") + 1)
     head = F.regexp_extract("html", r"(?is)<h1[^>]*>(.*?)</h1>", 1)
     body = F.regexp_replace("html", r"(?is)^.*?<article>", "")
@@ -524,8 +532,20 @@ def page_to_nodes(t):
         F.lit("<h1>Question "), number, F.lit(". "), head, F.lit('</h1><h2 id="article1">Article 1. Whether '),
         corpus.text_of(F.col("page_id")), F.lit("</h2>"), body,
     )
-    pages = t.pages.select("page_id", (F.pmod("page_id", F.lit(5)) + 1).cast("int").alias("part"), rebuilt.alias("html"))
-    return parse.page_to_nodes(pages).select(
-        "id", "citation", "title", F.element_at("path", 2).alias("path_question"), "text",
-        F.size("segments").cast("long").alias("n_segments"),
-    )
+    part = (F.pmod("page_id", F.lit(5)) + 1).cast("int").alias("part")
+    return t.pages.select("page_id", "url", part, rebuilt.alias("html"))
+
+
+@query(
+    "node_provenance",
+    f"""WITH p AS (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<p\\b[^>]*>(.*?)</p>', 1)) AS x FROM pages),
+      q AS (SELECT DISTINCT page_id FROM (SELECT page_id, {sql_html_to_text('x')} AS plain FROM p) WHERE plain <> '')
+    SELECT 'summa.st.' || {oracle.pick([p[0] for p in canon.PARTS], 'page_id')} || '.q' || (page_id + 1) || '.a1' AS id, url, 'public domain' AS license, CAST(NULL AS VARCHAR) AS translator
+    FROM pages JOIN q USING (page_id)""",
+)
+def node_provenance(t):
+    """Where nodes come from; none of them breaks the rule that a license is named."""
+    nodes = parse.sourced(parse.page_to_nodes(_question_pages(t)), url=F.col("url"), license="public domain", edition="pages")
+    unnamed = quality.license_present(nodes, F.col("source.license"))
+    held = nodes.join(unnamed.select("id"), "id", "left_anti")
+    return held.select("id", F.col("source.url").alias("url"), F.col("source.license").alias("license"), F.col("source.translator").alias("translator"))
