@@ -30,7 +30,7 @@ def main() -> None:
 
     spark = build_session(
         "bench", f"local[{cpus}]",
-        **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g", "lectern.spread": cpus, "spark.ui.enabled": "false",
+        **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g", "spark.lectern.spread": cpus, "spark.ui.enabled": "false",
            "spark.ui.showConsoleProgress": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import canon
-from .columns import first_by, let, literal_map
+from .columns import first_by, let, literal_map, unfold
 from .text import SPACE, extract_links, html_to_text
 
 S = SPACE
@@ -26,7 +26,7 @@ NUMBERS = r"([0-9]+)\s*:\s*([0-9]+)(?:\s*[-–—]\s*([0-9]+))?"
 
 NORM_TYPE = (
     "struct<book:string,slug:string,chapter:int,verse_start:int,verse_end:int,"
-    "ref:string,verse_keys:array<string>,chapter_key:string>"
+    "ref:string,chapter_key:string>"
 )
 _MARK = "\x01"
 
@@ -99,9 +99,6 @@ def normalize_ref(raw: Column) -> Column:
                 p["first"].alias("verse_start"),
                 p["last"].alias("verse_end"),
                 F.when(p["first"].isNull(), ref).otherwise(verse_ref).alias("ref"),
-                F.when(p["first"].isNull(), F.array(key))
-                .otherwise(expand_range(key, p["first"], p["last"]))
-                .alias("verse_keys"),
                 key.alias("chapter_key"),
             ),
         )
@@ -109,14 +106,34 @@ def normalize_ref(raw: Column) -> Column:
     return let(F.split(marked, _MARK, -1), lambda c: F.when(F.size(c) == 4, build(c))).cast(NORM_TYPE)
 
 
+def verse_keys(norm: Column) -> Column:
+    """All keys of a reference as one list, for references known to be short."""
+    return F.when(norm["verse_start"].isNotNull(), expand_range(norm["chapter_key"], norm["verse_start"], norm["verse_end"])).when(
+        norm["chapter_key"].isNotNull(), F.array(norm["chapter_key"])
+    )
+
+
+def unfold_keys(rows: DataFrame, norm: str = "norm", name: str = "key") -> DataFrame:
+    """One row per key of the references ``norm``, however wide a range is written."""
+    n = F.col(norm)
+    numbers = unfold(rows, F.coalesce(n["verse_start"], F.lit(0)), F.coalesce(n["verse_end"], F.lit(0)), "_verse")
+    key = F.when(n["verse_start"].isNull(), n["chapter_key"]).otherwise(F.concat_ws("/", n["chapter_key"], F.col("_verse").cast("string")))
+    return numbers.withColumn(name, key).drop("_verse")
+
+
+def verse_number(key: Column) -> Column:
+    """The verse of a verse key, NULL for a chapter key."""
+    return F.try_element_at(F.split(key, "/"), F.lit(3)).try_cast("int")
+
+
 def union_keys(norm: Column) -> Column:
-    """Verse keys plus the chapter key, distinct."""
-    return F.array_union(norm["verse_keys"], F.array(norm["chapter_key"]))
+    """Verse keys plus the chapter key, distinct, for references known to be short."""
+    return F.array_union(verse_keys(norm), F.array(norm["chapter_key"]))
 
 
 def first_key(norm: Column) -> Column:
     """Key whose citers a lookup reports: the chapter, or the first verse of a range."""
-    return F.element_at(norm["verse_keys"], 1)
+    return F.when(norm["chapter_key"].isNotNull(), F.concat_ws("/", norm["chapter_key"], norm["verse_start"].cast("string")))
 
 
 def is_verse_key(key: Column) -> Column:

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from .. import canon
 from ..functions.columns import each, each_at
-from ..functions.refs import is_verse_key, normalize_ref
+from ..functions.refs import is_verse_key, normalize_ref, unfold_keys, verse_number
 
 
 def verse_text_join(citations: DataFrame, verses: DataFrame) -> DataFrame:
     """Cited verse keys with the verse they name; ``citations`` has ``norm``."""
-    keys = citations.filter(F.col("norm.verse_start").isNotNull()).withColumn("verse_key", F.explode("norm.verse_keys"))
-    return keys.join(verses, "verse_key")
+    single = citations.filter(F.col("norm.verse_start").isNotNull())
+    return unfold_keys(single, name="verse_key").join(verses, "verse_key")
 
 
 def parallel_text_join(english: DataFrame, latin: DataFrame) -> DataFrame:
@@ -69,19 +69,13 @@ def lookup_keys(requests: DataFrame, reference: str = "reference") -> DataFrame:
 def lookup_verses(requests: DataFrame, verses: DataFrame) -> DataFrame:
     """Verses each request names: single, range, or the whole chapter.
 
-    Chapter requests meet verses on the chapter key, the others on the verse key, so
-    both are equi-joins and ``john/1`` never reaches ``john/10``.
+    Requests meet held verses on the chapter key, an equi-join in which ``john/1`` never
+    reaches ``john/10``; the bounds are tested on the match, so a wide range is no list.
     """
-    single = requests.filter(F.col("norm.verse_start").isNotNull()).withColumn(
-        "verse_key", F.explode("norm.verse_keys")
-    )
-    whole = requests.filter(F.col("norm").isNotNull() & F.col("norm.verse_start").isNull()).withColumn(
-        "chapter_key", F.col("norm.chapter_key")
-    )
-    by_chapter = verses.withColumn("chapter_key", F.substring_index("verse_key", "/", 2))
-    return single.join(verses, "verse_key").unionByName(
-        whole.join(by_chapter, "chapter_key").drop("chapter_key"), allowMissingColumns=True
-    )
+    asked = requests.filter(F.col("norm").isNotNull()).withColumn("_chapter", F.col("norm.chapter_key"))
+    by_chapter = verses.withColumn("_chapter", F.substring_index("verse_key", "/", 2))
+    inside = verse_number(F.col("verse_key")).between(F.col("norm.verse_start"), F.col("norm.verse_end"))
+    return asked.join(by_chapter, "_chapter").filter(F.col("norm.verse_start").isNull() | inside).drop("_chapter")
 
 
 def prefix_lookup(requests: DataFrame, keyed: DataFrame, prefix: str = "chapter_key", key: str = "key") -> DataFrame:
@@ -92,8 +86,8 @@ def prefix_lookup(requests: DataFrame, keyed: DataFrame, prefix: str = "chapter_
 
 def range_lookup(spans: DataFrame, verses: DataFrame) -> DataFrame:
     """Verses of ``(slug, chapter, first, last)`` spans that exist."""
-    keyed = spans.withColumn("verse", F.explode(F.sequence("first", F.greatest("first", "last"))))
-    return keyed.join(verses, ["slug", "chapter", "verse"])
+    met = spans.join(verses, ["slug", "chapter"])
+    return met.filter(F.col("verse").between(F.col("first"), F.greatest("first", "last")))
 
 
 def gospel_verses(readings: DataFrame, verses: DataFrame) -> DataFrame:

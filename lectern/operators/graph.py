@@ -10,9 +10,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import each, kept, let, run_starts
-from ..functions.refs import normalize_ref, parse_internal_refs, union_keys
+from ..functions.refs import normalize_ref, parse_internal_refs, unfold_keys, union_keys
+from ..schemas import CITATION
 from ..session import settle
 
+CITATIONS = f"array<{CITATION}>"
+
 #: Stands between a key and the place where a further line of its list starts.
 CONTINUED = "\x1f"
 
@@ -63,10 +66,26 @@ def _keyed(citations: Column) -> Column:
     )
 
 
+#: Digits that a chapter or verse of a short reference has at most.
+WIDE = "[0-9]{5,}"
+
+
 def inverted_index(nodes: DataFrame, keep: tuple[str, ...] = ("id", "citation", "title")) -> DataFrame:
-    """``key -> citing node`` rows, one per (node, key); built inside each row."""
-    edges = nodes.select(*keep, F.explode(_keyed(F.col("citations_out"))).alias("e"))
-    return edges.select(F.col("e.key").alias("key"), *keep, F.col("e.ref").alias("ref"))
+    """``key -> citing node`` rows, one per (node, key).
+
+    Built inside each row, as a reference without a long number names few verses. Nodes
+    that write a long number are unfolded in steps and reduced by key instead: the same
+    rows, without a list of a range's verses.
+    """
+    long = F.exists(F.coalesce("citations_out", F.array().cast(CITATIONS)), lambda c: F.coalesce(c["raw"].rlike(WIDE), F.lit(False)))
+    edges = nodes.filter(~long).select(*keep, F.explode(_keyed(F.col("citations_out"))).alias("e"))
+    short = edges.select(F.col("e.key").alias("key"), *keep, F.col("e.ref").alias("ref"))
+    cites = parsed(scripture_citations(nodes.filter(long), keep)).select(*keep, "pos", "norm")
+    both = unfold_keys(cites).select(*keep, "key", "pos", "norm.ref").unionByName(
+        cites.select(*keep, F.col("norm.chapter_key").alias("key"), "pos", "norm.ref")
+    )
+    first = both.groupBy(*keep, "key").agg(F.min_by("ref", "pos").alias("ref"))
+    return short.unionByName(first.select("key", *keep, "ref"))
 
 
 def node_refs(nodes: DataFrame) -> DataFrame:
@@ -83,7 +102,7 @@ def book_counts(citations: DataFrame) -> DataFrame:
 
 
 def verse_counts(citations: DataFrame) -> DataFrame:
-    keys = parsed(citations).select(F.explode("norm.verse_keys").alias("key"))
+    keys = unfold_keys(parsed(citations).select("norm"))
     return keys.groupBy("key").agg(F.count("*").alias("n"))
 
 

@@ -245,7 +245,7 @@ def normalize_ref(t):
     return scripture_citations(t.articles).select(
         "id", "pos", "raw", n["book"].alias("book"), n["slug"].alias("slug"), n["chapter"].alias("chapter"),
         n["verse_start"].alias("verse_start"), n["verse_end"].alias("verse_end"), n["ref"].alias("ref"),
-        n["chapter_key"].alias("chapter_key"), F.array_join(n["verse_keys"], " ").alias("keys"),
+        n["chapter_key"].alias("chapter_key"), F.array_join(refs.verse_keys(n), " ").alias("keys"),
     )
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import each, each_at
-from ..functions.refs import citation_to_id, first_key, gospel_spans, normalize_ref, typed_citation_to_id
+from ..functions.refs import citation_to_id, first_key, gospel_spans, normalize_ref, typed_citation_to_id, verse_number
 from ..operators.align import date_asof_forward, gospel_verses, lookup_verses
 from ..session import settle
 
@@ -91,14 +91,15 @@ def verse_pericopes(requests: DataFrame, fathers: DataFrame) -> DataFrame:
     One row per pericope, at the first of the request's verses it comments on.
     """
     asked = requests.withColumn("norm", normalize_ref(F.col("reference"))).filter(F.col("norm").isNotNull())
-    single = asked.filter(F.col("norm.verse_start").isNotNull()).select(
-        "request_id", F.col("norm.ref").alias("ref"), F.posexplode("norm.verse_keys").alias("pos", "key")
-    )
-    hits = single.join(fathers, "key").select("request_id", "ref", "id", F.lpad(F.col("pos").cast("string"), 9, "0").alias("first"))
+    single = asked.filter(F.col("norm.verse_start").isNotNull()).select("request_id", "norm", F.col("norm.chapter_key").alias("chapter_key"))
+    under = fathers.withColumn("chapter_key", F.substring_index("key", "/", 2))
+    number = verse_number(F.col("key"))
+    met = single.join(under, "chapter_key").filter(number.between(F.col("norm.verse_start"), F.col("norm.verse_end")))
+    pos = (number - F.col("norm.verse_start")).cast("string")
+    hits = met.select("request_id", F.col("norm.ref").alias("ref"), "id", F.lpad(pos, 9, "0").alias("first"))
     whole = asked.filter(F.col("norm.verse_start").isNull()).select(
         "request_id", F.col("norm.ref").alias("ref"), F.col("norm.chapter_key").alias("chapter_key")
     )
-    under = fathers.withColumn("chapter_key", F.substring_index("key", "/", 2))
     chapter_hits = whole.join(under, "chapter_key").select("request_id", "ref", "id", F.col("key").alias("first"))
     every = hits.unionByName(chapter_hits)
     return every.groupBy("request_id", "ref", "id").agg(F.min("first").alias("first"))

@@ -70,12 +70,12 @@ def discard(*held: DataFrame) -> None:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal a small local file over ``lectern.spread`` tasks, where that is set.
+    """Deal a small local file over ``spark.lectern.spread`` tasks, where that is set.
 
     For tests and single machines, whose tables are one row group. A cluster leaves the
     setting out: its tables are read in splits and raw rows are never shuffled.
     """
-    tasks = df.sparkSession.conf.get("lectern.spread", None)
+    tasks = df.sparkSession.conf.get("spark.lectern.spread", None)
     return df.repartition(int(tasks)) if tasks else df
 
 

@@ -12,7 +12,7 @@ from lectern.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     session = build_session(
         "tests", "local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "lectern.spread": "8", "spark.ui.enabled": "false",
+        **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.lectern.spread": "8", "spark.ui.enabled": "false",
            "spark.ui.showConsoleProgress": "false"},
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -176,8 +176,9 @@ def test_decode_cp1252(spark):
     ],
 )
 def test_normalize_ref(evaluate, raw, ref, keys):
-    row = evaluate(refs.normalize_ref(X), raw)
-    assert (row and row.ref, row and row.verse_keys) == (ref, keys)
+    norm = refs.normalize_ref(X)
+    row = evaluate(norm, raw)
+    assert (row and row.ref, evaluate(refs.verse_keys(norm), raw)) == (ref, keys)
 
 
 @pytest.mark.parametrize(

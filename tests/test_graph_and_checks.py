@@ -179,3 +179,16 @@ def test_wide_ranges_unfold_in_steps(spark):
     assert sorted(map(tuple, got.collect())) == [(1, 3, 5, 7, 3), (3, 1_500_001, 10, 1_500_010, 1_500_001)]
     far = spark.createDataFrame([("g", 1), ("g", 3_000_000)], "g string, n long")
     assert quality.gaps(far, ["g"], "n").count() == 2_999_998
+
+
+def test_wide_reference_is_no_list(spark):
+    cited = [("John 1:2-100000", "scripture", None), ("John 1:1-3", "scripture", None), ("Holy Writ 12345", "scripture", None)]
+    nodes = spark.createDataFrame([("a", "c", "t", cited)], "id string, citation string, title string, citations_out array<struct<raw:string,kind:string,target_id:string>>")
+    rows = graph.inverted_index(nodes)
+    counts = rows.agg(F.count("*"), F.count_distinct("key")).first()
+    assert tuple(counts) == (100_001, 100_001)  # verses 1 to 100,000 and the chapter
+    refs = {r.key: r.ref for r in rows.where("key IN ('john/1', 'john/1/1', 'john/1/2')").collect()}
+    assert refs == {"john/1": "John 1:2-100000", "john/1/1": "John 1:1-3", "john/1/2": "John 1:2-100000"}
+    asked = spark.createDataFrame([(1, "John 1:1-1500000000")], "request_id int, reference string")
+    held = spark.createDataFrame([("john/1/7",), ("john/10/7",)], "verse_key string")
+    assert [r.verse_key for r in align.lookup_verses(align.lookup_keys(asked), held).collect()] == ["john/1/7"]
