@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import settle
+from ..session import discard, settle
 
 
 def _print_of(df: DataFrame):
@@ -40,6 +40,7 @@ def components(edges: DataFrame) -> DataFrame:
     before, after = None, _print_of(now)
     while after[0] and after != before:
         large = settle(_large_star(now), "large-star")
-        now = settle(_small_star(large), "small-star")
-        before, after = after, _print_of(now)
+        new = settle(_small_star(large), "small-star")
+        discard(now, large)
+        now, before, after = new, after, _print_of(new)
     return now.select(F.col("high").alias("node"), F.col("low").alias("root"))

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, boxed, numbered, settle, unboxed
+from .common import WORD, keyed, rows_with, settle, unboxed
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -196,9 +196,10 @@ def sample(units: DataFrame, block: int = BLOCK) -> DataFrame:
     return decided.select("n", (F.col("p") >= 0.5).cast("long").alias("chosen"))
 
 
-def sized(df: DataFrame, text, doc_id, source) -> DataFrame:
-    words = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
-    return df.select("n", doc_id.alias("doc_id"), source.alias("source"), words.alias("size"))
+def sized(df: DataFrame, *more: str) -> DataFrame:
+    """``(n, doc_id, source, size, *more)`` of documents, written once; ``n`` is unique."""
+    words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")
+    return settle(df.select("doc_id", "source", words, *more).withColumn("n", F.monotonically_increasing_id()), "sizes")
 
 
 def decide(held: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: float = MOST, block: int = BLOCK) -> DataFrame:
@@ -217,15 +218,17 @@ def decide(held: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: float = MO
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
     """The documents the mix takes, as often as it takes them, with their columns."""
-    rows = numbered(boxed(docs), "documents")
-    held = settle(sized(rows, F.col("row.text"), F.col("row.doc_id"), F.col("row.source")), "sizes")
-    taken = decide(held, weights, most).where("copies > 0 AND size > 0").select("n", "copies")
-    out = rows.join(taken, "n").select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
-    return unboxed(out)
+    rows = keyed(docs)
+    names = [F.col("row").getField(c).alias(c) for c in ("doc_id", "source", "text")]
+    held = sized(rows.select(*names, "ka", "kb"), "ka", "kb")
+    decided = decide(held, weights, most).select("n", "copies").join(held.select("n", "ka", "kb", "size"), "n")
+    # Equal rows are decided one by one and then taken together.
+    sums = [F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("size") > 0, F.col("copies")).otherwise(0)).alias("copies")]
+    taken = settle(decided.groupBy("ka", "kb").agg(*sums).where("copies > 0"), "taken")
+    return unboxed(rows_with(rows, taken).select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))))
 
 
 def plan(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: float = MOST) -> DataFrame:
     """Per document its size, its source's size and target and the words taken of it."""
-    rows = docs.select("doc_id", "source", "text").withColumn("n", F.monotonically_increasing_id())
-    held = settle(sized(rows, F.col("text"), F.col("doc_id"), F.col("source")), "sizes")
+    held = sized(docs.select("doc_id", "source", "text"))
     return decide(held, weights, most).select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))

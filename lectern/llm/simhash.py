@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import boxed, numbered, settle, unboxed
+from .common import keyed, rows_with, settle, unboxed
 from .components import components
 
 WORDS = 3
@@ -53,9 +53,9 @@ def _bit_sums(hashes: np.ndarray) -> np.ndarray:
     return sums.reshape(64)
 
 
-def fingerprint(text: str | None, words: int = WORDS) -> int:
+def fingerprint(text: bytes | None, words: int = WORDS) -> int:
     """SimHash of a text's word shingles as an unsigned number."""
-    parts = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
+    parts = (text or b"").translate(_LOWER).split()
     if not parts:
         return 0
     joined = b" ".join(parts)
@@ -77,21 +77,17 @@ def _signed(values: list[int]) -> pa.Array:
     return pa.array(np.array(values, dtype=np.uint64).view(np.int64), pa.int64())
 
 
-def with_fingerprints(df: DataFrame, text, words: int = WORDS) -> DataFrame:
-    """``df``'s columns and ``fp``, the fingerprint of the text as a signed long.
-
-    ``text`` is a path of names, for a text inside a struct column.
-    """
+def with_fingerprints(df: DataFrame, words: int = WORDS) -> DataFrame:
+    """``df``'s columns but ``text``, and ``fp``, the text's fingerprint as a signed long."""
 
     def run(batches):
         for batch in batches:
-            values = batch.column(text[0])
-            for name in text[1:]:
-                values = values.field(name)
-            fps = _signed([fingerprint(t.as_py(), words) for t in values])
-            yield pa.RecordBatch.from_arrays([*batch.columns, fps], [*batch.schema.names, "fp"])
+            texts = batch.column("text").cast(pa.binary())
+            fps = _signed([fingerprint(t.as_py(), words) for t in texts])
+            kept = [c for c in batch.schema.names if c != "text"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), fps], [*kept, "fp"])
 
-    return df.mapInArrow(run, df.withColumn("fp", F.lit(0).cast("long")).schema)
+    return df.mapInArrow(run, df.drop("text").withColumn("fp", F.lit(0).cast("long")).schema)
 
 
 def _position_masks(bytes_kept: int) -> list[int]:
@@ -210,7 +206,7 @@ def _class_table(prints: DataFrame, best) -> DataFrame:
 
 def assign(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """Per document its id, fingerprint (16 hex digits) and component's smallest id."""
-    prints = settle(with_fingerprints(docs.select("doc_id", "text"), ["text"], words).drop("text"), "prints")
+    prints = settle(with_fingerprints(docs.select("doc_id", "text"), words), "prints")
     table = _class_table(prints, F.col("doc_id")).withColumnRenamed("best", "component_id")
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
     return prints.join(table, "fp").select("doc_id", digits, "component_id")
@@ -219,10 +215,11 @@ def assign(docs: DataFrame, words: int = WORDS) -> DataFrame:
 def dedup(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """The documents, one of each class: that with the smallest id (nulls last).
 
-    Of rows that repeat the smallest id the first read stays. Columns stay as they are.
+    Of different rows with the smallest id one stays, told by a hash; text is shuffled once.
     """
-    prints = numbered(with_fingerprints(boxed(docs), ["row", "text"], words), "prints")
-    # The key of a row: its id, nulls last, and its number, which no other row has.
-    key = F.struct(F.col("row.doc_id").isNull().alias("none"), F.col("row.doc_id").alias("doc_id"), "n")
-    kept = _class_table(prints.select("fp", key.alias("key")), F.col("key")).select(F.col("best.n").alias("n")).distinct()
-    return unboxed(prints.join(kept, "n", "left_semi"))
+    rows = keyed(docs)
+    prints = settle(with_fingerprints(rows.select("ka", "kb", F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text")), words), "prints")
+    best = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "ka", "kb")
+    kept = _class_table(prints, best).select("best.ka", "best.kb").distinct()
+    counts = prints.groupBy("ka", "kb").agg(F.count(F.lit(1)).alias("n"))
+    return unboxed(rows_with(rows, settle(kept.join(counts, ["ka", "kb"]), "kept")))

@@ -57,7 +57,7 @@ def test_small_blocks_stay_balanced(spark):
     rng = random.Random(4)
     rows = [(i, "w " * rng.randrange(1, 50), "en", "hot" if i % 3 else f"s{i % 7}", 1) for i in range(900)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    held = mixing.sized(docs.selectExpr("*", "doc_id AS n"), docs.text, docs.doc_id, docs.source)
+    held = mixing.sized(docs)
     out = mixing.decide(held, block=128).collect()
     sums, targets, numbers = defaultdict(int), {}, defaultdict(int)
     for r in out:
