@@ -30,6 +30,8 @@ from .tokens import VOCABULARY, Encoder
 
 SIZE = 1024
 END_ID = 2
+#: Pieces a task hands on at a time; a longer document's come together.
+BATCH = 2048
 _PIECE = "doc_id {id}, piece int, start long, length long, ids_crc32 long, part int, place long, ids array<int>"
 
 
@@ -41,6 +43,14 @@ def pieces(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, vocabulary:
     def run(batches):
         encode, end = Encoder(vocabulary), np.array([end_id], dtype="<u4").tobytes()
         part, places = TaskContext.get().partitionId(), np.zeros(size + 1, dtype=np.int64)
+        names = ["doc_id", "piece", "start", "length", "ids_crc32", "part", "place", "ids"]
+        kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
+
+        def made(batch, at, rows, held):
+            arrays = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
+            ids = pa.array(held, pa.list_(pa.int32()))
+            return pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(at, pa.int64())), *arrays, ids], names)
+
         for batch in batches:
             at, rows, held = [], [], []
             for i, text in enumerate(batch.column("text").cast(pa.binary())):
@@ -55,14 +65,11 @@ def pieces(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, vocabulary:
                     held.append(np.frombuffer(cut, dtype="<i4") if keep_ids else None)
                     places[length] += 1
                     start, length = start + length, size
-            columns = list(zip(*rows)) if rows else [()] * 6
-            kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
-            arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
-            ids = pa.array(held, pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id").take(pa.array(at, pa.int64())), *arrays, ids],
-                ["doc_id", "piece", "start", "length", "ids_crc32", "part", "place", "ids"],
-            )
+                if len(rows) >= BATCH:
+                    yield made(batch, at, rows, held)
+                    at, rows, held = [], [], []
+            if rows:
+                yield made(batch, at, rows, held)
 
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
