@@ -12,7 +12,7 @@ from pyspark.sql.types import StructType
 
 from .. import canon, schemas
 from ..functions.columns import let
-from ..functions.refs import alias_override, book_name, inline_refs, link_refs
+from ..functions.refs import NUMBERS, alias_override, book_name, collect_xrefs, inline_refs, link_refs, normalize_ref, verse_keys
 from ..functions.text import (
     LINE_END,
     SPACE,
@@ -291,6 +291,50 @@ def father_paragraphs(block: Column) -> Column:
     )
 
 
+# Fixed value: the heading of a commentary page's section, which names its verses.
+PERICOPE_HEAD = r'(?is)\A<h3 id="[^"]+">\s*<a href="/[a-z-]+/[a-z0-9-]+\.shtml#[^"]*"[^>]*>([^<]+)</a>\s*</h3>'
+
+
+def pericope_pages(pages: DataFrame, work: str, name: str, prefix: str, html: str = "html") -> DataFrame:
+    """Commentary pages ``(slug, chapter, html)`` to one node per headed section.
+
+    A section's label gives its verses, paragraphs ahead of the first commentator its
+    lemma, the others its fragments and their references. Sections without a fragment
+    give no node. A label that can't be read or names another chapter is marked ``drift``
+    and keeps its text. ``commented_verse_keys`` holds the label's keys; ``clamp_keys``
+    tells which of them are verses.
+    """
+    sections = F.filter(F.split(html, r'(?i)(?=<h3 id=")', -1), lambda b: b.rlike(PERICOPE_HEAD))
+
+    def section(block: Column) -> Column:
+        body = F.regexp_replace(block, PERICOPE_HEAD, "")
+        # References are read from the fragments only, which begin at the first name.
+        spoken = F.regexp_extract(body, r"(?is)(<p>\s*<strong>.*)\z", 1)
+        label = html_to_text(F.regexp_extract(block, PERICOPE_HEAD, 1))
+        return F.struct(
+            label.alias("label"),
+            attach_continuation(father_paragraphs(body)).alias("fold"), collect_xrefs(spoken).alias("citations_out"),
+        )
+
+    rest = [c for c in pages.columns if c != html]
+    found = F.filter(F.transform(sections, section), lambda x: F.size(x["fold"]["segments"]) > 0)
+    rows = pages.select(*rest, F.explode(found).alias("s"))
+    number = lambda g: F.regexp_extract("s.label", NUMBERS, g)
+    last = F.when(number(3) != "", F.concat(F.lit("-"), number(3))).otherwise("")
+    book = book_name(F.col("slug"))
+    read = rows.withColumn("norm", normalize_ref(F.concat(book, F.lit(" "), number(1), F.lit(":"), number(2), last)))
+    n = F.col("norm")
+    text = join_segments(F.col("s.fold.segments"))
+    return read.select(
+        F.concat_ws(".", F.lit(prefix), "slug", n["chapter"].cast("string"), n["verse_start"].cast("string")).alias("id"),
+        F.lit(work).alias("work"), F.concat(F.lit(f"{name}, "), n["ref"]).alias("citation"), F.lit("").alias("title"),
+        F.array(F.lit(name), F.concat(F.lit("Gospel of "), book), F.concat(F.lit("Chapter "), F.col("chapter").cast("string"))).alias("path"),
+        F.lit("father-comment").alias("type"), text.alias("text"), F.col("s.fold.segments").alias("segments"),
+        F.col("s.citations_out").alias("citations_out"), F.col("s.fold.lemma").alias("lemma"), verse_keys(n).alias("commented_verse_keys"),
+        (n.isNull() | (n["chapter"] != F.col("chapter"))).alias("drift"), *[c for c in rest if c not in ("slug", "chapter")],
+    )
+
+
 def pending_heading_fold(elements: Column, heading: str = "h3") -> Column:
     """Headed units of a flat heading/paragraph run.
 

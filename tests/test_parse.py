@@ -89,3 +89,20 @@ def test_teaching_page(spark):
     (row,) = parse.parse_teaching(df).collect()
     assert (row.id, row.citation) == ("catechism.p1.art1.s01", "Roman Catechism, Part I, Article 1 : Meaning")
     assert row.text == "ARTICLE I\n\nas in John 3:16." and [c.raw for c in row.citations_out] == ["John 3:16"]
+
+
+def test_commentary_page(spark):
+    html = (
+        '<h1>John</h1><h3 id="1"> <a href="/bible/john.shtml#1" class="x">1:1-2</a></h3><p>Ver. 1. In the beginning.</p><p>And the Word</p>'
+        '<p><strong>AUG.</strong> (de Trin.) See <a href="/douay-rheims-bible/genesis.shtml#1">Gen. 1:1</a>.</p><p>More of it.</p><p class="n">no</p>'
+        '<p><strong>Bede.</strong>, said &amp; done</p><h3 id="3"><a href="/bible/john.shtml#3">2:3</a></h3><p>only a lemma</p>'
+        '<h3 id="4"><a href="/bible/john.shtml#4">2:4</a></h3><p><strong>Gloss.</strong> x</p>'
+    )
+    pages = spark.createDataFrame([("john", 1, "u", html)], "slug string, chapter int, url string, html string")
+    rows = parse.pericope_pages(pages, "golden-chain", "Golden Chain", "chain").orderBy("id").collect()
+    assert [(r.id, r.citation, r.drift, r.url) for r in rows] == [("chain.john.1.1", "Golden Chain, John 1:1-2", False, "u"), ("chain.john.2.4", "Golden Chain, John 2:4", True, "u")]
+    first = rows[0]
+    assert first.lemma == "In the beginning. And the Word" and first.commented_verse_keys == ["john/1/1", "john/1/2"]
+    assert [(s.father, s.text) for s in first.segments] == [("Augustine", "(de Trin.) See Gen. 1:1.\n\nMore of it."), ("Bede", "said & done")]
+    assert first.text == "(de Trin.) See Gen. 1:1.\n\nMore of it.\n\nsaid & done"
+    assert [c.raw for c in first.citations_out] == ["Genesis 1:1"] and first.path == ["Golden Chain", "Gospel of John", "Chapter 1"]
