@@ -549,3 +549,26 @@ def node_provenance(t):
     unnamed = quality.license_present(nodes, F.col("source.license"))
     held = nodes.join(unnamed.select("id"), "id", "left_anti")
     return held.select("id", F.col("source.url").alias("url"), F.col("source.license").alias("license"), F.col("source.translator").alias("translator"))
+
+
+@query(
+    "pericope_pages",
+    with_("per", "lin")
+    + f"""SELECT per.doc_id, 'chain.' || slug || '.' || ch || '.' || v1 AS id, citation, 'Lemma of ' || per.doc_id AS lemma, CAST(len(keys) AS INTEGER) AS n_keys,
+      CAST(count(*) AS INTEGER) AS n_segments, string_agg({collapse('line')}, chr(10) || chr(10) ORDER BY i) AS text
+    FROM per JOIN lin USING (doc_id) GROUP BY per.doc_id, slug, ch, v1, citation, keys""",
+)
+def pericope_pages(t):
+    """Documents as commentary pages of one section, a named fragment a line."""
+    label = F.regexp_extract("citation", r" ([0-9]+:[0-9]+(?:-[0-9]+)?)$", 1)
+    fragments = F.transform("segments", lambda s: F.concat(F.lit("<p><strong>Bede</strong> "), text.escape_html(s["text"]), F.lit("</p>")))
+    html = F.concat(
+        F.lit('<h3 id="v"><a href="/bible/book.shtml#v">'), label, F.lit("</a></h3><p>Lemma of "), corpus.text_of(F.col("doc_id")),
+        F.lit("</p>"), F.array_join(fragments, ""),
+    )
+    chapter = F.regexp_extract("citation", r" ([0-9]+):", 1).cast("int")
+    pages = t.pericopes.select("doc_id", "slug", chapter.alias("chapter"), html.alias("html"))
+    nodes = parse.pericope_pages(pages, "golden-chain", "Golden Chain", "chain")
+    return nodes.select(
+        "doc_id", "id", "citation", "lemma", F.size("commented_verse_keys").alias("n_keys"), F.size("segments").alias("n_segments"), "text"
+    )
