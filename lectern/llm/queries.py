@@ -153,6 +153,6 @@ FROM docs d LEFT JOIN left_ l ON d.n = l.n"""
 
 @query("op4_line_dedup", LINES_SQL)
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents without their source's boilerplate lines."""
-    found = lines.drop_lines(load(spark, folder, "documents"), figures=True)
+    """Documents without their source's boilerplate lines, by the rule of the SQL."""
+    found = lines.drop_lines(load(spark, folder, "documents"), figures=True, spare=True)
     return found.select("doc_id", "text", "lines", "dropped_lines")

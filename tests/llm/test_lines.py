@@ -33,6 +33,19 @@ def test_ratio(spark):
     assert lines.drop_lines(docs, ratio=0.03, figures=True).where("dropped_lines > 0").count() == 0
 
 
+def test_long_menu_goes_and_copied_pages_stay(spark):
+    menu = "\n".join(f"An entry of the menu that every page of this site has, number {i}" for i in range(20))
+    rows = [(i, f"{menu}\nShort body {i}", "en", "a", 0) for i in range(6)]
+    rows += [(10 + i, "A copied page\nof two lines\n" + "\n" * (i % 2), "en", "a", 0) for i in range(40)]
+    rows += [(60 + i, f"COMMON\nLine {i} of the other pages", "en", "a", 0) for i in range(3)] + [(70, "COMMON", "en", "a", 0)]
+    got = {r.doc_id: (r.text, r.dropped_lines, r.n_chars) for r in lines.drop_lines(spark.createDataFrame(rows, DOCS), figures=True).collect()}
+    for i in range(6):
+        assert got[i] == (f"Short body {i}", 20, 12)
+    for i in range(40):
+        assert got[10 + i][1] == 0 and got[10 + i][0] == rows[6 + i][1]
+    assert got[60] == ("Line 0 of the other pages", 1, 25) and got[70] == ("", 1, 0)
+
+
 def test_odd_rows(spark):
     docs = odd_docs(spark)
     out = lines.drop_lines(docs)
