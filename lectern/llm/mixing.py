@@ -8,7 +8,8 @@ leaves the expected words and documents of the source as they are, and stops whe
 the probabilities has become 0 or 1. With two constraints three documents are enough for
 a step.
 
-Hot sources: documents of a source are dealt into blocks by a hash of their id and every
+Hot sources: documents of a source are dealt into blocks by a hash of their id, text and
+number among the rows that have both in common, so that no id fills a block, and every
 block is walked on its own; it leaves at most two undecided documents. These meet in
 blocks of the next round, until a source has one block. Only there the landing follows:
 the number of documents is given up as a constraint, then the words, for the two smallest
@@ -33,6 +34,8 @@ WEIGHTS = (5, 2, 1)
 MOST = 3
 #: Documents walked in one task at a time.
 BLOCK = 2048
+#: Rows that are numbered in one task at a time, as a power of two.
+NUMBERED = 11
 #: From so many documents on, those that make up for a large one keep their number too.
 MANY = 64
 SEED = 6
@@ -197,20 +200,35 @@ def sample(units: DataFrame, block: int = BLOCK) -> DataFrame:
 
 
 def sized(df: DataFrame, *more: str) -> DataFrame:
-    """``(n, doc_id, source, size, *more)`` of documents, written once; ``n`` is unique."""
+    """``(n, doc_id, source, size, told, *more)`` of documents, written once; ``n`` is unique."""
     words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")
-    return settle(df.select("doc_id", "source", words, *more).withColumn("n", F.monotonically_increasing_id()), "sizes")
+    return settle(df.select("doc_id", "source", words, F.xxhash64("text").alias("told"), *more).withColumn("n", F.monotonically_increasing_id()), "sizes")
+
+
+def picked(held: DataFrame) -> DataFrame:
+    """``held (n, doc_id, source, size, told)`` with ``pick``, a hash that tells all rows apart.
+
+    Rows alike in all but ``n`` are numbered, in runs of ``n`` so that no task has them all;
+    which of them has which number makes no difference, so reruns agree.
+    """
+    alike, run = F.xxhash64("doc_id", "source", "size", "told"), F.shiftrightunsigned("n", NUMBERED)
+    rows = held.withColumn("alike", alike).withColumn("run", run)
+    counts = rows.groupBy("alike", "run").agg(F.count(F.lit(1)).alias("here"))
+    before = F.sum("here").over(Window.partitionBy("alike").orderBy("run")) - F.col("here")
+    place = F.row_number().over(Window.partitionBy("alike", "run").orderBy("n"))
+    numbered = rows.withColumn("place", place).join(counts.withColumn("before", before).drop("here"), ["alike", "run"])
+    pick = F.xxhash64("doc_id", "alike", F.col("before") + F.col("place"), F.lit(SEED)).alias("pick")
+    return numbered.select(*held.columns, pick)
 
 
 def decide(held: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: float = MOST, block: int = BLOCK) -> DataFrame:
-    """Copies of each row of ``held (n, doc_id, source, size)``, with its source's figures."""
+    """Copies of each row of ``held (n, doc_id, source, size, told)``, with its source's figures."""
     sums = [F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("documents")]
     by_source = settle(targets(held.groupBy("source").agg(*sums), weights, most).withColumnRenamed("source", "s"), "targets")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     joined = held.join(by_source, F.col("source").eqNullSafe(F.col("s"))).withColumn("rate", rate)
     whole = F.floor(F.col("rate") + _EPS)
-    pick = F.xxhash64("doc_id", F.lit(SEED)).alias("pick")
-    units = joined.where("size > 0").select("n", "source", "size", pick, F.greatest(F.col("rate") - whole, F.lit(0.0)).alias("p"))
+    units = picked(joined.where("size > 0")).select("n", "source", "size", "pick", F.greatest(F.col("rate") - whole, F.lit(0.0)).alias("p"))
     chosen = sample(units, block)
     copies = (whole + F.coalesce("chosen", F.lit(0))).cast("long").alias("copies")
     return joined.join(chosen, "n", "left").select("n", "doc_id", "source", "size", "source_size", "target", copies)

@@ -72,6 +72,25 @@ def test_small_blocks_stay_balanced(spark):
         assert abs(numbers[s] - counts[s] * target / size) <= 8
 
 
+def test_one_id_fills_no_block(spark, monkeypatch):
+    words = lambda i: "w " * (1 + i % 40)
+    rows = [(7, words(i), "hot") for i in range(1500)] + [(7, "the same words", "hot")] * 1500 + [(None, words(i), "hot") for i in range(1500)]
+    rows += [(100 + i, words(i), "hot") for i in range(1500)] + [(9000 + i, words(i), "b") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    largest, picks, sample = [], [], mixing.sample
+
+    def watched(units, block):
+        largest.append(max(r["count"] for r in mixing._blocks(units, block, 0).groupBy("source", "block").count().collect()))
+        picks.append(sorted((r["size"], r["pick"]) for r in units.collect()))
+        return sample(units, block)
+
+    monkeypatch.setattr(mixing, "sample", watched)
+    first = rows_as_text(mixing.decide(mixing.sized(docs), block=256).drop("n"))
+    again = rows_as_text(mixing.decide(mixing.sized(docs.repartition(5)), block=256).drop("n"))
+    assert first == again and picks[0] == picks[1]
+    assert max(largest) < 2 * 256 and len(set(picks[0])) == len(rows)
+
+
 def test_walk_keeps_its_constraints():
     rng = random.Random(6)
     taken = [0] * 6
