@@ -2,9 +2,10 @@
 
 Base kinds are found by their patterns. The method adds a fourth kind: strings that look
 like credentials and belong to few owners. The hash of every candidate is counted over
-the corpus by distinct repositories and owners; a candidate that many owners have is an
-example that was copied around, one of a few owners looks live. For documents the source
-is the owner and the document the repository.
+the corpus by distinct repositories and owners; a candidate that many owners or many
+repositories have is an example that was copied around, one of few looks live. For
+documents the source is the owner and the different text the repository, so copies of a
+whole document are one.
 
 Spans come from splitting a text at a pattern: the pieces between matches and the matches
 together give every place, in the JVM. Candidates are shuffled as hashes, never as text;
@@ -34,6 +35,8 @@ LIVE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{20,}"
 LIVE_DIFFERENT = 10
 #: A candidate of more owners than this is an example.
 MOST_OWNERS = 2
+#: And one of more repositories than this, whoever owns them.
+MOST_REPOSITORIES = 20
 KINDS = ["assign", "access", "hex", "live"]
 _SPAN = "array<struct<start:long,kind:int,end:long,value:string>>"
 
@@ -77,11 +80,15 @@ def _hashed(spans: Column) -> Column:
     return F.transform(spans, lambda x: F.struct(x["start"], x["kind"], x["end"], F.unhex(F.sha2(x["value"], 256)).alias("hash")))
 
 
-def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", owner: str = "source", repository: str = "doc_id") -> DataFrame:
-    """``(n, doc_id, owner, repository, base, more)``: spans with the hashes of their values."""
+def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", owner: str = "source", repository: str | None = None) -> DataFrame:
+    """``(n, doc_id, owner, repository, base, more)``: spans with the hashes of their values.
+
+    Without a column ``repository`` each different text is one.
+    """
+    told = F.col(repository).cast("string") if repository else F.xxhash64(F.coalesce(F.col(text), F.lit(""))).cast("string")
     read = docs.select(
         F.monotonically_increasing_id().alias("n"), F.col(doc_id).alias("doc_id"), F.col(owner).alias("owner"),
-        F.col(repository).cast("string").alias("repository"), F.coalesce(F.col(text), F.lit("")).alias("text"),
+        told.alias("repository"), F.coalesce(F.col(text), F.lit("")).alias("text"),
     )
     found = read.withColumn("base", base_spans(F.col("text")))
     # A written table, so the patterns run once over each text.
@@ -99,14 +106,19 @@ def ownership(spans: DataFrame) -> DataFrame:
     return by_owner.groupBy("hash").agg(F.count(F.lit(1)).alias("owners"), F.sum("n").alias("repositories"))
 
 
-def spans_of(docs: DataFrame, most_owners: int = MOST_OWNERS) -> DataFrame:
+def _few(most_owners: int, most_repositories: int) -> Column:
+    """Whether so few have a candidate that it looks live."""
+    return (F.col("owners") <= most_owners) & (F.col("repositories") <= most_repositories)
+
+
+def spans_of(docs: DataFrame, most_owners: int = MOST_OWNERS, most_repositories: int = MOST_REPOSITORIES) -> DataFrame:
     """One row per span: place, kind, how many own its value, and ``live`` or ``example``."""
     held = scan(docs)
     counts = settle(ownership(held), "ownership")
     each = held.select("doc_id", F.explode(F.concat("base", "more")).alias("span"))
     judged = each.select("doc_id", "span.*").join(counts, "hash")
     kind = F.element_at(F.array(*[F.lit(k) for k in KINDS]), F.col("kind") + 1)
-    verdict = F.when(F.col("owners") <= most_owners, "live").otherwise("example")
+    verdict = F.when(_few(most_owners, most_repositories), "live").otherwise("example")
     return judged.select("doc_id", kind.alias("kind"), "start", "end", "owners", "repositories", verdict.alias("verdict"))
 
 
@@ -116,10 +128,10 @@ def _written(spans: Column) -> Column:
     return F.array_join(say, ",")
 
 
-def digest(docs: DataFrame, most_owners: int = MOST_OWNERS) -> DataFrame:
+def digest(docs: DataFrame, most_owners: int = MOST_OWNERS, most_repositories: int = MOST_REPOSITORIES) -> DataFrame:
     """Per document the number of base spans by kind, their hash, and all spans."""
     held = scan(docs)
-    few = settle(ownership(held).where(F.col("owners") <= most_owners).select("hash"), "few-owners")
+    few = settle(ownership(held).where(_few(most_owners, most_repositories)).select("hash"), "few-owners")
     added = held.select("n", F.explode("more").alias("span")).join(few, F.col("span.hash") == F.col("hash"))
     live = added.groupBy("n").agg(F.collect_list("span").alias("live"))
     base = F.col("base")

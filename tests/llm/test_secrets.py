@@ -76,6 +76,17 @@ def test_owners(spark):
     assert sorted(r.spans for r in secrets.digest(docs).collect()) == ["", "", ""] + ["live:5:25"] * 4
 
 
+def test_repositories(spark):
+    # An example in many texts of one source; a key in as many copies of one text.
+    rows = [(i, f"page {i}: Zx9Kq2LmN8vB4tR7wY1u", "s0") for i in range(21)] + [(100 + i, "only Qw8Er7Ty6Ui5Op4As3Df here", "s0") for i in range(30)]
+    rows += [(200 + i, f"page {i}: Mn7Bv6Cx5Zl4Kj3Hg2Fd", "s0") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    live = {r.doc_id for r in secrets.digest(docs).collect() if r.spans}
+    assert live == {i for i, _, _ in rows if i >= 100}
+    verdicts = {(r.verdict, r.owners, r.repositories) for r in secrets.spans_of(docs).collect()}
+    assert verdicts == {("example", 1, 21), ("live", 1, 1), ("live", 1, 20)}
+
+
 def test_odd_rows(spark):
     docs = odd_docs(spark)
     assert got(docs) == want(docs.collect())
