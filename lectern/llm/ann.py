@@ -1,11 +1,14 @@
 """Nearest neighbours by inner product over robust-pruned directed graphs.
 
-Vectors are dealt into shards by a hash. In a shard a graph is grown in batches: a greedy
+Vectors are dealt into shards by a range of norms and a hash. In a shard a graph is grown in batches: a greedy
 beam search of the graph so far proposes neighbours for each new vector, and robust
 pruning keeps an edge only while no kept neighbour is closer to its end by the factor
 ``ALPHA``, so the edges stay few and point into different directions. Edges also lead
 back, and a node with too many is pruned the same way. Largest inner product is smallest
 distance once every vector has one more coordinate that gives all of them one norm.
+Distances are in double precision on vectors scaled by the shard's largest norm, and the
+norms of a shard differ by a factor of ``2 ** RANGE`` at most, so a few very long vectors
+take nothing from the distances among the others. Queries are scaled to norm one.
 
 Every query searches every shard with a beam. Queries travel in blocks, and a task has
 one shard's index and one block. What the beams return is scored in double precision on
@@ -30,6 +33,8 @@ from .vectors import least_ids, matrix, usable
 K = 20
 SHARD = 4096
 QUERY_BLOCK = 4096
+#: Powers of two between the least and the largest norm of a shard.
+RANGE = 10
 DEGREE = 48
 BEAM = 96
 ALPHA = 1.2
@@ -48,7 +53,7 @@ def beam_search(x, norms, graph, entry: int, q, beam: int) -> tuple[np.ndarray,
     """Ids and distances of the nearest nodes found, nearest first; -1 where there are none."""
     n, rows = len(x), np.arange(len(q))
     ids = np.full((len(q), beam), n, dtype=np.int64)
-    near = np.full((len(q), beam), np.inf, dtype=np.float32)
+    near = np.full((len(q), beam), np.inf)
     open_ = np.zeros((len(q), beam), dtype=bool)
     seen = np.zeros((len(q), n + 1), dtype=bool)
     seen[:, [entry, n]] = True
@@ -72,7 +77,7 @@ def beam_search(x, norms, graph, entry: int, q, beam: int) -> tuple[np.ndarray,
         # Only the columns that hold something.
         new.sort(axis=1)
         new = new[:, : max(1, int((new < n).sum(axis=1).max()))]
-        far = _distances(x, norms, q[active], np.minimum(new, n - 1)).astype(np.float32)
+        far = _distances(x, norms, q[active], np.minimum(new, n - 1))
         far[new == n] = np.inf
         all_ids = np.concatenate([ids[active], new], axis=1)
         all_near = np.concatenate([near[active], far], axis=1)
@@ -153,9 +158,16 @@ def _lead_back(x, norms, graph, points, degree: int, alpha: float) -> None:
 
 
 def one_norm(x: np.ndarray) -> np.ndarray:
-    """One more coordinate, so that all vectors have the largest norm."""
+    """Vectors scaled by the largest norm and one more coordinate, so that all have norm one."""
+    x = x / np.abs(x).max()  # first by the largest component, so that no square overflows
     norms = np.einsum("ij,ij->i", x, x)
-    return np.column_stack([x, np.sqrt(np.maximum(norms.max() - norms, 0))]).astype(np.float32)
+    x, norms = x / np.sqrt(norms.max()), norms / norms.max()
+    return np.column_stack([x, np.sqrt(np.maximum(1 - norms, 0))])
+
+
+def _units(q: np.ndarray) -> np.ndarray:
+    q = q / np.abs(q).max(axis=1, keepdims=True)
+    return q / np.sqrt(np.einsum("ij,ij->i", q, q))[:, None]
 
 
 def nearest(x, graph, entry: int, least, q, k: int, beam: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -165,7 +177,7 @@ def nearest(x, graph, entry: int, least, q, k: int, beam: int) -> tuple[np.ndarr
     places, nodes, scores = [], [], []
     for at in range(0, len(q), TOGETHER):
         own = q[at:at + TOGETHER]
-        found, _ = beam_search(flat, norms, graph, entry, np.pad(own, ((0, 0), (0, 1))).astype(np.float32), beam)
+        found, _ = beam_search(flat, norms, graph, entry, np.pad(_units(own), ((0, 0), (0, 1))), beam)
         exact = np.matmul(x[np.maximum(found, 0)], own[:, :, None])[:, :, 0]
         exact[found < 0] = -np.inf
         order = np.lexsort((least[np.maximum(found, 0)], -exact), axis=1)[:, :k]
@@ -175,8 +187,27 @@ def nearest(x, graph, entry: int, least, q, k: int, beam: int) -> tuple[np.ndarr
     return tuple(np.concatenate(v) if v else np.zeros(0, np.int64) for v in (places, nodes, scores))
 
 
+def _norm_range(vector: Column) -> Column:
+    """Number of the range of norms a vector is in."""
+    largest = F.aggregate(vector, F.lit(0.0), lambda a, x: F.greatest(a, F.abs(x.cast("double"))))
+    squares = F.aggregate(vector, F.lit(0.0), lambda a, x: a + (x.cast("double") / largest) * (x.cast("double") / largest))
+    return F.floor((F.log2(largest) + F.log2(squares) / 2) / RANGE).cast("int")
+
+
+def deal(distinct: DataFrame, shard: int) -> tuple[DataFrame, int]:
+    """``distinct`` with its ``shard``, and how many there are; each holds one range of norms."""
+    ranged = settle(distinct.select("n", "embedding", "ids", _norm_range(F.col("embedding")).alias("range")), "ranges")
+    counts = sorted((r["range"], r["count"]) for r in ranged.groupBy("range").count().collect())  # few: ranges of exponents
+    first, dealt, shards = F.lit(0), F.lit(1), 0
+    for number, count in counts:
+        here = -(-count // shard)
+        first, dealt = F.when(F.col("range") == number, shards).otherwise(first), F.when(F.col("range") == number, here).otherwise(dealt)
+        shards += here
+    return ranged.withColumn("shard", (first + F.pmod(F.xxhash64("n"), dealt)).cast("int")).drop("range"), max(1, shards)
+
+
 def build_index(distinct: DataFrame, shards: int, degree: int = DEGREE, beam: int = BEAM, alpha: float = ALPHA) -> DataFrame:
-    """One row a shard: its nodes' numbers and least ids, vectors and graph, as bytes."""
+    """One row a ``shard``: its nodes' numbers and least ids, vectors and graph, as bytes."""
 
     def run(group: pa.Table) -> pa.Table:
         group = group.combine_chunks().sort_by("n")
@@ -187,7 +218,7 @@ def build_index(distinct: DataFrame, shards: int, degree: int = DEGREE, beam: in
         return pa.table({"shard": pa.array([group.column("shard")[0].as_py()], pa.int32()), **cells, "entry": pa.array([entry], pa.int32()), "size": pa.array([len(x)], pa.int32())})
 
     dealt = distinct.select(
-        F.pmod(F.xxhash64("n"), F.lit(shards)).cast("int").alias("shard"), "n", "embedding",
+        "shard", "n", "embedding",
         F.coalesce(F.element_at("ids", 1), F.lit(2**63 - 1)).alias("least"),
     )
     schema = "shard int, numbers binary, least binary, vectors binary, graph binary, entry int, size int"
@@ -224,9 +255,9 @@ def search(vectors: DataFrame, asked: Column, k: int = K, shard: int = SHARD, de
         vectors.where(asked & usable(F.col("embedding"))).select(F.monotonically_increasing_id().alias("q"), F.col("vec_id").alias("query_id"), "embedding"),
         "queries",
     )
-    shards = max(1, -(-distinct.count() // shard))
+    dealt, shards = deal(distinct, shard)
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    index = settle(build_index(distinct, shards, degree, max(beam, k + 1)), "index")
+    index = settle(build_index(dealt, shards, degree, max(beam, k + 1)), "index")
     tasks = 2 * min(shards * blocks, 50_000)
     left = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).repartition(tasks, "shard", "block")
     right = _blocks(queries, blocks).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).repartition(tasks, "shard", "block")

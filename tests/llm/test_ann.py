@@ -52,6 +52,18 @@ def test_many_shards_and_norms(spark):
     ann.QUERY_BLOCK = held
 
 
+def test_a_few_very_long_vectors(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(1500, 16))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    x[7] *= 1e4
+    x[8] *= 1e7
+    x[9] *= 1e25
+    x[40] *= 1e-12
+    vectors = table(spark, x.astype(np.float32).astype(float))
+    check(vectors, ann.search(vectors, F.expr(ASKED)))
+
+
 def test_copies_and_ties(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(400, 8)).round(1)
