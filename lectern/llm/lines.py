@@ -16,10 +16,8 @@ A 64-bit hash of a line could only do harm by meeting the hash of a boilerplate
 the same site; with a thousand such lines and a billion lines a site the chance is 1e-7.
 
 Defined results: blank lines are never boilerplate, and don't tell pages apart. A page of
-boilerplate alone becomes an empty text. With ``spare`` the rule is the one that the SQL
-of ``op4_line_dedup`` states: each row counts as a page, and a page that would lose more
-than half of its characters (``MOST_DROPPED``) stays as it is. A null site is one site. A
-null text stays null. Rows that repeat an id are decided each. Other columns stay as they
+boilerplate alone becomes an empty text. A null site is one site. A null
+text stays null and counts with the pages that have no lines. Rows that repeat an id are decided each. Other columns stay as they
 are, but for ``n_chars``, which follows the text where it is there.
 """
 
@@ -32,7 +30,6 @@ from .common import boxed, settle, unboxed
 
 RATIO = 0.02
 MIN_PAGES = 3
-MOST_DROPPED = 0.5
 
 
 def _lines(text: Column) -> Column:
@@ -51,7 +48,7 @@ def boilerplate(keys: DataFrame, pages: DataFrame, ratio: float = RATIO, min_pag
     return joined.where(F.col("n") > F.col("pages") * ratio).select("site", "key")
 
 
-def drop_lines(docs: DataFrame, site: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES, figures: bool = False, spare: bool = False) -> DataFrame:
+def drop_lines(docs: DataFrame, site: str = "source", ratio: float = RATIO, min_pages: int = MIN_PAGES, figures: bool = False) -> DataFrame:
     """The documents without their site's boilerplate lines; ``figures`` adds what went.
 
     Those are ``lines`` and ``dropped_lines``, before the row's own columns.
@@ -61,25 +58,18 @@ def drop_lines(docs: DataFrame, site: str = "source", ratio: float = RATIO, min_
     own = F.array_distinct(F.transform(F.filter(_lines(text), lambda x: F.trim(F.regexp_replace(x, "\r$", "")) != ""), _key))
     held = settle(rows.select(F.col("row.doc_id").alias("id"), F.col("row").getField(site).alias("site"), own.alias("keys")), "lines")
     each = held.select("id", "site", F.explode("keys").alias("key"))
-    pages = held
-    if not spare:
-        page = F.xxhash64(F.array_sort("keys"))
-        pages = settle(held.groupBy("site", page.alias("page")).agg(F.first("keys").alias("keys")), "pages")
+    page = F.xxhash64(F.array_sort("keys"))
+    pages = settle(held.groupBy("site", page.alias("page")).agg(F.first("keys").alias("keys")), "pages")
     table = settle(boilerplate(pages.select("site", F.explode("keys").alias("key")), pages, ratio, min_pages).withColumnRenamed("site", "s").withColumnRenamed("key", "k"), "boilerplate")
     hits = each.join(table, F.col("site").eqNullSafe(F.col("s")) & (F.col("key") == F.col("k")))
     gone = hits.groupBy("id", "site").agg(F.collect_set("key").alias("gone")).withColumnRenamed("id", "i").withColumnRenamed("site", "s")
     met = rows.join(gone, F.col("row.doc_id").eqNullSafe(F.col("i")) & F.col("row").getField(site).eqNullSafe(F.col("s")), "left").select("row", "gone")
 
-    def length(lines):
-        return F.aggregate(lines, F.lit(0).cast("long"), lambda a, x: a + F.length(x))
-
     none = F.col("gone").isNull()
     lines = met.select("row", "gone", F.when(~none, _lines(text)).alias("all"))
     left = F.filter("all", lambda x: (F.trim(F.regexp_replace(x, "\r$", "")) == "") | ~F.array_contains("gone", _key(x)))
     cut = lines.select("row", "all", F.when(~none, left).alias("left"))
     whole = F.col("left").isNull()
-    if spare:
-        whole = whole | (length(F.col("left")) < length(F.col("all")) * (1 - MOST_DROPPED))
     out = cut.select("row", whole.alias("whole"), "left", F.when(whole, 0).otherwise(F.size("all") - F.size("left")).alias("dropped_lines"))
     new = F.when(F.col("whole"), text).otherwise(F.array_join("left", "\n"))
     row = F.col("row").withField("text", new)

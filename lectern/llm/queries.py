@@ -136,23 +136,23 @@ LINES_SQL = rf"""
 WITH docs AS (SELECT row_number() OVER () AS n, doc_id, source, text, string_split(text, chr(10)) AS held FROM documents),
   each AS (SELECT n, source, unnest(held) AS line, generate_subscripts(held, 1) AS place FROM docs),
   kept AS (SELECT n, source, line, place, trim(regexp_replace(line, '\r$', ''), ' ') AS told FROM each),
-  totals AS (SELECT source, count(*) AS pages FROM docs GROUP BY source),
-  counts AS (SELECT source, told, count(DISTINCT n) AS n FROM kept WHERE told <> '' GROUP BY source, told),
+  own AS (SELECT n, list_sort(list(DISTINCT told)) AS page FROM kept WHERE told <> '' GROUP BY n),
+  pages AS (SELECT DISTINCT source, coalesce(page, []) AS page FROM docs LEFT JOIN own USING (n)),
+  totals AS (SELECT source, count(*) AS pages FROM pages GROUP BY source),
+  counts AS (SELECT source, told, count(*) AS n FROM (SELECT source, unnest(page) AS told FROM pages) GROUP BY source, told),
   plate AS (SELECT c.source, c.told FROM counts c JOIN totals t ON c.source IS NOT DISTINCT FROM t.source
     WHERE c.n >= {lines.MIN_PAGES} AND c.n > t.pages * CAST({lines.RATIO} AS DOUBLE)),
   marked AS (SELECT k.*, p.told IS NOT NULL AS plate FROM kept k
     LEFT JOIN plate p ON k.source IS NOT DISTINCT FROM p.source AND k.told = p.told),
-  left_ AS (SELECT n, string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT plate) AS text,
-    count(*) FILTER (WHERE plate) AS dropped, coalesce(sum(length(line)) FILTER (WHERE NOT plate), 0) AS chars, sum(length(line)) AS all_chars
-    FROM marked GROUP BY n)
-SELECT d.doc_id, CASE WHEN l.dropped > 0 AND l.chars >= l.all_chars * (1 - {lines.MOST_DROPPED}) THEN l.text ELSE d.text END AS text,
-  CAST(len(d.held) AS INTEGER) AS lines,
-  CAST(CASE WHEN l.chars >= l.all_chars * (1 - {lines.MOST_DROPPED}) THEN l.dropped ELSE 0 END AS INTEGER) AS dropped_lines
+  left_ AS (SELECT n, coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE NOT plate), '') AS text,
+    count(*) FILTER (WHERE plate) AS dropped FROM marked GROUP BY n)
+SELECT d.doc_id, CASE WHEN l.dropped > 0 THEN l.text ELSE d.text END AS text,
+  CAST(len(d.held) AS INTEGER) AS lines, CAST(coalesce(l.dropped, 0) AS INTEGER) AS dropped_lines
 FROM docs d LEFT JOIN left_ l ON d.n = l.n"""
 
 
 @query("op4_line_dedup", LINES_SQL)
 def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents without their source's boilerplate lines, by the rule of the SQL."""
-    found = lines.drop_lines(load(spark, folder, "documents"), figures=True, spare=True)
+    """Documents without their source's boilerplate lines."""
+    found = lines.drop_lines(load(spark, folder, "documents"), figures=True)
     return found.select("doc_id", "text", "lines", "dropped_lines")
