@@ -15,7 +15,7 @@ document is scored by its whole text. Labels, language, source and id are no inp
 
 Defined results: a null text counts as empty, and an empty text has the zero vector,
 which the network scores like any other. Labels that are null are left out, those of one
-id are averaged. Without labels, or with one class only, the score is the share of 1
+id are averaged, and of rows that repeat a labelled id one trains. Without labels, or with one class only, the score is the share of 1
 (0.5 without labels). An empty table gives an empty one.
 """
 
@@ -234,8 +234,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
                 ["doc_id", "quality", "mean"],
             )
 
-    # At most ``sample`` ids are sent out, and as many vectors of DIM numbers come back.
-    held = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text")
+    # At most ``sample`` ids are sent out, and as many vectors of DIM numbers come back: of
+    # rows that repeat an id one is taken, told by a hash and reduced before any shuffle.
+    every = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text")
+    one = every.groupBy("doc_id", "quality").agg(F.min(F.struct(F.xxhash64("text").alias("told"), "text")).alias("first"))
+    held = one.select("doc_id", "quality", F.col("first.text").alias("text"))
     rows = sorted(held.mapInArrow(run, "doc_id string, quality double, mean array<double>").collect(), key=lambda r: (r["doc_id"], r["mean"]))
     x = np.array([r["mean"] for r in rows]).reshape(len(rows), 2 * DIM + 2)
     return Model(vectors, train(x, np.array([r["quality"] for r in rows], dtype=float)))

@@ -91,3 +91,18 @@ def test_pooling_by_blocks():
     v = vectors[quality.word_rows(text)].astype(float)
     want = [*v.mean(axis=0), *(v[:-1] * v[1:]).mean(axis=0), (v[:-1] * v[1:]).sum(axis=1).mean(), np.log1p(25)]
     assert np.allclose(whole, want, atol=1e-5) and np.allclose(parts, want, atol=1e-5)
+
+
+def test_repeated_labelled_id_trains_once(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    known = labels.where("crc32(cast(cast(doc_id as string) as binary)) % 5 != 0").first()
+    again = docs.where(docs.doc_id == known.doc_id)
+    copies = again.crossJoin(spark.range(3000)).drop("id")
+    held = docs.union(copies.withColumn("text", F.concat("text", F.lit(" more"))))
+    x = []
+    kept_train, quality.train = quality.train, lambda a, y: x.append(a) or kept_train(a, y)
+    try:
+        quality.fit(held, labels)
+    finally:
+        quality.train = kept_train
+    assert len(x[0]) <= labels.select("doc_id").distinct().count()
