@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from typing import Callable
+from zlib import crc32
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import load, new_path, settle
-from . import ann, lines, mixing, packing, quality, rollups, secrets, simhash, urls, vector_dedup
+from . import ann, lines, mixing, packing, quality, rollups, runs, secrets, simhash, urls, vector_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -156,3 +157,23 @@ def op4_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Documents without their source's boilerplate lines."""
     found = lines.drop_lines(load(spark, folder, "documents"), figures=True)
     return found.select("doc_id", "text", "lines", "dropped_lines")
+
+
+def planted_runs(doc_id, words: list[bytes]) -> list[bytes]:
+    """Words of a document with the repetition that the query plants in a tenth of them.
+
+    A document without an id has no such number and stays as it is.
+    """
+    h, n = crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    at = g % n
+    period = 1 + (n - at) // (3 + g % 8)
+    unit = words[at:at + period]
+    return words[:at] + (unit * (-(-(n - at) // period)))[: n - at]
+
+
+@query("op12_periodic_runs")
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.digest(runs.detect(load(spark, folder, "documents"), planted_runs))
