@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import load, new_path, settle
-from . import ann, lines, mixing, packing, quality, rollups, runs, secrets, simhash, urls, vector_dedup
+from . import ann, lines, mixing, packing, quality, rollups, runs, secrets, simhash, trie, urls, vector_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -177,3 +177,26 @@ def planted_runs(doc_id, words: list[bytes]) -> list[bytes]:
 @query("op12_periodic_runs")
 def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return runs.digest(runs.detect(load(spark, folder, "documents"), planted_runs))
+
+
+def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All conversations, and the turns of each after its head was copied from another.
+
+    Conversation c takes the first h turns of c - c % 100 (with the non-negative remainder)
+    and goes on with its own after its first h; h is its id's checksum modulo 6.
+    """
+    head = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6).alias("head")
+    base = (F.col("conv_id") - F.pmod("conv_id", F.lit(100))).alias("base")
+    convs = settle(turns.select("conv_id").distinct().select("conv_id", base, head), "convs")
+    heads = turns.where((F.col("at") < 5) & (F.pmod("conv_id", F.lit(100)) == 0)).select(F.col("conv_id").alias("base"), "at", "told", "chars")
+    copied = convs.join(heads, "base").where("at < head").select("conv_id", "at", "told", "chars")
+    sizes = heads.groupBy("base").agg(F.count(F.lit(1)).alias("held"))
+    own = turns.select("*", base, head).where("at >= head").join(sizes, "base", "left")
+    moved = own.select("conv_id", (F.col("at") - F.col("head") + F.least("head", F.coalesce("held", F.lit(0)))).alias("at"), "told", "chars")
+    return convs.select("conv_id"), copied.unionByName(moved)
+
+
+@query("op13_conversation_trie")
+def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = settle(trie.numbered(load(spark, folder, "conversations")), "numbered")
+    return trie.build(*rebuilt(turns))
