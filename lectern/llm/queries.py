@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import load, new_path, settle
-from . import ann, lines, mixing, packing, quality, rollups, runs, secrets, simhash, trie, urls, vector_dedup
+from . import ann, lines, mixing, packing, quality, rollups, runs, secrets, simhash, toxicity, trie, urls, vector_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -200,3 +200,8 @@ def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
 def op13_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     turns = settle(trie.numbered(load(spark, folder, "conversations")), "numbered")
     return trie.build(*rebuilt(turns))
+
+
+@query("op11_toxicity")
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.judge(load(spark, folder, "documents"), load(spark, folder, "labels"))

@@ -16,6 +16,9 @@ COLUMNS = {
     "op8_secrets": "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string",
     "op9_vector_dedup": "vec_id bigint, n_links bigint, component_id bigint, kept boolean",
     "op10_token_rollups": "source string, lang string, version string, documents bigint, tokens bigint",
+    "op11_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
+    "op12_periodic_runs": "doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, exponent_milli bigint, runs_sha256 string, collapsed_sha256 string",
+    "op13_conversation_trie": "conv_id bigint, depth bigint, parent_conv_id bigint, n_convs bigint, n_children bigint, n_leaves bigint, saved_tokens bigint, ends_sha256 string",
     "pipeline": "doc_id bigint, piece int, sequence_id bigint, ids array<int>",
 }
 
