@@ -126,37 +126,37 @@ def places(steps: list[tuple[int, dict[int, int]]]) -> dict[int, np.ndarray]:
     return {k: np.array(v, dtype=np.int64) for k, v in found.items()}
 
 
-def placed(table: dict[int, np.ndarray], lengths: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bin and offset of pieces by their length and number."""
-    bins, offsets = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
-    for length in np.unique(lengths):
-        own = np.nonzero(lengths == length)[0]
-        runs = table[int(length)]
-        run = runs[np.searchsorted(runs[:, 0], numbers[own], side="right") - 1]
-        since = numbers[own] - run[:, 0]
-        bins[own] = run[:, 2] + since // run[:, 1]
-        offsets[own] = run[:, 3] + since % run[:, 1] * length
-    return bins, offsets
+def _runs(df: DataFrame, steps: list[tuple[int, dict[int, int]]]) -> DataFrame:
+    """``(length, firsts, runs)``: a length's runs in order of their first number.
+
+    A step uses up a length or leaves less of it than a bin takes, so there are a few
+    thousand runs at most, whatever the number of pieces.
+    """
+    rows = []
+    for length, found in places(steps).items():
+        rows.append((length, found[:, 0].tolist(), [tuple(r) for r in found.tolist()]))
+    return df.sparkSession.createDataFrame(rows, "length long, firsts array<long>, runs array<struct<first:long,n:long,bin:long,offset:long>>")
 
 
 def pack(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, vocabulary: str = VOCABULARY, ids: bool = True) -> DataFrame:
-    """Every piece with its ids (if asked for) and its place in a sequence."""
+    """Every piece with its ids (if asked for) and its place in a sequence.
+
+    Ids are written once with their piece and read once for the result: places come from
+    two small tables, by task and by length, and no piece is shuffled while the table of
+    the tasks is small enough to be sent out, which its written size tells.
+    """
     held = settle(pieces(docs, size, end_id, vocabulary, ids), "pieces")
-    by_part = held.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
+    by_part = settle(held.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n")), "lengths")
     # Collected: one row for each length there is, at most as many as a sequence has tokens.
     counts = {r["length"]: r["n"] for r in by_part.groupBy("length").agg(F.sum("n").alias("n")).collect()}
-    table = places(plan(counts, size))
     earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    before = by_part.select("part", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    before = by_part.select("part", F.struct("length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n")).alias("held"))
+    before = settle(before.groupBy("part").agg(F.map_from_entries(F.collect_list("held")).alias("before")), "numbers")
     names = [c for c in held.columns if c not in ("part", "place")]
-    out = held.join(before, ["part", "length"]).select(*names, (F.col("before") + F.col("place")).alias("number"))
-
-    def run(batches):
-        for batch in batches:
-            lengths, numbers = (batch.column(c).to_numpy() for c in ("length", "number"))
-            bins, offsets = placed(table, lengths, numbers)
-            kept = [batch.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(bins), pa.array(offsets)], [*names, "sequence_id", "offset"])
-
-    schema = out.drop("number").withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")}).schema
-    return out.mapInArrow(run, schema)
+    number = (F.element_at("before", F.col("length")) + F.col("place")).alias("number")
+    numbered = held.join(before, "part").select(*names, number)
+    met = numbered.join(F.broadcast(_runs(docs, plan(counts, size))), "length")
+    run = F.element_at("runs", F.size(F.filter("firsts", lambda x: x <= F.col("number"))))
+    bin_ = F.expr("run.bin + (number - run.first) div run.n AS sequence_id")
+    offset = F.expr("run.offset + (number - run.first) % run.n * length AS offset")
+    return met.withColumn("run", run).select(*names, bin_, offset)

@@ -17,7 +17,7 @@ import numpy as np
 VOCABULARY = "byte_bpe_50k"
 SPECIAL = "<|endoftext|>"
 #: Words whose ids a task keeps, and the longest of them.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 50_000
 KEPT_CHARS = 48
 
 
