@@ -7,9 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import canon
 from ..functions.columns import each
 from ..functions.text import term_counts, tokenize
 from ..session import settle
+from . import blockmax
 
 
 def analyze(docs: DataFrame, text: Column | str = "text", id_col: str = "id") -> DataFrame:
@@ -36,13 +38,22 @@ def corpus_stats(analyzed: DataFrame) -> DataFrame:
     )
 
 
+def term_saturation(f, dl, avgdl, k1: float = canon.BM25_K1, b: float = canon.BM25_B) -> Column:
+    return (f * (k1 + 1)) / (f + k1 * (1 - b + b * dl / avgdl))
+
+
 @dataclass(frozen=True)
 class Index:
-    """A stored index: ``postings (term, id, f, dl)``, ``terms (term, df)``, ``stats (n, avgdl)``."""
+    """A stored index: ``postings (term, id, f, dl)``, ``terms (term, df)``, ``stats (n, avgdl)``.
+
+    ``blocks (term, block, most, held)`` are the postings once more, by blocks of documents
+    in order of id, with their saturations and the largest of them.
+    """
 
     postings: DataFrame
     terms: DataFrame
     stats: DataFrame
+    blocks: DataFrame
 
 
 def write_index(docs: DataFrame, path: str, text: Column | str = "text", id_col: str = "id") -> None:
@@ -51,12 +62,15 @@ def write_index(docs: DataFrame, path: str, text: Column | str = "text", id_col:
     Postings are ranged by (term, id), so a term of a third of the corpus is split over
     files and a rare one is found by the files' and row groups' least and greatest term.
     """
-    analyzed = settle(analyze(docs, text, id_col), "analyzed")
-    tf = term_frequency(analyzed)
+    analyzed = settle(blockmax.with_blocks(analyze(docs, text, id_col)), "analyzed")
+    corpus_stats(analyzed).write.parquet(f"{path}/stats")
+    avgdl = docs.sparkSession.read.parquet(f"{path}/stats").select("avgdl").scalar()
+    tf = analyzed.select("block", "id", "dl", each("terms").alias("t")).select("block", "id", "dl", "t.term", "t.f")
     tf.select("term", "id", "f", "dl").repartitionByRange("term", "id").sortWithinPartitions("term", "id").write.parquet(f"{path}/postings")
     doc_frequency(tf).repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{path}/terms")
-    corpus_stats(analyzed).write.parquet(f"{path}/stats")
+    blocks = blockmax.posting_blocks(tf.select("block", "term", "id", term_saturation(F.col("f"), F.col("dl"), avgdl).alias("w")))
+    blocks.select("term", "block", "most", "held").repartitionByRange("term", "block").sortWithinPartitions("term", "block").write.parquet(f"{path}/blocks")
 
 
 def read_index(spark: SparkSession, path: str) -> Index:
-    return Index(*[spark.read.parquet(f"{path}/{name}") for name in ("postings", "terms", "stats")])
+    return Index(*[spark.read.parquet(f"{path}/{name}") for name in ("postings", "terms", "stats", "blocks")])

@@ -14,7 +14,8 @@ from .. import canon
 from ..functions.text import term_counts, tokenize
 from ..functions.vectors import dot_with, matrix_of
 from ..session import settle
-from .index import Index, analyze
+from . import blockmax
+from .index import Index, analyze, term_saturation
 
 SENTINEL = ""
 
@@ -23,10 +24,6 @@ def term_idf(df, n) -> Column:
     return F.log(1 + (n - df + 0.5) / (df + 0.5))
 
 
-def term_saturation(f, dl, avgdl, k1: float = canon.BM25_K1, b: float = canon.BM25_B) -> Column:
-    return (f * (k1 + 1)) / (f + k1 * (1 - b + b * dl / avgdl))
-
-
 def bm25_term(f, dl, df, n, avgdl) -> Column:
     return term_idf(df, n) * term_saturation(f, dl, avgdl)
 
@@ -163,21 +160,34 @@ def query_coverage(queries: DataFrame, terms: DataFrame, df: DataFrame) -> DataF
     return queries.select("query_id").join(shares, "query_id", "left").fillna(0.0, ["coverage"])
 
 
+def query_weights(terms: DataFrame, df: DataFrame, stats: DataFrame) -> DataFrame:
+    """``(query_id, term, idf)`` of the terms the corpus holds, written once."""
+    n = stats.select("n").scalar()
+    return settle(terms.join(df, "term").select("query_id", "term", term_idf(F.col("df"), n).alias("idf")), "weights")
+
+
+def hit_blocks(hits: DataFrame, stats: DataFrame) -> DataFrame:
+    """The postings of ``hits`` in blocks of documents with their largest saturations, written once."""
+    avgdl, documents = stats.select("avgdl").scalar(), int(stats.first()["n"])
+    w = term_saturation(F.col("f"), F.col("dl"), avgdl).alias("w")
+    block = blockmax.hashed_block(F.col("id"), documents).alias("block")
+    return settle(blockmax.posting_blocks(hits.filter(F.col("term") != SENTINEL).select(block, "term", "id", w)), "posting-blocks")
+
+
 def lexical_scores(hits: DataFrame, terms: DataFrame, df: DataFrame, stats: DataFrame) -> DataFrame:
     """``(query_id, id, score)`` for every query and document that share a term.
 
-    The logarithm is taken once per query term and the saturation once per posting; a
-    matched pair only multiplies them. Postings and weights are two plain tables joined on
-    the term, so adaptive execution sends small weights to every task and splits a term
-    that fills a partition.
+    Blocks of documents meet blocks of queries; a task adds up all terms of its pairs, so
+    what is shuffled is the postings and the queries, and never a row for a pair.
     """
-    n, avgdl = stats.select("n").scalar(), stats.select("avgdl").scalar()
-    weights = settle(terms.join(df, "term").select("query_id", "term", term_idf(F.col("df"), n).alias("idf")), "weights")
-    postings = hits.filter(F.col("term") != SENTINEL).select(
-        "id", "term", term_saturation(F.col("f"), F.col("dl"), avgdl).alias("w")
-    )
-    pairs = postings.join(weights, "term")
-    return pairs.groupBy("query_id", "id").agg(exact_sum(F.col("idf") * F.col("w")).alias("score"))
+    blocks, weights = hit_blocks(hits, stats), query_weights(terms, df, stats)
+    pairs = blocks.select("block", "term").join(weights.select("query_id", "term"), "term").select("query_id", "block").distinct()
+    return blockmax.score_blocks(blocks, settle(pairs, "pairs"), weights)
+
+
+def lexical_topk(hits: DataFrame, terms: DataFrame, df: DataFrame, stats: DataFrame, k: int) -> DataFrame:
+    """``(query_id, rank, id, score)`` of the ``k`` best, by bounds of blocks."""
+    return blockmax.topk_blocks(hit_blocks(hits, stats), query_weights(terms, df, stats), k)
 
 
 def topk(scores: DataFrame, k: int, order: str = "score", tie: str = "id") -> DataFrame:
@@ -200,19 +210,22 @@ def search_batch(
 
     ``ranked`` is ``(query_id, rank, id, score)``; ``gate`` has one row per query with
     its coverage, top score and refusal, so a refused query is still visible. With a
-    stored index ``held`` no text is read: its postings meet the asked terms.
+    stored index ``held`` no text is read: its blocks meet the asked terms, and only those
+    that can hold one of a query's best ``k``.
     """
     terms = settle(query_terms(queries), "terms")
     if held is None:
         hits = query_hits(analyze(docs, text, id_col), terms)
-        df, stats = settle(hit_df(hits), "df"), hit_stats(hits)
+        df, stats = settle(hit_df(hits), "df"), settle(hit_stats(hits), "stats")
     else:
-        hits = held.postings.join(terms.select("term").distinct(), "term", "left_semi")
         df, stats = held.terms, held.stats.select(F.col("n").cast("double").alias("n"), "avgdl")
     coverage = settle(query_coverage(queries, terms, df), "coverage")
     open_terms = terms.join(coverage.filter(F.col("coverage") >= min_coverage), "query_id", "left_semi")
-    best = topk(lexical_scores(hits, open_terms, df, stats), k)
-    best = settle(best.select("query_id", "rank", "id", "score"), "ranked")
+    if held is None:
+        best = lexical_topk(hits, open_terms, df, stats, k)
+    else:
+        best = blockmax.topk_blocks(held.blocks, query_weights(open_terms, df, stats), k)
+    best = settle(best, "ranked")
     tops = best.groupBy("query_id").agg(F.max("score").alias("top_score"))
     gate = coverage.join(tops, "query_id", "left").withColumn(
         "refused", (F.col("coverage") < min_coverage) | (F.coalesce("top_score", F.lit(0.0)) < min_score)

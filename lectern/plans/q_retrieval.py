@@ -61,7 +61,7 @@ def bm25_term(t):
 @query("lexical_score_join", with_("score") + "SELECT query_id, id, round(score, 6) AS score FROM score")
 def lexical_score_join(t):
     terms, hits, df = _hits(t)
-    scores = retrieve.lexical_scores(hits, _open_terms(t, terms, df), df, retrieve.hit_stats(hits))
+    scores = retrieve.lexical_scores(hits, _open_terms(t, terms, df), df, settle(retrieve.hit_stats(hits), "stats"))
     return scores.withColumn("score", F.round("score", 6))
 
 
@@ -73,8 +73,8 @@ def lexical_score_join(t):
 )
 def topk_score(t):
     terms, hits, df = _hits(t)
-    scores = retrieve.lexical_scores(hits, _open_terms(t, terms, df), df, retrieve.hit_stats(hits))
-    return retrieve.topk(scores, 8).select("query_id", "rank", "id", F.round("score", 6).alias("score"))
+    best = retrieve.lexical_topk(hits, _open_terms(t, terms, df), df, settle(retrieve.hit_stats(hits), "stats"), 8)
+    return best.withColumn("score", F.round("score", 6))
 
 
 @query("query_coverage", with_("cov") + "SELECT query_id, round(coverage, 6) AS coverage FROM cov")

@@ -133,3 +133,32 @@ def test_dispatch():
     assert retrieve.search_dispatch(True, True) == "semantic"
     assert retrieve.search_dispatch(True, False) == "lexical"
     assert retrieve.search_dispatch(True, True, prefer_semantic=False) == "lexical"
+
+
+def test_blocks_that_cannot_win_are_left_out(spark, monkeypatch):
+    """Same rows as scoring everything, from fewer pairs of questions and blocks."""
+    from lectern.operators import blockmax
+
+    rng = random.Random(8)
+    rows = [(i // 16, f"t{(i // 64) * 5 + rng.randrange(6)}", i, rng.random()) for i in range(1600) for _ in range(4)]
+    rows = [(b, t, i, w) for (b, t, i), w in {(b, t, i): w for b, t, i, w in rows}.items()]
+    blocks = blockmax.settle(blockmax.posting_blocks(spark.createDataFrame(rows, "block long, term string, id long, w double")))
+    asked = [(q, f"t{q * 3 + j}", rng.random() + 0.1) for q in range(40) for j in range(5)]
+    weights = blockmax.settle(spark.createDataFrame(asked, "query_id int, term string, idf double"))
+    scored = []
+    real = blockmax.score_blocks
+    monkeypatch.setattr(blockmax, "score_blocks", lambda b, pairs, *rest: scored.append(pairs.count()) or real(b, pairs, *rest))
+    got = {}
+    for r in blockmax.topk_blocks(blocks, weights, 3, first=1, questions=7).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.id, round(r.score, 9)))
+    idf = {}
+    for q, t, x in asked:
+        idf.setdefault(q, {})[t] = x
+    for q, terms in idf.items():
+        total = {}
+        for _, t, i, w in rows:
+            if t in terms:
+                total[i] = total.get(i, 0) + round(terms[t] * w, 12)
+        best = sorted(total, key=lambda i: (-total[i], i))[:3]
+        assert got.get(q, []) == [(i, round(total[i], 9)) for i in best]
+    assert sum(scored) < 0.7 * blockmax.bounds(blocks, weights).count()
