@@ -90,14 +90,61 @@ def range_lookup(spans: DataFrame, verses: DataFrame) -> DataFrame:
     return met.filter(F.col("verse").between(F.col("first"), F.greatest("first", "last")))
 
 
-def gospel_verses(readings: DataFrame, verses: DataFrame) -> DataFrame:
+#: Powers of two that a chapter number may reach.
+LEVELS = 31
+
+
+def dyadic(first: Column, last: Column) -> Column:
+    """A range of whole numbers from 0 on as aligned pieces ``struct<level, part>``.
+
+    A piece holds the ``2 ** level`` numbers that are ``part`` when cut at that level. From
+    either end a piece is taken where a level's parts don't pair up, so there are at most
+    two a level, however wide the range is.
+    """
+    start = F.struct(first.cast("long").alias("a"), (last.cast("long") + 1).alias("b"), F.array().cast("array<struct<level:int,part:long>>").alias("pieces"))
+
+    def step(s: Column, level: Column) -> Column:
+        open_ = s["a"] < s["b"]
+        left, right = open_ & (s["a"] % 2 == 1), open_ & (s["b"] % 2 == 1)
+        piece = lambda part: F.array(F.struct(level.alias("level"), part.alias("part")))
+        none = F.array().cast("array<struct<level:int,part:long>>")
+        # A last single part is taken from the left alone.
+        right = right & ~(left & (s["a"] + 1 == s["b"]))
+        pieces = F.concat(s["pieces"], F.when(left, piece(s["a"])).otherwise(none), F.when(right, piece(s["b"] - 1)).otherwise(none))
+        a, b = F.when(left, s["a"] + 1).otherwise(s["a"]), F.when(right, s["b"] - 1).otherwise(s["b"])
+        return F.struct(F.shiftright(a, 1).alias("a"), F.when(open_, F.shiftright(b, 1)).otherwise(F.shiftright(a, 1)).alias("b"), pieces.alias("pieces"))
+
+    levels = F.array(*[F.lit(i) for i in range(LEVELS + 1)])
+    return F.aggregate(levels, start, step)["pieces"]
+
+
+def ancestors(number: Column) -> Column:
+    """The pieces ``struct<level, part>`` that hold a number."""
+    return F.array(*[F.struct(F.lit(i).alias("level"), F.shiftright(number.cast("long"), i).alias("part")) for i in range(LEVELS + 1)])
+
+
+def held_chapters(readings: DataFrame, chapters: DataFrame) -> DataFrame:
+    """Readings with ``span_no``, span ``s`` and every chapter of ``chapters (slug, chapter)`` in it.
+
+    A span's chapters are a few pieces and a held chapter's pieces as many as it has bits;
+    they meet on slug and piece, so the chapters of a span are never listed.
+    """
+    spans = readings.select("*", each_at("spans").alias("span_no", "s")).filter("s.ch1 >= 0 AND s.ch2 >= s.ch1")
+    pieces = spans.select("*", F.explode(dyadic(F.col("s.ch1"), F.col("s.ch2"))).alias("_p"))
+    held = chapters.filter("chapter >= 0").select("slug", "chapter", F.explode(ancestors(F.col("chapter"))).alias("_h"))
+    met = pieces.select("*", F.col("_p.level").alias("_level"), F.col("_p.part").alias("_part")).drop("_p")
+    by = held.select("slug", "chapter", F.col("_h.level").alias("_level"), F.col("_h.part").alias("_part"))
+    return met.join(by, ["slug", "_level", "_part"]).drop("_level", "_part")
+
+
+def gospel_verses(readings: DataFrame, verses: DataFrame, chapters: DataFrame | None = None) -> DataFrame:
     """Verses of readings with ``spans``; a span may run over a chapter end.
 
-    Spans meet verses on (slug, chapter); the verse bounds are checked on the match.
+    Spans meet the chapters that are held (``chapters (slug, chapter)``, from the verses if
+    not given) and then the verses of those; the verse bounds are checked on the match.
     """
-    spans = readings.select("*", each_at("spans").alias("span_no", "s")).withColumn(
-        "chapter", F.explode(F.when(F.col("s.ch2") >= F.col("s.ch1"), F.sequence("s.ch1", "s.ch2")))
-    )
+    chapters = verses.select("slug", "chapter").distinct() if chapters is None else chapters
+    spans = held_chapters(readings, chapters)
     inside = (
         ((F.col("chapter") > F.col("s.ch1")) | (F.col("verse") >= F.col("s.v1")))
         & ((F.col("chapter") < F.col("s.ch2")) | (F.col("verse") <= F.col("s.v2")))

@@ -1,19 +1,28 @@
-"""Queries over the entry-point operators, asked with tables of requests."""
+"""Queries over the entry-point operators, asked with tables of requests.
+
+The tools answer out of a shelf: the graph is stored once per session and folder, by the
+first query that needs it, and every request after that is a lookup.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import graph
-from ..session import settle
-from . import tools
+from ..session import new_path
+from . import shelf
 from .oracle import with_
 from .registry import query
 
+_SHELVES: dict[tuple[str, str], shelf.Shelf] = {}
+
 
-def _resolved_meta(t):
-    edges = graph.internal_resolve(settle(graph.internal_edges(t.articles, "noted_text"), "noted"), t.articles)
-    return graph.edges_to_meta(edges, t.articles)
+def _shelf(t) -> shelf.Shelf:
+    name = (t.spark.sparkContext.applicationId, t.folder)
+    if name not in _SHELVES:
+        path = new_path(t.spark, "shelf")
+        shelf.write_shelf(path, t.articles, t.english, t.latin, t.pericopes, "noted_text")
+        _SHELVES[name] = shelf.Shelf(t.spark, path)
+    return _SHELVES[name]
 
 
 @query(
@@ -21,7 +30,7 @@ def _resolved_meta(t):
     with_("citr", "art") + "SELECT request_id, article_id, art.citation, title, text, art.citation IS NULL AS refused FROM citr LEFT JOIN art ON art.id = article_id",
 )
 def get_article(t):
-    return tools.get_article(t.citation_requests, t.articles)
+    return _shelf(t).get_article(t.citation_requests)
 
 
 def _refusals(missing: str) -> str:
@@ -43,9 +52,7 @@ _TEXT = """SELECT request_id, 'verse' AS section, lpad('' || e.verse, 6, '0') AS
     + _refusals("no such verse is held"),
 )
 def lookup_verse(t):
-    index = graph.inverted_index(t.articles).select("key", "id", "citation", "title")
-    fathers = graph.fathers_index(t.pericopes).select("key")
-    return tools.lookup_verse(t.references, t.english, t.latin, index, fathers)
+    return _shelf(t).lookup_verse(t.references)
 
 
 @query(
@@ -61,7 +68,7 @@ def lookup_verse(t):
     + _refusals("no commentary is held on it"),
 )
 def verse_fathers(t):
-    return tools.verse_fathers(t.references, graph.fathers_index(t.pericopes).select("key", "id"), t.pericopes)
+    return _shelf(t).verse_fathers(t.references)
 
 
 _NO_ARTICLE = """CASE WHEN article_id IN (SELECT id FROM art) THEN '{}' WHEN article_id IS NULL THEN 'unreadable citation' ELSE 'no such article is held' END
@@ -75,7 +82,7 @@ _NO_ARTICLE = """CASE WHEN article_id IN (SELECT id FROM art) THEN '{}' WHEN art
     SELECT *, NULL AS reason FROM ans UNION ALL SELECT request_id, article_id, NULL, """ + _NO_ARTICLE.format("no references in it"),
 )
 def article_scripture(t):
-    return tools.article_scripture(t.citation_requests, t.articles.select("id", "citation"), graph.node_refs(t.articles))
+    return _shelf(t).article_scripture(t.citation_requests)
 
 
 @query(
@@ -86,7 +93,7 @@ def article_scripture(t):
     SELECT *, NULL AS reason FROM ans UNION ALL SELECT request_id, article_id, 'refused', NULL, NULL, """ + _NO_ARTICLE.format("no references to or from it"),
 )
 def cross_references(t):
-    return tools.cross_references(t.citation_requests, t.articles.select("id", "citation"), _resolved_meta(t))
+    return _shelf(t).cross_references(t.citation_requests)
 
 
 @query(
@@ -106,6 +113,5 @@ def cross_references(t):
 )
 def todays_reading(t):
     asked = t.lineitem.select(F.to_date("l_shipdate").alias("date"))
-    fathers = graph.fathers_index(t.pericopes).select("key", "id", "father_summary")
-    found = tools.todays_reading(asked, t.readings, t.english, fathers)
+    found = _shelf(t).todays_reading(asked, t.readings)
     return found.withColumn("asked", F.col("asked").cast("string")).withColumn("held", F.col("held").cast("string"))

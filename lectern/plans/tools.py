@@ -58,8 +58,13 @@ def resolve_article(requests: DataFrame, meta: DataFrame, col: str = "citation")
 
 def get_article(requests: DataFrame, nodes: DataFrame) -> DataFrame:
     """The whole article per request; ``refused`` where there is none."""
+    return articles_of(resolve_article(requests, nodes.select("id", "citation")), nodes)
+
+
+def articles_of(resolved: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The whole article of each ``article_id``; ``refused`` where there is none."""
     held = nodes.select(F.col("id").alias("article_id"), F.col("citation").alias("found"), "title", "text")
-    out = resolve_article(requests, nodes.select("id", "citation")).join(held, "article_id", "left")
+    out = resolved.join(held, "article_id", "left")
     return out.select("request_id", "article_id", F.col("found").alias("citation"), "title", "text",
                       F.col("found").isNull().alias("refused"))
 
@@ -105,10 +110,13 @@ def verse_pericopes(requests: DataFrame, fathers: DataFrame) -> DataFrame:
     return every.groupBy("request_id", "ref", "id").agg(F.min("first").alias("first"))
 
 
-def verse_fathers(requests: DataFrame, fathers: DataFrame, pericopes: DataFrame) -> DataFrame:
-    """Lemma and commentary fragments per request, in chain order."""
+def verse_fathers(requests: DataFrame, fathers: DataFrame, pericopes: DataFrame, asked: DataFrame | None = None) -> DataFrame:
+    """Lemma and commentary fragments per request, in chain order.
+
+    ``asked`` is ``verse_pericopes`` of the requests, where that is written already.
+    """
     # The chains asked for are few; whole pericopes meet them before they are unfolded.
-    asked = settle(verse_pericopes(requests, fathers), "chains")
+    asked = asked or settle(verse_pericopes(requests, fathers), "chains")
     held = pericopes.select("id", "citation", "lemma", "segments").join(asked, "id")
     begin = F.concat_ws("|", F.col("first"), F.col("id"), F.lit(""))
     lemmas = _rows(held, "lemma", begin, F.col("ref"), "citation", none(), "lemma")
@@ -118,46 +126,56 @@ def verse_fathers(requests: DataFrame, fathers: DataFrame, pericopes: DataFrame)
     return _refuse_reference(requests, lemmas.unionByName(fragments), "no commentary is held on it")
 
 
-def _refuse_article(requests: DataFrame, meta: DataFrame, answers: DataFrame, empty: str, **shown: Column) -> DataFrame:
-    known = meta.select(F.col("id").alias("article_id"), F.lit(True).alias("_held")).distinct()
-    read = resolve_article(requests, meta.select("id", "citation")).join(known, "article_id", "left")
+def _refuse_article(resolved: DataFrame, held: DataFrame, answers: DataFrame, empty: str, **shown: Column) -> DataFrame:
+    known = held.select(F.col("id").alias("article_id"), F.lit(True).alias("_held")).distinct()
+    read = resolved.join(known, "article_id", "left")
     reason = F.when(F.col("_held"), empty).when(F.col("article_id").isNull(), "unreadable citation").otherwise("no such article is held")
     return with_refusals(read, answers, reason, article_id=F.col("article_id"), **shown)
 
 
 def article_scripture(requests: DataFrame, meta: DataFrame, refs: DataFrame) -> DataFrame:
     """References an article rests on, one row each."""
-    asked = resolve_article(requests, meta).filter(F.col("article_id").isNotNull())
+    return scripture_of(resolve_article(requests, meta.select("id", "citation")), meta, refs)
+
+
+def scripture_of(resolved: DataFrame, known: DataFrame, refs: DataFrame) -> DataFrame:
+    """The references of each ``article_id``; ``known (id)`` says which articles are held."""
     held = refs.select(F.col("id").alias("article_id"), each("refs").alias("ref"))
-    found = asked.join(held, "article_id").select("request_id", "article_id", "ref")
-    return _refuse_article(requests, meta, found, "no references in it")
+    found = resolved.filter(F.col("article_id").isNotNull()).join(held, "article_id").select("request_id", "article_id", "ref")
+    return _refuse_article(resolved, known, found, "no references in it")
 
 
 def cross_references(requests: DataFrame, meta: DataFrame, edges: DataFrame) -> DataFrame:
     """Articles an article cites and those that cite it; ``edges`` carry both metas."""
-    asked = resolve_article(requests, meta.select("id", "citation")).filter(F.col("article_id").isNotNull())
-    asked = asked.select("request_id", "article_id")
-    cites = asked.join(edges.withColumnRenamed("src", "article_id"), "article_id").select(
+    return references_of(resolve_article(requests, meta.select("id", "citation")), meta, edges, edges)
+
+
+def references_of(resolved: DataFrame, known: DataFrame, cites: DataFrame, cited: DataFrame) -> DataFrame:
+    """Edges from and to each ``article_id``; the two tables of edges may be different parts."""
+    asked = resolved.filter(F.col("article_id").isNotNull()).select("request_id", "article_id")
+    out = asked.join(cites.withColumnRenamed("src", "article_id"), "article_id").select(
         "request_id", "article_id", F.lit("cites").alias("direction"), F.col("dst").alias("other_id"),
         F.col("dst_citation").alias("other_citation"),
     )
-    cited = asked.join(edges.withColumnRenamed("dst", "article_id"), "article_id").select(
+    back = asked.join(cited.withColumnRenamed("dst", "article_id"), "article_id").select(
         "request_id", "article_id", F.lit("cited_by").alias("direction"), F.col("src").alias("other_id"),
         F.col("src_citation").alias("other_citation"),
     )
-    return _refuse_article(requests, meta, cites.unionByName(cited), "no references to or from it", direction=F.lit("refused"))
+    return _refuse_article(resolved, known, out.unionByName(back), "no references to or from it", direction=F.lit("refused"))
 
 
-def todays_reading(requests: DataFrame, readings: DataFrame, verses: DataFrame, fathers: DataFrame) -> DataFrame:
+def todays_reading(
+    requests: DataFrame, readings: DataFrame, verses: DataFrame, fathers: DataFrame, chapters: DataFrame | None = None
+) -> DataFrame:
     """Per asked date: the reading's verses and the pericopes on them.
 
-    ``(asked, held, gospel, section, ord, key, text)``.
+    ``(asked, held, gospel, section, ord, key, text)``. ``chapters`` as for ``gospel_verses``.
     """
     matched = date_asof_forward(requests, readings).join(readings.withColumnRenamed("date", "held"), "held")
     parsed = matched.withColumn("g", gospel_spans(F.col("gospel"))).select(
         "asked", "held", "gospel", F.col("g.slug").alias("slug"), F.col("g.spans").alias("spans")
     )
-    text = settle(gospel_verses(settle(parsed, "readings"), verses).drop("spans", "s"), "reading-verses")
+    text = settle(gospel_verses(settle(parsed, "readings"), verses, chapters).drop("spans", "s"), "reading-verses")
     order = F.concat_ws("|", F.lpad(F.col("span_no").cast("string"), 4, "0"),
                         F.lpad(F.col("chapter").cast("string"), 4, "0"), F.lpad(F.col("verse").cast("string"), 6, "0"))
     shown = text.select("asked", "held", "gospel", F.lit("verse").alias("section"), order.alias("ord"),
