@@ -100,6 +100,47 @@ def renumber_restarts(items: Column) -> Column:
     return F.aggregate(items, F.array().cast(out_type), step)
 
 
+#: What renumbering may have to note: a repeated number whose text was added to the verse
+#: before it, a restart at 1 that was continued, a number that fits neither.
+MERGED, CONTINUED_NUMBERING, UNHANDLED = "merged", "continued", "unhandled"
+
+
+def numbering_anomalies(items: Column) -> Column:
+    """``array<struct<kind, printed, verse>>``: what ``renumber_restarts`` changes in a chapter.
+
+    Only the number reached is carried along; a chapter without anomalies builds no list.
+    """
+    notes = "array<struct<kind:string,printed:int,verse:int>>"
+    start = F.struct(F.lit(0).alias("reached"), F.lit(False).alias("any"), F.array().cast(notes).alias("notes"))
+
+    def step(s: Column, x: Column) -> Column:
+        printed, reached = x["printed"], s["reached"]
+        note = lambda kind, verse: F.struct(F.lit(kind).alias("kind"), printed.cast("int").alias("printed"), verse.cast("int").alias("verse"))
+        add = (
+            F.when((printed == reached) & s["any"], note(MERGED, reached))
+            .when((printed < reached) & (printed == 1), note(CONTINUED_NUMBERING, reached + 1))
+            .when((printed == reached) | printed.isNull(), note(UNHANDLED, reached))
+        )
+        now = F.when(printed > reached, printed.cast("int")).when(printed < reached, reached + 1).otherwise(reached)
+        return F.struct(
+            now.alias("reached"), (s["any"] | F.coalesce(printed != reached, F.lit(False))).alias("any"),
+            F.when(add.isNull(), s["notes"]).otherwise(F.concat(s["notes"], F.array(add))).cast(notes).alias("notes"),
+        )
+
+    return F.aggregate(items, start, step)["notes"]
+
+
+def edition_anomalies(texts: DataFrame, text: str = "text") -> DataFrame:
+    """``(slug, chapter, kind, printed, verse)`` of an edition's chapters, as ``parse_edition`` reads them."""
+    heads = texts.select(F.explode(section_slices(F.col(text))).alias("section")).select(
+        "section", F.trim(F.regexp_extract("section", CHAPTER_LINE, 1)).alias("douay_book"),
+        F.regexp_extract("section", CHAPTER_LINE, 2).try_cast("int").alias("chapter"),
+    ).withColumn("slug", alias_override(F.col("douay_book")))
+    body = F.regexp_replace("section", "(?m)\\A(?:" + CHAPTER_LINE[4:] + ")", "")
+    verses = heads.filter(F.col("slug").isNotNull()).withColumn("printed", printed_verses(paragraph_grouping(body)))
+    return verses.select("slug", "chapter", F.explode(numbering_anomalies(F.col("printed"))).alias("a")).select("slug", "chapter", "a.*")
+
+
 def parse_edition(texts: DataFrame, text: str = "text") -> DataFrame:
     """A plain-text English edition to verse rows.
 

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.refs import key_to_ref
-from ..operators import graph, quality
-from ..sources.writers import sink_adjacency, sink_stats
+from .. import canon
+from ..functions.refs import book_name, key_to_ref
+from ..operators import align, graph, project, quality
+from ..operators.parse import CONTINUED_NUMBERING, MERGED, UNHANDLED
+from ..session import settle
+from ..sources.writers import counting, counts_of, sink_adjacency, sink_keyed, sink_manifest, sink_stats
 
 
 def build_graph(nodes: DataFrame, path: str) -> dict[str, DataFrame]:
@@ -104,6 +107,117 @@ def export_teaching_graph(nodes: DataFrame, path: str) -> None:
     _listed_refs(graph.teaching_refs(nodes), f"{path}/teaching_scripture")
 
 
+def export_browser_bundle(
+    path: str, articles: DataFrame, teaching: DataFrame, english: DataFrame, latin: DataFrame, pericopes: DataFrame, readings: DataFrame,
+    tables: dict[str, DataFrame],
+) -> DataFrame:
+    """All that a reading page needs, as JSON lines; returns ``(part, rows)``.
+
+    ``core`` is what a page loads at once: names of all passages, both directions of the
+    graph (``tables`` of ``build_graph``), the commentary's index, dated readings, book
+    names, statistics, and the verses that are cited or stand in a gospel, in both
+    languages; ``bodies`` and ``chains`` hold the long texts by id. Counts are those of the
+    writes, and ``core/meta`` is written from them.
+    """
+    spark, seen = articles.sparkSession, {}
+
+    def count(part: str, rows: DataFrame) -> DataFrame:
+        held, seen[part] = counting(rows)
+        return held
+
+    def adjacency(part: str, edges: DataFrame, key: str, entry: list[str]) -> None:
+        sink_adjacency(count(part, edges.select(key, *entry)), f"{path}/{part}", key, entry)
+
+    named = lambda df: df.select("id", "citation", F.coalesce("title", F.lit("")).alias("title"), "text")
+    passages = named(articles).unionByName(named(teaching))
+    count("core/articles", passages.drop("text")).write.json(f"{path}/core/articles")
+    sink_keyed(count("bodies", passages.select("id", "text")), F.col("id"), F.col("text"), f"{path}/bodies")
+    index, edges = tables["index"], tables["edges"]
+    adjacency("core/scripture_index", index, "key", ["id", "citation", "title", "ref"])
+    adjacency("core/internal_refs", edges.select("src", F.col("dst").alias("id"), F.col("dst_citation").alias("citation")), "src", ["id", "citation"])
+    back = edges.select("dst", F.col("src").alias("id"), F.col("src_citation").alias("citation"), F.col("src_title").alias("title"))
+    adjacency("core/internal_cited_by", back, "dst", ["id", "citation", "title"])
+    _listed_refs(count("core/article_refs", tables["refs"]), f"{path}/core/article_refs")
+    adjacency("core/fathers_index", graph.fathers_index(pericopes), "key", ["id", "citation", "father_summary", "work"])
+
+    cited = index.select("key").where(F.size(F.split("key", "/")) == 3)
+    read = english.where(F.split_part("verse_key", F.lit("/"), F.lit(1)).isin(canon.GOSPELS)).select(F.col("verse_key").alias("key"))
+    keys = cited.unionByName(read).distinct()
+    text = lambda df, name: df.select(F.col("verse_key").alias("key"), F.col("text").alias(name))
+    verses = keys.join(text(english, "en"), "key", "left").join(text(latin, "la"), "key", "left")
+    both = F.array(F.coalesce("en", F.lit("")), F.coalesce("la", F.lit("")))
+    sink_keyed(count("core/verses", verses), F.col("key"), both, f"{path}/core/verses")
+    sink_keyed(count("core/lectionary", readings), F.col("date").cast("string"), F.struct("gospel", "day"), f"{path}/core/lectionary")
+    aliases = project.alias_inverse(spark)
+    sink_keyed(count("core/book_slugs", aliases), F.col("alias"), F.col("slug"), f"{path}/core/book_slugs")
+    names = aliases.select("slug", "name").distinct()
+    sink_keyed(count("core/slug_names", names), F.col("slug"), F.col("name"), f"{path}/core/slug_names")
+
+    chain = F.struct(
+        F.col("citation").alias("cit"), "path", "lemma",
+        F.transform("segments", lambda s: F.array(F.coalesce(s["father"], F.lit("")), s["text"])).alias("segs"),
+        F.transform("citations_out", lambda c: c["raw"]).alias("refs"),
+    )
+    sink_keyed(count("chains", pericopes), F.col("id"), chain, f"{path}/chains")
+
+    # Lists of a report: 12 and 20 rows.
+    glossed = graph.most_common(graph.gloss_weight(pericopes), "key", 12, "weight").select("key", key_to_ref(F.col("key")).alias("ref"), F.col("weight").alias("count"))
+    top = lambda df, by, *cols: df.agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col(by)).alias("by"), F.col(cols[0]).alias("tie"), F.struct(*cols).alias("row")))), lambda x: x["row"]).alias("l")).select("l").scalar()
+    stats = tables["stats"].select(
+        "most_cited_books", "most_cited_verses", top(glossed, "count", "key", "ref", "count").alias("most_glossed_verses"),
+        top(tables["articles"], "in_degree", "id", "citation", "title", "in_degree").alias("most_cited_articles"),
+    )
+    sink_stats(stats, f"{path}/core/stats")
+    segments = pericopes.select(F.size("segments").alias("n"), F.array_distinct(F.transform("segments", lambda s: F.coalesce(s["father"], F.lit("")))).alias("fathers"))
+    voices = segments.select(F.explode("fathers").alias("f")).where("f != ''").distinct().agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
+    held = {k: o.get.get("rows", 0) for k, o in seen.items()}
+    meta = tables["stats"].select(
+        "articles", F.col("scripture_citations_parsed").alias("scripture_edges"), "internal_edges", F.col("unique_verse_keys").alias("cited_verse_keys"),
+        english.agg(F.count(F.lit(1)).alias("n")).scalar().alias("verses_en"), latin.agg(F.count(F.lit(1)).alias("n")).scalar().alias("verses_la"),
+        F.lit(held["chains"]).alias("chains"), segments.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).scalar().alias("fragments"), voices.alias("fathers"),
+        (F.lit(held["core/articles"]) - F.col("articles")).alias("teaching_sections"),
+    )
+    sink_stats(meta, f"{path}/core/meta")
+    return counts_of(spark, seen, "part")
+
+
+def edition_manifest(verses: DataFrame, other: DataFrame, index: DataFrame, anomalies: DataFrame) -> DataFrame:
+    """One row: an edition's counts, how far it meets another edition and the citations, its books.
+
+    ``index`` is the citation index, ``anomalies`` the numbering notes (``kind``, ...), which
+    are counted here and listed by ``export_edition_manifest``. ``by_book`` has the books in
+    canonical order; there are as many as the canon has.
+    """
+    per_chapter = verses.groupBy("slug", "chapter").agg(F.count(F.lit(1)).alias("v"))
+    books = settle(per_chapter.groupBy("slug").agg(F.count(F.lit(1)).alias("chapters"), F.sum("v").cast("long").alias("verses")), "books")
+    placed = align.canonical_order(books).withColumn("book", book_name(F.col("slug"))).withColumn(
+        "testament", F.when(F.col("slug").isin(canon.NEW_TESTAMENT), "New Testament").otherwise("Old Testament")
+    )
+    row = F.struct("canon_pos", F.struct("slug", "book", "chapters", "verses", "testament").alias("row"))
+    counts = placed.agg(
+        F.count(F.lit(1)).alias("books"), F.coalesce(F.sum("chapters"), F.lit(0)).alias("chapters"), F.coalesce(F.sum("verses"), F.lit(0)).alias("verses"),
+        F.transform(F.array_sort(F.collect_list(row)), lambda x: x["row"]).alias("by_book"),
+    )
+    met = settle(align.parallel_alignment(verses, other), "parallel")
+    cited = settle(align.citation_coverage(index, verses), "coverage")
+    kinds = settle(anomalies.groupBy("kind").agg(F.count(F.lit(1)).alias("n")), "kinds")
+    noted = lambda kind: F.coalesce(kinds.where(F.col("kind") == kind).select("n").scalar(), F.lit(0)).alias(kind)
+    one = lambda df, c, name: df.select(c).scalar().alias(name)
+    return counts.select(
+        F.struct("books", "chapters", "verses").alias("counts"),
+        F.struct(one(met, "shared", "shared"), one(met, "left_only", "only_here"), one(met, "right_only", "only_there"), one(met, "rate", "rate")).alias("parallel_coverage"),
+        F.struct(one(cited, "cited", "cited"), one(cited, "resolved", "resolved"), one(cited, "rate", "rate")).alias("citation_graph_coverage"),
+        F.struct(noted(MERGED), noted(CONTINUED_NUMBERING), noted(UNHANDLED)).alias("numbering_normalizations"), "by_book",
+    )
+
+
+def export_edition_manifest(path: str, verses: DataFrame, other: DataFrame, index: DataFrame, anomalies: DataFrame, **fixed: str) -> None:
+    """``manifest`` as one object with the edition's descriptive fields, ``numbering`` as lines."""
+    held = settle(anomalies, "anomalies")
+    sink_manifest(edition_manifest(verses, other, index, held), f"{path}/manifest", **fixed)
+    held.write.json(f"{path}/numbering")
+
+
 def validate_articles(nodes: DataFrame) -> DataFrame:
     """``(rule, violations)`` of the article rules; a sound corpus has zeros only."""
     spark = nodes.sparkSession

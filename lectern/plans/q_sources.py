@@ -9,9 +9,10 @@ from ..functions.columns import each_at
 from ..functions.text import lines
 from ..operators import align, graph, parse, project
 from ..session import new_path, settle
-from ..sources import readers, writers
+from ..sources import halves, readers, writers
 from . import build, corpus
 from .oracle import collapse, with_
+from .q_text import NUMBERED, numbering_notes
 from .registry import query
 
 _NODE_COLS = ["id", "citation", "title", "type", "text", "segments", "citations_out"]
@@ -48,17 +49,26 @@ def sink_jsonl_partitioned(t):
     return each.groupBy("part").agg(F.sum("n").cast("long").alias("nodes"), F.count("*").alias("questions"))
 
 
-def _landed_adjacency(t):
+def _landed_adjacency(t, whole=False):
     path = new_path(t.spark, "adjacency")
-    writers.sink_adjacency(graph.inverted_index(t.articles), path, "key", ["id", "citation", "title", "ref"], 10)
+    writers.sink_adjacency(graph.inverted_index(t.articles), path, "key", ["id", "citation", "title", "ref"], 10, whole)
     return path
 
 
-@query("scan_adjacency", with_("idx") + "SELECT key, row_number() OVER (PARTITION BY key ORDER BY id, citation, title, ref) - 1 AS pos, id, citation, title, ref FROM idx")
+_ADJACENCY = with_("idx") + "SELECT key, row_number() OVER (PARTITION BY key ORDER BY id, citation, title, ref) - 1 AS pos, id, citation, title, ref FROM idx"
+
+
+@query("scan_adjacency", _ADJACENCY)
 def scan_adjacency(t):
     return readers.scan_adjacency(t.spark, _landed_adjacency(t))
 
 
+@query("scan_adjacency_object", _ADJACENCY)
+def scan_adjacency_object(t):
+    """Files of one object each, read in splits."""
+    return readers.scan_adjacency(t.spark, _landed_adjacency(t, True), whole=True)
+
+
 @query(
     "sink_adjacency",
     with_("idx") + "SELECT key, CAST(count(*) AS BIGINT) AS entries, string_agg(id, ' ' ORDER BY id, citation, title, ref) AS ids FROM idx GROUP BY 1",
@@ -119,19 +129,20 @@ _F16_ROWS = f"""SELECT vec_id, d, {_F16} AS x FROM (SELECT *, pow(2, greatest(fl
 
 def _landed_vectors(t):
     path = new_path(t.spark, "vectors")
-    writers.sink_vectors(t.embeddings.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector")), path)
+    halves.sink(t.embeddings.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector")), path)
     return path
 
 
 @query("scan_f16_vectors", f"SELECT vec_id AS id, CAST(d - 1 AS INT) AS dim, round(x, 6) AS x FROM ({_F16_ROWS})")
 def scan_f16_vectors(t):
-    rows = readers.scan_f16_vectors(t.spark, _landed_vectors(t))
+    """Bare half-precision files read by byte ranges."""
+    rows = halves.scan(t.spark, _landed_vectors(t))
     return rows.select("id", each_at("vector").alias("dim", "x")).withColumn("x", F.round(F.col("x").cast("double"), 6))
 
 
 @query("sink_vectors", f"SELECT vec_id AS id, count(*) AS dims, round(sum(x * x), 6) AS square FROM ({_F16_ROWS}) GROUP BY 1")
 def sink_vectors(t):
-    rows = readers.scan_f16_vectors(t.spark, _landed_vectors(t)).select("id", each_at("vector").alias("dim", "x"))
+    rows = halves.scan(t.spark, _landed_vectors(t)).select("id", each_at("vector").alias("dim", "x"))
     x = F.col("x").cast("double")
     return rows.groupBy("id").agg(F.count("*").alias("dims"), F.round(F.sum(x * x), 6).alias("square"))
 
@@ -192,21 +203,37 @@ def sink_stats(t):
     )
 
 
+_CANON = ", ".join(f"('{slug}', {i}, '{'New' if slug in canon.NEW_TESTAMENT else 'Old'} Testament')" for i, slug in enumerate(canon.BOOK_SLUGS))
+
+
 @query(
     "sink_manifest",
-    with_("lat", "eng")
-    + """SELECT 'clementine-vulgate' AS work, 'Latin' AS language, count(DISTINCT slug) AS books, count(DISTINCT slug || '/' || chapter) AS chapters, count(*) AS verses,
-      count(*) FILTER (WHERE verse_key IN (SELECT verse_key FROM eng)) AS shared FROM lat""",
+    with_("lat", "eng", "idx", "lin").replace("WITH ", "WITH RECURSIVE ", 1)
+    + f""", canon(slug, pos, testament) AS (VALUES {_CANON}), {NUMBERED},
+    ke AS (SELECT DISTINCT verse_key FROM eng), kl AS (SELECT DISTINCT verse_key FROM lat), kc AS (SELECT DISTINCT key FROM idx WHERE len(string_split(key, '/')) = 3),
+    bk AS (SELECT slug, count(DISTINCT chapter) AS c, count(*) AS v FROM lat GROUP BY 1),
+    n AS (SELECT (SELECT count(*) FROM kl SEMI JOIN ke USING (verse_key)) AS shared, (SELECT count(*) FROM ke) AS right_keys, (SELECT count(*) FROM kl) AS left_keys,
+      (SELECT count(*) FROM kc) AS cited, (SELECT count(*) FROM kc WHERE key IN (SELECT verse_key FROM kl)) AS resolved)
+    SELECT 'clementine-vulgate' AS work, 'Latin' AS language, (SELECT count(*) FROM bk) AS books, (SELECT CAST(sum(c) AS BIGINT) FROM bk) AS chapters, (SELECT CAST(sum(v) AS BIGINT) FROM bk) AS verses,
+      shared, left_keys - shared AS only_here, right_keys - shared AS only_there, round(shared / right_keys, 4) AS parallel_rate, cited, resolved, round(resolved / cited, 4) AS citation_rate,
+      (SELECT count(*) FROM notes WHERE kind = 'merged') AS merged, (SELECT count(*) FROM notes WHERE kind = 'continued') AS continued,
+      (SELECT string_agg(slug || ' ' || c || ' ' || v || ' ' || testament, '; ' ORDER BY pos) FROM bk JOIN canon USING (slug)) AS by_book FROM n""",
 )
 def sink_manifest(t):
-    path = new_path(t.spark, "manifest")
-    chapters = t.latin.groupBy("slug", "chapter").agg(F.count("*").alias("v"))
-    books = chapters.groupBy("slug").agg(F.count("*").alias("c"), F.sum("v").alias("v"))
-    counts = books.agg(F.count("*").alias("books"), F.sum("c").cast("long").alias("chapters"), F.sum("v").cast("long").alias("verses"))
-    shared = align.parallel_alignment(t.latin, t.english).select("shared").scalar()
-    writers.sink_manifest(counts.withColumn("shared", shared), path, work="clementine-vulgate", language="Latin")
-    schema = "books long, chapters long, verses long, shared long, work string, language string"
-    return t.spark.read.schema(schema).json(path)
+    path = new_path(t.spark, "edition")
+    index = graph.inverted_index(t.articles, ("id",))
+    build.export_edition_manifest(path, t.latin, t.english, index, numbering_notes(t), work="clementine-vulgate", language="Latin")
+    schema = """work string, language string, counts struct<books:long,chapters:long,verses:long>, parallel_coverage struct<shared:long,only_here:long,only_there:long,rate:double>,
+      citation_graph_coverage struct<cited:long,resolved:long,rate:double>, by_book array<struct<slug:string,chapters:long,verses:long,testament:string>>"""
+    held = t.spark.read.schema(schema).json(f"{path}/manifest")
+    kinds = t.spark.read.schema("kind string").json(f"{path}/numbering").groupBy("kind").agg(F.count("*").alias("n"))
+    noted = lambda kind: F.coalesce(kinds.where(F.col("kind") == kind).select("n").scalar(), F.lit(0).cast("long")).alias(kind)
+    book = F.transform("by_book", lambda b: F.concat_ws(" ", b["slug"], b["chapters"].cast("string"), b["verses"].cast("string"), b["testament"]))
+    return held.select(
+        "work", "language", "counts.*", "parallel_coverage.shared", "parallel_coverage.only_here", "parallel_coverage.only_there",
+        F.col("parallel_coverage.rate").alias("parallel_rate"), "citation_graph_coverage.cited", "citation_graph_coverage.resolved",
+        F.col("citation_graph_coverage.rate").alias("citation_rate"), noted("merged"), noted("continued"), F.array_join(book, "; ").alias("by_book"),
+    )
 
 
 @query(
@@ -219,41 +246,81 @@ def sink_manifest(t):
 def export_bundle(t):
     plain = F.struct(F.lit(None).cast("string").alias("license"))
     sourced = lambda df: df.withColumn("source", plain).withColumn("work", F.lit(None).cast("string"))
-    edges = graph.internal_resolve(settle(graph.internal_edges(t.articles, "noted_text"), "noted"), t.articles)
+    articles = settle(t.articles.drop("lines"), "articles")
+    edges = graph.internal_resolve(settle(graph.internal_edges(articles, "noted_text"), "noted"), articles)
     subsets = {
-        "articles": project.project_article(sourced(t.articles)),
+        "articles": project.project_article(sourced(articles)),
         "english": project.project_verse(sourced(t.english)),
         "latin": project.project_verse(sourced(t.latin), latin=True),
-        "scripture_edges": project.scripture_edges(graph.inverted_index(t.articles)),
-        "internal_edges": project.internal_edge_rows(graph.edges_to_meta(edges, t.articles)),
-        "teaching": project.project_catechism(sourced(t.articles).withColumn("path", F.array(F.lit("Work"), F.lit("Part")))),
+        "scripture_edges": project.scripture_edges(graph.inverted_index(articles)),
+        "internal_edges": project.internal_edge_rows(graph.edges_to_meta(edges, articles)),
+        "teaching": project.project_catechism(sourced(articles).withColumn("path", F.array(F.lit("Work"), F.lit("Part")))),
         "pericopes": project.project_pericope(sourced(t.pericopes)),
         "father_edges": project.father_edges(t.pericopes),
     }
     return writers.export_bundle(subsets, new_path(t.spark, "bundle"))
 
 
+_GOSPELS = ", ".join(f"'{g}'" for g in canon.GOSPELS)
+
+
 @query(
     "export_browser_bundle",
-    with_("art", "eng", "per")
-    + """SELECT 'core/articles' AS part, count(*) AS rows, CAST(sum(length(title)) AS BIGINT) AS chars FROM art UNION ALL SELECT 'core/verses', count(*), CAST(sum(length(text)) AS BIGINT) FROM eng
-    UNION ALL SELECT 'bodies', count(*), CAST(sum(length(text)) AS BIGINT) FROM art UNION ALL SELECT 'chains', count(*), CAST(sum(length(text) - len(string_split(text, chr(10))) + 1) AS BIGINT) FROM per""",
+    with_("art", "eng", "lat", "per", "idx", "res", "scr", "fidx", "read", "alias", "norm", "vkey")
+    + f""", tea AS ({corpus.TEACHING_SQL}),
+    vs AS (SELECT key FROM idx WHERE len(string_split(key, '/')) = 3 UNION SELECT verse_key FROM eng WHERE slug IN ({_GOSPELS}))
+    SELECT 'core/articles' AS part, count(*) AS rows, CAST(sum(length(id) + length(citation) + length(title)) AS BIGINT) AS chars FROM (SELECT id, citation, title FROM art UNION ALL SELECT id, citation, title FROM tea)
+    UNION ALL SELECT 'core/verses', count(*), CAST(sum(length(coalesce(eng.text, '')) + length(coalesce(lat.text, ''))) AS BIGINT) FROM vs LEFT JOIN eng ON eng.verse_key = key LEFT JOIN lat ON lat.verse_key = key
+    UNION ALL SELECT 'core/scripture_index', count(*), CAST(sum(length(key) + length(id) + length(ref)) AS BIGINT) FROM idx
+    UNION ALL SELECT 'core/internal_refs', count(*), CAST(sum(length(src) + length(dst)) AS BIGINT) FROM res
+    UNION ALL SELECT 'core/internal_cited_by', count(*), CAST(sum(length(src) + length(dst)) AS BIGINT) FROM res
+    UNION ALL SELECT 'core/article_refs', count(DISTINCT id), CAST(sum(length(ref)) AS BIGINT) FROM (SELECT DISTINCT id, ref FROM scr WHERE ok)
+    UNION ALL SELECT 'core/fathers_index', count(*), CAST(sum(length(key) + length(id) + length(father_summary)) AS BIGINT) FROM fidx
+    UNION ALL SELECT 'core/lectionary', count(*), CAST(sum(length(gospel)) AS BIGINT) FROM read
+    UNION ALL SELECT 'core/book_slugs', count(*), CAST(sum(length(alias) + length(slug)) AS BIGINT) FROM alias
+    UNION ALL SELECT 'core/slug_names', count(*), CAST(sum(length(slug) + length(name)) AS BIGINT) FROM (SELECT DISTINCT slug, name FROM alias)
+    UNION ALL SELECT 'bodies', count(*) * 2, CAST(sum(length(documents.text)) * 2 AS BIGINT) FROM documents
+    UNION ALL SELECT 'chains', count(*), CAST(sum(length(text) - len(string_split(text, chr(10))) + 1) AS BIGINT) FROM per
+    UNION ALL SELECT 'core/stats', (SELECT least(20, count(DISTINCT book)) FROM norm WHERE ok) + (SELECT least(25, count(DISTINCT key)) FROM vkey) + (SELECT least(20, count(DISTINCT dst)) FROM res) + (SELECT least(12, count(DISTINCT key)) FROM fidx),
+      CAST((SELECT count(*) FROM art) + (SELECT count(*) FROM tea) + (SELECT count(*) FROM eng) + (SELECT count(*) FROM lat) + (SELECT count(*) FROM per) AS BIGINT)""",
 )
 def export_browser_bundle(t):
-    path = new_path(t.spark, "browser")
-    verses = align.parallel_text_join(t.english, t.latin)
-    writers.export_browser_bundle(t.articles, verses, t.pericopes, path)
-    spark = t.spark
-    total = lambda df, part, chars: df.agg(F.lit(part).alias("part"), F.count("*").alias("rows"), F.sum(chars).cast("long").alias("chars"))
-    articles = spark.read.schema("title string").json(f"{path}/core/articles")
-    held = spark.read.schema("text string").json(f"{path}/core/verses")
-    bodies = spark.read.text(f"{path}/bodies").select(F.explode(F.from_json("value", "map<string,string>")).alias("k", "v"))
-    chain = "map<string,struct<cit:string,path:array<string>,lemma:string,segs:array<array<string>>,refs:array<string>>>"
-    chains = spark.read.text(f"{path}/chains").select(F.explode(F.from_json("value", chain)).alias("k", "v"))
-    spoken = F.aggregate("v.segs", F.lit(0), lambda n, s: n + F.length(F.element_at(s, 2)))
-    return (
-        total(articles, "core/articles", F.length("title"))
-        .unionByName(total(held, "core/verses", F.length("text")))
-        .unionByName(total(bodies, "bodies", F.length("v")))
-        .unionByName(total(chains, "chains", spoken))
-    )
+    """Every part, written and read back; the last row's ``chars`` are the counts of the meta object."""
+    path, spark = new_path(t.spark, "browser"), t.spark
+    articles = settle(t.articles.select("id", "citation", "title", "text", "noted_text", "citations_out"), "articles")
+    tables = build.build_graph(articles.withColumn("text", F.col("noted_text")), f"{path}/tables")
+    pericopes = settle(t.pericopes, "pericopes")
+    readings = t.readings.withColumn("day", F.lit(None).cast("string"))
+    build.export_browser_bundle(path, articles, t.teaching, t.english, t.latin, pericopes, readings, tables)
+
+    def total(part, df, *chars):
+        said = sum((F.length(c) for c in chars[1:]), F.length(chars[0]))
+        return df.agg(F.lit(part).alias("part"), F.count("*").alias("rows"), F.sum(said).cast("long").alias("chars"))
+
+    keyed = lambda part, value: spark.read.text(f"{path}/{part}").select(F.explode(F.from_json("value", f"map<string,{value}>")).alias("k", "v"))
+    edges = lambda part, entry: readers.scan_adjacency(spark, f"{path}/{part}", f"struct<{entry}>")
+    refs = keyed("core/article_refs", "array<string>")
+    chain = keyed("chains", "struct<cit:string,path:array<string>,lemma:string,segs:array<array<string>>,refs:array<string>>")
+    spoken = F.array_join(F.transform("v.segs", lambda s: F.element_at(s, 2)), "")
+    listed = ["most_cited_books", "most_cited_verses", "most_glossed_verses", "most_cited_articles"]
+    stats = spark.read.schema(", ".join(f"{c} array<string>" for c in listed)).json(f"{path}/core/stats")
+    counted = ["articles", "teaching_sections", "verses_en", "verses_la", "chains"]
+    meta = spark.read.schema(", ".join(f"{c} long" for c in counted)).json(f"{path}/core/meta")
+    sizes = meta.select(sum((F.col(c) for c in counted[1:]), F.col(counted[0])).alias("n")).scalar()
+    parts = [
+        total("core/articles", spark.read.schema("id string, citation string, title string").json(f"{path}/core/articles"), "id", "citation", "title"),
+        total("core/verses", keyed("core/verses", "array<string>").select(F.array_join("v", "").alias("v")), "v"),
+        total("core/scripture_index", edges("core/scripture_index", "id:string,citation:string,title:string,ref:string"), "key", "id", "ref"),
+        total("core/internal_refs", edges("core/internal_refs", "id:string,citation:string"), "key", "id"),
+        total("core/internal_cited_by", edges("core/internal_cited_by", "id:string,citation:string,title:string"), "key", "id"),
+        total("core/article_refs", refs.select(F.array_join("v", "").alias("v")), "v"),
+        total("core/fathers_index", edges("core/fathers_index", "id:string,citation:string,father_summary:string,work:string"), "key", "id", "father_summary"),
+        total("core/lectionary", keyed("core/lectionary", "struct<gospel:string,day:string>"), "v.gospel"),
+        total("core/book_slugs", keyed("core/book_slugs", "string"), "k", "v"), total("core/slug_names", keyed("core/slug_names", "string"), "k", "v"),
+        total("bodies", keyed("bodies", "string"), "v"), total("chains", chain.select(spoken.alias("v")), "v"),
+        stats.select(F.lit("core/stats").alias("part"), sum((F.size(c) for c in listed[1:]), F.size(listed[0])).cast("long").alias("rows"), sizes.alias("chars")),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out

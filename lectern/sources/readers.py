@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import json
-from itertools import accumulate
 
-import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,10 +13,7 @@ from ..functions.text import CP1252_FROM, CP1252_TO, decode_cp1252
 from ..functions.vectors import unpack_f16
 from ..operators.graph import CONTINUED
 from ..operators.project import searchable
-
-
-def _count(part, rows):
-    yield part, sum(1 for _ in rows)
+from . import bigjson
 
 
 def scan_jsonl(spark: SparkSession, path, schema: str = schemas.NODE) -> DataFrame:
@@ -35,21 +30,26 @@ def scan_adjacency(spark: SparkSession, path, entry: str = schemas.ADJACENCY_ENT
     """Key-to-list JSON objects as ``(key, pos, entry...)`` rows.
 
     ``pos`` is the place in the key's whole list, over however many lines the sink wrote
-    it. Lines split over tasks; ``whole`` reads files that are a single object each. A path
-    without files gives no rows.
+    it. Lines split over tasks; ``whole`` reads files that are a single object each, in
+    splits as well. A path without files gives no rows.
     """
     schema = f"map<string,array<{entry}>>"
+    parts = F.split("label", CONTINUED, 2)
+    named = F.element_at(parts, 1).alias("key"), F.coalesce(F.try_element_at(parts, F.lit(2)).cast("long"), F.lit(0)).alias("from")
+    if whole:
+        held = bigjson.scan_object(spark, path).where("pos IS NOT NULL").withColumnRenamed("key", "label")
+        read = F.from_json(F.concat(F.lit('{"e":'), "value", F.lit("}")), f"e {entry}")["e"].alias("e")
+        rows = held.select(*named, F.col("pos").alias("at"), read)
+        return rows.select("key", (F.col("from") + F.col("at")).alias("pos"), "e.*")
     try:
-        raw = spark.read.text(path, wholetext=whole)
+        raw = spark.read.text(path)
     except Exception as missing:
         if "PATH_NOT_FOUND" not in str(missing):
             raise
         raw = spark.createDataFrame([], "value string")
     keyed = raw.select(F.explode(F.from_json("value", schema)).alias("label", "entries"))
     # A further line of a key is labelled with the place its entries start at.
-    parts = F.split("label", CONTINUED, 2)
-    named = keyed.select(F.element_at(parts, 1).alias("key"), F.coalesce(F.try_element_at(parts, F.lit(2)).cast("long"), F.lit(0)).alias("from"), "entries")
-    rows = named.select("key", "from", each_at("entries").alias("at", "e"))
+    rows = keyed.select(*named, "entries").select("key", "from", each_at("entries").alias("at", "e"))
     return rows.select("key", (F.col("from") + F.col("at")).alias("pos"), "e.*")
 
 
@@ -95,25 +95,6 @@ def scan_f16_vectors(spark: SparkSession, path) -> DataFrame:
     return packed.withColumn("vector", unpack_f16("vector"))
 
 
-def scan_f16_file(spark: SparkSession, path: str, ids: DataFrame, dims: int) -> DataFrame:
-    """A bare file of fixed-length half-precision rows, matched to ``(pos, id)``.
-
-    Fixed-length records split at any multiple of the row size, so a large file is read
-    by many tasks; each turns its records into numbers at once. Positions follow from how
-    many records the splits before hold.
-    """
-    records = spark.sparkContext.binaryRecords(path, dims * 2)
-    counts = records.mapPartitionsWithIndex(_count).collect()  # one number a split
-    first = dict(zip(range(len(counts)), accumulate((n for _, n in sorted(counts)), initial=0)))
-
-    def numbers(part, rows):
-        matrix = np.frombuffer(b"".join(rows), dtype="<f2").astype(np.float32).reshape(-1, dims)
-        return zip(range(first[part], first[part] + len(matrix)), matrix.tolist())
-
-    rows = spark.createDataFrame(records.mapPartitionsWithIndex(numbers), "pos long, vector array<float>")
-    return rows.join(ids, "pos").select("id", "vector")
-
-
 def scan_lectionary(spark: SparkSession, path, whole: bool = False) -> DataFrame:
     """Date-to-reading JSON as ``(date, gospel, day)``: an object per line or per file."""
     raw = spark.read.text(path, wholetext=whole)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.vectors import pack_f16
@@ -25,13 +26,29 @@ def sink_jsonl_partitioned(nodes: DataFrame, path: str, by: str, order: list[str
     )
 
 
-def sink_adjacency(edges: DataFrame, path: str, key: str, entry: list[str], size: int = 1000) -> None:
-    """One JSON object per line, ``{key: [entries]}``, keys and entries in order.
+def sink_adjacency(edges: DataFrame, path: str, key: str, entry: list[str], size: int = 1000, whole: bool = False) -> None:
+    """JSON objects ``{key: [entries]}``, keys and entries in order: one a line, or one a file.
 
-    A key with more than ``size`` entries takes several lines; each says where it starts.
+    A key with more than ``size`` entries takes several lists; each says where it starts.
     """
     chunks = adjacency_chunks(edges, key, entry, size).repartitionByRange(key, "chunk").sortWithinPartitions(key, "chunk")
-    chunks.select(F.to_json(F.create_map(F.col("label"), F.col("entries"))).alias("value")).write.text(path)
+    if not whole:
+        chunks.select(F.to_json(F.create_map(F.col("label"), F.col("entries"))).alias("value")).write.text(path)
+        return
+
+    def one_object(batches):
+        began = False
+        for batch in batches:
+            # The members of a line's object, behind a comma but for the first.
+            members = [v[1:-1] for v in batch.column("value").to_pylist()]
+            if members:
+                lines = [("," if began or i else "{") + m for i, m in enumerate(members)]
+                began = True
+                yield pa.RecordBatch.from_arrays([pa.array(lines)], ["value"])
+        if began:
+            yield pa.RecordBatch.from_arrays([pa.array(["}"])], ["value"])
+
+    chunks.select(F.to_json(F.create_map(F.col("label"), F.col("entries"))).alias("value")).mapInArrow(one_object, "value string").write.text(path)
 
 
 def to_object(row: DataFrame) -> DataFrame:
@@ -53,30 +70,26 @@ def sink_vectors(rows: DataFrame, path: str, vector: str = "vector") -> None:
     rows.select("id", pack_f16(vector).alias("vector")).write.parquet(path)
 
 
+def counting(rows: DataFrame) -> tuple[DataFrame, Observation]:
+    """``rows`` with a counter that the write of them fills; nothing is read again."""
+    seen = Observation()
+    return rows.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
+def counts_of(spark: SparkSession, seen: dict[str, Observation], name: str) -> DataFrame:
+    """``(name, rows)`` of counters whose writes are done."""
+    return spark.createDataFrame([(k, o.get.get("rows", 0)) for k, o in seen.items()], f"{name} string, rows long")
+
+
 def export_bundle(subsets: dict[str, DataFrame], path: str) -> DataFrame:
-    """Write each flat subset and return ``(subset, rows)`` for the card."""
-    spark = next(iter(subsets.values())).sparkSession
-    counts = None
+    """Write each flat subset and return ``(subset, rows)`` for the card, counted by the writes."""
+    seen = {}
     for name, rows in subsets.items():
-        rows.write.json(f"{path}/{name}")
-        held = spark.read.text(f"{path}/{name}").agg(F.count("*").alias("rows")).select(F.lit(name).alias("subset"), "rows")
-        counts = held if counts is None else counts.unionByName(held)
-    return counts
+        held, seen[name] = counting(rows)
+        held.write.json(f"{path}/{name}")
+    return counts_of(next(iter(subsets.values())).sparkSession, seen, "subset")
 
 
 def sink_keyed(rows: DataFrame, key: Column, value: Column, path: str) -> None:
     """``{key: value}`` lines, the split form of one large JSON object."""
     rows.select(F.to_json(F.create_map(key, value)).alias("value")).write.text(path)
-
-
-def export_browser_bundle(articles: DataFrame, verses: DataFrame, pericopes: DataFrame, path: str) -> None:
-    """Three narrow tables: what is needed at once, article bodies, commentary chains."""
-    articles.select("id", "citation", F.coalesce("title", F.lit("")).alias("title")).write.json(f"{path}/core/articles")
-    verses.select("verse_key", "text", "latin").write.json(f"{path}/core/verses")
-    sink_keyed(articles, F.col("id"), F.col("text"), f"{path}/bodies")
-    chain = F.struct(
-        F.col("citation").alias("cit"), "path", "lemma",
-        F.transform("segments", lambda s: F.array(F.coalesce(s["father"], F.lit("")), s["text"])).alias("segs"),
-        F.transform("citations_out", lambda c: c["raw"]).alias("refs"),
-    )
-    sink_keyed(pericopes, F.col("id"), chain, f"{path}/chains")

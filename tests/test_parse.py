@@ -106,3 +106,12 @@ def test_commentary_page(spark):
     assert [(s.father, s.text) for s in first.segments] == [("Augustine", "(de Trin.) See Gen. 1:1.\n\nMore of it."), ("Bede", "said & done")]
     assert first.text == "(de Trin.) See Gen. 1:1.\n\nMore of it.\n\nsaid & done"
     assert [c.raw for c in first.citations_out] == ["Genesis 1:1"] and first.path == ["Golden Chain", "Gospel of John", "Chapter 1"]
+
+
+def test_numbering_anomalies(spark):
+    text = "Psalms Chapter 113\n\n\n113:1. a\n\n\n113:2. b\n\n\n113:1. c\n\n\n113:2. d\n\n\nProverbs Chapter 12\n\n\n12:12. e\n\n\n12:12. f\n\n\n12:13. g\n"
+    edition = spark.createDataFrame([(text,)], "text string")
+    notes = [tuple(r) for r in parse.edition_anomalies(edition).collect()]
+    assert sorted(notes) == [("proverbs", 12, "merged", 12, 12), ("psalms", 113, "continued", 1, 3)]
+    verses = {(r.slug, r.verse): r.text for r in parse.parse_edition(edition).collect()}
+    assert verses == {("psalms", 1): "a", ("psalms", 2): "b", ("psalms", 3): "c", ("psalms", 4): "d", ("proverbs", 12): "e f", ("proverbs", 13): "g"}

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lectern.sources import readers, writers
+from lectern.sources import halves, readers, writers
 
 
 def test_jsonl_types_and_blank_lines(spark, tmp_path):
@@ -44,11 +44,43 @@ def test_whole_and_separated_text(spark, tmp_path):
 
 
 def test_half_precision_file(spark, tmp_path):
+    """A file and a list of ids as another program writes them, in splits of every size."""
     v = np.random.default_rng(1).normal(size=(50, 8)).astype("<f2")
     (tmp_path / "v.bin").write_bytes(v.tobytes())
-    ids = spark.createDataFrame([(i, f"n{i}") for i in range(50)], "pos long, id string")
-    rows = readers.scan_f16_file(spark, str(tmp_path / "v.bin"), ids, 8).collect()
-    assert len(rows) == 50 and all(np.array_equal(np.float32(v[int(r.id[1:])]), np.float32(r.vector)) for r in rows)
+    (tmp_path / "v.json").write_text(json.dumps({"dims": 8, "count": 50, "ids": [f"n{i}" for i in range(50)]}))
+    for split in (1000, 7):
+        held = halves.scan_file(spark, str(tmp_path / "v.bin"), str(tmp_path / "v.json"), split)
+        assert held.rdd.getNumPartitions() == -(-50 // split) and held.dtypes == [("id", "string"), ("vector", "array<float>")]
+        rows = held.collect()
+        assert len(rows) == 50 and all(np.array_equal(np.float32(v[int(r.id[1:])]), np.float32(r.vector)) for r in rows)
+    (tmp_path / "v.bin").write_bytes(v.tobytes()[:-1])
+    with pytest.raises(Exception, match="bytes where"):
+        halves.scan_file(spark, str(tmp_path / "v.bin"), str(tmp_path / "v.json")).count()
+
+
+def test_half_precision_round_trip(spark, tmp_path):
+    x = np.random.default_rng(2).normal(size=(300, 5))
+    x[7] = 0
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "id long, vector array<float>").repartition(4)
+    path = str(tmp_path / "t")
+    halves.sink(df.where("id < 200"), path, split=16)
+    halves.sink(df.where("id >= 200"), path, split=16)
+    meta = json.loads((tmp_path / "t" / "meta.json").read_text())
+    assert meta["count"] == 300 and meta["dims"] == 5 and sum(p["rows"] for p in meta["parts"]) == 300
+    got = {r.id: r.vector for r in halves.scan(spark, path).collect()}
+    want = x.astype(np.float32).astype(float) / np.maximum(np.linalg.norm(x.astype(np.float32).astype(float), axis=1, keepdims=True), 1e-30)
+    assert len(got) == 300 and all(np.array_equal(np.float32(want[i].astype("<f2")), np.float32(got[i])) for i in range(300))
+    halves.sink(df.where("id = 3"), path, overwrite=True)
+    assert [r.id for r in halves.scan(spark, path).collect()] == [3] and len(list((tmp_path / "t").glob("*.f16.bin"))) == 1
+
+
+def test_broken_write_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    halves.sink(spark.createDataFrame([(1, [1.0, 0.0])], "id long, vector array<float>"), path)
+    for bad in ([(2, [1.0, 0.0]), (3, None)], [(2, [1.0, 0.0, 0.0])], [(2, [1.0, 0.0]), (3, [1.0])]):
+        with pytest.raises(Exception):
+            halves.sink(spark.createDataFrame(bad, "id long, vector array<float>"), path)
+        assert [(r.id, r.vector) for r in halves.scan(spark, path).collect()] == [(1, [1.0, 0.0])]
 
 
 def test_lectionary_whole_file(spark, tmp_path):
