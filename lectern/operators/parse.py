@@ -6,7 +6,7 @@ exploded and shuffled just to find out which line follows which.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -25,6 +25,7 @@ from ..functions.text import (
     normalize_father,
     strip_verse_marker,
 )
+from ..session import settle
 
 # The line shapes of the plain-text editions and pages.
 CHAPTER_LINE = r"(?m)^([0-9]? ?[A-Za-z][A-Za-z ]*?) Chapter ([0-9]+)\.?[^\S\n]*$"
@@ -130,15 +131,51 @@ def numbering_anomalies(items: Column) -> Column:
     return F.aggregate(items, start, step)["notes"]
 
 
-def edition_anomalies(texts: DataFrame, text: str = "text") -> DataFrame:
-    """``(slug, chapter, kind, printed, verse)`` of an edition's chapters, as ``parse_edition`` reads them."""
-    heads = texts.select(F.explode(section_slices(F.col(text))).alias("section")).select(
-        "section", F.trim(F.regexp_extract("section", CHAPTER_LINE, 1)).alias("douay_book"),
+def _chapters(sections: DataFrame) -> DataFrame:
+    """``(douay_book, slug, chapter, printed)`` of a column ``section``, one row a known chapter."""
+    heads = sections.select(
+        "section",
+        F.trim(F.regexp_extract("section", CHAPTER_LINE, 1)).alias("douay_book"),
         F.regexp_extract("section", CHAPTER_LINE, 2).try_cast("int").alias("chapter"),
     ).withColumn("slug", alias_override(F.col("douay_book")))
     body = F.regexp_replace("section", "(?m)\\A(?:" + CHAPTER_LINE[4:] + ")", "")
-    verses = heads.filter(F.col("slug").isNotNull()).withColumn("printed", printed_verses(paragraph_grouping(body)))
-    return verses.select("slug", "chapter", F.explode(numbering_anomalies(F.col("printed"))).alias("a")).select("slug", "chapter", "a.*")
+    return heads.filter(F.col("slug").isNotNull()).withColumn("printed", printed_verses(paragraph_grouping(body)))
+
+
+def _sections(texts: DataFrame, text: str) -> DataFrame:
+    return texts.select(F.explode(section_slices(F.col(text))).alias("section"))
+
+
+def sections_of_lines(lines: DataFrame) -> DataFrame:
+    """``(section)`` of lines ``(file, block, seq, value)``: from each header line to the next.
+
+    ``block`` orders the splits of a file and ``seq`` the lines of a split. A split is
+    summarised by its number of headers; the numbers of the splits before say in which
+    section it begins, so a file of any size is cut by many tasks and a section may run
+    over any number of splits. Lines before a file's first header are in no section.
+    """
+    header = CHAPTER_LINE[4:]
+    marked = settle(lines.withColumn("head", F.col("value").rlike(header).cast("int")), "edition-lines")
+    heads = marked.groupBy("file", "block").agg(F.sum("head").alias("heads"))
+    before = F.sum("heads").over(Window.partitionBy("file").orderBy("block")) - F.col("heads")
+    starts = heads.select("file", "block", before.alias("before"))
+    inside = F.sum("head").over(Window.partitionBy("file", "block").orderBy("seq"))
+    placed = marked.withColumn("inside", inside).join(starts, ["file", "block"]).withColumn("number", F.col("before") + F.col("inside"))
+    whole = placed.where("number > 0").groupBy("file", "number").agg(F.array_sort(F.collect_list(F.struct("block", "seq", "value"))).alias("held"))
+    return whole.select(F.array_join(F.transform("held", lambda x: x["value"]), "\n").alias("section"))
+
+
+def _anomalies(chapters: DataFrame) -> DataFrame:
+    return chapters.select("slug", "chapter", F.explode(numbering_anomalies(F.col("printed"))).alias("a")).select("slug", "chapter", "a.*")
+
+
+def edition_anomalies(texts: DataFrame, text: str = "text") -> DataFrame:
+    """``(slug, chapter, kind, printed, verse)`` of an edition's chapters, as ``parse_edition`` reads them."""
+    return _anomalies(_chapters(_sections(texts, text)))
+
+
+def edition_lines_anomalies(lines: DataFrame) -> DataFrame:
+    return _anomalies(_chapters(sections_of_lines(lines)))
 
 
 def parse_edition(texts: DataFrame, text: str = "text") -> DataFrame:
@@ -147,14 +184,15 @@ def parse_edition(texts: DataFrame, text: str = "text") -> DataFrame:
     A verse whose marker names another chapter than its header gets ``drift`` true
     instead of stopping the job.
     """
-    sections = texts.select(F.explode(section_slices(F.col(text))).alias("section"))
-    heads = sections.select(
-        "section",
-        F.trim(F.regexp_extract("section", CHAPTER_LINE, 1)).alias("douay_book"),
-        F.regexp_extract("section", CHAPTER_LINE, 2).try_cast("int").alias("chapter"),
-    ).withColumn("slug", alias_override(F.col("douay_book")))
-    body = F.regexp_replace("section", "(?m)\\A(?:" + CHAPTER_LINE[4:] + ")", "")
-    verses = heads.filter(F.col("slug").isNotNull()).withColumn("printed", printed_verses(paragraph_grouping(body)))
+    return _edition_verses(_chapters(_sections(texts, text)))
+
+
+def parse_edition_lines(lines: DataFrame) -> DataFrame:
+    """``parse_edition`` of an edition that is read line by line (``scan_lines``), of any size."""
+    return _edition_verses(_chapters(sections_of_lines(lines)))
+
+
+def _edition_verses(verses: DataFrame) -> DataFrame:
     rows = verses.select(
         "douay_book", "slug", "chapter",
         F.exists("printed", lambda p: p["chapter"] != F.col("chapter")).alias("drift"),

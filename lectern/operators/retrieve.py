@@ -5,16 +5,14 @@ from __future__ import annotations
 import math
 import re
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import canon
 from ..functions.text import term_counts, tokenize
-from ..functions.vectors import dot_with, matrix_of
+from ..functions.vectors import dot_with
 from ..session import settle
-from . import blockmax
+from . import blockmax, pivots
 from .index import Index, analyze, term_saturation
 
 SENTINEL = ""
@@ -276,39 +274,16 @@ def semantic_search(
 
 def semantic_search_batch(
     vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "id", vector: str = "vector",
-    floor: float = canon.COSINE_FLOOR, block: int = 2048,
+    floor: float = canon.COSINE_FLOOR, block: int = pivots.BLOCK,
 ) -> DataFrame:
     """``(query_id, rank, id, score)`` for a table of ``(query_id, vector)``.
 
-    Vectors and queries are dealt into blocks by a hash, and a task has one block of
-    each: one matrix product, of which ``k`` candidates per query go on. Neither side
-    passes through the driver, and both are of bounded size in a task.
+    Vectors stand in blocks around pivots; a query meets the blocks in which one of its
+    ``k`` best may be. Neither side passes through the driver, and both are of bounded
+    size in a task. Rows without a vector take no part.
     """
-    schema = f"query_id {dict(queries.dtypes)['query_id']}, id {dict(vectors.dtypes)[id_col]}, score double"
-    v_blocks, q_blocks = (max(1, math.ceil(df.count() / block)) for df in (vectors, queries))
-    dealt = lambda key, n: F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = vectors.filter(F.col(vector).isNotNull()).select(
-        F.col(id_col).alias("id"), F.col(vector).alias("v"), dealt(F.col(id_col), v_blocks).alias("vb"), every(q_blocks).alias("qb")
-    )
-    right = queries.filter(F.col("vector").isNotNull()).select(
-        "query_id", F.col("vector").alias("v"), every(v_blocks).alias("vb"), dealt(F.col("query_id"), q_blocks).alias("qb")
-    )
-
-    def candidates(held: pa.Table, asked: pa.Table) -> pa.Table:
-        if not len(held) or not len(asked):
-            return pa.table({"query_id": asked.column("query_id")[:0], "id": held.column("id")[:0], "score": pa.array([], pa.float64())})
-        held, asked = held.sort_by("id").combine_chunks(), asked.combine_chunks()
-        x = matrix_of(held.column("v").combine_chunks())
-        q = matrix_of(asked.column("v").combine_chunks(), x.shape[1])
-        lengths = np.linalg.norm(q, axis=1)
-        scores = np.round(q / np.where(lengths == 0, 1.0, lengths)[:, None] @ x.T, 15)
-        best = np.argsort(-scores, axis=1, kind="stable")[:, :k]
-        rows, cols = np.repeat(np.arange(len(q)), best.shape[1]), best.ravel()
-        return pa.table({"query_id": asked.column("query_id").take(rows), "id": held.column("id").take(cols), "score": scores[rows, cols]})
-
-    found = left.groupBy("vb", "qb").cogroup(right.groupBy("vb", "qb")).applyInArrow(candidates, schema)
-    return topk(found.filter(F.col("score") >= floor), k).select("query_id", "rank", "id", "score")
+    held = vectors.filter(F.col(vector).isNotNull()).select(F.col(id_col).alias("id"), F.col(vector).alias("v"))
+    return pivots.topk_vectors(held, queries.filter(F.col("vector").isNotNull()), k, floor, block)
 
 
 def search_dispatch(have_vectors: bool, have_embedder: bool, prefer_semantic: bool = True) -> str:

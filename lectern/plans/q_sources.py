@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from .. import canon, schemas
@@ -12,7 +14,8 @@ from ..session import new_path, settle
 from ..sources import halves, readers, writers
 from . import build, corpus
 from .oracle import collapse, with_
-from .q_text import NUMBERED, numbering_notes
+from .q_text import NUMBERED, SECTIONED, numbering_notes
+from .q_text import edition as t_edition
 from .registry import query
 
 _NODE_COLS = ["id", "citation", "title", "type", "text", "segments", "citations_out"]
@@ -120,6 +123,45 @@ def scan_cp1252(t):
     return parse.parse_latin(landed).select("id", "citation", "text", "latin_book")
 
 
+def _edition_sql() -> str:
+    """Chapters of the documents as an edition, and their verses' given numbers, by a recursive query."""
+    slugs = {n: canon.ALIASES.get(re.sub(r"[\s.]", "", canon.PRINTED_TITLES.get(n, n).lower())) for n in ("Genesis", "3 Kings", "Canticle of Canticles", "Nowhere")}
+    slug = "CASE nm " + " ".join(f"WHEN '{n}' THEN '{s}'" for n, s in slugs.items() if s) + " END"
+    text = collapse("rtrim(line[1:L // 2]) || ' ' || ltrim(line[L // 2 + 1:])")
+    return f"""g AS (SELECT doc_id, i, i // 4 AS sec, L % 4 + 1 AS printed, {text} AS text FROM lin),
+    h AS (SELECT doc_id, i // 4 AS sec, ch AS chapter, {slug} AS slug FROM ({SECTIONED}) WHERE head),
+    f AS (SELECT doc_id, sec, i, printed, 0 AS reached, printed AS top, text FROM g WHERE i % 4 = 0
+      UNION ALL SELECT g.doc_id, g.sec, g.i, g.printed, f.top, CASE WHEN g.printed > f.top THEN g.printed WHEN g.printed = f.top THEN f.top ELSE f.top + 1 END, g.text
+      FROM f JOIN g ON g.doc_id = f.doc_id AND g.sec = f.sec AND g.i = f.i + 1)"""
+
+
+def _landed_edition(t):
+    path = new_path(t.spark, "edition")
+    t_edition(t).select(F.concat(F.lit("\n\n\n"), "text").alias("value")).write.text(path)
+    return path
+
+
+@query(
+    "parse_edition_lines",
+    with_("lin").replace("WITH ", "WITH RECURSIVE ", 1) + ", " + _edition_sql()
+    + """ SELECT slug, CAST(chapter AS INT) AS chapter, CAST(top AS INT) AS verse, string_agg(text, ' ' ORDER BY i) AS text
+    FROM f JOIN h USING (doc_id, sec) WHERE slug IS NOT NULL GROUP BY doc_id, sec, slug, chapter, top""",
+)
+def parse_edition_lines(t):
+    """Files of many documents' chapters, read line by line."""
+    return parse.parse_edition_lines(readers.scan_lines(t.spark, _landed_edition(t))).select("slug", "chapter", "verse", "text")
+
+
+@query(
+    "edition_anomalies",
+    with_("lin").replace("WITH ", "WITH RECURSIVE ", 1) + ", " + _edition_sql()
+    + """ SELECT slug, CAST(chapter AS INT) AS chapter, CASE WHEN printed = reached THEN 'merged' ELSE 'continued' END AS kind, CAST(printed AS INT) AS printed, CAST(top AS INT) AS verse
+    FROM f JOIN h USING (doc_id, sec) WHERE slug IS NOT NULL AND (printed = reached OR (printed = 1 AND reached > 1))""",
+)
+def edition_anomalies(t):
+    return parse.edition_lines_anomalies(readers.scan_lines(t.spark, _landed_edition(t)))
+
+
 # A half-precision value: the nearest multiple of its binade's spacing, ties to even.
 _F16 = "CASE WHEN x = 0 THEN 0 ELSE round_even(x / u, 0) * u END"
 _F16_ROWS = f"""SELECT vec_id, d, {_F16} AS x FROM (SELECT *, pow(2, greatest(floor(log2(abs(x))), -14) - 10) AS u FROM (

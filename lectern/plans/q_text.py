@@ -392,13 +392,13 @@ def dot_product(t):
 
 # --- parsing ---------------------------------------------------------------------
 
-_SECTIONED = (
+SECTIONED = (
     f"SELECT doc_id, i, L, line, {oracle.pick(['Genesis', '3 Kings', 'Canticle of Canticles', 'Nowhere'], 'doc_id + i')} AS nm, i // 4 + 1 AS ch, "
     "i % 4 = 0 AS head FROM lin"
 )
 
 
-def _edition(t):
+def edition(t):
     """Each document as a plain-text edition: a header line every fourth line, then
     verses, notes and wrapped lines."""
     def write(l, i):
@@ -415,10 +415,10 @@ def _edition(t):
 
 @query(
     "section_slices",
-    with_("lin") + f"SELECT doc_id, nm || ' Chapter ' || ch AS header, count(*) AS n FROM ({_SECTIONED}) WHERE head GROUP BY 1, 2",
+    with_("lin") + f"SELECT doc_id, nm || ' Chapter ' || ch AS header, count(*) AS n FROM ({SECTIONED}) WHERE head GROUP BY 1, 2",
 )
 def section_slices(t):
-    rows = _edition(t).select("doc_id", F.explode(parse.section_slices(F.col("text"))).alias("s"))
+    rows = edition(t).select("doc_id", F.explode(parse.section_slices(F.col("text"))).alias("s"))
     header = F.split_part("s", F.lit("\n"), F.lit(1))
     return rows.groupBy("doc_id", header.alias("header")).agg(F.count("*").alias("n"))
 
@@ -432,12 +432,12 @@ _WRAP = collapse("rtrim(line[1:L // 2]) || ' ' || line[L // 2 + 1:]")
     + f"""SELECT doc_id, CAST(p AS INT) AS pos, regexp_replace(para, '\\s+', ' ', 'g') AS para FROM (
       SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY i, o) - 1 AS p, para FROM (
         SELECT doc_id, -1 AS i, 0 AS o, 'front matter' AS para FROM documents UNION ALL
-        SELECT doc_id, i, 1, nm || ' Chapter ' || ch FROM ({_SECTIONED}) WHERE head UNION ALL
-        SELECT doc_id, i, 2, 'Summary, not a verse.' FROM ({_SECTIONED}) WHERE head UNION ALL
-        SELECT doc_id, i, 3, trim(ch || ':' || (L % 4 + 1) || '. ' || rtrim(line[1:L // 2])) || ' ' || ltrim(line[L // 2 + 1:]) FROM ({_SECTIONED})))""",
+        SELECT doc_id, i, 1, nm || ' Chapter ' || ch FROM ({SECTIONED}) WHERE head UNION ALL
+        SELECT doc_id, i, 2, 'Summary, not a verse.' FROM ({SECTIONED}) WHERE head UNION ALL
+        SELECT doc_id, i, 3, trim(ch || ':' || (L % 4 + 1) || '. ' || rtrim(line[1:L // 2])) || ' ' || ltrim(line[L // 2 + 1:]) FROM ({SECTIONED})))""",
 )
 def paragraph_grouping(t):
-    rows = _edition(t).select("doc_id", F.posexplode(parse.paragraph_grouping(F.col("text"))).alias("pos", "para"))
+    rows = edition(t).select("doc_id", F.posexplode(parse.paragraph_grouping(F.col("text"))).alias("pos", "para"))
     return rows.withColumn("para", F.regexp_replace("para", r"\s+", " "))
 
 

@@ -68,6 +68,13 @@ def scan_wholetext(spark: SparkSession, path, separator: str | None = None) -> D
     return reader.text(path, wholetext=separator is None).select(F.col("value").alias("text"))
 
 
+def scan_lines(spark: SparkSession, path) -> DataFrame:
+    """Text files as ``(file, block, seq, value)`` lines in splits: where a split begins and a
+    line's place in it, so that (block, seq) is the order of a file's lines."""
+    rows = spark.read.text(path)
+    return rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("seq"), "value")
+
+
 def scan_cp1252(spark: SparkSession, path) -> DataFrame:
     """Windows-1252 text files as ``(path, value)`` lines, read in splits.
 

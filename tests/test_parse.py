@@ -115,3 +115,25 @@ def test_numbering_anomalies(spark):
     assert sorted(notes) == [("proverbs", 12, "merged", 12, 12), ("psalms", 113, "continued", 1, 3)]
     verses = {(r.slug, r.verse): r.text for r in parse.parse_edition(edition).collect()}
     assert verses == {("psalms", 1): "a", ("psalms", 2): "b", ("psalms", 3): "c", ("psalms", 4): "d", ("proverbs", 12): "e f", ("proverbs", 13): "g"}
+
+
+def test_edition_in_splits_equals_one_row(spark, tmp_path):
+    from lectern.sources import readers
+
+    books = ["Genesis", "3 Kings", "Nowhere", "Canticle of Canticles"]
+    text = "Front matter\n"
+    for c in range(1, 60):
+        text += f"\n\n\n{books[c % 4]} Chapter {c}\n\n\nA summary.\n\n\n" + "\n\n\n".join(f"{c}:{v % 7 + 1}. Verse {v}\nthat wraps,\n\nover a blank line" for v in range(c % 11 + 1))
+    (tmp_path / "a.txt").write_text(text)
+    (tmp_path / "b.txt").write_text("no chapter here\n")
+    whole = spark.createDataFrame([(text,)], "text string")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    try:
+        lines = readers.scan_lines(spark, str(tmp_path))
+        assert lines.select("block").distinct().count() > 5
+        for one, many in ((parse.parse_edition(whole), parse.parse_edition_lines(lines)), (parse.edition_anomalies(whole), parse.edition_lines_anomalies(lines))):
+            want = sorted(map(str, one.collect()))
+            assert want and sorted(map(str, many.select(*one.columns).collect())) == want
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

@@ -162,3 +162,26 @@ def test_blocks_that_cannot_win_are_left_out(spark, monkeypatch):
         best = sorted(total, key=lambda i: (-total[i], i))[:3]
         assert got.get(q, []) == [(i, round(total[i], 9)) for i in best]
     assert sum(scored) < 0.7 * blockmax.bounds(blocks, weights).count()
+
+
+def test_clusters_that_cannot_win_are_left_out(spark, monkeypatch):
+    from lectern.operators import pivots
+
+    rng = np.random.default_rng(12)
+    centers = rng.normal(size=(25, 12))
+    v = np.repeat(centers, 40, axis=0) + 0.05 * rng.normal(size=(1000, 12))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    v[11] = v[10]
+    vectors = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, v array<double>").repartition(3)
+    queries = spark.createDataFrame([(i, (2 * v[i]).tolist()) for i in range(0, 1000, 10)], "query_id long, vector array<double>")
+    met = []
+    real = pivots._scored
+    monkeypatch.setattr(pivots, "_scored", lambda b, pairs, *rest: met.append(pairs.count()) or real(b, pairs, *rest))
+    got = {}
+    for r in pivots.topk_vectors(vectors, queries, 5, 0.3, block=16, per_group=30).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.id)
+    for q in range(0, 1000, 10):
+        s = np.round(v @ v[q], 13)
+        assert got[q] == [i for i in sorted(range(1000), key=lambda i: (-s[i], i))[:5] if s[i] >= 0.3]
+    blocks = pivots.cluster(vectors, 16)[1].count()
+    assert sum(met) < 0.4 * 100 * blocks
