@@ -6,10 +6,9 @@ import re
 
 from pyspark.sql import functions as F
 
-from .. import canon, schemas
+from .. import canon
 from ..functions.columns import each_at
-from ..functions.text import lines
-from ..operators import align, graph, parse, project
+from ..operators import graph, parse, project
 from ..session import new_path, settle
 from ..sources import halves, readers, writers
 from . import build, corpus

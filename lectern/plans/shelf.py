@@ -12,10 +12,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.refs import first_key, normalize_ref
+from ..functions.refs import first_key, gospel_spans, normalize_ref
 from ..operators import graph
 from ..operators.align import date_asof_forward, held_chapters
-from ..functions.refs import gospel_spans
 from ..session import settle
 from ..sources import keystore
 from . import tools
