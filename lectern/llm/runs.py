@@ -15,8 +15,9 @@ Only tiles that may hold a run are made: a run's first boundary stands before ``
 1)`` words that follow again ``q`` words later, which hashes of such blocks tell (equal
 blocks have equal hashes, so nothing is lost), and boundaries deep inside a stretch of a
 smaller period can't have a period of this octave as their smallest. Tiles have a bounded
-number of words or of boundaries and are dealt over the tasks, so a very long text is
-solved by many tasks.
+number of words or of boundaries. The task that reads a document solves its tiles one by
+one; those of a document of more than ``SPREAD`` words are dealt over all tasks, so a very
+long text is solved by many. What is shuffled is fragments, and the texts that have some.
 
 Defined results: a null text has no words. Words are compared byte by byte. Rows that
 repeat are judged each; ids may be null. A text without runs stays as its words, joined
@@ -39,8 +40,11 @@ LEAST = 6
 TIMES = 4
 #: Words of a tile, but for octaves whose tile of one boundary is longer.
 TILE = 8192
-#: Rows handed on at a time.
-BATCH = 256
+#: Words from which on a document's tiles are dealt over the tasks, and tiles of such a task.
+SPREAD = 100_000
+TASK_TILES = 256
+#: Rows and bytes of text handed on at a time.
+BATCH, BYTES = 1024, 1 << 22
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 #: A function of (doc_id, words) that gives the words to look at.
@@ -154,34 +158,43 @@ def solve(k: int, first: int, last: int, low: int, ids: np.ndarray) -> list[tupl
     return done + [(q, *span) for q, span in open_.items()]
 
 
-def _scan(docs: DataFrame, rewrite: Rewrite | None, tile: int) -> DataFrame:
-    """A row for each document and one for each of its tiles, which has an ``octave``."""
+def _scan(docs: DataFrame, rewrite: Rewrite | None, tile: int, spread: int) -> DataFrame:
+    """A row for each document and one for each fragment or unsolved tile of it.
+
+    A fragment has a ``period``, a tile an ``octave``; a document has its text's words in
+    ``joined`` if there is either.
+    """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"n long, doc_id {kind}, words long, told string, joined binary, octave int, first long, last long, low long, ids binary"
+    schema = f"n long, doc_id {kind}, words long, told string, joined binary, octave int, first long, last long, low long, ids binary, period long, start long, end long"
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches):
         for batch in batches:
-            doc_ids, numbers = batch.column("doc_id"), batch.column("n")
-            kinds = [pa.int64(), doc_ids.type, pa.int64(), pa.string(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            rows = []
-            for n, doc_id, text in zip(numbers, doc_ids, batch.column("text").cast(pa.binary())):
+            doc_ids, rows, size = batch.column("doc_id"), [], 0
+            kinds = [pa.int64(), doc_ids.type, pa.int64(), pa.string(), pa.binary(), pa.int32(), *[pa.int64()] * 3, pa.binary(), *[pa.int64()] * 3]
+            out = lambda: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+            for n, doc_id, text in zip(batch.column("n"), doc_ids, batch.column("text").cast(pa.binary())):
                 n, doc_id, words = n.as_py(), doc_id.as_py(), (text.as_py() or b"").split()
                 if rewrite:
                     words = rewrite(doc_id, words)
-                joined = b" ".join(words)
-                tiles = cut(numbers_of(words), tile)
-                rows.append((n, doc_id, len(words), hashlib.sha256(joined).hexdigest(), joined if tiles else None, None, None, None, None, None))
+                joined, tiles, spans = b" ".join(words), cut(numbers_of(words), tile), []
+                if len(words) <= spread:
+                    tiles, spans = [], [span for t in tiles for span in solve(*t)]
+                held = joined if tiles or spans else None
+                rows.append((n, doc_id, len(words), hashlib.sha256(joined).hexdigest(), held, *[None] * 8))
+                rows += [(n, *[None] * 9, *span) for span in spans]
+                size += len(held or b"")
                 for k, a, b, low, ids in tiles:
-                    rows.append((n, None, None, None, None, k, a, b, low, ids.tobytes()))
-                    if len(rows) >= BATCH:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
-                        rows = []
-                if len(rows) >= BATCH:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
-                    rows = []
+                    rows.append((n, *[None] * 4, k, a, b, low, ids.tobytes(), *[None] * 3))
+                    size += ids.nbytes
+                    if size >= BYTES:
+                        yield out()
+                        rows, size = [], 0
+                if len(rows) >= BATCH or size >= BYTES:
+                    yield out()
+                    rows, size = [], 0
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+                yield out()
 
     return docs.select(F.monotonically_increasing_id().alias("n"), "doc_id", "text").mapInArrow(run, schema)
 
@@ -237,23 +250,28 @@ def _collapsed(found: DataFrame) -> DataFrame:
     return found.select(*kept, "joined").mapInArrow(run, found.select(*kept, "joined").schema)
 
 
-def detect(docs: DataFrame, rewrite: Rewrite | None = None, tile: int = TILE) -> DataFrame:
+def detect(docs: DataFrame, rewrite: Rewrite | None = None, tile: int = TILE, spread: int = SPREAD) -> DataFrame:
     """Per document ``(doc_id, words, runs, collapsed, told)``.
 
     ``runs`` are ``(start, period, length)`` by start, then period; ``collapsed`` is the text
     without repetition where there are runs, else null; ``told`` is the SHA-256 of the whole
     text's words joined by one space.
     """
-    held = settle(_scan(docs, rewrite, tile), "tiles")
+    held = settle(_scan(docs, rewrite, tile, spread), "tiles")
     tiles = held.where("octave IS NOT NULL").select("n", "octave", "first", "last", "low", "ids")
-    fragments = settle(_fragments(tiles.repartition("n", "octave", "first")), "fragments")
-    by_doc = stitch(fragments).groupBy("n").agg(F.array_sort(F.collect_list(F.struct("start", "period", "length"))).alias("runs"))
-    texts = held.where("octave IS NULL").select("n", "doc_id", "words", "told", "joined")
-    plain = texts.where("joined IS NULL").select("doc_id", "words", "told", F.lit(None).cast("binary").alias("collapsed"), F.array().cast(by_doc.schema["runs"].dataType).alias("runs"))
+    found = held.where("period IS NOT NULL").select("n", "period", "start", "end")
+    many = tiles.count()
+    if many:
+        dealt = tiles.repartition(-(-many // TASK_TILES), "n", "octave", "first")
+        found = found.unionByName(settle(_fragments(dealt), "fragments"))
+    by_doc = stitch(found).groupBy("n").agg(F.array_sort(F.collect_list(F.struct("start", "period", "length"))).alias("runs"))
+    spans = by_doc.schema["runs"].dataType
+    texts = held.where("words IS NOT NULL").select("n", "doc_id", "words", "told", "joined")
+    plain = texts.where("joined IS NULL").select("doc_id", "words", "told", F.lit(None).cast("binary").alias("joined"), F.array().cast(spans).alias("runs"))
     met = texts.where("joined IS NOT NULL").join(by_doc, "n", "left").select("doc_id", "words", "told", "runs", "joined")
-    cut_ = _collapsed(met).withColumnRenamed("joined", "collapsed")
-    every = cut_.withColumn("runs", F.coalesce("runs", F.array().cast(by_doc.schema["runs"].dataType))).unionByName(plain)
-    return every.select("doc_id", "words", "runs", F.col("collapsed").cast("string").alias("collapsed"), "told")
+    cut_ = _collapsed(met).withColumn("runs", F.coalesce("runs", F.array().cast(spans)))
+    every = cut_.unionByName(plain)
+    return every.select("doc_id", "words", "runs", F.col("joined").cast("string").alias("collapsed"), "told")
 
 
 def digest(found: DataFrame) -> DataFrame:

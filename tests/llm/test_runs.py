@@ -88,7 +88,8 @@ def test_table_with_small_tiles(spark):
     rng = random.Random(5)
     rows = [(i, " ".join(periodic(rng, rng.choice([10, 100, 600])))) for i in range(60)]
     docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in rows], DOCS).repartition(5)
-    check(rows, runs.detect(docs, tile=32).collect())
+    for spread in (0, 50):
+        check(rows, runs.detect(docs, tile=32, spread=spread).collect())
 
 
 def test_whole_table_by_the_query(spark):
