@@ -69,7 +69,7 @@ def made(rng, convs):
 
 @pytest.mark.parametrize("local,block", [(trie.LOCAL, trie.BLOCK), (4, 2)])
 def test_trie_of_made_conversations(spark, local, block):
-    rows = made(random.Random(local), 150)
+    rows = made(random.Random(local), 90)
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
     held = conversations(rows)
     assert told(trie.of_conversations(df, block, local)) == brute(held)
@@ -78,8 +78,8 @@ def test_trie_of_made_conversations(spark, local, block):
 
 
 def test_deep_chain_and_hot_node(spark):
-    chain = [(7, i, "user", f"turn {i % 3}") for i in range(900)]
-    rows = chain + [(c, i, "user", "same") for c in range(100, 400) for i in range(2)] + [r for k in (8, 9) for r in [(k, *t[1:]) for t in chain[: 300 * k - 2200]]]
+    chain = [(7, i, "user", f"turn {i % 3}") for i in range(400)]
+    rows = chain + [(c, i, "user", "same") for c in range(100, 400) for i in range(2)] + [r for k in (8, 9) for r in [(k, *t[1:]) for t in chain[: 100 * k - 700]]]
     df = spark.createDataFrame(rows, SCHEMA)
     assert told(trie.of_conversations(df, block=64, local=100)) == brute(conversations(rows))
 
