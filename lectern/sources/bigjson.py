@@ -24,9 +24,10 @@ from pyspark.sql import DataFrame, SparkSession
 from .halves import _at
 
 #: Bytes of a split, and read past its end at first.
-SPLIT = 64 << 20
+SPLIT = 16 << 20
 TAIL = 1 << 16
 _BLANK = (32, 9, 10, 13)
+_MARK = np.isin(np.arange(256), list(b"{}[],:"))
 _SPAN = "file string, number long, begin long, end long, size long, inside int, depth int, kind int, key string, pos long"
 
 
@@ -50,38 +51,52 @@ def _slashes(file: str, begin: int) -> int:
 
 def _quotes(data: np.ndarray, slashes: int) -> np.ndarray:
     """Which bytes are quotes that open or close a string."""
-    at = np.arange(len(data))
-    last = np.maximum.accumulate(np.where(data != 92, at, -1)) if len(data) else at
-    run = np.where(last < 0, at + 1 + slashes, at - last)
-    escaped = np.zeros(len(data), dtype=bool)
-    escaped[1:] = (data[:-1] == 92) & (run[:-1] % 2 == 1)
-    if len(data):
-        escaped[0] = slashes == 1
-    return (data == 34) & ~escaped
+    quotes = data == 34
+    slash = np.nonzero(data == 92)[0]
+    begins, ends = slash[np.diff(slash, prepend=-2) != 1], slash[np.diff(slash, append=len(data) + 1) != 1] + 1
+    # A run of backslashes at the start goes on from those before it.
+    odd = ends[(ends - begins + np.where(begins == 0, slashes, 0)) % 2 == 1]
+    quotes[odd[odd < len(data)]] = False
+    if slashes == 1:
+        quotes[:1] = False
+    return quotes
+
+
+def _parity(quotes: np.ndarray) -> np.ndarray:
+    """Quotes up to each byte, modulo two."""
+    return np.bitwise_xor.accumulate(quotes.view(np.uint8)) if len(quotes) else quotes.view(np.uint8)
+
+
+def _steps(kinds: np.ndarray) -> np.ndarray:
+    """How marks change the depth."""
+    return ((kinds == 123) | (kinds == 91)).astype(np.int64) - ((kinds == 125) | (kinds == 93))
 
 
 @dataclass
 class Marks:
-    """Where a piece of JSON has its marks outside strings, and how deep they stand."""
+    """Where a piece of JSON has its quotes, its marks outside strings, and how deep those stand."""
 
     data: np.ndarray
     quotes: np.ndarray
-    outside: np.ndarray
+    places: np.ndarray
+    kinds: np.ndarray
     depth: np.ndarray
 
     @classmethod
     def of(cls, data: np.ndarray, slashes: int, inside: int, depth: int) -> "Marks":
         quotes = _quotes(data, slashes)
-        before = (inside + np.cumsum(quotes) - quotes) % 2
-        outside = (before == 0) & ~quotes
-        step = np.where(outside, ((data == 123) | (data == 91)).astype(np.int64) - ((data == 125) | (data == 93)), 0)
-        return cls(data, quotes, outside, depth + np.cumsum(step) - step)
+        places = np.nonzero(_MARK[data] & (_parity(quotes) == inside))[0]
+        kinds = data[places]
+        step = _steps(kinds)
+        return cls(data, np.nonzero(quotes)[0], places, kinds, depth + np.cumsum(step) - step)
 
     def at(self, mark: str, depth: int) -> np.ndarray:
-        return np.nonzero((self.data == ord(mark)) & self.outside & (self.depth == depth))[0]
+        return self.places[(self.kinds == ord(mark)) & (self.depth == depth)]
 
     def solid(self, place: int) -> int:
         """The first byte after a place that is no white space; -1 past the end."""
+        if place + 1 < len(self.data) and self.data[place + 1] not in _BLANK:
+            return place + 1
         rest = self.data[place + 1:]
         found = np.nonzero(~np.isin(rest[:4096], _BLANK))[0]
         if not len(found) and len(rest) > 4096:
@@ -100,9 +115,9 @@ def _opened(marks: Marks, kind: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _key(file: str, begin: int, marks: Marks, colon: int) -> str:
     """The key before a colon; it may begin in front of the split."""
-    ends = np.nonzero(marks.quotes[:colon])[0]
-    if len(ends) >= 2:
-        return json.loads(marks.data[ends[-2]:ends[-1] + 1].tobytes())
+    before = int(np.searchsorted(marks.quotes, colon))
+    if before >= 2:
+        return json.loads(marks.data[marks.quotes[before - 2]:marks.quotes[before - 1] + 1].tobytes())
     room = 1024
     while True:
         low = max(0, begin + colon - room)
@@ -124,9 +139,9 @@ def _first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in batch.to_pylist():
             data, slashes = _bytes(r["file"], r["begin"], r["end"]), _slashes(r["file"], r["begin"])
             quotes = _quotes(data, slashes)
-            step = ((data == 123) | (data == 91)).astype(np.int64) - ((data == 125) | (data == 93))
-            before = (np.cumsum(quotes) - quotes) % 2
-            out.append((r["file"], r["number"], int(quotes.sum() % 2), int(step[(before == 0) & ~quotes].sum()), int(step[(before == 1) & ~quotes].sum())))
+            places = np.nonzero(_MARK[data])[0]
+            step, within = _steps(data[places]), _parity(quotes)[places] == 1
+            out.append((r["file"], r["number"], int(quotes.sum() % 2), int(step[~within].sum()), int(step[within].sum())))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], ["file", "number", "parity", "out", "within"])
 

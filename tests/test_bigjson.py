@@ -2,7 +2,9 @@
 
 import json
 import random
+import time
 
+import pyarrow as pa
 import pytest
 
 from lectern.sources import bigjson, readers, writers
@@ -63,3 +65,15 @@ def test_adjacency_as_one_object_a_file(spark, tmp_path):
     got = readers.scan_adjacency(spark, str(tmp_path / "w"), "struct<id:string,citation:string>", whole=True).collect()
     want = [(k, i, r[1], r[2]) for k in {r[0] for r in rows} for i, r in enumerate(sorted(r for r in rows if r[0] == k))]
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_many_keys_in_one_split(tmp_path):
+    """The time goes with the bytes of a split, not with its bytes times its keys."""
+    obj = {f"book/{i}": [{"id": str(i), "ref": "x" * 40}] for i in range(60_000)}
+    path = tmp_path / "o.json"
+    path.write_text(json.dumps(obj))
+    size, begun = path.stat().st_size, time.monotonic()
+    span = {"file": str(path), "number": 0, "begin": 0, "end": size, "size": size, "inside": 0, "depth": 0, "kind": 0, "key": None, "pos": 0}
+    rows = pa.Table.from_batches(list(bigjson._rows([pa.RecordBatch.from_pylist([span])]))).to_pylist()
+    assert [(r["key"], r["pos"], json.loads(r["value"])) for r in rows] == [(k, 0, v[0]) for k, v in obj.items()]
+    assert time.monotonic() - begun < 15
