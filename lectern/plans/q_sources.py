@@ -89,8 +89,7 @@ def scan_html_pages(t):
     """Pages as files of their own, some with a byte that is no UTF-8."""
     path = new_path(t.spark, "pages")
     tail = F.when(F.col("page_id") % 10 == 3, F.unhex(F.lit("FF21"))).otherwise(F.unhex(F.lit("")))
-    bytes_ = F.concat(F.encode("html", "UTF-8"), tail).cast("string")
-    t.pages.select("page_id", bytes_.alias("value")).write.partitionBy("page_id").text(path)
+    writers.sink_pages(t.pages.select("page_id", F.concat(F.encode("html", "UTF-8"), tail).alias("value")), path)
     page = F.regexp_extract("url", r"page_id=([0-9]+)", 1).cast("long")
     return readers.scan_html_pages(t.spark, path, "*.txt").select(page.alias("page_id"), "html")
 

@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.vectors import pack_f16
 from ..operators.graph import adjacency_chunks
+from .halves import _at
+
+#: Files of a folder that pages are written to.
+FOLDER_FILES = 1000
 
 
 def sink_jsonl_partitioned(nodes: DataFrame, path: str, by: str, order: list[str], rows_per_file: int = 200_000) -> None:
@@ -70,6 +75,44 @@ def sink_vectors(rows: DataFrame, path: str, vector: str = "vector") -> None:
     rows.select("id", pack_f16(vector).alias("vector")).write.parquet(path)
 
 
+def sink_pages(pages: DataFrame, path: str) -> None:
+    """``(page_id, value)`` as a file ``page_id=<id>.txt`` for each page, its value behind a line end.
+
+    A task writes its pages one after the other into folders of its own, so nothing is left
+    to be renamed page by page when it ends; run again, it writes the same files. Rows of
+    one id in a task share a file, a row without a value is an empty line.
+    """
+
+    def run(batches):
+        (files, where), task = _at(path), TaskContext.get().partitionId()
+        last, held, count = None, [], 0
+
+        def put():
+            nonlocal count
+            folder = f"{where}/part=t{task}n{count // FOLDER_FILES}"
+            if count % FOLDER_FILES == 0:
+                files.create_dir(folder, recursive=True)
+            with files.open_output_stream(f"{folder}/page_id={'' if last is None else last}.txt") as out:
+                out.write(b"".join(held))
+            count += 1
+
+        for batch in batches:
+            for page, value in zip(batch.column("page_id").to_pylist(), batch.column("value").to_pylist()):
+                if held and page != last:
+                    put()
+                    held = []
+                last = page
+                held.append((value or b"") + b"\n")
+        if held:
+            put()
+        yield pa.RecordBatch.from_arrays([pa.array([count], pa.int64())], ["files"])
+
+    files, where = _at(path)
+    files.create_dir(where, recursive=True)  # also for a table without pages
+    sorted_ = pages.select("page_id", F.col("value").cast("binary").alias("value")).sortWithinPartitions("page_id")
+    sorted_.mapInArrow(run, "files long").agg(F.sum("files")).collect()
+
+
 def counting(rows: DataFrame) -> tuple[DataFrame, Observation]:
     """``rows`` with a counter that the write of them fills; nothing is read again."""
     seen = Observation()

@@ -122,3 +122,18 @@ def test_vectors_of_one_length(spark):
     odd = spark.createDataFrame([(1, [1.0, 0.0, 0.0]), (2, [1.0])], "id int, v array<float>").coalesce(1)
     with pytest.raises(Exception, match="components"):
         odd.select(dot_with(F.col("v"), [1.0, 0.0]).alias("s")).collect()
+
+
+def test_pages_as_files_of_their_own(spark, tmp_path):
+    """Many pages cost no folder each; rows of one page share its file, a null is an empty line."""
+    pages = [(i, f"<p>{i}</p>".encode()) for i in range(2500)] + [(7, b"again\xff"), (9000, None)]
+    df = spark.createDataFrame(pages, "page_id long, value binary").repartition(2, "page_id")
+    writers.sink_pages(df, str(tmp_path / "w"))
+    held = {p.name: p.read_bytes() for p in (tmp_path / "w").rglob("*.txt")}
+    assert len(held) == 2501 and len([p for p in (tmp_path / "w").iterdir() if p.is_dir()]) <= 4
+    assert held["page_id=12.txt"] == b"<p>12</p>\n" and held["page_id=9000.txt"] == b"\n"
+    assert sorted(held["page_id=7.txt"].split(b"\n")) == [b"", b"<p>7</p>", b"again\xff"]
+    read = readers.scan_html_pages(spark, str(tmp_path / "w"), "*.txt")
+    assert read.columns == ["url", "html"] and read.count() == 2501
+    writers.sink_pages(df.limit(0), str(tmp_path / "none"))
+    assert readers.scan_html_pages(spark, str(tmp_path / "none"), "*.txt").count() == 0
