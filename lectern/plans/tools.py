@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import each, each_at
+from ..functions.columns import each
 from ..functions.refs import citation_to_id, first_key, gospel_spans, normalize_ref, typed_citation_to_id, verse_number
 from ..operators.align import date_asof_forward, gospel_verses, lookup_verses
 from ..session import settle
@@ -29,24 +29,25 @@ def _rows(df: DataFrame, section: str, ord: Column, ref: Column, citation, title
     )
 
 
-def with_refusals(requests: DataFrame, answers: DataFrame, reason: Column, **shown: Column) -> DataFrame:
+def with_refusals(requests: DataFrame, answers: DataFrame, reason: Column, met: DataFrame | None = None, **shown: Column) -> DataFrame:
     """The answers and, for each request that has none, one row that says why.
 
     ``reason`` and ``shown`` are columns over the requests; they fill columns of the
-    answers, all others stay empty. The answers are written once, as they are read twice.
+    answers, all others stay empty. The answers are written once, as they are read twice,
+    unless ``met (request_id)`` tells the requests that have some.
     """
-    held = settle(answers, "answers")
-    silent = requests.join(held.select("request_id").distinct(), "request_id", "left_anti")
+    held = settle(answers, "answers") if met is None else answers
+    silent = requests.join((held if met is None else met).select("request_id").distinct(), "request_id", "left_anti")
     cells = {"request_id": F.col("request_id"), **shown}
     filled = {c: cells.get(c, F.lit(None)).cast(held.schema[c].dataType).alias(c) for c in held.columns}
     said = silent.select(*filled.values(), reason.alias("reason"))
     return held.withColumn("reason", none()).unionByName(said)
 
 
-def _refuse_reference(requests: DataFrame, answers: DataFrame, missing: str) -> DataFrame:
+def _refuse_reference(requests: DataFrame, answers: DataFrame, missing: str, met: DataFrame | None = None) -> DataFrame:
     read = requests.withColumn("norm", normalize_ref(F.col("reference")))
     reason = F.when(F.col("norm").isNull(), "unreadable reference").otherwise(missing)
-    return with_refusals(read, answers, reason, section=F.lit("refused"), ord=F.lit(""), ref=F.col("norm.ref"))
+    return with_refusals(read, answers, reason, met, section=F.lit("refused"), ord=F.lit(""), ref=F.col("norm.ref"))
 
 
 def resolve_article(requests: DataFrame, meta: DataFrame, col: str = "citation") -> DataFrame:
@@ -117,13 +118,18 @@ def verse_fathers(requests: DataFrame, fathers: DataFrame, pericopes: DataFrame,
     """
     # The chains asked for are few; whole pericopes meet them before they are unfolded.
     asked = asked or settle(verse_pericopes(requests, fathers), "chains")
-    held = pericopes.select("id", "citation", "lemma", "segments").join(asked, "id")
-    begin = F.concat_ws("|", F.col("first"), F.col("id"), F.lit(""))
-    lemmas = _rows(held, "lemma", begin, F.col("ref"), "citation", none(), "lemma")
-    chains = held.select("request_id", "ref", "id", "first", "citation", each_at("segments").alias("pos", "s"))
-    order = F.concat_ws("|", F.col("first"), F.col("id"), F.lpad(F.col("pos").cast("string"), 6, "0"))
-    fragments = _rows(chains, "fragment", order, F.col("ref"), "citation", F.col("s.father"), F.col("s.text"))
-    return _refuse_reference(requests, lemmas.unionByName(fragments), "no commentary is held on it")
+    # A lemma and its fragments come out of one meeting, as parts of one list.
+    part = lambda section, at, title, text: F.struct(
+        F.lit(section).alias("section"), at.alias("at"), title.alias("title"), text.cast("string").alias("text"))
+    said = F.transform(F.coalesce("segments", F.array()), lambda s, i: part("fragment", F.lpad(i.cast("string"), 6, "0"), s["father"], s["text"]))
+    parts = F.concat(F.array(part("lemma", F.lit(""), none(), F.col("lemma"))), said)
+    held = pericopes.select("id", "citation", parts.alias("parts")).join(asked, "id")
+    each_part = held.select("request_id", "ref", "id", "first", "citation", F.explode("parts").alias("p"))
+    order = F.concat_ws("|", F.col("first"), F.col("id"), F.col("p.at"))
+    answers = each_part.select("request_id", "p.section", order.alias("ord"), "ref", "citation", "p.title", "p.text")
+    # Every pericope met has a lemma, so who is answered is known without the answers.
+    met = asked.select("request_id", "id").join(pericopes.select("id"), "id", "left_semi")
+    return _refuse_reference(requests, answers, "no commentary is held on it", met)
 
 
 def _refuse_article(resolved: DataFrame, held: DataFrame, answers: DataFrame, empty: str, **shown: Column) -> DataFrame:
