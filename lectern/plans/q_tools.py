@@ -1,14 +1,13 @@
 """Queries over the entry-point operators, asked with tables of requests.
 
-The tools answer out of a shelf: the graph is stored once per session and folder, by the
-first query that needs it, and every request after that is a lookup.
+The tools answer out of a shelf: each of its tables is stored once per session and folder,
+by the first query that reads it, and every request after that is a lookup.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..session import new_path
 from . import shelf
 from .oracle import with_
 from .registry import query
@@ -19,9 +18,8 @@ _SHELVES: dict[tuple[str, str], shelf.Shelf] = {}
 def _shelf(t) -> shelf.Shelf:
     name = (t.spark.sparkContext.applicationId, t.folder)
     if name not in _SHELVES:
-        path = new_path(t.spark, "shelf")
-        shelf.write_shelf(path, t.articles, t.english, t.latin, t.pericopes, "noted_text")
-        _SHELVES[name] = shelf.Shelf(t.spark, path)
+        held = shelf.sources(t.articles, t.english, t.latin, t.pericopes, "noted_text")
+        _SHELVES[name] = shelf.Shelf(t.spark, sources=held)
     return _SHELVES[name]
 
 

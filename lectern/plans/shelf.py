@@ -1,13 +1,15 @@
 """The citation graph stored once, and the tools that answer requests out of it.
 
-``write_shelf`` parses the text once and stores every table a tool looks things up in by
-the key it is looked up by. A tool reads the zones of the keys its requests name; no text
-is parsed and no index is built for a request.
+Every table a tool looks things up in is stored by the key it is looked up by: all of them
+by ``write_shelf``, or each by the first tool that reads it, where a shelf is given its
+``sources``. A tool reads the zones of the keys its requests name; no text is parsed and no
+index is built for a request once its tables are there.
 """
 
 from __future__ import annotations
 
-from functools import cached_property
+from collections.abc import Callable
+from functools import cache, cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.refs import first_key, gospel_spans, normalize_ref
 from ..operators import graph
 from ..operators.align import date_asof_forward, held_chapters
-from ..session import settle
+from ..session import new_path, settle
 from ..sources import keystore
 from . import tools
 
@@ -23,7 +25,7 @@ from . import tools
 TABLES = {
     "verses": ("chapter_key", ("verse",)), "latin": ("chapter_key", ("verse_key",)), "index": ("key", ("id",)),
     "fathers": ("chapter_key", ("key", "id")), "chains": ("id", ()), "refs": ("id", ()), "articles": ("id", ()),
-    "citations": ("citation", ("id",)), "cites": ("src", ("dst",)), "cited": ("dst", ("src",)),
+    "ids": ("id", ()), "citations": ("citation", ("id",)), "cites": ("src", ("dst",)), "cited": ("dst", ("src",)),
 }
 
 
@@ -31,42 +33,71 @@ def _chapter(key: str):
     return F.substring_index(key, "/", 2).alias("chapter_key")
 
 
+def sources(articles: DataFrame, verses: DataFrame, latin: DataFrame, pericopes: DataFrame, noted: str = "text") -> dict[str, Callable[[], DataFrame]]:
+    """What makes each stored table; the edges are parsed once for both their tables."""
+
+    @cache
+    def edges() -> DataFrame:
+        meta = articles.select("id", "citation", F.coalesce("title", F.lit("")).alias("title"))
+        resolved = graph.internal_resolve(settle(graph.internal_edges(articles, noted), "noted"), meta)
+        return settle(graph.edges_to_meta(resolved, meta), "edges")
+
+    return {
+        "verses": lambda: verses.select(_chapter("verse_key"), "slug", "chapter", "verse", "verse_key", "citation", "text"),
+        "latin": lambda: latin.select(_chapter("verse_key"), "verse_key", "text"),
+        "index": lambda: graph.inverted_index(articles).select("key", "id", "citation", "title"),
+        "fathers": lambda: graph.fathers_index(pericopes).select(_chapter("key"), "key", "id", "father_summary"),
+        "chains": lambda: pericopes.select("id", "citation", "lemma", "segments"),
+        "refs": lambda: graph.node_refs(articles),
+        "articles": lambda: articles.select("id", "citation", "title", "text"),
+        "ids": lambda: articles.select("id"),
+        "citations": lambda: articles.select("citation", "id"),
+        "cites": edges, "cited": edges,
+        "chapters": lambda: verses.select("slug", "chapter").distinct(),
+    }
+
+
+def _write(name: str, df: DataFrame, path: str, rows: int = keystore.ROWS) -> None:
+    if name in TABLES:
+        keystore.write(df, path, *TABLES[name], rows)
+    else:
+        df.write.parquet(path)
+
+
 def write_shelf(
     path: str, articles: DataFrame, verses: DataFrame, latin: DataFrame, pericopes: DataFrame, noted: str = "text", rows: int = keystore.ROWS
 ) -> None:
     """Store verses, citers, commentary, references and edges; each node's text is read once a table."""
-    meta = articles.select("id", "citation", F.coalesce("title", F.lit("")).alias("title"))
-    resolved = graph.internal_resolve(settle(graph.internal_edges(articles, noted), "noted"), meta)
-    edges = settle(graph.edges_to_meta(resolved, meta), "edges")
-    held = {
-        "verses": verses.select(_chapter("verse_key"), "slug", "chapter", "verse", "verse_key", "citation", "text"),
-        "latin": latin.select(_chapter("verse_key"), "verse_key", "text"),
-        "index": graph.inverted_index(articles).select("key", "id", "citation", "title"),
-        "fathers": graph.fathers_index(pericopes).select(_chapter("key"), "key", "id", "father_summary"),
-        "chains": pericopes.select("id", "citation", "lemma", "segments"),
-        "refs": graph.node_refs(articles),
-        "articles": articles.select("id", "citation", "title", "text"),
-        "citations": articles.select("citation", "id"),
-        "cites": edges, "cited": edges,
-    }
-    for name, df in held.items():
-        key, order = TABLES[name]
-        keystore.write(df, f"{path}/{name}", key, order, rows)
-    verses.select("slug", "chapter").distinct().write.parquet(f"{path}/chapters")
+    for name, make in sources(articles, verses, latin, pericopes, noted).items():
+        _write(name, make(), f"{path}/{name}", rows)
 
 
 class Shelf:
-    """A stored graph; every tool takes a table of requests."""
+    """A stored graph; every tool takes a table of requests.
+
+    Tables are under ``path``, or made by ``sources`` when a tool first reads them.
+    """
+
+    def __init__(self, spark: SparkSession, path: str | None = None, sources: dict[str, Callable[[], DataFrame]] | None = None):
+        self.spark, self.path, self.sources = spark, path, sources
+        self.written: dict[str, str] = {}
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    def where(self, name: str) -> str:
+        """The folder of a table, which is stored now if it is not yet."""
+        if self.sources is None:
+            return f"{self.path}/{name}"
+        if name not in self.written:
+            path = new_path(self.spark, f"shelf-{name}")
+            _write(name, self.sources[name](), path)
+            self.written[name] = path
+        return self.written[name]
 
     def store(self, name: str) -> keystore.Store:
-        return keystore.Store(self.spark, f"{self.path}/{name}", TABLES[name][0])
+        return keystore.Store(self.spark, self.where(name), TABLES[name][0])
 
     @cached_property
     def chapters(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/chapters")
+        return self.spark.read.parquet(self.where("chapters"))
 
     def _named(self, requests: DataFrame) -> DataFrame:
         """``(chapter_key, key)`` that readable references name."""
@@ -87,7 +118,7 @@ class Shelf:
         """Requests with their ``article_id``, and the ids among them that are held."""
         exact = self.store("citations").pick(requests, "citation").select("id", "citation")
         resolved = settle(tools.resolve_article(requests, exact), "resolved")
-        return resolved, settle(self.store("articles").pick(resolved, "article_id").select("id").distinct(), "known")
+        return resolved, settle(self.store("ids").pick(resolved, "article_id").distinct(), "known")
 
     def get_article(self, requests: DataFrame) -> DataFrame:
         exact = self.store("citations").pick(requests, "citation").select("id", "citation")

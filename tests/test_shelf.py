@@ -49,6 +49,17 @@ def test_articles(tables, held):
     assert rows(held.cross_references(asked)) == rows(tools.cross_references(asked, meta, edges))
 
 
+def test_a_tool_stores_only_its_tables(spark, tables, held):
+    own = shelf.Shelf(spark, sources=shelf.sources(tables.articles, tables.english, tables.latin, tables.pericopes, "noted_text"))
+    for tool, asked, names in (
+        ("get_article", tables.citation_requests, {"citations", "articles"}), ("article_scripture", tables.citation_requests, {"citations", "ids", "refs"}),
+        ("cross_references", tables.citation_requests, {"citations", "ids", "cites", "cited"}), ("verse_fathers", tables.references, {"fathers", "chains"}),
+    ):
+        before = set(own.written)
+        assert rows(getattr(own, tool)(asked)) == rows(getattr(held, tool)(asked))
+        assert set(own.written) - before <= names and names <= set(own.written), tool
+
+
 def test_requests_that_find_nothing(spark, held):
     none = spark.createDataFrame([(1, None), (2, "no such book 3:4"), (3, "Jude 999:1")], "request_id int, reference string")
     assert {(r.request_id, r.section) for r in held.lookup_verse(none).collect()} == {(i, "refused") for i in (1, 2, 3)}
