@@ -14,11 +14,11 @@ from ..session import settle
 from . import blockmax
 
 
-def analyze(docs: DataFrame, text: Column | str = "text", id_col: str = "id") -> DataFrame:
+def analyze(docs: DataFrame, text: Column | str = "text", id_col: str = "id", keep: tuple[str, ...] = ()) -> DataFrame:
     """``(id, dl, terms)``: one row per document, counted in place without a shuffle."""
     text = F.col(text) if isinstance(text, str) else text
-    tokens = docs.select(F.col(id_col).alias("id"), tokenize(text).alias("tokens"))
-    return tokens.select("id", F.size("tokens").alias("dl"), term_counts(F.col("tokens")).alias("terms"))
+    tokens = docs.select(F.col(id_col).alias("id"), *keep, tokenize(text).alias("tokens"))
+    return tokens.select("id", *keep, F.size("tokens").alias("dl"), term_counts(F.col("tokens")).alias("terms"))
 
 
 def term_frequency(analyzed: DataFrame) -> DataFrame:
@@ -47,30 +47,36 @@ class Index:
     """A stored index: ``postings (term, id, f, dl)``, ``terms (term, df)``, ``stats (n, avgdl)``.
 
     ``blocks (term, block, most, held)`` are the postings once more, by blocks of documents
-    in order of id, with their saturations and the largest of them.
+    in order of id, with their saturations and the largest of them. One question is answered
+    out of ``postings`` and many out of ``blocks``; the one that isn't stored is None.
     """
 
-    postings: DataFrame
+    postings: DataFrame | None
     terms: DataFrame
     stats: DataFrame
-    blocks: DataFrame
+    blocks: DataFrame | None
 
 
-def write_index(docs: DataFrame, path: str, text: Column | str = "text", id_col: str = "id") -> None:
-    """Tokenize the corpus once and store what questions need.
+def write_index(docs: DataFrame, path: str, text: Column | str = "text", id_col: str = "id", stored: tuple[str, ...] = ("postings", "blocks")) -> None:
+    """Tokenize the corpus once and store what questions need: ``stored`` besides terms and stats.
 
     Postings are ranged by (term, id), so a term of a third of the corpus is split over
     files and a rare one is found by the files' and row groups' least and greatest term.
     """
-    analyzed = settle(blockmax.with_blocks(analyze(docs, text, id_col)), "analyzed")
+    # Ranged before they are tokenized: the sample that ranges are taken from would do it twice.
+    named = docs.select(F.col(id_col).alias("id"), (F.col(text) if isinstance(text, str) else text).alias("text"))
+    analyzed = settle(analyze(blockmax.with_blocks(named), keep=("block",)), "analyzed")
     corpus_stats(analyzed).write.parquet(f"{path}/stats")
     avgdl = docs.sparkSession.read.parquet(f"{path}/stats").select("avgdl").scalar()
     tf = analyzed.select("block", "id", "dl", each("terms").alias("t")).select("block", "id", "dl", "t.term", "t.f")
-    tf.select("term", "id", "f", "dl").repartitionByRange("term", "id").sortWithinPartitions("term", "id").write.parquet(f"{path}/postings")
+    if "postings" in stored:
+        tf.select("term", "id", "f", "dl").repartitionByRange("term", "id").sortWithinPartitions("term", "id").write.parquet(f"{path}/postings")
     doc_frequency(tf).repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{path}/terms")
+    if "blocks" not in stored:
+        return
     blocks = blockmax.posting_blocks(tf.select("block", "term", "id", term_saturation(F.col("f"), F.col("dl"), avgdl).alias("w")))
     blocks.select("term", "block", "most", "held").repartitionByRange("term", "block").sortWithinPartitions("term", "block").write.parquet(f"{path}/blocks")
 
 
-def read_index(spark: SparkSession, path: str) -> Index:
-    return Index(*[spark.read.parquet(f"{path}/{name}") for name in ("postings", "terms", "stats", "blocks")])
+def read_index(spark: SparkSession, path: str, stored: tuple[str, ...] = ("postings", "blocks")) -> Index:
+    return Index(**{name: spark.read.parquet(f"{path}/{name}") if name in ("terms", "stats", *stored) else None for name in ("postings", "terms", "stats", "blocks")})

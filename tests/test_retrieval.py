@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lectern import canon
-from lectern.operators import index, retrieve
+from lectern.operators import blockmax, index, retrieve
 
 STOP = set(canon.STOPWORDS)
 
@@ -185,3 +185,20 @@ def test_clusters_that_cannot_win_are_left_out(spark, monkeypatch):
         assert got[q] == [i for i in sorted(range(1000), key=lambda i: (-s[i], i))[:5] if s[i] >= 0.3]
     blocks = pivots.cluster(vectors, 16)[1].count()
     assert sum(met) < 0.4 * 100 * blocks
+
+
+def test_an_index_stores_what_is_asked_of_it(spark, tmp_path, monkeypatch):
+    """Documents are tokenized after they are ranged, and either kind of postings is stored alone."""
+    docs = spark.createDataFrame([(i, f"grace and nature {'virtue ' * (i % 3)} w{i}") for i in range(60)], "id int, text string")
+    seen, ranged = [], blockmax.with_blocks
+    monkeypatch.setattr(blockmax, "with_blocks", lambda df: seen.append(df.columns) or ranged(df))
+    index.write_index(docs, str(tmp_path / "all"))
+    assert seen == [["id", "text"]]
+    whole = index.read_index(spark, str(tmp_path / "all"))
+    flat = lambda df: sorted(map(str, df.collect()))
+    for kind, other in (("postings", "blocks"), ("blocks", "postings")):
+        index.write_index(docs, str(tmp_path / kind), stored=(kind,))
+        assert {p.name for p in (tmp_path / kind).iterdir()} == {"terms", "stats", kind}
+        held = index.read_index(spark, str(tmp_path / kind), (kind,))
+        assert getattr(held, other) is None
+        assert all(flat(getattr(held, n)) == flat(getattr(whole, n)) for n in ("terms", "stats", kind))
