@@ -1,13 +1,19 @@
-"""Near-duplicate documents by positional bytes, counted and then verified exactly.
-
-A text's fingerprint has ``BANDS`` times ``BAND`` positional bytes; each is one byte of an
-independent minimum hash over its five-word shingles, so two texts share a position with a
-chance of their similarity. A posting list of the inverted index holds the texts that
-share ``BAND`` positions. Inside a list the shared positional bytes of each pair are
-tallied, pairs below ``LEAST`` fall out, and the rest are verified by exact Jaccard
+"""Near-duplicate documents by SimHash: positional bytes, counted and then verified exactly.
+
+A text has ``BANDS`` SimHash fingerprints of 64 bits, each the bitwise majority of the
+hashes of ``DRAWN`` of its five-word shingles. The shingles of a fingerprint are drawn by
+minimum hashes over all of the text's shingles, so two texts draw the same shingle with a
+chance of their similarity, and what differs between them leaves most of the bits alone.
+One fingerprint over all shingles would differ in 15 % of its bits at the threshold; a
+byte of it would be shared with a chance of 0.27, and no few lists would hold all pairs.
+
+A fingerprint has ``BAND`` = 8 positional bytes. A posting list of the inverted index holds
+the texts that share a fingerprint's bytes. Inside a list the shared positional bytes of
+each pair are tallied over all fingerprints, pairs below ``LEAST`` or with more than
+``MOST_BITS`` differing bits fall out, and the rest are verified by exact Jaccard
 similarity, shingle by shingle. A pair at the threshold of 0.8 stands in no list with a
-chance of (1 - 0.8 ** 6) ** 32 = 6e-5 and falls below the count with one of 4e-6; that is
-all that can be missed.
+chance of at most (1 - 0.8 ** 5) ** 32 = 3e-6, falls below the count with one of 2e-6 and
+has too many differing bits with one of 4e-5; that is all that can be missed.
 
 First each list's texts meet its smallest one, which joins large groups of copies at the
 cost of one pair a text. Then only pairs of different components are tallied, each pair in
@@ -39,10 +45,14 @@ from .components import components
 WORDS = 5
 #: The threshold of similarity as a fraction of whole numbers.
 SIMILAR = (4, 5)
+#: Fingerprints of a text, the positional bytes of each, and the shingles it is the majority of.
 BANDS = 32
-BAND = 6
+BAND = 8
+DRAWN = 5
 #: Least shared positional bytes of a pair that is verified.
-LEAST = 128
+LEAST = 32
+#: Most differing bits of such a pair.
+MOST_BITS = 500
 #: Partners a text hands on from each of its lists in the first round.
 EACH = 1
 #: Texts of a block; lists up to SHORT texts are tallied many in a group.
@@ -55,8 +65,8 @@ BLOCK = 200_000
 STEP = 1024
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 _RNG = np.random.default_rng(SEED)
-_TIMES = _RNG.integers(0, 1 << 31, (BANDS * BAND, 1), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_PLUS = _RNG.integers(0, 1 << 32, (BANDS * BAND, 1), dtype=np.uint32)
+_TIMES = _RNG.integers(0, 1 << 31, (BANDS * DRAWN, 1), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_PLUS = _RNG.integers(0, 1 << 32, (BANDS * DRAWN, 1), dtype=np.uint32)
 
 
 def _words(text: bytes | None) -> list[bytes]:
@@ -76,10 +86,17 @@ def _hashes(parts: list[bytes], joined: bytes):
         yield np.fromiter(map(xxhash.xxh64_intdigest, cut, repeat(SEED)), np.uint64, min(BLOCK, len(starts) - at))
 
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """64 bits that depend on all bits of each number."""
+    for shift, times in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(times)
+    return x ^ (x >> np.uint64(31))
+
+
 def signature(parts: list[bytes], joined: bytes) -> bytes:
-    """One byte a position: the lowest of the least of the shingles' hashes."""
-    least = np.full(BANDS * BAND, 0xFFFFFFFF, dtype=np.uint32)
-    room = np.empty((BANDS * BAND, STEP), dtype=np.uint32)
+    """The positional bytes of a text's fingerprints, one fingerprint after the other."""
+    least = np.full(BANDS * DRAWN, 0xFFFFFFFF, dtype=np.uint32)
+    room = np.empty((BANDS * DRAWN, STEP), dtype=np.uint32)
     for hashes in _hashes(parts, joined):
         folded = (hashes ^ (hashes >> np.uint64(32))).astype(np.uint32)
         for at in range(0, len(folded), STEP):
@@ -88,7 +105,10 @@ def signature(parts: list[bytes], joined: bytes) -> bytes:
             np.multiply(_TIMES, x, out=held)
             np.add(held, _PLUS, out=held)
             np.minimum(least, held.min(axis=1), out=least)
-    return least.astype(np.uint8).tobytes()
+    # A draw's least value names its shingle; its hash is another for each draw.
+    drawn = _mixed(least + (np.arange(BANDS * DRAWN, dtype=np.uint64) << np.uint64(32)))
+    bits = np.unpackbits(drawn.view(np.uint8).reshape(BANDS, DRAWN, BAND), axis=2)
+    return np.packbits(bits.sum(axis=1) * 2 > DRAWN, axis=1).tobytes()
 
 
 def shingle_set(text: bytes | None) -> np.ndarray:
@@ -144,15 +164,22 @@ def similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return met.where((F.col("n") * whole) >= (F.col("sum") - F.col("n")) * least).select("a", "b")
 
 
+def near_enough(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each row of ``a`` shares enough positional bytes and bits with that of ``b``, and how many bytes."""
+    shared = (a == b).sum(axis=1)
+    far = np.bitwise_count(a.view(np.uint64) ^ b.view(np.uint64)).sum(axis=1, dtype=np.int64)
+    return (shared >= LEAST) & (far <= MOST_BITS), shared
+
+
 def counted(pairs: DataFrame, units: DataFrame) -> DataFrame:
-    """Those of ``pairs (a, b)`` that share enough positional bytes."""
+    """Those of ``pairs (a, b)`` that share enough positional bytes and bits."""
     one, two = (units.select(F.col("u").alias(c), F.col("sig").alias(f"s{c}")) for c in "ab")
 
     def run(batches):
         for batch in batches:
             sigs = [np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, BANDS * BAND) for c in ("sa", "sb")]
             if batch.num_rows:
-                yield batch.select(["a", "b"]).filter(pa.array((sigs[0] == sigs[1]).sum(axis=1) >= LEAST))
+                yield batch.select(["a", "b"]).filter(pa.array(near_enough(*sigs)[0]))
 
     return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
 
@@ -179,19 +206,17 @@ def tally(k: np.ndarray, sigs: np.ndarray, roots: np.ndarray, rest: np.ndarray,
     """Those of the pairs ``(x, y)`` of rows to verify, and whether some row has more of them.
 
     A pair counts if it differs in its component, has one text outside the list's largest
-    component, shares no band before its list's ``k`` and enough positional bytes.
+    component, shares no band before its list's ``k`` and enough positional bytes and bits.
     """
     fits = (roots[x] != roots[y]) & (rest[x] | rest[y])
     x, y = x[fits], y[fits]
-    bands = np.zeros((len(sigs), BANDS, 8), dtype=np.uint8)
-    bands[:, :, :BAND] = sigs.reshape(-1, BANDS, BAND)
-    bands = bands.view(np.uint64)[:, :, 0]
+    bands = np.ascontiguousarray(sigs).view(np.uint64)
     kept, shared = [], []
     for at in range(0, len(x), 32_768):
         a, b = x[at:at + 32_768], y[at:at + 32_768]
         earlier = ((bands[a] == bands[b]) & (np.arange(BANDS)[None, :] < k[a][:, None])).any(axis=1)
-        n = (sigs[a] == sigs[b]).sum(axis=1)
-        held = ~earlier & (n >= LEAST)
+        fits, n = near_enough(sigs[a], sigs[b])
+        held = ~earlier & fits
         kept.append(held), shared.append(n[held])
     held = np.concatenate(kept) if kept else np.zeros(0, dtype=bool)
     x, y, shared = x[held], y[held], np.concatenate(shared) if shared else np.zeros(0, int)

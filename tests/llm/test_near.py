@@ -72,3 +72,25 @@ def test_odd_rows(spark):
     # Texts without words are one class; the rows of one text are one.
     assert sorted(str(r.doc_id) for r in out.collect()) == ["1", "2", "5", "6", "7", "None"]
     assert corpus_pipeline.drop_copies(spark, no_docs(spark), "").count() == 0
+
+
+def test_fingerprints_are_majorities_of_drawn_shingles():
+    import numpy as np
+
+    from lectern.llm import near
+
+    rng = random.Random(3)
+    words = [f"w{i}".encode() for i in rng.sample(range(10_000), 204)]
+    prints = lambda ws: np.frombuffer(near.signature(ws, b" ".join(ws)), np.uint64)
+    (hashes,) = near._hashes(words, b" ".join(words))
+    folded = (hashes ^ (hashes >> np.uint64(32))).astype(np.uint32)
+    least = (near._TIMES * folded + near._PLUS).min(axis=1)
+    drawn = near._mixed(least + (np.arange(len(least), dtype=np.uint64) << np.uint64(32))).reshape(near.BANDS, near.DRAWN)
+    for got, hashed in zip(prints(words), drawn):
+        ones = [sum(int(h) >> i & 1 for h in hashed) for i in range(64)]
+        assert [int(got) >> i & 1 for i in range(64)] == [int(2 * n > near.DRAWN) for n in ones]
+    # 200 shingles, of which 22 are others: a similarity of 0.8; and no shingle shared.
+    close = words[:80] + [b"x%d" % i for i in range(18)] + words[98:]
+    far = [b"y" + w for w in words]
+    bits = lambda ws: int(np.bitwise_count(prints(words) ^ prints(ws)).sum())
+    assert bits(close) <= near.MOST_BITS and 900 < bits(far) < 1150
