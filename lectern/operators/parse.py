@@ -6,6 +6,7 @@ exploded and shuffled just to find out which line follows which.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -146,23 +147,52 @@ def _sections(texts: DataFrame, text: str) -> DataFrame:
     return texts.select(F.explode(section_slices(F.col(text))).alias("section"))
 
 
+def _pieces(batches):
+    """``(file, block, number, section)``: the lines of a split from each header on, and those before its first as 0."""
+    names = ["file", "block", "number", "section"]
+    last, number, held = None, 0, []
+    for batch in batches:
+        files, blocks, heads, values = (batch.column(c).to_pylist() for c in ("file", "block", "head", "value"))
+        out = []
+        for here, head, value in zip(zip(files, blocks), heads, values):
+            if head or here != last:
+                if held:
+                    out.append((*last, number, "\n".join(held)))
+                number = head + (number if here == last else 0)
+                last, held = here, []
+            held.append(value)
+        if out:
+            yield _piece_batch(out, names)
+    if held:
+        yield _piece_batch([(*last, number, "\n".join(held))], names)
+
+
+def _piece_batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.string()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+
+
 def sections_of_lines(lines: DataFrame) -> DataFrame:
-    """``(section)`` of lines ``(file, block, seq, value)``: from each header line to the next.
+    """``(section)`` of lines ``(file, block, value)``: from each header line to the next.
 
-    ``block`` orders the splits of a file and ``seq`` the lines of a split. A split is
-    summarised by its number of headers; the numbers of the splits before say in which
-    section it begins, so a file of any size is cut by many tasks and a section may run
-    over any number of splits. Lines before a file's first header are in no section.
+    The lines of a split ``block`` stand together and in order, as ``scan_lines`` reads them. A
+    task cuts its splits at the headers; only a split's first and last piece may go on in
+    another split. Those are numbered by the headers of the splits before and put together,
+    so a section may run over any number of splits and no line is shuffled. Lines before a
+    file's first header are in no section.
     """
     header = CHAPTER_LINE[4:]
-    marked = settle(lines.withColumn("head", F.col("value").rlike(header).cast("int")), "edition-lines")
-    heads = marked.groupBy("file", "block").agg(F.sum("head").alias("heads"))
+    marked = lines.select("file", "block", F.col("value").rlike(header).cast("int").alias("head"), "value")
+    pieces = settle(marked.mapInArrow(_pieces, "file string, block long, number long, section string"), "edition-pieces")
+    heads = pieces.groupBy("file", "block").agg(F.max("number").alias("heads"))
     before = F.sum("heads").over(Window.partitionBy("file").orderBy("block")) - F.col("heads")
-    starts = heads.select("file", "block", before.alias("before"))
-    inside = F.sum("head").over(Window.partitionBy("file", "block").orderBy("seq"))
-    placed = marked.withColumn("inside", inside).join(starts, ["file", "block"]).withColumn("number", F.col("before") + F.col("inside"))
-    whole = placed.where("number > 0").groupBy("file", "number").agg(F.array_sort(F.collect_list(F.struct("block", "seq", "value"))).alias("held"))
-    return whole.select(F.array_join(F.transform("held", lambda x: x["value"]), "\n").alias("section"))
+    # A written table: while it is small by its size the pieces stay where they are.
+    starts = settle(heads.select("file", "block", "heads", before.alias("before")), "edition-splits")
+    placed = pieces.join(starts, ["file", "block"])
+    inner = placed.where("number > 0 AND number < heads").select("section")
+    edge = placed.where("number = 0 OR number = heads").select("file", (F.col("before") + F.col("number")).alias("number"), "block", "section")
+    edge = edge.where("number > 0").groupBy("file", "number").agg(F.array_sort(F.collect_list(F.struct("block", "section"))).alias("held"))
+    return inner.unionByName(edge.select(F.array_join(F.transform("held", lambda x: x["section"]), "\n").alias("section")))
 
 
 def _anomalies(chapters: DataFrame) -> DataFrame:

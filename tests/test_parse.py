@@ -137,3 +137,12 @@ def test_edition_in_splits_equals_one_row(spark, tmp_path):
             assert want and sorted(map(str, many.select(*one.columns).collect())) == want
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_lines_are_cut_where_they_are_read():
+    import pyarrow as pa
+
+    rows = [("a", 0, 0, "x"), ("a", 0, 1, "H"), ("a", 0, 0, ""), ("a", 0, 1, "I"), ("a", 9, 0, "y"), ("b", 0, 1, "J")]
+    batches = [pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*part)], ["file", "block", "head", "value"]) for part in (rows[:3], rows[3:])]
+    got = [tuple(r.values()) for b in parse._pieces(batches) for r in b.to_pylist()]
+    assert got == [("a", 0, 0, "x"), ("a", 0, 1, "H\n"), ("a", 0, 2, "I"), ("a", 9, 0, "y"), ("b", 0, 1, "J")]
