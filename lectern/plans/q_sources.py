@@ -286,7 +286,8 @@ def sink_manifest(t):
 def export_bundle(t):
     plain = F.struct(F.lit(None).cast("string").alias("license"))
     sourced = lambda df: df.withColumn("source", plain).withColumn("work", F.lit(None).cast("string"))
-    articles = settle(t.articles.drop("lines"), "articles")
+    # Only what the subsets have: segments would be classified line by line for nothing.
+    articles = settle(t.articles.select("id", "citation", "title", "text", "noted_text", "citations_out"), "articles")
     edges = graph.internal_resolve(settle(graph.internal_edges(articles, "noted_text"), "noted"), articles)
     subsets = {
         "articles": project.project_article(sourced(articles)),

@@ -137,3 +137,14 @@ def test_pages_as_files_of_their_own(spark, tmp_path):
     assert read.columns == ["url", "html"] and read.count() == 2501
     writers.sink_pages(df.limit(0), str(tmp_path / "none"))
     assert readers.scan_html_pages(spark, str(tmp_path / "none"), "*.txt").count() == 0
+
+
+def test_bundle_stores_only_what_it_writes(spark, monkeypatch):
+    from lectern.plans import corpus, q_sources
+
+    stored = {}
+    settle = q_sources.settle
+    monkeypatch.setattr(q_sources, "settle", lambda df, label: stored.setdefault(label, settle(df, label)))
+    out = {r.subset: r.rows for r in q_sources.export_bundle(corpus.Tables(spark, "/root/testdata/sf0.001")).collect()}
+    assert out["articles"] == out["teaching"] == spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
+    assert stored["articles"].columns == ["id", "citation", "title", "text", "noted_text", "citations_out"]
