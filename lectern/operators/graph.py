@@ -219,19 +219,22 @@ def adjacency_chunks(edges: DataFrame, key: str, entry: list[str], size: int = 1
     A list's label is its key, and for lists after the first also the place it starts at.
     No list grows with the corpus and no task holds a key: edges are ranged over tasks by
     (key, entry), numbered in their range, and the ranges before add what they hold of
-    the range's first key.
+    the range's first key. The lists come ranged by (key, chunk).
     """
     order = [F.col(key), *[F.col(c) for c in entry]]
-    ranged = edges.repartitionByRange(*order).select(key, F.struct(*entry).alias("entry"), F.spark_partition_id().alias("part"))
-    ranged = settle(ranged, "edges")
-    held = ranged.groupBy("part", key).agg(F.count("*").alias("n"))
+    # Rows of a sorted range are numbered where they stand, from the range's number times 2 ** 33.
+    row = F.monotonically_increasing_id()
+    ranged = edges.repartitionByRange(*order).sortWithinPartitions(*order).select(key, F.struct(*entry).alias("entry"), row.alias("row"))
+    ranged = settle(ranged.withColumn("part", F.shiftright("row", 33)), "edges")
+    held = ranged.groupBy("part", key).agg(F.count("*").alias("n"), F.min("row").alias("first"))
     # Of a key that runs over ranges, how many entries stand in earlier ones.
     earlier = Window.partitionBy(key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    before = held.select("part", key, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    inside = F.row_number().over(Window.partitionBy("part", key).orderBy("entry")) - 1
-    placed = ranged.withColumn("inside", inside).join(before, ["part", key]).withColumn("pos", F.col("before") + F.col("inside"))
-    chunk = F.floor(F.col("pos") / size)
+    # A written table: while it is small by its size the edges stay where they are.
+    before = settle(held.select("part", key, (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("before")), "places")
+    placed = ranged.join(before, ["part", key]).withColumn("pos", F.col("before") + F.col("row"))
+    chunked = placed.select(key, F.floor(F.col("pos") / size).alias("chunk"), "pos", "entry")
+    # Ranged by list before the lists are made, so the edges move once more and the lists stay.
     # A place is unique in its key, so sorting by it first orders a list by entry.
-    lists = placed.groupBy(key, chunk.alias("chunk")).agg(F.sort_array(F.collect_list(F.struct("pos", "entry"))).alias("held"))
+    lists = chunked.repartitionByRange(key, "chunk").groupBy(key, "chunk").agg(F.sort_array(F.collect_list(F.struct("pos", "entry"))).alias("held"))
     label = F.when(F.col("chunk") == 0, F.col(key)).otherwise(F.concat(F.col(key), F.lit(CONTINUED), (F.col("chunk") * size).cast("string")))
     return lists.select(key, "chunk", label.alias("label"), F.transform("held", lambda h: h["entry"]).alias("entries"))

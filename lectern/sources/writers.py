@@ -36,7 +36,7 @@ def sink_adjacency(edges: DataFrame, path: str, key: str, entry: list[str], size
 
     A key with more than ``size`` entries takes several lists; each says where it starts.
     """
-    chunks = adjacency_chunks(edges, key, entry, size).repartitionByRange(key, "chunk").sortWithinPartitions(key, "chunk")
+    chunks = adjacency_chunks(edges, key, entry, size).sortWithinPartitions(key, "chunk")
     if not whole:
         chunks.select(F.to_json(F.create_map(F.col("label"), F.col("entries"))).alias("value")).write.text(path)
         return

@@ -192,3 +192,10 @@ def test_wide_reference_is_no_list(spark):
     asked = spark.createDataFrame([(1, "John 1:1-1500000000")], "request_id int, reference string")
     held = spark.createDataFrame([("john/1/7",), ("john/10/7",)], "verse_key string")
     assert [r.verse_key for r in align.lookup_verses(align.lookup_keys(asked), held).collect()] == ["john/1/7"]
+
+
+def test_adjacency_edges_move_twice(spark):
+    """Once to be ranged and stored, once by list; numbering them moves none."""
+    edges = spark.range(100).select((F.col("id") % 7).cast("string").alias("key"), F.col("id").cast("string").alias("id"))
+    plan = graph.adjacency_chunks(edges, "key", ["id"], 10)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange rangepartitioning") == 1 and "Exchange hashpartitioning" not in plan
