@@ -47,10 +47,30 @@ def hashed_block(key: Column, documents: int, size: int = BLOCK_DOCS) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(max(1, math.ceil(documents / size))))
 
 
+def _lists(rows: pa.Table) -> pa.Table:
+    """One row for every term of a block: its largest weight and its postings by id."""
+    rows = rows.combine_chunks()
+    coded = rows.column("term").combine_chunks().dictionary_encode("encode")
+    rows = rows.set_column(rows.schema.get_field_index("term"), "term", coded.indices)
+    rows = rows.take(pc.sort_indices(rows, [("term", "ascending"), ("id", "ascending"), ("w", "ascending")])).combine_chunks()
+    code, w = rows.column("term").to_numpy(), rows.column("w").to_numpy()
+    starts = np.nonzero(np.diff(code, prepend=-1))[0]
+    cuts = pa.array(np.append(starts, len(code)), pa.int32())
+    ids, ws = (pa.ListArray.from_arrays(cuts, rows.column(c).combine_chunks()) for c in ("id", "w"))
+    columns = [rows.column("block").take(pa.array(starts)), coded.dictionary.take(pa.array(code[starts])), pa.array(np.maximum.reduceat(w, starts)), ids, ws]
+    return pa.table(columns, ["block", "term", "most", "ids", "ws"])
+
+
 def posting_blocks(postings: DataFrame) -> DataFrame:
-    """``(block, term, most, held)`` of ``postings (block, term, id, w)``."""
-    held = F.array_sort(F.collect_list(F.struct("id", "w"))).alias("held")
-    return postings.groupBy("block", "term").agg(F.max("w").alias("most"), held)
+    """``(block, term, most, ids, ws)`` of ``postings (block, term, id, w)``.
+
+    Postings are dealt by block as they are and put together there: collected by block and
+    term they would be sorted on either side of the shuffle. Ids and weights are two plain
+    arrays, in order of id, which are copied at once and not posting by posting.
+    """
+    kinds = dict(postings.dtypes)
+    schema = f"block {kinds['block']}, term string, most double, ids array<{kinds['id']}>, ws array<double>"
+    return postings.select("block", "term", "id", "w").groupBy("block").applyInArrow(_lists, schema)
 
 
 def bounds(blocks: DataFrame, weights: DataFrame) -> DataFrame:
@@ -61,10 +81,9 @@ def bounds(blocks: DataFrame, weights: DataFrame) -> DataFrame:
 
 def _score(held: pa.Table, asked: pa.Table, k: int | None):
     """Question, document and score of a block of documents and one of questions."""
-    lists = held.column("held").combine_chunks()
+    lists = held.column("ids").combine_chunks()
     sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
-    flat = lists.flatten()
-    every_id, w = flat.field("id"), flat.field("w").to_numpy()
+    every_id, w = lists.flatten(), held.column("ws").combine_chunks().flatten().to_numpy()
     ids = every_id.unique().sort()
     doc = np.asarray(pc.index_in(every_id, ids))
     starts = np.concatenate([[0], np.cumsum(sizes)])
@@ -95,7 +114,7 @@ def _score(held: pa.Table, asked: pa.Table, k: int | None):
 
 def score_blocks(blocks: DataFrame, pairs: DataFrame, weights: DataFrame, k: int | None = None, questions: int = QUESTIONS) -> DataFrame:
     """``(query_id, id, score)`` of ``pairs (query_id, block)``: the ``k`` best of each, or all."""
-    kinds = dict(weights.dtypes)["query_id"], blocks.schema["held"].dataType.elementType["id"].dataType.simpleString()
+    kinds = dict(weights.dtypes)["query_id"], blocks.schema["ids"].dataType.elementType.simpleString()
     packed = weights.groupBy("query_id").agg(F.collect_list(F.struct("term", "idf")).alias("terms"))
     packed = settle(packed, "questions")
     groups = max(1, math.ceil(packed.count() / questions))
@@ -103,12 +122,12 @@ def score_blocks(blocks: DataFrame, pairs: DataFrame, weights: DataFrame, k: int
     asked = pairs.join(packed, "query_id").select("block", group, "query_id", "terms")
     meets = pairs.select("block", group).distinct()
     vocabulary = weights.select(group, "term").distinct()
-    held = blocks.select("block", "term", "held").join(meets, "block").join(vocabulary, ["qb", "term"], "left_semi").select("block", "qb", "term", "held")
+    held = blocks.select("block", "term", "ids", "ws").join(meets, "block").join(vocabulary, ["qb", "term"], "left_semi").select("block", "qb", "term", "ids", "ws")
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         names = ["query_id", "id", "score"]
         if not len(left) or not len(right):
-            inner = left.schema.field("held").type.value_type.field("id").type
+            inner = left.schema.field("ids").type.value_type
             return pa.table([pa.array([], right.schema.field("query_id").type), pa.array([], inner), pa.array([], pa.float64())], names)
         return pa.table(list(_score(left.combine_chunks(), right.combine_chunks(), k)), names)
 

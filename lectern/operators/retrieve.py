@@ -13,9 +13,7 @@ from ..functions.text import term_counts, tokenize
 from ..functions.vectors import dot_with
 from ..session import settle
 from . import blockmax, pivots
-from .index import Index, analyze, term_saturation
-
-SENTINEL = ""
+from .index import SENTINEL, Index, counted, term_saturation
 
 
 def term_idf(df, n) -> Column:
@@ -129,17 +127,17 @@ def query_terms(queries: DataFrame, text: str = "query") -> DataFrame:
     return queries.select("query_id", F.explode(F.array_distinct(tokenize(F.col(text)))).alias("term"))
 
 
-def query_hits(analyzed: DataFrame, terms: DataFrame) -> DataFrame:
+def query_hits(counts: DataFrame, terms: DataFrame) -> DataFrame:
     """Postings of the queries' vocabulary plus one sentinel row per document.
 
-    One pass over the text; what later steps read is this much smaller table. The
-    sentinel (empty term, f = dl) carries document count and lengths along.
+    ``counts`` as of ``index.counted``, out of one pass over the text; what later steps
+    read is this much smaller table. The sentinel (empty term, f = dl) carries document
+    count and lengths along. The vocabulary is a written table: while it is small by its
+    size the other postings go where they are made, and none is shuffled or sorted.
     """
-    vocabulary = terms.select("term").distinct()
-    vocabulary = vocabulary.unionByName(vocabulary.sparkSession.createDataFrame([(SENTINEL,)], "term string"))
-    sentinel = F.array(F.struct(F.lit(SENTINEL).alias("term"), F.col("dl").alias("f")))
-    postings = analyzed.select("id", "dl", F.explode(F.concat(sentinel, F.col("terms"))).alias("t"))
-    return settle(postings.select("id", "dl", "t.term", "t.f").join(vocabulary, "term", "left_semi"), "hits")
+    sentinel = terms.sparkSession.range(1).select(F.lit(SENTINEL).alias("term"))
+    vocabulary = settle(terms.select("term").unionByName(sentinel).distinct(), "vocabulary")
+    return settle(counts.select("id", "dl", "term", "f").join(vocabulary, "term", "left_semi"), "hits")
 
 
 def hit_stats(hits: DataFrame) -> DataFrame:
@@ -213,7 +211,7 @@ def search_batch(
     """
     terms = settle(query_terms(queries), "terms")
     if held is None:
-        hits = query_hits(analyze(docs, text, id_col), terms)
+        hits = query_hits(counted(docs, text, id_col), terms)
         df, stats = settle(hit_df(hits), "df"), settle(hit_stats(hits), "stats")
     else:
         df, stats = held.terms, held.stats.select(F.col("n").cast("double").alias("n"), "avgdl")

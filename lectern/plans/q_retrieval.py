@@ -19,7 +19,7 @@ def _analyzed(t):
 
 def _hits(t):
     terms = settle(retrieve.query_terms(t.questions), "terms")
-    hits = retrieve.query_hits(_analyzed(t), terms)
+    hits = retrieve.query_hits(index.counted(t.documents, "text", "doc_id"), terms)
     return terms, hits, settle(retrieve.hit_df(hits), "df")
 
 

@@ -202,3 +202,46 @@ def test_an_index_stores_what_is_asked_of_it(spark, tmp_path, monkeypatch):
         held = index.read_index(spark, str(tmp_path / kind), (kind,))
         assert getattr(held, other) is None
         assert all(flat(getattr(held, n)) == flat(getattr(whole, n)) for n in ("terms", "stats", kind))
+
+
+def test_terms_counted_in_batches_are_those_counted_in_rows(spark, monkeypatch):
+    """Odd texts, and pieces that end at any text."""
+    texts = ["Soul soul, FAITH the a b", None, "", "é souléKlm İx ß9 x9 y9", "the and of", "w1 w1 w22 w1x", "end", "ends here", "?!", "10 1 100 10"]
+    rows = [(None if i == 7 else i % 8, t) for i, t in enumerate(texts * 3)] + [(99, "grace " * 3000 + "nature")]
+    docs = spark.createDataFrame(rows, "id long, text string").coalesce(1)
+    analyzed = index.analyze(docs)
+    sentinels = analyzed.select("id", "dl", F.lit(index.SENTINEL).alias("term"), F.col("dl").alias("f"))
+    flat = lambda df: sorted(map(str, df.select("id", "dl", "term", "f").collect()))
+    want = flat(index.term_frequency(analyzed).unionByName(sentinels))
+    for piece in (1 << 21, 20, 1):
+        monkeypatch.setattr(index, "PIECE", piece)
+        assert flat(index.counted(docs)) == want
+    for few in ([], [(1, None)], [(1, ""), (2, "?")]):
+        assert [tuple(r) for r in index.counted(spark.createDataFrame(few, "id long, text string")).orderBy("id").collect()] == [(i, None if t is None else 0, "", None if t is None else 0) for i, t in few]
+
+
+def _planned(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_postings_that_no_question_asks_for_are_not_shuffled(spark, corpus, monkeypatch):
+    plans = {}
+    real = retrieve.settle
+    monkeypatch.setattr(retrieve, "settle", lambda df, label="table": plans.setdefault(label, _planned(df)) and None or real(df, label))
+    queries = spark.createDataFrame(list(enumerate(QUERIES)), "query_id int, query string")
+    retrieve.search_batch(corpus[1].coalesce(2), queries, 5)
+    assert "BroadcastHashJoin" in plans["hits"] and "SortMergeJoin" not in plans["hits"]
+    assert "hashpartitioning(term" not in plans["hits"]
+
+
+def test_postings_are_dealt_by_block_and_put_together_there(spark):
+    rng = random.Random(4)
+    rows = [(b, f"t{rng.randrange(9)}", rng.choice([None, *range(12)]), rng.random()) for b in (0, 3, 7) for _ in range(80)]
+    found = blockmax.posting_blocks(spark.createDataFrame(rows, "block long, term string, id long, w double").repartition(4))
+    plan = _planned(found)
+    assert plan.count("Exchange hashpartitioning") == 1 and "hashpartitioning(block" in plan and "collect_list" not in plan
+    want = {}
+    for b, t, i, w in rows:
+        want.setdefault((b, t), []).append((math.inf if i is None else i, w))
+    got = {(r.block, r.term): (r.most, [math.inf if i is None else i for i in r.ids], r.ws) for r in found.collect()}
+    assert got == {k: (max(w for _, w in v), [i for i, _ in sorted(v)], [w for _, w in sorted(v)]) for k, v in want.items()}
