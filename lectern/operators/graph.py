@@ -19,6 +19,9 @@ CITATIONS = f"array<{CITATION}>"
 #: Stands between a key and the place where a further line of its list starts.
 CONTINUED = "\x1f"
 
+#: Entries up to which a key's lists are made by one task.
+MOST = 100_000
+
 
 def scripture_citations(nodes: DataFrame, keep: tuple[str, ...] = ("id",)) -> DataFrame:
     """One row per scripture citation: ``keep``, position, raw text, normalized form.
@@ -213,28 +216,53 @@ def fragment_totals(pericopes: DataFrame) -> DataFrame:
     )
 
 
-def adjacency_chunks(edges: DataFrame, key: str, entry: list[str], size: int = 1000) -> DataFrame:
+def adjacency_chunks(
+    edges: DataFrame, key: str, entry: list[str], size: int = 1000, most: int = MOST, scratch: list[DataFrame] | None = None
+) -> DataFrame:
     """``(key, label, entries)``: each key's entries in order, in lists of up to ``size``.
 
     A list's label is its key, and for lists after the first also the place it starts at.
-    No list grows with the corpus and no task holds a key: edges are ranged over tasks by
-    (key, entry), numbered in their range, and the ranges before add what they hold of
-    the range's first key. The lists come ranged by (key, chunk).
+    No list grows with the corpus. Edges are ranged over tasks once, and a task sorts and
+    numbers the entries of its keys; entries of a key with more than ``most`` have their
+    places before and are ranged by list, so no task holds such a key. The lists come
+    ranged by (key, chunk). Pass a settled edge table: its keys are counted first. Tables
+    that the lists are read from are added to ``scratch``.
+    """
+    rows = edges.where(F.col(key).isNotNull()).select(key, F.struct(*entry).alias("entry"))
+    hot = settle(rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > most).select(key), "hot-keys")
+    own = rows.withColumns({"bucket": F.lit(0).cast("long"), "place": F.lit(0).cast("long")})
+    tables, by = [hot], [key]
+    if not hot.isEmpty():
+        few = F.broadcast(hot)  # no more than the edges by ``most``
+        placed, held = _places(rows.join(few, key, "left_semi"), key)
+        tables += held
+        by = [key, "bucket"]
+        lists = placed.select(key, "entry", F.floor(F.col("pos") / size).alias("bucket"), F.col("pos").alias("place"))
+        own = own.join(few, key, "left_anti").unionByName(lists)
+    if scratch is not None:
+        scratch += tables
+    # Ranged by list before the lists are made: they stay where their edges are sorted.
+    spot = Window.partitionBy(*by).orderBy("place", "entry")
+    at = own.repartitionByRange(*by).select(key, "bucket", "entry", (F.col("bucket") * size + F.row_number().over(spot) - 1).alias("pos"))
+    chunked = at.withColumn("chunk", F.floor(F.col("pos") / size))
+    lists = chunked.groupBy(key, "bucket", "chunk").agg(F.sort_array(F.collect_list(F.struct("pos", "entry"))).alias("held"))
+    label = F.when(F.col("chunk") == 0, F.col(key)).otherwise(F.concat(F.col(key), F.lit(CONTINUED), (F.col("chunk") * size).cast("string")))
+    return lists.select(key, "chunk", label.alias("label"), F.transform("held", lambda h: h["entry"]).alias("entries"))
+
+
+def _places(rows: DataFrame, key: str) -> tuple[DataFrame, list[DataFrame]]:
+    """``(key, entry, pos)`` of entries in their key's order, and the tables it is read from.
+
+    Rows are ranged over tasks by (key, entry) and numbered in their range, and the ranges
+    before add what they hold of the range's first key.
     """
-    order = [F.col(key), *[F.col(c) for c in entry]]
     # Rows of a sorted range are numbered where they stand, from the range's number times 2 ** 33.
     row = F.monotonically_increasing_id()
-    ranged = edges.repartitionByRange(*order).sortWithinPartitions(*order).select(key, F.struct(*entry).alias("entry"), row.alias("row"))
+    ranged = rows.repartitionByRange(key, "entry").sortWithinPartitions(key, "entry").select(key, "entry", row.alias("row"))
     ranged = settle(ranged.withColumn("part", F.shiftright("row", 33)), "edges")
     held = ranged.groupBy("part", key).agg(F.count("*").alias("n"), F.min("row").alias("first"))
     # Of a key that runs over ranges, how many entries stand in earlier ones.
     earlier = Window.partitionBy(key).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # A written table: while it is small by its size the edges stay where they are.
     before = settle(held.select("part", key, (F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first")).alias("before")), "places")
-    placed = ranged.join(before, ["part", key]).withColumn("pos", F.col("before") + F.col("row"))
-    chunked = placed.select(key, F.floor(F.col("pos") / size).alias("chunk"), "pos", "entry")
-    # Ranged by list before the lists are made, so the edges move once more and the lists stay.
-    # A place is unique in its key, so sorting by it first orders a list by entry.
-    lists = chunked.repartitionByRange(key, "chunk").groupBy(key, "chunk").agg(F.sort_array(F.collect_list(F.struct("pos", "entry"))).alias("held"))
-    label = F.when(F.col("chunk") == 0, F.col(key)).otherwise(F.concat(F.col(key), F.lit(CONTINUED), (F.col("chunk") * size).cast("string")))
-    return lists.select(key, "chunk", label.alias("label"), F.transform("held", lambda h: h["entry"]).alias("entries"))
+    return ranged.join(before, ["part", key]).select(key, "entry", (F.col("before") + F.col("row")).alias("pos")), [ranged, before]

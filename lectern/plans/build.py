@@ -9,28 +9,37 @@ from .. import canon
 from ..functions.refs import book_name, key_to_ref
 from ..operators import align, graph, project, quality
 from ..operators.parse import CONTINUED_NUMBERING, MERGED, UNHANDLED
-from ..session import settle
-from ..sources.writers import counting, counts_of, sink_adjacency, sink_keyed, sink_manifest, sink_stats
+from ..session import discard, lean, settle
+from ..sources.writers import counting, counts_of, packed, sink_adjacency, sink_keyed, sink_manifest, sink_stats
 
 
 def build_graph(nodes: DataFrame, path: str) -> dict[str, DataFrame]:
     """Write the citation graph of article nodes under ``path`` and return its tables.
 
-    Citations are parsed once; every count and index reads the written result. Tables:
+    Citations are parsed once; every count and index reads the written result. The texts are
+    read once, for the references in them, and not stored again. Tables:
     ``citations``, ``index`` (key to citing node), ``refs``, ``edges`` (both ends
     named), ``stats`` and the reports ``books``, ``verses``, ``articles``, ``unparsed``.
     """
+    with lean(nodes.sparkSession):
+        return _graph_tables(nodes, path)
+
+
+def _graph_tables(nodes: DataFrame, path: str) -> dict[str, DataFrame]:
     spark = nodes.sparkSession
 
     def keep(name: str, df: DataFrame) -> DataFrame:
         df.write.parquet(f"{path}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{path}/{name}")
+        held = spark.read.schema(df.schema).parquet(f"{path}/{name}")
+        held.settled_at = f"{path}/{name}"
+        return held
 
+    noted = keep("noted", graph.internal_edges(nodes))
+    nodes = settle(nodes.select("id", "citation", "title", "citations_out"), "nodes")
     meta = nodes.select("id", "citation", F.coalesce("title", F.lit("")).alias("title"))
     cites = keep("citations", graph.scripture_citations(nodes))
     index = keep("index", graph.inverted_index(nodes))
     refs = keep("refs", graph.node_refs(nodes))
-    noted = keep("noted", graph.internal_edges(nodes))
     edges = keep("edges", graph.edges_to_meta(graph.internal_resolve(noted, meta), meta))
     degrees = graph.in_degree(edges.select("src", "dst"))
     tables = {
@@ -72,6 +81,7 @@ def build_graph(nodes: DataFrame, path: str) -> dict[str, DataFrame]:
         listed(named(tables["articles"], "id"), "citation", "title", "in_degree").alias("most_cited_articles"),
     )
     tables["stats"] = keep("stats", stats)
+    discard(nodes)
     return tables
 
 
@@ -90,7 +100,8 @@ def export_graph(tables: dict[str, DataFrame], path: str) -> None:
 def _listed_refs(refs: DataFrame, path: str) -> None:
     """``{id: [references]}`` lines in the order of the ids."""
     lines = refs.select("id", F.to_json(F.create_map("id", "refs")).alias("value"))
-    lines.repartitionByRange("id").sortWithinPartitions("id").select("value").write.text(path)
+    with lean(refs.sparkSession):
+        packed(lines.repartitionByRange("id").sortWithinPartitions("id").select("value")).text(path)
 
 
 def export_commentary_graph(pericopes: DataFrame, path: str) -> None:
@@ -110,7 +121,7 @@ def export_teaching_graph(nodes: DataFrame, path: str) -> None:
 
 def export_browser_bundle(
     path: str, articles: DataFrame, teaching: DataFrame, english: DataFrame, latin: DataFrame, pericopes: DataFrame, readings: DataFrame,
-    tables: dict[str, DataFrame],
+    tables: dict[str, DataFrame], spent: tuple[str, ...] = (),
 ) -> DataFrame:
     """All that a reading page needs, as JSON lines; returns ``(part, rows)``.
 
@@ -118,8 +129,17 @@ def export_browser_bundle(
     graph (``tables`` of ``build_graph``), the commentary's index, dated readings, book
     names, statistics, and the verses that are cited or stand in a gospel, in both
     languages; ``bodies`` and ``chains`` hold the long texts by id. Counts are those of the
-    writes, and ``core/meta`` is written from them.
+    writes, and ``core/meta`` is written from them. The long texts come last; before them
+    the tables named in ``spent`` are removed.
     """
+    with lean(articles.sparkSession):
+        return _browser_parts(path, articles, teaching, english, latin, pericopes, readings, tables, spent)
+
+
+def _browser_parts(
+    path: str, articles: DataFrame, teaching: DataFrame, english: DataFrame, latin: DataFrame, pericopes: DataFrame, readings: DataFrame,
+    tables: dict[str, DataFrame], spent: tuple[str, ...],
+) -> DataFrame:
     spark, seen = articles.sparkSession, {}
 
     def count(part: str, rows: DataFrame) -> DataFrame:
@@ -129,17 +149,16 @@ def export_browser_bundle(
     def adjacency(part: str, edges: DataFrame, key: str, entry: list[str]) -> None:
         sink_adjacency(count(part, edges.select(key, *entry)), f"{path}/{part}", key, entry)
 
-    named = lambda df: df.select("id", "citation", F.coalesce("title", F.lit("")).alias("title"), "text")
-    passages = named(articles).unionByName(named(teaching))
-    count("core/articles", passages.drop("text")).write.json(f"{path}/core/articles")
-    sink_keyed(count("bodies", passages.select("id", "text")), F.col("id"), F.col("text"), f"{path}/bodies")
     index, edges = tables["index"], tables["edges"]
     adjacency("core/scripture_index", index, "key", ["id", "citation", "title", "ref"])
     adjacency("core/internal_refs", edges.select("src", F.col("dst").alias("id"), F.col("dst_citation").alias("citation")), "src", ["id", "citation"])
     back = edges.select("dst", F.col("src").alias("id"), F.col("src_citation").alias("citation"), F.col("src_title").alias("title"))
     adjacency("core/internal_cited_by", back, "dst", ["id", "citation", "title"])
     _listed_refs(count("core/article_refs", tables["refs"]), f"{path}/core/article_refs")
-    adjacency("core/fathers_index", graph.fathers_index(pericopes), "key", ["id", "citation", "father_summary", "work"])
+    # The index and the statistics of the commentary read names, not texts: their lines are stored without them.
+    named = F.transform("segments", lambda s: F.struct(s["father"].alias("father"))).alias("segments")
+    voiced = settle(pericopes.select("id", "citation", "work", "commented_verse_keys", named), "pericopes")
+    adjacency("core/fathers_index", graph.fathers_index(voiced), "key", ["id", "citation", "father_summary", "work"])
 
     cited = index.select("key").where(F.size(F.split("key", "/")) == 3)
     read = english.where(F.split_part("verse_key", F.lit("/"), F.lit(1)).isin(canon.GOSPELS)).select(F.col("verse_key").alias("key"))
@@ -154,22 +173,28 @@ def export_browser_bundle(
     names = aliases.select("slug", "name").distinct()
     sink_keyed(count("core/slug_names", names), F.col("slug"), F.col("name"), f"{path}/core/slug_names")
 
-    chain = F.struct(
-        F.col("citation").alias("cit"), "path", "lemma",
-        F.transform("segments", lambda s: F.array(F.coalesce(s["father"], F.lit("")), s["text"])).alias("segs"),
-        F.transform("citations_out", lambda c: c["raw"]).alias("refs"),
-    )
-    sink_keyed(count("chains", pericopes), F.col("id"), chain, f"{path}/chains")
-
     # Lists of a report: 12 and 20 rows.
-    glossed = graph.most_common(graph.gloss_weight(pericopes), "key", 12, "weight").select("key", key_to_ref(F.col("key")).alias("ref"), F.col("weight").alias("count"))
+    glossed = graph.most_common(graph.gloss_weight(voiced), "key", 12, "weight").select("key", key_to_ref(F.col("key")).alias("ref"), F.col("weight").alias("count"))
     top = lambda df, by, *cols: df.agg(F.transform(F.array_sort(F.collect_list(F.struct((-F.col(by)).alias("by"), F.col(cols[0]).alias("tie"), F.struct(*cols).alias("row")))), lambda x: x["row"]).alias("l")).select("l").scalar()
     stats = tables["stats"].select(
         "most_cited_books", "most_cited_verses", top(glossed, "count", "key", "ref", "count").alias("most_glossed_verses"),
         top(tables["articles"], "in_degree", "id", "citation", "title", "in_degree").alias("most_cited_articles"),
     )
     sink_stats(stats, f"{path}/core/stats")
-    segments = pericopes.select(F.size("segments").alias("n"), F.array_distinct(F.transform("segments", lambda s: F.coalesce(s["father"], F.lit("")))).alias("fathers"))
+    discard(*[tables[name] for name in spent])
+
+    named = lambda df: df.select("id", "citation", F.coalesce("title", F.lit("")).alias("title"), "text")
+    passages = named(articles).unionByName(named(teaching))
+    packed(count("core/articles", passages.drop("text"))).json(f"{path}/core/articles")
+    sink_keyed(count("bodies", passages.select("id", "text")), F.col("id"), F.col("text"), f"{path}/bodies")
+    chain = F.struct(
+        F.col("citation").alias("cit"), "path", "lemma",
+        F.transform("segments", lambda s: F.array(F.coalesce(s["father"], F.lit("")), s["text"])).alias("segs"),
+        F.transform("citations_out", lambda c: c["raw"]).alias("refs"),
+    )
+    sink_keyed(count("chains", pericopes), F.col("id"), chain, f"{path}/chains")
+
+    segments = voiced.select(F.size("segments").alias("n"), F.array_distinct(F.transform("segments", lambda s: F.coalesce(s["father"], F.lit("")))).alias("fathers"))
     voices = segments.select(F.explode("fathers").alias("f")).where("f != ''").distinct().agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
     held = {k: o.get.get("rows", 0) for k, o in seen.items()}
     meta = tables["stats"].select(
@@ -179,6 +204,7 @@ def export_browser_bundle(
         (F.lit(held["core/articles"]) - F.col("articles")).alias("teaching_sections"),
     )
     sink_stats(meta, f"{path}/core/meta")
+    discard(voiced)
     return counts_of(spark, seen, "part")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from .. import canon
 from ..functions.columns import each_at
 from ..operators import graph, parse, project
-from ..session import new_path, settle
+from ..session import discard, lean, new_path, settle
 from ..sources import halves, readers, writers
 from . import build, corpus
 from .oracle import collapse, with_
@@ -53,7 +53,10 @@ def sink_jsonl_partitioned(t):
 
 def _landed_adjacency(t, whole=False):
     path = new_path(t.spark, "adjacency")
-    writers.sink_adjacency(graph.inverted_index(t.articles), path, "key", ["id", "citation", "title", "ref"], 10, whole)
+    with lean(t.spark):
+        index = settle(graph.inverted_index(t.articles), "index")
+        writers.sink_adjacency(index, path, "key", ["id", "citation", "title", "ref"], 10, whole)
+        discard(index)
     return path
 
 
@@ -328,11 +331,10 @@ _GOSPELS = ", ".join(f"'{g}'" for g in canon.GOSPELS)
 def export_browser_bundle(t):
     """Every part, written and read back; the last row's ``chars`` are the counts of the meta object."""
     path, spark = new_path(t.spark, "browser"), t.spark
-    articles = settle(t.articles.select("id", "citation", "title", "text", "noted_text", "citations_out"), "articles")
-    tables = build.build_graph(articles.withColumn("text", F.col("noted_text")), f"{path}/tables")
-    pericopes = settle(t.pericopes, "pericopes")
+    # Neither articles nor pericopes are stored here: their texts would stand on disk beside the parts.
+    tables = build.build_graph(t.articles.withColumn("text", F.col("noted_text")), f"{path}/tables")
     readings = t.readings.withColumn("day", F.lit(None).cast("string"))
-    build.export_browser_bundle(path, articles, t.teaching, t.english, t.latin, pericopes, readings, tables)
+    build.export_browser_bundle(path, t.articles, t.teaching, t.english, t.latin, t.pericopes, readings, tables, ("citations", "index", "refs", "edges"))
 
     def total(part, df, *chars):
         said = sum((F.length(c) for c in chars[1:]), F.length(chars[0]))
