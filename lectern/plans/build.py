@@ -113,10 +113,14 @@ def export_commentary_graph(pericopes: DataFrame, path: str) -> None:
 
 def export_teaching_graph(nodes: DataFrame, path: str) -> None:
     """The teaching text's graph: from a key the nodes that cite it, and their references."""
-    # Both are written before they are ranged, as the sample of the ranges would parse all citations again.
-    index = settle(graph.inverted_index(nodes, ("id", "citation", "title", "work")), "index")
-    sink_adjacency(index, f"{path}/teaching_index", "key", ["id", "citation", "title", "work"])
-    _listed_refs(settle(graph.teaching_refs(nodes), "refs"), f"{path}/teaching_scripture")
+    with lean(nodes.sparkSession):
+        # Both are written before they are ranged, as the sample of the ranges would parse all citations again.
+        index = settle(graph.inverted_index(nodes, ("id", "citation", "title", "work")), "index")
+        sink_adjacency(index, f"{path}/teaching_index", "key", ["id", "citation", "title", "work"])
+        discard(index)
+        refs = settle(graph.teaching_refs(nodes), "refs")
+        _listed_refs(refs, f"{path}/teaching_scripture")
+        discard(refs)
 
 
 def export_browser_bundle(

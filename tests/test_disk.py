@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lectern import session
 from lectern.operators import graph
-from lectern.plans import build, corpus, q_sources
+from lectern.plans import build, corpus, q_graph, q_sources
 from lectern.sources import readers, writers
 
 
@@ -99,3 +99,12 @@ def test_lean_settings_end_with_their_block(spark):
         assert {k: spark.conf.get(k) for k in session.LEAN} == session.LEAN
         raise ValueError
     assert {k: spark.conf.get(k) for k in session.LEAN} == before
+
+
+def test_teaching_graph_leaves_its_lists_only(tables, shared):
+    rows = q_graph.build_catechism_graph(tables).count()
+    assert rows == graph.inverted_index(tables.teaching).count() > 0
+    assert left(shared) == ["teaching-graph"]
+    (path,) = shared.iterdir()
+    assert sorted(p.name for p in path.iterdir()) == ["teaching_index", "teaching_scripture"]
+    assert {p.suffix for p in path.glob("*/part-*")} == {".gz"}
