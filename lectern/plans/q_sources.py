@@ -289,20 +289,23 @@ def sink_manifest(t):
 def export_bundle(t):
     plain = F.struct(F.lit(None).cast("string").alias("license"))
     sourced = lambda df: df.withColumn("source", plain).withColumn("work", F.lit(None).cast("string"))
-    # Only what the subsets have: segments would be classified line by line for nothing.
-    articles = settle(t.articles.select("id", "citation", "title", "text", "noted_text", "citations_out"), "articles")
-    edges = graph.internal_resolve(settle(graph.internal_edges(articles, "noted_text"), "noted"), articles)
+    with lean(t.spark):
+        # Only what the subsets have: segments would be classified line by line for nothing.
+        articles = settle(t.articles.select("id", "citation", "title", "text", "noted_text", "citations_out"), "articles")
+        noted = settle(graph.internal_edges(articles, "noted_text"), "noted")
+    edges = graph.internal_resolve(noted, articles)
+    # Those that are made of the stored articles come first, so that the others don't stand beside them.
     subsets = {
-        "articles": project.project_article(sourced(articles)),
-        "english": project.project_verse(sourced(t.english)),
-        "latin": project.project_verse(sourced(t.latin), latin=True),
         "scripture_edges": project.scripture_edges(graph.inverted_index(articles)),
         "internal_edges": project.internal_edge_rows(graph.edges_to_meta(edges, articles)),
+        "articles": project.project_article(sourced(articles)),
         "teaching": project.project_catechism(sourced(articles).withColumn("path", F.array(F.lit("Work"), F.lit("Part")))),
+        "english": project.project_verse(sourced(t.english)),
+        "latin": project.project_verse(sourced(t.latin), latin=True),
         "pericopes": project.project_pericope(sourced(t.pericopes)),
         "father_edges": project.father_edges(t.pericopes),
     }
-    return writers.export_bundle(subsets, new_path(t.spark, "bundle"))
+    return writers.export_bundle(subsets, new_path(t.spark, "bundle"), {"teaching": [articles, noted]})
 
 
 _GOSPELS = ", ".join(f"'{g}'" for g in canon.GOSPELS)

@@ -136,13 +136,18 @@ def counts_of(spark: SparkSession, seen: dict[str, Observation], name: str) -> D
     return spark.createDataFrame([(k, o.get.get("rows", 0)) for k, o in seen.items()], f"{name} string, rows long")
 
 
-def export_bundle(subsets: dict[str, DataFrame], path: str) -> DataFrame:
-    """Write each flat subset and return ``(subset, rows)`` for the card, counted by the writes."""
-    seen = {}
-    for name, rows in subsets.items():
-        held, seen[name] = counting(rows)
-        held.write.json(f"{path}/{name}")
-    return counts_of(next(iter(subsets.values())).sparkSession, seen, "subset")
+def export_bundle(subsets: dict[str, DataFrame], path: str, spent: dict[str, list[DataFrame]] | None = None) -> DataFrame:
+    """Write each flat subset and return ``(subset, rows)`` for the card, counted by the writes.
+
+    ``spent`` has, by the last subset that reads them, settled tables that are removed after it.
+    """
+    seen, spark = {}, next(iter(subsets.values())).sparkSession
+    with lean(spark):
+        for name, rows in subsets.items():
+            held, seen[name] = counting(rows)
+            packed(held).json(f"{path}/{name}")
+            discard(*(spent or {}).get(name, []))
+    return counts_of(spark, seen, "subset")
 
 
 def sink_keyed(rows: DataFrame, key: Column, value: Column, path: str) -> None:

@@ -108,3 +108,16 @@ def test_teaching_graph_leaves_its_lists_only(tables, shared):
     (path,) = shared.iterdir()
     assert sorted(p.name for p in path.iterdir()) == ["teaching_index", "teaching_scripture"]
     assert {p.suffix for p in path.glob("*/part-*")} == {".gz"}
+
+
+def test_flat_bundle_leaves_its_subsets_only(tables, shared):
+    out = {r.subset: r.rows for r in q_sources.export_bundle(tables).collect()}
+    assert out["articles"] == out["teaching"] == out["pericopes"] == 302 and out["english"] == 3020
+    assert left(shared) == ["bundle"]
+    (path,) = shared.iterdir()
+    assert sorted(p.name for p in path.iterdir()) == sorted(out)
+    # The texts stand in four subsets, and are less than twice their own size together.
+    text = tables.documents.agg(F.sum(F.length("text"))).first()[0]
+    assert sum(size(path / s) for s in ("articles", "teaching", "english", "pericopes")) < 2 * text
+    held = tables.spark.read.json(f"{path}/articles")
+    assert held.count() == 302 and held.agg(F.sum(F.length("text"))).first()[0] == text
