@@ -151,7 +151,7 @@ def _browser_parts(
         return held
 
     def adjacency(part: str, edges: DataFrame, key: str, entry: list[str]) -> None:
-        sink_adjacency(count(part, edges.select(key, *entry)), f"{path}/{part}", key, entry)
+        sink_adjacency(count(part, edges.select(key, *entry)), f"{path}/{part}", key, entry, level="SIX")
 
     index, edges = tables["index"], tables["edges"]
     adjacency("core/scripture_index", index, "key", ["id", "citation", "title", "ref"])
@@ -190,13 +190,13 @@ def _browser_parts(
     named = lambda df: df.select("id", "citation", F.coalesce("title", F.lit("")).alias("title"), "text")
     passages = named(articles).unionByName(named(teaching))
     packed(count("core/articles", passages.drop("text"))).json(f"{path}/core/articles")
-    sink_keyed(count("bodies", passages.select("id", "text")), F.col("id"), F.col("text"), f"{path}/bodies")
+    sink_keyed(count("bodies", passages.select("id", "text")), F.col("id"), F.col("text"), f"{path}/bodies", "SIX")
     chain = F.struct(
         F.col("citation").alias("cit"), "path", "lemma",
         F.transform("segments", lambda s: F.array(F.coalesce(s["father"], F.lit("")), s["text"])).alias("segs"),
         F.transform("citations_out", lambda c: c["raw"]).alias("refs"),
     )
-    sink_keyed(count("chains", pericopes), F.col("id"), chain, f"{path}/chains")
+    sink_keyed(count("chains", pericopes), F.col("id"), chain, f"{path}/chains", "SIX")
 
     segments = voiced.select(F.size("segments").alias("n"), F.array_distinct(F.transform("segments", lambda s: F.coalesce(s["father"], F.lit("")))).alias("fathers"))
     voices = segments.select(F.explode("fathers").alias("f")).where("f != ''").distinct().agg(F.count(F.lit(1)).alias("n")).select("n").scalar()
